@@ -74,3 +74,154 @@ ORACLE: dict[str, str] = {
                sum(CAST(round(conversion_rate * 10000) AS BIGINT)) AS units
         FROM ({PROFILE}) WHERE click > 0)""",
 }
+
+# ----- staging ---------------------------------------------------------------
+
+# The supplied events without the anonymous (error) rows, each event once.
+STAGE_CLICKSTREAM = """
+  SELECT event_id, user_id AS customer_id, ts AS event_ts, event_type, value, props
+  FROM events WHERE event_type <> 'error'"""
+
+STAGE_CLICKSTREAM_REJECTS = """
+  SELECT * FROM (VALUES
+    ('missing_customer', (SELECT count(*) FROM events WHERE event_type = 'error')),
+    ('duplicate', (SELECT count(*) FROM events WHERE event_type = 'purchase')),
+    ('clean', (SELECT count(*) FROM events WHERE event_type <> 'error')))
+    AS t(reject_reason, rejected_rows)"""
+
+TXN_TYPED = """
+  SELECT l.l_orderkey AS order_id, l.l_linenumber AS line_no, o.o_custkey AS customer_id,
+         l.l_partkey AS product_id, o.o_orderdate AS order_date, l.l_shipdate AS ship_date,
+         CAST(trunc(l.l_quantity) AS INTEGER) AS quantity,
+         CAST(l.l_extendedprice AS DECIMAL(18,2)) AS amount, o.o_orderstatus AS status
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey"""
+
+TXN_TAGGED = f"""
+  SELECT t.*, CASE WHEN quantity IS NULL OR quantity <= 0 THEN 'invalid_quantity'
+                   WHEN amount IS NULL OR amount <= 0 THEN 'invalid_amount'
+                   WHEN customer_id IS NULL THEN 'missing_customer'
+                   WHEN customer_id NOT IN (SELECT c_custkey FROM customer) THEN 'unknown_customer'
+              END AS reason
+  FROM ({TXN_TYPED}) t"""
+
+STAGE_TRANSACTIONS = f"""
+  SELECT order_id, line_no, customer_id, product_id, order_date, ship_date, quantity, amount, status
+  FROM (SELECT *, row_number() OVER (
+               PARTITION BY order_id, line_no
+               ORDER BY ship_date NULLS FIRST, customer_id NULLS FIRST, product_id NULLS FIRST,
+                        order_date NULLS FIRST, quantity NULLS FIRST, amount NULLS FIRST,
+                        status NULLS FIRST) AS rn
+        FROM ({TXN_TAGGED}) WHERE reason IS NULL)
+  WHERE rn = 1"""
+
+STAGE_TRANSACTIONS_REJECTS = f"""
+  WITH t AS ({TXN_TAGGED}),
+  v AS (SELECT count(*) AS n, (SELECT count(*) FROM (SELECT DISTINCT order_id, line_no FROM t
+                                                    WHERE reason IS NULL)) AS d
+        FROM t WHERE reason IS NULL)
+  SELECT r.reason AS reject_reason, CAST(count(t.reason) AS BIGINT) AS rejected_rows
+  FROM (VALUES ('invalid_quantity'), ('invalid_amount'), ('missing_customer'), ('unknown_customer'))
+       AS r(reason) LEFT JOIN t ON t.reason = r.reason GROUP BY r.reason
+  UNION ALL SELECT 'duplicate', n - d FROM v
+  UNION ALL SELECT 'clean', d FROM v"""
+
+DEDUPE_FIRST = """
+  SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount,
+         l_tax, l_returnflag, l_linestatus, l_shipdate
+  FROM (SELECT *, row_number() OVER (
+               PARTITION BY l_orderkey, l_linenumber
+               ORDER BY l_shipdate NULLS FIRST, l_partkey NULLS FIRST, l_suppkey NULLS FIRST,
+                        l_quantity NULLS FIRST, l_extendedprice NULLS FIRST, l_discount NULLS FIRST,
+                        l_tax NULLS FIRST, l_returnflag NULLS FIRST, l_linestatus NULLS FIRST) AS rn
+        FROM lineitem)
+  WHERE rn = 1"""
+
+ORACLE.update({
+    "stage_clickstream": STAGE_CLICKSTREAM,
+    "stage_clickstream_rejects": STAGE_CLICKSTREAM_REJECTS,
+    "stage_transactions": STAGE_TRANSACTIONS,
+    "stage_transactions_rejects": STAGE_TRANSACTIONS_REJECTS,
+    "dedupe_first": DEDUPE_FIRST,
+    "semi_join_valid": """
+  SELECT * FROM orders o WHERE EXISTS (SELECT 1 FROM customer c WHERE c.c_custkey = o.o_custkey)""",
+    "anti_join_new_keys": """
+  SELECT * FROM orders a WHERE a.o_orderdate >= TIMESTAMP '1997-07-01'
+    AND NOT EXISTS (SELECT 1 FROM orders s WHERE s.o_orderdate < TIMESTAMP '1998-01-01'
+                                             AND s.o_orderkey = a.o_orderkey)""",
+})
+
+# ----- data quality ----------------------------------------------------------
+
+DQ_AS_OF = "TIMESTAMP '2001-09-01 00:00:00'"
+
+
+def _dq_row(name: str, table: str, part: str, total: str, threshold: float, detail_tail: str,
+            source: str) -> str:
+    return f"""
+  SELECT '{name}' AS check_name, '{table}' AS "table",
+         CASE WHEN (CASE WHEN {total} > 0 THEN {part} / {total} ELSE 0.0 END) >= {threshold!r}
+              THEN 'PASS' ELSE 'FAIL' END AS status,
+         coalesce({_half_up(part, total, 4)}, 0.0) AS metric_value,
+         CAST({threshold!r} AS DOUBLE) AS threshold,
+         format('{{:,}}', {part}) || '/' || format('{{:,}}', {total}) || '{detail_tail}' AS detail,
+         {DQ_AS_OF} AS run_ts
+  FROM ({source})"""
+
+
+DQ_COMPLETENESS = _dq_row(
+    "completeness", "orders", "part", "total", 0.98,
+    " rows complete across [''o_custkey'', ''o_totalprice'', ''o_orderdate'']",
+    "SELECT count(*) AS total, count(*) FILTER (WHERE o_custkey IS NOT NULL AND o_totalprice IS NOT NULL"
+    " AND NOT isnan(o_totalprice) AND o_orderdate IS NOT NULL) AS part FROM orders")
+
+
+def _dq_unique(table: str, key: str, label: str | None = None) -> str:
+    return _dq_row("uniqueness", table, "part", "total", 0.999,
+                   f" unique values for {label or key}",
+                   f"SELECT count(*) AS total, count(DISTINCT {key}) AS part FROM {table}")
+
+
+def _dq_ri(table: str, fk: str) -> str:
+    return _dq_row("referential_integrity", table, "part", "total", 0.99,
+                   f" rows have a valid {fk} reference",
+                   f"SELECT count(*) AS total, count(*) FILTER (WHERE {fk} IN "
+                   f"(SELECT c_custkey FROM customer)) AS part FROM {table}")
+
+
+DQ_FRESHNESS = f"""
+  SELECT 'freshness' AS check_name, 'orders' AS "table",
+         CASE WHEN total > 0 AND latest IS NOT NULL AND age <= 3650 THEN 'PASS' ELSE 'FAIL' END AS status,
+         CASE WHEN total > 0 THEN CAST(age AS DOUBLE) END AS metric_value,
+         CAST(3650 AS DOUBLE) AS threshold,
+         CASE WHEN total = 0 THEN 'Table is empty'
+              WHEN latest IS NULL THEN 'No valid o_orderdate values'
+              ELSE 'Latest record is ' || CAST(age AS VARCHAR) || ' days old (max allowed: 3650)' END
+           AS detail,
+         {DQ_AS_OF} AS run_ts
+  FROM (SELECT total, latest,
+               CASE WHEN us >= 0 THEN us // 86400000000
+                    ELSE -((-us + 86400000000 - 1) // 86400000000) END AS age
+        FROM (SELECT count(*) AS total, max(o_orderdate) AS latest,
+                     date_diff('microsecond', max(o_orderdate), {DQ_AS_OF}) AS us FROM orders))"""
+
+DQ_SUITE_SQL = "\n  UNION ALL ".join([
+    DQ_COMPLETENESS, _dq_unique("orders", "o_orderkey"), _dq_ri("orders", "o_custkey"),
+    DQ_FRESHNESS, _dq_unique("customer", "c_custkey"), _dq_unique("events", "event_id"),
+    _dq_ri("events", "user_id")])
+
+ORACLE.update({
+    "dq_completeness": DQ_COMPLETENESS,
+    "dq_uniqueness": _dq_unique("orders", "o_orderkey"),
+    "dq_uniqueness_composite": _dq_row(
+        "uniqueness", "lineitem", "part", "total", 0.999,
+        " unique values for [''l_orderkey'', ''l_linenumber'']",
+        "SELECT count(*) AS total, (SELECT count(*) FROM (SELECT DISTINCT l_orderkey, l_linenumber"
+        " FROM lineitem WHERE l_orderkey IS NOT NULL AND l_linenumber IS NOT NULL)) AS part"
+        " FROM lineitem"),
+    "dq_referential_integrity": _dq_ri("orders", "o_custkey"),
+    "dq_freshness": DQ_FRESHNESS,
+    "dq_suite": DQ_SUITE_SQL,
+    "dq_suite_summary": f"""
+  SELECT count(*) AS checks, count(*) FILTER (WHERE status = 'FAIL') AS failed
+  FROM ({DQ_SUITE_SQL})""",
+})

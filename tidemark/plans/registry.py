@@ -11,10 +11,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
 from tidemark.operators import category as cat
+from tidemark.operators import dq
+from tidemark.operators import joins
+from tidemark.operators.cleanse import reject_summary
+from tidemark.operators.dedupe import dedupe_first
 from tidemark.operators import funnel as fun
 from tidemark.operators import profile as prof
 from tidemark.operators import spend
+from tidemark.plans import staged
 from tidemark.sources import testdata as td
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -54,6 +61,105 @@ def q_avg_conversion(spark, d):
     return prof.average_conversion(q_customer_profile(spark, d), td.TESTDATA_FUNNEL)
 
 
+# ----- staging ------------------------------------------------------------
+
+def _staged_clickstream(spark, d):
+    return staged.stage_clickstream(td.raw_clickstream(spark, d), types=td.CLICKSTREAM_TYPES,
+                                    stamp=None)
+
+
+def q_stage_clickstream(spark, d):
+    return _staged_clickstream(spark, d)[1]
+
+
+def q_stage_clickstream_rejects(spark, d):
+    tagged, _ = _staged_clickstream(spark, d)
+    return reject_summary(tagged, staged.CLICKSTREAM_REASONS, key=["event_id"])
+
+
+def _staged_transactions(spark, d):
+    return staged.stage_transactions(
+        td.raw_transactions(spark, d), valid_customers=td.customers(spark, d),
+        key=("order_id", "line_no"), order_by=("ship_date",), types=td.TRANSACTION_TYPES,
+        stamp=None)
+
+
+def q_stage_transactions(spark, d):
+    return _staged_transactions(spark, d)[1]
+
+
+def q_stage_transactions_rejects(spark, d):
+    tagged, _ = _staged_transactions(spark, d)
+    return reject_summary(tagged, staged.TRANSACTION_REASONS, key=["order_id", "line_no"])
+
+
+def q_dedupe_first(spark, d):
+    return dedupe_first(td.table(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"],
+                        ["l_shipdate"])
+
+
+def q_semi_join_valid(spark, d):
+    return joins.semi_join(td.table(spark, d, "orders"), td.table(spark, d, "customer"),
+                           "o_custkey", key_cols=["c_custkey"])
+
+
+def q_anti_join_new_keys(spark, d):
+    orders = td.table(spark, d, "orders")
+    already = orders.filter(F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz"))
+    arriving = orders.filter(F.col("o_orderdate") >= F.lit("1997-07-01").cast("timestamp_ntz"))
+    return joins.new_keys(arriving, already, "o_orderkey")
+
+
+# ----- data quality ---------------------------------------------------------
+
+DQ_AS_OF = "2001-09-01 00:00:00"
+
+# The standard seven checks, on the supplied tables: transactions ← orders,
+# customers ← customer, clickstream ← events.
+DQ_SUITE = (
+    dq.CheckSpec("completeness", "orders", ("o_custkey", "o_totalprice", "o_orderdate")),
+    dq.CheckSpec("uniqueness", "orders", ("o_orderkey",)),
+    dq.CheckSpec("referential_integrity", "orders", ("o_custkey",), "customer", "c_custkey"),
+    dq.CheckSpec("freshness", "orders", ("o_orderdate",), options={"max_age_days": 3650}),
+    dq.CheckSpec("uniqueness", "customer", ("c_custkey",)),
+    dq.CheckSpec("uniqueness", "events", ("event_id",)),
+    dq.CheckSpec("referential_integrity", "events", ("user_id",), "customer", "c_custkey"),
+)
+
+
+def _dq_tables(spark, d):
+    return {t: td.table(spark, d, t) for t in ("orders", "customer", "events", "lineitem")}
+
+
+def q_dq_completeness(spark, d):
+    return dq.run_check(DQ_SUITE[0], _dq_tables(spark, d), DQ_AS_OF)
+
+
+def q_dq_uniqueness(spark, d):
+    return dq.run_check(DQ_SUITE[1], _dq_tables(spark, d), DQ_AS_OF)
+
+
+def q_dq_uniqueness_composite(spark, d):
+    spec = dq.CheckSpec("uniqueness", "lineitem", ("l_orderkey", "l_linenumber"))
+    return dq.run_check(spec, _dq_tables(spark, d), DQ_AS_OF)
+
+
+def q_dq_referential_integrity(spark, d):
+    return dq.run_check(DQ_SUITE[2], _dq_tables(spark, d), DQ_AS_OF)
+
+
+def q_dq_freshness(spark, d):
+    return dq.run_check(DQ_SUITE[3], _dq_tables(spark, d), DQ_AS_OF)
+
+
+def q_dq_suite(spark, d):
+    return dq.run_suite_specs(DQ_SUITE, _dq_tables(spark, d), DQ_AS_OF)[0]
+
+
+def q_dq_suite_summary(spark, d):
+    return dq.suite_summary(q_dq_suite(spark, d))
+
+
 QUERIES: dict[str, QueryFn] = {
     "customer_profile": q_customer_profile,
     "customer_funnel": q_customer_funnel,
@@ -63,4 +169,18 @@ QUERIES: dict[str, QueryFn] = {
     "funnel_dropoff": q_funnel_dropoff,
     "event_type_counts": q_event_type_counts,
     "avg_conversion": q_avg_conversion,
+    "stage_clickstream": q_stage_clickstream,
+    "stage_clickstream_rejects": q_stage_clickstream_rejects,
+    "stage_transactions": q_stage_transactions,
+    "stage_transactions_rejects": q_stage_transactions_rejects,
+    "dedupe_first": q_dedupe_first,
+    "semi_join_valid": q_semi_join_valid,
+    "anti_join_new_keys": q_anti_join_new_keys,
+    "dq_completeness": q_dq_completeness,
+    "dq_uniqueness": q_dq_uniqueness,
+    "dq_uniqueness_composite": q_dq_uniqueness_composite,
+    "dq_referential_integrity": q_dq_referential_integrity,
+    "dq_freshness": q_dq_freshness,
+    "dq_suite": q_dq_suite,
+    "dq_suite_summary": q_dq_suite_summary,
 }

@@ -83,3 +83,39 @@ def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         "customer_id", F.col("l_partkey").alias("product_id"), "order_date",
         F.col("l_shipdate").alias("ship_date"), F.col("l_quantity").alias("quantity"),
         F.col("l_extendedprice").alias("amount"), "status")
+
+
+# ---------------------------------------------------------------------------
+# Raw-zone views: the supplied tables as they would land, every value as text.
+# ---------------------------------------------------------------------------
+
+CLICKSTREAM_TYPES = {"event_id": "bigint", "customer_id": "bigint",
+                     "event_ts": "timestamp_ntz", "value": "double"}
+TRANSACTION_TYPES = {"order_id": "bigint", "line_no": "int", "customer_id": "bigint",
+                     "product_id": "bigint", "order_date": "timestamp_ntz",
+                     "ship_date": "timestamp_ntz"}
+
+
+def raw_clickstream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as they arrive in the raw zone, as text, through two paths.
+
+    The batch export carries every event; error events are logged before a
+    visitor is identified, so their customer id is empty (anonymous). The
+    stream path delivers at least once: purchase events arrive a second
+    time. Staging must drop the anonymous rows and the repeats.
+    """
+    ev = table(spark, sf_dir, "events")
+    batch = ev.select(
+        F.col("event_id").cast("string").alias("event_id"),
+        F.when(F.col("event_type") == "error", F.lit("")).otherwise(F.col("user_id").cast("string"))
+        .alias("customer_id"),
+        F.col("ts").cast("string").alias("event_ts"),
+        "event_type", F.col("value").cast("string").alias("value"), "props")
+    return batch.unionByName(batch.filter(F.col("event_type") == "purchase"))
+
+
+def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line-grain transactions as text (order key, line number, customer, product, ...)."""
+    return order_lines(spark, sf_dir).select(*[F.col(c).cast("string").alias(c) for c in (
+        "order_id", "line_no", "customer_id", "product_id", "order_date", "ship_date",
+        "quantity", "amount", "status")])
