@@ -225,3 +225,20 @@ ORACLE.update({
   SELECT count(*) AS checks, count(*) FILTER (WHERE status = 'FAIL') AS failed
   FROM ({DQ_SUITE_SQL})""",
 })
+
+# ----- stream records --------------------------------------------------------
+
+EVENTS_DELIVERED = """
+  SELECT event_id, user_id AS customer_id, ts AS event_ts, event_type, value, props
+  FROM events WHERE event_type <> 'error'
+  UNION ALL
+  SELECT event_id, user_id, ts, event_type, value, props FROM events WHERE event_type = 'purchase'"""
+
+ORACLE.update({
+    "json_decode": EVENTS_DELIVERED,
+    "json_dead_letter": """
+  SELECT CAST(event_id AS VARCHAR) AS _sequence_number, 'invalid_base64' AS _dead_letter_reason
+  FROM events WHERE event_type = 'error'""",
+    "stream_landing": EVENTS_DELIVERED,
+    "stream_dedupe": STAGE_CLICKSTREAM,
+})

@@ -22,7 +22,9 @@ from tidemark.operators import funnel as fun
 from tidemark.operators import profile as prof
 from tidemark.operators import spend
 from tidemark.plans import staged
+from tidemark.session import scratch_path
 from tidemark.sources import testdata as td
+from tidemark.streaming import landing, records
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -160,6 +162,51 @@ def q_dq_suite_summary(spark, d):
     return dq.suite_summary(q_dq_suite(spark, d))
 
 
+# ----- stream records, landing, stream dedupe -------------------------------
+
+def _typed_events(df):
+    return staged.apply_types(df.select(*td.EVENT_FIELDS), td.CLICKSTREAM_TYPES)
+
+
+def q_json_decode(spark, d):
+    decoded = records.decode_records(td.event_records(spark, d), td.EVENT_FIELDS)
+    return _typed_events(records.good_records(decoded))
+
+
+def q_json_dead_letter(spark, d):
+    decoded = records.decode_records(td.event_records(spark, d), td.EVENT_FIELDS)
+    return records.dead_letters(decoded).select("_sequence_number", records.DEAD_LETTER_COL)
+
+
+def _record_source(spark, d):
+    src = scratch_path(spark, "records")
+    td.event_records(spark, d).write.mode("overwrite").parquet(src)
+    return src
+
+
+def q_stream_landing(spark, d):
+    """Land the record stream (availableNow) and read the landed rows back."""
+    src, out = _record_source(spark, d), scratch_path(spark, "landing")
+    q = landing.land_stream(landing.read_records(spark, src), f"{out}/good", f"{out}/dead",
+                            f"{out}/_checkpoint", td.EVENT_FIELDS, available_now=True)
+    q.awaitTermination()
+    return _typed_events(landing.read_landed(spark, f"{out}/good"))
+
+
+def q_stream_dedupe(spark, d):
+    """Decode, drop anonymous rows and repeats on the stream; file sink; read back."""
+    src, out = _record_source(spark, d), scratch_path(spark, "stream-dedupe")
+    stream = records.good_records(records.decode_records(landing.read_records(spark, src),
+                                                         td.EVENT_FIELDS))
+    clean = landing.stage_clickstream_stream(stream)
+    q = (clean.writeStream.format("parquet").option("path", f"{out}/data")
+         .option("checkpointLocation", f"{out}/_checkpoint").outputMode("append")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    landed = spark.read.schema(clean.schema).parquet(f"{out}/data")
+    return _typed_events(landed.withColumn("event_ts", F.col("event_ts").cast("timestamp_ntz")))
+
+
 QUERIES: dict[str, QueryFn] = {
     "customer_profile": q_customer_profile,
     "customer_funnel": q_customer_funnel,
@@ -183,4 +230,8 @@ QUERIES: dict[str, QueryFn] = {
     "dq_freshness": q_dq_freshness,
     "dq_suite": q_dq_suite,
     "dq_suite_summary": q_dq_suite_summary,
+    "json_decode": q_json_decode,
+    "json_dead_letter": q_json_dead_letter,
+    "stream_landing": q_stream_landing,
+    "stream_dedupe": q_stream_dedupe,
 }

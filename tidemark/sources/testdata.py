@@ -119,3 +119,26 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_lines(spark, sf_dir).select(*[F.col(c).cast("string").alias(c) for c in (
         "order_id", "line_no", "customer_id", "product_id", "order_date", "ship_date",
         "quantity", "amount", "status")])
+
+
+EVENT_FIELDS = ("event_id", "customer_id", "event_ts", "event_type", "value", "props")
+
+
+def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as stream records ``(sequence_number, value)``.
+
+    ``value`` is the base64 of a JSON object with the event's fields as text.
+    Two transport faults of the kind the consumer must survive: the legacy
+    client that emits error events sends its JSON without base64 encoding
+    (dead letter), and purchase events are delivered twice (at least once).
+    """
+    ev = table(spark, sf_dir, "events").select(
+        "event_id", F.col("user_id").alias("customer_id"), F.col("ts").alias("event_ts"),
+        "event_type", "value", "props")
+    payload = F.to_json(F.struct(*[F.col(c).cast("string").alias(c) for c in EVENT_FIELDS]))
+    value = F.when(F.col("event_type") == "error", payload) \
+        .otherwise(F.base64(F.encode(payload, "UTF-8")))
+    records = ev.select(F.col("event_id").cast("string").alias("sequence_number"),
+                        value.alias("value"), "event_type")
+    again = records.filter(F.col("event_type") == "purchase")
+    return records.unionByName(again).drop("event_type")

@@ -1,0 +1 @@
+"""Structured Streaming: record decoding, landing with dead letters, stream dedupe."""
