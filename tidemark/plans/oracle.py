@@ -242,3 +242,93 @@ ORACLE.update({
     "stream_landing": EVENTS_DELIVERED,
     "stream_dedupe": STAGE_CLICKSTREAM,
 })
+
+# ----- sources ---------------------------------------------------------------
+
+ORACLE.update({
+    "union_sources": """
+  SELECT event_id, CASE WHEN event_type = 'error' THEN NULL ELSE user_id END AS customer_id,
+         ts AS event_ts, event_type, value, props, NULL AS _sequence_number
+  FROM events WHERE ts < TIMESTAMP '2024-01-16'
+  UNION ALL
+  SELECT event_id, user_id, ts, event_type, NULL, props, CAST(event_id AS VARCHAR)
+  FROM events WHERE ts >= TIMESTAMP '2024-01-16' AND event_type <> 'error'
+  UNION ALL
+  SELECT event_id, user_id, ts, event_type, NULL, props, CAST(event_id AS VARCHAR)
+  FROM events WHERE ts >= TIMESTAMP '2024-01-16' AND event_type = 'purchase'""",
+    "schema_drift_merged": """
+  SELECT event_id, ts, user_id, event_type, value, props, CAST(NULL AS INTEGER) AS k
+  FROM events WHERE ts < TIMESTAMP '2024-01-16'
+  UNION ALL
+  SELECT event_id, ts, user_id, event_type, value, NULL,
+         TRY_CAST(json_extract_string(props, '$.k') AS INTEGER)
+  FROM events WHERE ts >= TIMESTAMP '2024-01-16'""",
+    "incremental_ingest": STAGE_CLICKSTREAM,
+})
+
+# ----- storage lifecycle -----------------------------------------------------
+
+RETENTION = """
+  SELECT partition_date, rows, bytes, age_days,
+         CASE WHEN age_days >= 1825 THEN 'EXPIRED' WHEN age_days >= 90 THEN 'GLACIER'
+              WHEN age_days >= 30 THEN 'STANDARD_IA' ELSE 'STANDARD' END AS storage_class
+  FROM (SELECT CAST(o_orderdate AS DATE) AS partition_date, count(*) AS rows,
+               sum(CASE WHEN o_orderkey IS NULL THEN 0 ELSE 8 END
+                   + CASE WHEN o_custkey IS NULL THEN 0 ELSE 8 END
+                   + coalesce(octet_length(encode(o_orderstatus)), 0)
+                   + CASE WHEN o_totalprice IS NULL THEN 0 ELSE 8 END
+                   + CASE WHEN o_orderdate IS NULL THEN 0 ELSE 8 END
+                   + coalesce(octet_length(encode(o_orderpriority)), 0)) AS bytes,
+               date_diff('day', CAST(o_orderdate AS DATE), DATE '2001-08-15') AS age_days
+        FROM orders GROUP BY CAST(o_orderdate AS DATE))"""
+
+ORACLE.update({
+    "retention_tiers": RETENTION,
+    "tier_cost": f"""
+  SELECT storage_class, count(*) AS units, sum(bytes) / CAST(1073741824 AS DOUBLE) AS gb,
+         sum(bytes) / CAST(1073741824 AS DOUBLE) *
+           CASE storage_class WHEN 'STANDARD' THEN 0.025 WHEN 'STANDARD_IA' THEN 0.0138
+                              WHEN 'GLACIER' THEN 0.0045 ELSE 0.0 END AS monthly_cost,
+         sum(bytes) / CAST(1073741824 AS DOUBLE) * 0.025 AS monthly_cost_untiered
+  FROM ({RETENTION}) GROUP BY storage_class""",
+})
+
+# ----- metrics and alarms ------------------------------------------------------
+
+
+def _period(ts: str, seconds: int) -> str:
+    us = seconds * 1_000_000
+    return f"make_timestamp((epoch_us({ts}) // {us}) * {us})"
+
+
+ORACLE.update({
+    "metric_rollup": f"""
+  SELECT metric, period_start, period_start + INTERVAL 300 SECOND AS period_end, samples,
+         CAST(units AS DOUBLE) / 1000000.0::DOUBLE AS "sum", "max", "min",
+         {_half_up('units', 'samples', 0)} / 1000000.0::DOUBLE AS "avg"
+  FROM (SELECT event_type AS metric, {_period('ts', 300)} AS period_start, count(value) AS samples,
+               sum(CAST(CAST(value AS DECIMAL(38,6)) * 1000000 AS BIGINT)) AS units,
+               max(value) AS "max", min(value) AS "min"
+        FROM events GROUP BY ALL)""",
+    "metric_alarm": f"""
+  WITH s AS (SELECT 'errors' AS metric, {_period('ts', 300)} AS period_start,
+                    CAST(count(*) AS DOUBLE) AS stat_value
+             FROM events WHERE event_type = 'error' GROUP BY ALL),
+  g AS (SELECT metric, unnest(generate_series(min(period_start), max(period_start),
+                                              INTERVAL 300 SECOND)) AS period_start
+        FROM s GROUP BY metric),
+  d AS (SELECT g.metric, g.period_start, s.stat_value,
+               CASE WHEN s.stat_value IS NULL THEN false ELSE s.stat_value > 0.0 END AS breaching
+        FROM g LEFT JOIN s ON g.metric = s.metric AND g.period_start = s.period_start)
+  SELECT metric, period_start, stat_value, breaching,
+         CASE WHEN breaching THEN 'ALARM' ELSE 'OK' END AS state FROM d""",
+    "metric_alarm_consecutive": f"""
+  WITH s AS (SELECT event_type AS metric, {_period('ts', 300)} AS period_start,
+                    max(value) AS stat_value
+             FROM events GROUP BY ALL),
+  b AS (SELECT *, stat_value > 200.0 AS breaching FROM s)
+  SELECT metric, period_start, stat_value, breaching,
+         CASE WHEN breaching AND coalesce(lag(breaching) OVER (PARTITION BY metric ORDER BY period_start), false)
+              THEN 'ALARM' ELSE 'OK' END AS state
+  FROM b""",
+})

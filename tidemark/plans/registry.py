@@ -15,14 +15,17 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import category as cat
 from tidemark.operators import dq
-from tidemark.operators import joins
+from tidemark.operators import joins, metrics, retention
 from tidemark.operators.cleanse import reject_summary
 from tidemark.operators.dedupe import dedupe_first
 from tidemark.operators import funnel as fun
 from tidemark.operators import profile as prof
 from tidemark.operators import spend
 from tidemark.plans import staged
+from tidemark.config import ALARMS, AlarmSpec
+from tidemark.plans import incremental
 from tidemark.session import scratch_path
+from tidemark.sources import files
 from tidemark.sources import testdata as td
 from tidemark.streaming import landing, records
 
@@ -207,6 +210,96 @@ def q_stream_dedupe(spark, d):
     return _typed_events(landed.withColumn("event_ts", F.col("event_ts").cast("timestamp_ntz")))
 
 
+# ----- sources: unions, drift, incremental ---------------------------------
+
+SPLIT_TS = "2024-01-16 00:00:00"
+
+
+def _before(col, ts=SPLIT_TS):
+    return F.col(col) < F.lit(ts).cast("timestamp_ntz")
+
+
+def q_union_sources(spark, d):
+    """Batch export (text) before the split, stream records after; one raw table."""
+    ev = td.table(spark, d, "events")
+    batch = td.batch_export(spark, d).filter(
+        F.col("event_ts").try_cast("timestamp_ntz") < F.lit(SPLIT_TS).cast("timestamp_ntz"))
+    recs = td.event_records(spark, d).join(
+        ev.filter(~_before("ts")).select(F.col("event_id").cast("string").alias("sequence_number")),
+        "sequence_number", "left_semi")
+    stream = records.good_records(records.decode_records(
+        recs, ("event_id", "customer_id", "event_ts", "event_type", "props")))
+    raw = files.union_sources(batch, stream)
+    return staged.apply_types(raw, td.CLICKSTREAM_TYPES)
+
+
+def q_schema_drift_merged(spark, d):
+    """A second file drops ``props`` and adds ``k`` (its parsed value); union under drift."""
+    ev = td.table(spark, d, "events")
+    first = ev.filter(_before("ts"))
+    second = ev.filter(~_before("ts")).withColumn(
+        "k", F.get_json_object("props", "$.k").try_cast("int")).drop("props")
+    return files.merge_drifted(first, second)
+
+
+def q_incremental_ingest(spark, d):
+    """Two raw drops that overlap by six days, staged incrementally: each event once."""
+    root = scratch_path(spark, "incremental")
+    raw_dir, staged_dir = f"{root}/raw", f"{root}/staged"
+    raw = td.raw_clickstream(spark, d)
+    ts = F.col("event_ts").try_cast("timestamp_ntz")
+    drops = [raw.filter(ts < F.lit("2024-01-16").cast("timestamp_ntz")),
+             raw.filter(ts >= F.lit("2024-01-10").cast("timestamp_ntz"))]
+
+    def stage(batch):
+        return staged.stage_clickstream(batch, types=td.CLICKSTREAM_TYPES, stamp=None)[1]
+
+    for i, drop in enumerate(drops):
+        drop.write.mode("overwrite").parquet(f"{raw_dir}/drop={i}")
+        incremental.stage_incremental(spark, f"{raw_dir}/drop=*", raw.schema, stage, staged_dir,
+                                      f"{root}/_checkpoint", ["event_id"], "event_date", "event_ts")
+    return spark.read.parquet(staged_dir).drop("event_date")
+
+
+# ----- storage lifecycle -----------------------------------------------------
+
+RETENTION_AS_OF = "2001-08-15"
+
+
+def q_retention_tiers(spark, d):
+    return retention.partition_inventory(td.table(spark, d, "orders"), "o_orderdate",
+                                         RETENTION_AS_OF, zone="raw")
+
+
+def q_tier_cost(spark, d):
+    return retention.tier_cost(q_retention_tiers(spark, d))
+
+
+# ----- metrics and alarms ------------------------------------------------------
+
+def _event_series(spark, d):
+    return td.table(spark, d, "events").select(F.col("event_type").alias("metric"), "ts", "value")
+
+
+def q_metric_rollup(spark, d):
+    return metrics.rollup(_event_series(spark, d), 300)
+
+
+def q_metric_alarm(spark, d):
+    """Error events as a failure count: sum per 5 min > 0, missing = not breaching."""
+    errors = td.table(spark, d, "events").filter(F.col("event_type") == "error") \
+        .select(F.lit("errors").alias("metric"), "ts", F.lit(1.0).alias("value"))
+    return metrics.metric_alarm(errors, ALARMS[1])
+
+
+VALUE_ALARM = AlarmSpec("value_spike", "max", 300, 200.0, 2, ">", "missing")
+
+
+def q_metric_alarm_consecutive(spark, d):
+    """Max value per event type per 5 min above 200 in 2 consecutive periods with data."""
+    return metrics.metric_alarm(_event_series(spark, d), VALUE_ALARM)
+
+
 QUERIES: dict[str, QueryFn] = {
     "customer_profile": q_customer_profile,
     "customer_funnel": q_customer_funnel,
@@ -234,4 +327,12 @@ QUERIES: dict[str, QueryFn] = {
     "json_dead_letter": q_json_dead_letter,
     "stream_landing": q_stream_landing,
     "stream_dedupe": q_stream_dedupe,
+    "union_sources": q_union_sources,
+    "schema_drift_merged": q_schema_drift_merged,
+    "incremental_ingest": q_incremental_ingest,
+    "retention_tiers": q_retention_tiers,
+    "tier_cost": q_tier_cost,
+    "metric_rollup": q_metric_rollup,
+    "metric_alarm": q_metric_alarm,
+    "metric_alarm_consecutive": q_metric_alarm_consecutive,
 }

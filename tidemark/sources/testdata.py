@@ -96,21 +96,26 @@ TRANSACTION_TYPES = {"order_id": "bigint", "line_no": "int", "customer_id": "big
                      "ship_date": "timestamp_ntz"}
 
 
-def raw_clickstream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as they arrive in the raw zone, as text, through two paths.
-
-    The batch export carries every event; error events are logged before a
-    visitor is identified, so their customer id is empty (anonymous). The
-    stream path delivers at least once: purchase events arrive a second
-    time. Staging must drop the anonymous rows and the repeats.
-    """
+def batch_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batch export of events, as text. Error events are logged before a
+    visitor is identified, so their customer id is empty (anonymous)."""
     ev = table(spark, sf_dir, "events")
-    batch = ev.select(
+    return ev.select(
         F.col("event_id").cast("string").alias("event_id"),
         F.when(F.col("event_type") == "error", F.lit("")).otherwise(F.col("user_id").cast("string"))
         .alias("customer_id"),
         F.col("ts").cast("string").alias("event_ts"),
         "event_type", F.col("value").cast("string").alias("value"), "props")
+
+
+def raw_clickstream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as they arrive in the raw zone, as text, through two paths.
+
+    The batch export carries every event (anonymous error events included);
+    the stream path delivers at least once, so purchase events arrive a
+    second time. Staging must drop the anonymous rows and the repeats.
+    """
+    batch = batch_export(spark, sf_dir)
     return batch.unionByName(batch.filter(F.col("event_type") == "purchase"))
 
 
