@@ -25,7 +25,7 @@ def spend_per_customer(transactions: DataFrame, key: str = "customer_id",
     the average is rounded half-up to cents exactly, in integers.
     """
     amt = F.col(amount).cast("decimal(18,2)")
-    cents = (amt * F.lit(100)).cast("long")
+    cents = (amt * F.lit(10 ** MONEY_SCALE)).cast("long")
     agg = completed(transactions, status_col, completed_value).groupBy(key).agg(
         F.count(order_id).alias("total_orders"),
         F.sum(amt).alias("_spend"),
@@ -36,5 +36,6 @@ def spend_per_customer(transactions: DataFrame, key: str = "customer_id",
         key,
         "total_orders",
         F.col("_spend").cast("double").alias("total_spend"),
-        half_up_ratio("_cents", "_n_amounts", MONEY_SCALE).alias("avg_order_value"),
+        (half_up_ratio("_cents", "_n_amounts", 0) / F.lit(float(10 ** MONEY_SCALE)))
+        .alias("avg_order_value"),
     )

@@ -25,7 +25,7 @@ FUNNEL_COUNTS = """
 
 SPEND = f"""
   SELECT customer_id, total_orders, total_spend,
-         {_half_up('cents', 'n_amounts', 2)} AS avg_order_value
+         {_half_up('cents', 'n_amounts', 0)} / 100.0::DOUBLE AS avg_order_value
   FROM (SELECT o_custkey AS customer_id, count(o_orderkey) AS total_orders,
                CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total_spend,
                sum(CAST(CAST(o_totalprice AS DECIMAL(18,2)) * 100 AS BIGINT)) AS cents,

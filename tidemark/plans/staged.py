@@ -35,7 +35,9 @@ def _stamp(df: DataFrame, stamp) -> DataFrame:
     """Add ``_cleansed_ts``: ``"now"`` (current time), a Column, or None (omit)."""
     if stamp is None:
         return df
-    return df.withColumn("_cleansed_ts", F.current_timestamp() if stamp == "now" else stamp)
+    if isinstance(stamp, str):
+        return df.withColumn("_cleansed_ts", F.current_timestamp())
+    return df.withColumn("_cleansed_ts", stamp)
 
 
 def stage_clickstream(raw: DataFrame, key: Sequence[str] = ("event_id",),
