@@ -117,8 +117,9 @@ def run_medallion(spark: SparkSession, raw: dict[str, DataFrame], conf: Medallio
     # data-quality gate on the staged zone
     results, _ = dq.run_suite_specs(conf.dq_suite, staged, conf.as_of)
     results_path = f"{conf.lake_dir.rstrip('/')}/dq_results"
-    results.withColumn("run_id", F.lit(run_id)).write.mode("append") \
-        .partitionBy("run_id").parquet(results_path)
+    # dynamic partition overwrite: a retried run rewrites only its own run_id
+    results.withColumn("run_id", F.lit(run_id)).write.mode("overwrite") \
+        .option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(results_path)
     this_run = spark.read.parquet(results_path).filter(F.col("run_id") == run_id).drop("run_id")
     dq.gate(this_run)
 

@@ -273,13 +273,14 @@ RETENTION = """
          CASE WHEN age_days >= 1825 THEN 'EXPIRED' WHEN age_days >= 90 THEN 'GLACIER'
               WHEN age_days >= 30 THEN 'STANDARD_IA' ELSE 'STANDARD' END AS storage_class
   FROM (SELECT CAST(o_orderdate AS DATE) AS partition_date, count(*) AS rows,
-               sum(CASE WHEN o_orderkey IS NULL THEN 0 ELSE 8 END
+               CAST(sum(CASE WHEN o_orderkey IS NULL THEN 0 ELSE 8 END
                    + CASE WHEN o_custkey IS NULL THEN 0 ELSE 8 END
                    + coalesce(octet_length(encode(o_orderstatus)), 0)
                    + CASE WHEN o_totalprice IS NULL THEN 0 ELSE 8 END
                    + CASE WHEN o_orderdate IS NULL THEN 0 ELSE 8 END
-                   + coalesce(octet_length(encode(o_orderpriority)), 0)) AS bytes,
-               date_diff('day', CAST(o_orderdate AS DATE), DATE '2001-08-15') AS age_days
+                   + coalesce(octet_length(encode(o_orderpriority)), 0)) AS BIGINT) AS bytes,
+               CAST(date_diff('day', CAST(o_orderdate AS DATE), DATE '2001-08-15') AS INTEGER)
+                 AS age_days
         FROM orders GROUP BY CAST(o_orderdate AS DATE))"""
 
 ORACLE.update({
