@@ -74,3 +74,12 @@ def test_suite_and_gate(spark):
     assert dq.gate(results.filter("status = 'PASS'")).count() == 1
     assert results.schema == dq.DQ_SCHEMA or [f.name for f in results.schema] == \
         [f.name for f in dq.DQ_SCHEMA]
+
+
+def test_results_sink_appends(spark, tmp_dir):
+    df = spark.createDataFrame([("a",)], "k string")
+    r = dq.check_uniqueness(df, "t", "k", as_of="2025-01-01 00:00:00")
+    dq.write_results(r, f"{tmp_dir}/dq")
+    dq.write_results(r, f"{tmp_dir}/dq")
+    back = spark.read.parquet(f"{tmp_dir}/dq")
+    assert back.count() == 2 and "run_date" in back.columns

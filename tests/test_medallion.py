@@ -59,3 +59,19 @@ def test_gate_blocks_curated(spark, tmp_dir):
     import os
     assert not os.path.exists(f"{tmp_dir}/curated")
     assert os.path.exists(f"{tmp_dir}/dq_results")
+
+
+def test_cli_on_csv(spark, tmp_dir):
+    import os
+
+    from tidemark.plans.medallion import main
+    raw = _raw(spark)
+    raw_dir = os.path.join(tmp_dir, "in")
+    os.makedirs(raw_dir)
+    for name, df in raw.items():
+        pdf = df.toPandas()
+        pdf.to_csv(os.path.join(raw_dir, f"{name}.csv"), index=False)
+    assert main(["--raw-dir", raw_dir, "--lake-dir", os.path.join(tmp_dir, "lake"),
+                 "--as-of", "2025-06-01 00:00:00"]) == 0
+    prof = spark.read.parquet(os.path.join(tmp_dir, "lake", "curated", "customer_360"))
+    assert prof.count() == 3

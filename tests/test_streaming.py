@@ -111,3 +111,24 @@ def test_empty_source_writes_nothing(spark, tmp_dir):
     q.awaitTermination()
     assert not os.path.exists(f"{tmp_dir}/good")
     assert F is not None
+
+
+def test_ndjson_landing_and_progress(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "src")
+    _fixture_records(spark).write.parquet(src)
+    out = os.path.join(tmp_dir, "out")
+    q = landing.land_stream(landing.read_records(spark, src), f"{out}/good", f"{out}/dead",
+                            f"{out}/_ck", FIELDS, fmt="json", available_now=True)
+    q.awaitTermination()
+    lines = spark.read.text(f"{out}/good").collect()
+    assert len(lines) == 5 and all(r[0].startswith("{") for r in lines)
+    prog = landing.batch_progress(spark, q).collect()
+    assert sum(r["num_input_rows"] for r in prog) == 13
+
+
+def test_compact_timestamp(spark):
+    import datetime as dt
+
+    from tidemark.functions.scalar import compact_timestamp
+    df = spark.createDataFrame([(dt.datetime(2025, 3, 4, 5, 6, 7),)], "t timestamp")
+    assert df.select(compact_timestamp("t")).first()[0] == "20250304_050607"

@@ -2,6 +2,7 @@
 
 from tidemark.functions.scalar import (  # noqa: F401
     coerce_amount,
+    compact_timestamp,
     coerce_quantity,
     floor_days_between,
     half_up_ratio,

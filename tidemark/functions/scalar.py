@@ -78,3 +78,8 @@ def floor_days_between(earlier, later) -> Column:
 def thousands(c) -> Column:
     """Integer rendered with thousands separators, e.g. ``12,345``."""
     return F.format_number(_col(c).cast("long"), 0)
+
+
+def compact_timestamp(c) -> Column:
+    """Time as ``yyyyMMdd_HHmmss`` (batch naming), in the session time zone (UTC)."""
+    return F.date_format(_col(c), "yyyyMMdd_HHmmss")

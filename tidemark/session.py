@@ -23,6 +23,32 @@ BASE_CONF = {
 }
 
 
+def cluster_conf(total_cores: int, input_tb: float = 100.0) -> dict:
+    """Starting configuration for a large cluster (tune from the event log).
+
+    Shuffle partitions start high (about 3 per core, at least enough for
+    ~256 MB per partition of the input) and AQE coalesces small ones and
+    splits skewed ones at runtime; scans use 256 MB splits; the broadcast
+    threshold stays at a fixed, small size, so a table is only broadcast
+    when its measured size is under it.
+    """
+    by_size = int(input_tb * 1024 * 1024 / 256)
+    parts = max(total_cores * 3, min(by_size, 200_000))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 * 1024),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * 1024 * 1024),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
+        "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+        "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        "spark.task.maxFailures": "8",
+        "spark.stage.maxConsecutiveAttempts": "8",
+    }
+
+
 def get_session(master: str | None = None, app_name: str = "tidemark",
                 shuffle_partitions: int | None = None,
                 extra_conf: dict | None = None) -> SparkSession:

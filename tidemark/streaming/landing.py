@@ -61,10 +61,10 @@ def land_stream(records: DataFrame, landing_path: str, dead_letter_path: str,
     decoded = decode_records(records, fields).withColumn("_ingested_ts", F.current_timestamp())
 
     def write_batch(batch_df: DataFrame, batch_id: int) -> None:
-        if batch_df.isEmpty():
-            return
-        batch_df.persist()   # a micro-batch is bounded by the trigger limits
+        batch_df.persist()   # a micro-batch is bounded by the trigger limits; read it once
         try:
+            if batch_df.isEmpty():
+                return
             good = batch_df.filter(F.col(DEAD_LETTER_COL).isNull()).drop(DEAD_LETTER_COL, "_payload")
             bad = batch_df.filter(F.col(DEAD_LETTER_COL).isNotNull()) \
                 .select("_sequence_number", "_payload", DEAD_LETTER_COL, "_ingested_ts")
@@ -105,3 +105,32 @@ def stage_clickstream_stream(stream: DataFrame, key: Sequence[str] = ("event_id"
     """The staged clickstream rule on a stream: drop anonymous rows, dedupe within the watermark."""
     valid = valid_rows(tag_rejects(stream, [("missing_customer", is_present(customer))]))
     return dedupe_stream(valid, key, ts_col, watermark)
+
+
+def kafka_records(spark: SparkSession, bootstrap_servers: str, topic: str,
+                  batch: MicroBatch = MicroBatch(), starting_offsets: str = "latest") -> DataFrame:
+    """A Kafka-backed record stream (sequence_number, value), starting at the latest offset.
+
+    Needs the ``spark-sql-kafka`` package on the cluster's classpath (not in
+    the local test image). The record key becomes ``sequence_number``
+    (partition:offset when the key is empty); the base64 text is the value.
+    """
+    raw = (spark.readStream.format("kafka")
+           .option("kafka.bootstrap.servers", bootstrap_servers).option("subscribe", topic)
+           .option("startingOffsets", starting_offsets)
+           .options(**batch.source_options("kafka")).load())
+    seq = F.coalesce(F.col("key").cast("string"),
+                     F.concat_ws(":", F.col("partition").cast("string"), F.col("offset").cast("string")))
+    return raw.select(seq.alias("sequence_number"), F.col("value").cast("string").alias("value"))
+
+
+def batch_progress(spark: SparkSession, query: StreamingQuery) -> DataFrame:
+    """(batch_id, num_input_rows, input_rows_per_second) of the query's recent batches.
+
+    Built from the query's progress reports (driver-side metadata, one row
+    per micro-batch), not from the data.
+    """
+    rows = [(int(p["batchId"]), int(p["numInputRows"]), float(p.get("inputRowsPerSecond") or 0.0))
+            for p in query.recentProgress]
+    return spark.createDataFrame(
+        rows, "batch_id long, num_input_rows long, input_rows_per_second double")
