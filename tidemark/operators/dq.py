@@ -50,15 +50,83 @@ def _py_list(cols: Sequence[str]) -> str:
     return "[" + ", ".join(repr(c) for c in cols) + "]"
 
 
-def _result(agg: DataFrame, name: str, table: str, part: str, total: str, threshold: float,
-            detail: Column, as_of) -> DataFrame:
+def _result_cols(name: str, table: str, part: str, total: str, threshold: float,
+                 detail: Column, as_of) -> list[Column]:
+    """The result fields of a ratio check from aggregated ``part`` / ``total`` columns."""
     score = F.when(F.col(total) > 0, F.col(part) / F.col(total)).otherwise(F.lit(0.0))
     metric = F.coalesce(half_up_ratio(part, total, DQ_SCORE_SCALE), F.lit(0.0))
-    return agg.select(
-        F.lit(name).alias("check_name"), F.lit(table).alias("table"),
-        F.when(score >= F.lit(float(threshold)), "PASS").otherwise("FAIL").alias("status"),
-        metric.alias("metric_value"), F.lit(float(threshold)).alias("threshold"),
-        detail.alias("detail"), _run_ts(as_of).alias("run_ts"))
+    return [F.lit(name).alias("check_name"), F.lit(table).alias("table"),
+            F.when(score >= F.lit(float(threshold)), "PASS").otherwise("FAIL").alias("status"),
+            metric.alias("metric_value"), F.lit(float(threshold)).alias("threshold"),
+            detail.alias("detail"), _run_ts(as_of).alias("run_ts")]
+
+
+def _all_present(df: DataFrame, required_cols: Sequence[str]) -> Column:
+    types = dict(df.dtypes)
+    out = None
+    for c in required_cols:
+        ok = F.col(c).isNotNull()
+        if types.get(c) in ("double", "float"):
+            ok = ok & ~F.isnan(F.col(c))
+        out = ok if out is None else out & ok
+    return out
+
+
+def _keys(key_col) -> list[str]:
+    return [key_col] if isinstance(key_col, str) else list(key_col)
+
+
+def _latest(df: DataFrame, date_col: str) -> Column:
+    c = F.col(date_col)
+    parsed = c.cast("string").try_cast("timestamp_ntz") if dict(df.dtypes).get(date_col) == "string" \
+        else c.cast("timestamp_ntz")
+    return F.max(parsed)
+
+
+# Per-kind: aggregate expressions over the table, and result fields over the
+# aggregated row. ``p`` is a unique column prefix; ``_total`` is the row count.
+
+def _completeness_aggs(df, p, required_cols):
+    return [F.count_if(_all_present(df, required_cols)).alias(f"{p}part")]
+
+
+def _completeness_row(p, table, required_cols, threshold, as_of):
+    detail = F.concat(thousands(f"{p}part"), F.lit("/"), thousands("_total"),
+                      F.lit(f" rows complete across {_py_list(required_cols)}"))
+    return _result_cols("completeness", table, f"{p}part", "_total", threshold, detail, as_of)
+
+
+def _uniqueness_aggs(df, p, key_col):
+    return [F.count_distinct(*[F.col(k) for k in _keys(key_col)]).alias(f"{p}part")]
+
+
+def _uniqueness_row(p, table, key_col, threshold, as_of):
+    keys = _keys(key_col)
+    label = keys[0] if len(keys) == 1 else _py_list(keys)
+    detail = F.concat(thousands(f"{p}part"), F.lit("/"), thousands("_total"),
+                      F.lit(f" unique values for {label}"))
+    return _result_cols("uniqueness", table, f"{p}part", "_total", threshold, detail, as_of)
+
+
+def _freshness_aggs(df, p, date_col):
+    return [_latest(df, date_col).alias(f"{p}latest")]
+
+
+def _freshness_row(p, table, date_col, max_age_days, as_of):
+    now = _run_ts(as_of)
+    latest = F.col(f"{p}latest")
+    age = floor_days_between(latest, now)
+    empty = F.col("_total") == 0
+    status = F.when(~empty & latest.isNotNull() & (age <= F.lit(max_age_days)), "PASS") \
+        .otherwise("FAIL")
+    detail = F.when(empty, F.lit("Table is empty")) \
+        .when(latest.isNull(), F.lit(f"No valid {date_col} values")) \
+        .otherwise(F.concat(F.lit("Latest record is "), age.cast("string"),
+                            F.lit(f" days old (max allowed: {max_age_days})")))
+    return [F.lit("freshness").alias("check_name"), F.lit(table).alias("table"),
+            status.alias("status"), F.when(~empty, age.cast("double")).alias("metric_value"),
+            F.lit(float(max_age_days)).alias("threshold"), detail.alias("detail"),
+            now.alias("run_ts")]
 
 
 def _count_all(df: DataFrame):
@@ -68,20 +136,8 @@ def _count_all(df: DataFrame):
 def check_completeness(df: DataFrame, table: str, required_cols: Sequence[str],
                        threshold: float = DQ_COMPLETENESS_THRESHOLD, as_of=None) -> DataFrame:
     """Share of rows where every required column is present (NaN counts as missing)."""
-    types = dict(df.dtypes)
-    conds = []
-    for c in required_cols:
-        ok = F.col(c).isNotNull()
-        if types.get(c) in ("double", "float"):
-            ok = ok & ~F.isnan(F.col(c))
-        conds.append(ok)
-    all_ok = conds[0]
-    for c in conds[1:]:
-        all_ok = all_ok & c
-    agg = df.agg(_count_all(df).alias("_total"), F.count_if(all_ok).alias("_part"))
-    detail = F.concat(thousands("_part"), F.lit("/"), thousands("_total"),
-                      F.lit(f" rows complete across {_py_list(required_cols)}"))
-    return _result(agg, "completeness", table, "_part", "_total", threshold, detail, as_of)
+    agg = df.agg(_count_all(df).alias("_total"), *_completeness_aggs(df, "_", required_cols))
+    return agg.select(*_completeness_row("_", table, required_cols, threshold, as_of))
 
 
 def check_uniqueness(df: DataFrame, table: str, key_col, threshold: float = DQ_UNIQUENESS_THRESHOLD,
@@ -91,13 +147,8 @@ def check_uniqueness(df: DataFrame, table: str, key_col, threshold: float = DQ_U
     ``key_col`` may be a list for a composite key; a row with any NULL key
     part is not counted as a distinct value.
     """
-    keys = [key_col] if isinstance(key_col, str) else list(key_col)
-    agg = df.agg(_count_all(df).alias("_total"),
-                 F.count_distinct(*[F.col(k) for k in keys]).alias("_part"))
-    label = keys[0] if len(keys) == 1 else _py_list(keys)
-    detail = F.concat(thousands("_part"), F.lit("/"), thousands("_total"),
-                      F.lit(f" unique values for {label}"))
-    return _result(agg, "uniqueness", table, "_part", "_total", threshold, detail, as_of)
+    agg = df.agg(_count_all(df).alias("_total"), *_uniqueness_aggs(df, "_", key_col))
+    return agg.select(*_uniqueness_row("_", table, key_col, threshold, as_of))
 
 
 def check_referential_integrity(df: DataFrame, table: str, fk_col: str, valid_keys: DataFrame,
@@ -119,7 +170,8 @@ def check_referential_integrity(df: DataFrame, table: str, fk_col: str, valid_ke
                      F.coalesce(F.sum(F.when(F.col("_hit"), F.col("_n"))), F.lit(0)).alias("_part"))
     detail = F.concat(thousands("_part"), F.lit("/"), thousands("_total"),
                       F.lit(f" rows have a valid {fk_col} reference"))
-    return _result(agg, "referential_integrity", table, "_part", "_total", threshold, detail, as_of)
+    return agg.select(*_result_cols("referential_integrity", table, "_part", "_total", threshold,
+                                    detail, as_of))
 
 
 def check_freshness(df: DataFrame, table: str, date_col: str,
@@ -129,24 +181,8 @@ def check_freshness(df: DataFrame, table: str, date_col: str,
     Empty table: FAIL with a NULL metric. No parsable date at all: FAIL with
     a NULL metric. ``as_of`` fixes "now" for repeatable results.
     """
-    now = _run_ts(as_of)
-    latest = F.max(F.col(date_col).cast("string").try_cast("timestamp_ntz")
-                   if dict(df.dtypes).get(date_col) == "string"
-                   else F.col(date_col).cast("timestamp_ntz"))
-    agg = df.agg(_count_all(df).alias("_total"), latest.alias("_latest"))
-    age = floor_days_between(F.col("_latest"), now)
-    empty = F.col("_total") == 0
-    status = F.when(~empty & F.col("_latest").isNotNull() & (age <= F.lit(max_age_days)), "PASS") \
-        .otherwise("FAIL")
-    detail = F.when(empty, F.lit("Table is empty")) \
-        .when(F.col("_latest").isNull(), F.lit(f"No valid {date_col} values")) \
-        .otherwise(F.concat(F.lit("Latest record is "), age.cast("string"),
-                            F.lit(f" days old (max allowed: {max_age_days})")))
-    return agg.select(
-        F.lit("freshness").alias("check_name"), F.lit(table).alias("table"), status.alias("status"),
-        F.when(~empty, age.cast("double")).alias("metric_value"),
-        F.lit(float(max_age_days)).alias("threshold"), detail.alias("detail"),
-        now.alias("run_ts"))
+    agg = df.agg(_count_all(df).alias("_total"), *_freshness_aggs(df, "_", date_col))
+    return agg.select(*_freshness_row("_", table, date_col, max_age_days, as_of))
 
 
 @dataclass(frozen=True)
@@ -180,6 +216,40 @@ def run_check(spec: CheckSpec, tables: dict[str, DataFrame], as_of=None) -> Data
     raise ValueError(f"unknown check kind {spec.kind!r}")
 
 
+def _threshold(spec: "CheckSpec", default: float) -> float:
+    return default if spec.threshold is None else spec.threshold
+
+
+def run_table_checks(df: DataFrame, table: str, specs: Sequence["CheckSpec"], as_of=None) -> DataFrame:
+    """All single-table checks of one table in ONE aggregation pass.
+
+    Completeness counts, latest dates, the row count and one distinct count
+    are computed together (a single distinct aggregate needs no row
+    expansion); the result rows are unpacked from the one aggregated row.
+    Only one uniqueness check may be fused; ``run_suite_specs`` runs any
+    further ones as their own pass.
+    """
+    aggs, rows = [_count_all(df).alias("_total")], []
+    for i, spec in enumerate(specs):
+        p = f"_c{i}_"
+        if spec.kind == "completeness":
+            aggs += _completeness_aggs(df, p, spec.columns)
+            rows.append(_completeness_row(p, table, spec.columns,
+                                          _threshold(spec, DQ_COMPLETENESS_THRESHOLD), as_of))
+        elif spec.kind == "uniqueness":
+            key = spec.columns[0] if len(spec.columns) == 1 else list(spec.columns)
+            aggs += _uniqueness_aggs(df, p, key)
+            rows.append(_uniqueness_row(p, table, key, _threshold(spec, DQ_UNIQUENESS_THRESHOLD), as_of))
+        elif spec.kind == "freshness":
+            age = spec.options.get("max_age_days", DQ_FRESHNESS_MAX_AGE_DAYS)
+            aggs += _freshness_aggs(df, p, spec.columns[0])
+            rows.append(_freshness_row(p, table, spec.columns[0], age, as_of))
+        else:
+            raise ValueError(f"{spec.kind} cannot be fused into a table pass")
+    packed = F.array(*[F.struct(*cols) for cols in rows])
+    return df.agg(*aggs).select(F.explode(packed).alias("_r")).select("_r.*")
+
+
 def run_suite(checks: Sequence[DataFrame]) -> tuple[DataFrame, DataFrame]:
     """(results, failed): the union of the check rows and its FAIL subset."""
     results = checks[0]
@@ -189,8 +259,30 @@ def run_suite(checks: Sequence[DataFrame]) -> tuple[DataFrame, DataFrame]:
 
 
 def run_suite_specs(specs: Sequence[CheckSpec], tables: dict[str, DataFrame],
-                    as_of=None) -> tuple[DataFrame, DataFrame]:
-    return run_suite([run_check(s, tables, as_of) for s in specs])
+                    as_of=None, fused: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Run a suite. With ``fused`` the single-table checks of each table share
+    one aggregation pass (at most one distinct count per pass); referential
+    integrity checks are joins and run as their own pass."""
+    if not fused:
+        return run_suite([run_check(s, tables, as_of) for s in specs])
+    passes: list[tuple[str, list[CheckSpec]]] = []
+    separate: list[CheckSpec] = []
+    for spec in specs:
+        if spec.kind == "referential_integrity":
+            separate.append(spec)
+            continue
+        placed = False
+        for table, group in passes:
+            has_distinct = any(g.kind == "uniqueness" for g in group)
+            if table == spec.table and not (spec.kind == "uniqueness" and has_distinct):
+                group.append(spec)
+                placed = True
+                break
+        if not placed:
+            passes.append((spec.table, [spec]))
+    frames = [run_table_checks(tables[t], t, group, as_of) for t, group in passes]
+    frames += [run_check(s, tables, as_of) for s in separate]
+    return run_suite(frames)
 
 
 def suite_summary(results: DataFrame) -> DataFrame:
