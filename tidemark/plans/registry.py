@@ -221,14 +221,11 @@ def _before(col, ts=SPLIT_TS):
 
 def q_union_sources(spark, d):
     """Batch export (text) before the split, stream records after; one raw table."""
-    ev = td.table(spark, d, "events")
-    batch = td.batch_export(spark, d).filter(
-        F.col("event_ts").try_cast("timestamp_ntz") < F.lit(SPLIT_TS).cast("timestamp_ntz"))
-    recs = td.event_records(spark, d).join(
-        ev.filter(~_before("ts")).select(F.col("event_id").cast("string").alias("sequence_number")),
-        "sequence_number", "left_semi")
+    split = F.lit(SPLIT_TS).cast("timestamp_ntz")
+    batch = td.batch_export(spark, d).filter(F.col("event_ts").try_cast("timestamp_ntz") < split)
     stream = records.good_records(records.decode_records(
-        recs, ("event_id", "customer_id", "event_ts", "event_type", "props")))
+        td.event_records(spark, d), ("event_id", "customer_id", "event_ts", "event_type", "props"))) \
+        .filter(F.col("event_ts").try_cast("timestamp_ntz") >= split)
     raw = files.union_sources(batch, stream)
     return staged.apply_types(raw, td.CLICKSTREAM_TYPES)
 

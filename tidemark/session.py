@@ -26,14 +26,17 @@ BASE_CONF = {
 def cluster_conf(total_cores: int, input_tb: float = 100.0) -> dict:
     """Starting configuration for a large cluster (tune from the event log).
 
-    Shuffle partitions start high (about 3 per core, at least enough for
-    ~256 MB per partition of the input) and AQE coalesces small ones and
-    splits skewed ones at runtime; scans use 256 MB splits; the broadcast
-    threshold stays at a fixed, small size, so a table is only broadcast
-    when its measured size is under it.
+    Shuffle partitions start high (at least 4 per core, up to one per
+    256 MB of input, capped at 50,000 so the map-output bookkeeping stays
+    bounded) and AQE coalesces small ones and splits skewed ones at runtime;
+    scans use 256 MB splits; the broadcast threshold stays at a fixed, small
+    size, so a table is only broadcast when its measured size is under it;
+    runtime Bloom filters prune the large side of selective joins; stream
+    state (the 24 h dedupe window) lives in RocksDB with changelog
+    checkpoints; tasks and stages retry more often, for lost executors.
     """
     by_size = int(input_tb * 1024 * 1024 / 256)
-    parts = max(total_cores * 3, min(by_size, 200_000))
+    parts = max(total_cores * 4, min(by_size, 50_000))
     return {
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
@@ -44,6 +47,9 @@ def cluster_conf(total_cores: int, input_tb: float = 100.0) -> dict:
         "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
         "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
         "spark.task.maxFailures": "8",
         "spark.stage.maxConsecutiveAttempts": "8",
     }
