@@ -42,8 +42,10 @@ def flag_membership(df: DataFrame, keys_df: DataFrame, on, flag: str = "_known",
     """``df`` plus a boolean ``flag``: does the key occur in ``keys_df``.
 
     The key side is made distinct first, so duplicated parent keys never fan
-    rows out. One left join tags every row, so valid and rejected rows come
-    from a single pass.
+    rows out. One left join tags every row. Because an aggregate sits between
+    that join and the key side's shuffle, AQE cannot split a skewed partition
+    here; for large fact tables with hot keys use ``semi_join`` and
+    ``anti_join`` (both split by AQE), as the staging plans do.
     """
     on = _on(on)
     ks = _key_set(keys_df, on, key_cols).distinct().withColumn(flag, F.lit(True))

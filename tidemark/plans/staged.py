@@ -14,9 +14,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalar import coerce_amount, coerce_quantity, is_present
-from tidemark.operators.cleanse import REJECT_COL, tag_rejects, valid_rows
+from tidemark.operators.cleanse import REJECT_COL, rejected_rows, tag_rejects, valid_rows
 from tidemark.operators.dedupe import dedupe_first
-from tidemark.operators.joins import flag_membership
+from tidemark.operators.joins import anti_join, semi_join
 
 CLICKSTREAM_REASONS = ("missing_customer",)
 TRANSACTION_REASONS = ("invalid_quantity", "invalid_amount", "missing_customer", "unknown_customer")
@@ -62,21 +62,27 @@ def stage_transactions(raw: DataFrame, valid_customers: DataFrame | None = None,
     """Coerce quantity/amount, require both > 0, require a (known) customer,
     keep the first row per key.
 
-    With ``valid_customers`` every row is tagged by one left join against the
-    distinct customer keys (rejected as ``unknown_customer`` when absent).
+    With ``valid_customers`` the rows that passed the other rules are split
+    by a semi join (known) and an anti join (``unknown_customer``) against the
+    customer keys. Neither needs the keys to be distinct, so the key side is a
+    plain shuffled projection and AQE can split a partition made huge by one
+    hot customer; a clean-only plan keeps just the semi join.
     """
     df = raw.withColumn(quantity, coerce_quantity(quantity)) \
         .withColumn(amount, coerce_amount(amount))
     rules = [("invalid_quantity", F.col(quantity) > 0),
              ("invalid_amount", F.col(amount) > 0),
              ("missing_customer", is_present(customer))]
+    tagged = tag_rejects(df, rules)
+    valid = valid_rows(tagged)
     if valid_customers is not None:
         ck = customer_key or customer
-        vc = valid_customers.select(F.col(ck).cast(dict(df.dtypes)[customer]).alias(customer))
-        df = flag_membership(df, vc, customer, flag="_known").select(*df.columns, "_known")
-        rules.append(("unknown_customer", F.col("_known")))
-    tagged = tag_rejects(df, rules).drop("_known")
-    valid = valid_rows(tagged)
+        keys = valid_customers.select(F.col(ck).cast(dict(df.dtypes)[customer]).alias(customer))
+        known = semi_join(valid, keys, customer)
+        unknown = anti_join(valid, keys, customer).withColumn(REJECT_COL, F.lit("unknown_customer"))
+        tagged = rejected_rows(tagged).unionByName(unknown) \
+            .unionByName(known.withColumn(REJECT_COL, F.lit(None).cast("string")))
+        valid = known
     if types:
         valid = apply_types(valid, types)
     clean = dedupe_first(valid, list(key), list(order_by))
