@@ -333,3 +333,33 @@ ORACLE.update({
               THEN 'ALARM' ELSE 'OK' END AS state
   FROM b""",
 })
+
+# ----- the whole run -------------------------------------------------------------
+
+ORACLE["medallion_customer_360"] = f"""
+  WITH click AS (SELECT user_id AS customer_id, event_type FROM events WHERE event_type <> 'error'),
+  counts AS (
+    SELECT customer_id,
+           count(*) FILTER (WHERE event_type = 'view') AS "view",
+           count(*) FILTER (WHERE event_type = 'click') AS click,
+           count(*) FILTER (WHERE event_type = 'signup') AS signup,
+           count(*) FILTER (WHERE event_type = 'checkout_start') AS checkout_start,
+           count(*) FILTER (WHERE event_type = 'purchase') AS purchase
+    FROM click GROUP BY customer_id),
+  lines AS ({STAGE_TRANSACTIONS}),
+  spend AS (
+    SELECT customer_id, total_orders, total_spend,
+           {_half_up('cents', 'n_amounts', 0)} / 100.0::DOUBLE AS avg_order_value
+    FROM (SELECT customer_id, count(order_id) AS total_orders,
+                 CAST(sum(amount) AS DOUBLE) AS total_spend,
+                 sum(CAST(amount * 100 AS BIGINT)) AS cents, count(amount) AS n_amounts
+          FROM lines WHERE status = 'F' GROUP BY customer_id))
+  SELECT c.c_custkey AS customer_id, c.c_name, c.c_nationkey, c.c_acctbal, c.c_mktsegment,
+         k."view", k.click, k.signup, k.checkout_start, k.purchase,
+         coalesce(s.total_orders, 0) AS total_orders,
+         coalesce(s.total_spend, 0.0) AS total_spend,
+         coalesce(s.avg_order_value, 0.0) AS avg_order_value,
+         coalesce({_half_up('k.purchase', 'k.click', 4)}, 0.0) AS conversion_rate
+  FROM customer c
+  LEFT JOIN counts k ON c.c_custkey = k.customer_id
+  LEFT JOIN spend s ON c.c_custkey = s.customer_id"""

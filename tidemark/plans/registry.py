@@ -297,6 +297,16 @@ def q_metric_alarm_consecutive(spark, d):
     return metrics.metric_alarm(_event_series(spark, d), VALUE_ALARM)
 
 
+# ----- the whole run -----------------------------------------------------------
+
+def q_medallion_customer_360(spark, d):
+    """raw → staged → DQ gate → curated over the supplied tables; the published profile."""
+    from tidemark.plans.medallion import run_medallion
+    lake = scratch_path(spark, "lake")
+    res = run_medallion(spark, td.medallion_raw(spark, d), td.medallion_config(lake))
+    return res.curated["customer_360"]
+
+
 QUERIES: dict[str, QueryFn] = {
     "customer_profile": q_customer_profile,
     "customer_funnel": q_customer_funnel,
@@ -332,4 +342,5 @@ QUERIES: dict[str, QueryFn] = {
     "metric_rollup": q_metric_rollup,
     "metric_alarm": q_metric_alarm,
     "metric_alarm_consecutive": q_metric_alarm_consecutive,
+    "medallion_customer_360": q_medallion_customer_360,
 }

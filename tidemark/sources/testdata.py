@@ -147,3 +147,42 @@ def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
                         value.alias("value"), "event_type")
     again = records.filter(F.col("event_type") == "purchase")
     return records.unionByName(again).drop("event_type")
+
+
+# ---------------------------------------------------------------------------
+# The whole medallion run over the supplied tables.
+# ---------------------------------------------------------------------------
+
+MEDALLION_TYPES = {
+    "customers": {"customer_id": "bigint", "c_nationkey": "int", "c_acctbal": "double"},
+    "products": {"product_id": "bigint", "price": "double", "p_size": "int"},
+    "clickstream_events": CLICKSTREAM_TYPES,
+    "transactions": TRANSACTION_TYPES,
+}
+
+
+def medallion_raw(spark: SparkSession, sf_dir: str) -> dict:
+    """The four raw tables of the shop domain, derived from the supplied ones."""
+    return {"customers": customers(spark, sf_dir), "products": products(spark, sf_dir),
+            "clickstream_events": raw_clickstream(spark, sf_dir),
+            "transactions": raw_transactions(spark, sf_dir)}
+
+
+def medallion_config(lake_dir: str, as_of: str = "2001-09-01 00:00:00"):
+    from tidemark.operators.dq import CheckSpec
+    from tidemark.plans.medallion import MedallionConfig
+
+    suite = (
+        CheckSpec("completeness", "transactions", ("customer_id", "product_id", "amount")),
+        CheckSpec("uniqueness", "transactions", ("order_id", "line_no")),
+        CheckSpec("referential_integrity", "transactions", ("customer_id",), "customers", "customer_id"),
+        CheckSpec("freshness", "transactions", ("order_date",), options={"max_age_days": 3650}),
+        CheckSpec("uniqueness", "customers", ("customer_id",)),
+        CheckSpec("uniqueness", "clickstream_events", ("event_id",)),
+        CheckSpec("referential_integrity", "clickstream_events", ("customer_id",), "customers",
+                  "customer_id"),
+    )
+    return MedallionConfig(lake_dir=lake_dir, funnel=TESTDATA_FUNNEL, completed_value=COMPLETED,
+                           transaction_key=("order_id", "line_no"),
+                           transaction_order=("_ingested_ts", "ship_date"),
+                           types=dict(MEDALLION_TYPES), dq_suite=suite, as_of=as_of)
