@@ -78,3 +78,13 @@ def test_incremental_old_key_once_new_key_added(spark, tmp_dir):
                                   ["event_id"], "event_date", "event_ts")
     ids = sorted(r["event_id"] for r in spark.read.parquet(staged_dir).collect())
     assert ids == ["e1", "e2", "e3"]
+
+
+def test_csv_raw_round_trip(spark, tmp_dir):
+    df = spark.createDataFrame([("C1", "2025-01-01", "NA"), ("C2", None, "ZA")],
+                               "customer_id string, signup_date string, country string")
+    assert files.ingest_raw(df, f"{tmp_dir}/raw_csv", fmt="csv") == 2
+    back = files.read_text_csv(spark, f"{tmp_dir}/raw_csv",
+                               ["customer_id", "signup_date", "country", "_ingested_ts"])
+    got = {r["customer_id"]: (r["signup_date"], r["country"]) for r in back.collect()}
+    assert got == {"C1": ("2025-01-01", "NA"), "C2": (None, "ZA")}

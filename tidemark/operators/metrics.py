@@ -116,3 +116,13 @@ def stream_lag_alarm(df: DataFrame, arrival_col: str = "_ingested_ts",
     spec = AlarmSpec("stream_lag", "max", STREAM_LAG_PERIOD_SECONDS, float(STREAM_LAG_THRESHOLD_MS),
                      STREAM_LAG_EVALUATION_PERIODS, ">", "missing")
     return metric_alarm(stream_lag(df, arrival_col, event_col), spec)
+
+
+def rollup_stream(stream: DataFrame, period_seconds: int, watermark: str,
+                  group_cols: Sequence[str] = ("metric",), ts_col: str = "ts",
+                  value_col: str = "value") -> DataFrame:
+    """``rollup`` on a stream: a period is emitted (append mode) once the
+    watermark has passed its end; events later than the watermark are dropped."""
+    ts = F.col(ts_col).cast("timestamp")
+    return rollup(stream.withColumn(ts_col, ts).withWatermark(ts_col, watermark),
+                  period_seconds, group_cols, ts_col, value_col)
