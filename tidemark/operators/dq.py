@@ -129,14 +129,14 @@ def _freshness_row(p, table, date_col, max_age_days, as_of):
             now.alias("run_ts")]
 
 
-def _count_all(df: DataFrame):
+def _count_all() -> Column:
     return F.count(F.lit(1))
 
 
 def check_completeness(df: DataFrame, table: str, required_cols: Sequence[str],
                        threshold: float = DQ_COMPLETENESS_THRESHOLD, as_of=None) -> DataFrame:
     """Share of rows where every required column is present (NaN counts as missing)."""
-    agg = df.agg(_count_all(df).alias("_total"), *_completeness_aggs(df, "_", required_cols))
+    agg = df.agg(_count_all().alias("_total"), *_completeness_aggs(df, "_", required_cols))
     return agg.select(*_completeness_row("_", table, required_cols, threshold, as_of))
 
 
@@ -147,7 +147,7 @@ def check_uniqueness(df: DataFrame, table: str, key_col, threshold: float = DQ_U
     ``key_col`` may be a list for a composite key; a row with any NULL key
     part is not counted as a distinct value.
     """
-    agg = df.agg(_count_all(df).alias("_total"), *_uniqueness_aggs(df, "_", key_col))
+    agg = df.agg(_count_all().alias("_total"), *_uniqueness_aggs(df, "_", key_col))
     return agg.select(*_uniqueness_row("_", table, key_col, threshold, as_of))
 
 
@@ -181,7 +181,7 @@ def check_freshness(df: DataFrame, table: str, date_col: str,
     Empty table: FAIL with a NULL metric. No parsable date at all: FAIL with
     a NULL metric. ``as_of`` fixes "now" for repeatable results.
     """
-    agg = df.agg(_count_all(df).alias("_total"), *_freshness_aggs(df, "_", date_col))
+    agg = df.agg(_count_all().alias("_total"), *_freshness_aggs(df, "_", date_col))
     return agg.select(*_freshness_row("_", table, date_col, max_age_days, as_of))
 
 
@@ -229,7 +229,7 @@ def run_table_checks(df: DataFrame, table: str, specs: Sequence["CheckSpec"], as
     Only one uniqueness check may be fused; ``run_suite_specs`` runs any
     further ones as their own pass.
     """
-    aggs, rows = [_count_all(df).alias("_total")], []
+    aggs, rows = [_count_all().alias("_total")], []
     for i, spec in enumerate(specs):
         p = f"_c{i}_"
         if spec.kind == "completeness":

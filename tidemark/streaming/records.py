@@ -58,7 +58,7 @@ def good_records(decoded: DataFrame) -> DataFrame:
     return decoded.filter(F.col(DEAD_LETTER_COL).isNull()).drop(DEAD_LETTER_COL, "_payload")
 
 
-def dead_letters(decoded: DataFrame, records: DataFrame | None = None) -> DataFrame:
+def dead_letters(decoded: DataFrame) -> DataFrame:
     """(_sequence_number, _payload, _dead_letter_reason) of the rejected records."""
     return decoded.filter(F.col(DEAD_LETTER_COL).isNotNull()) \
         .select("_sequence_number", "_payload", DEAD_LETTER_COL)
