@@ -129,3 +129,19 @@ def test_compact_timestamp(spark):
     from tidemark.functions.scalar import compact_timestamp
     df = spark.createDataFrame([(dt.datetime(2025, 3, 4, 5, 6, 7),)], "t timestamp")
     assert df.select(compact_timestamp("t")).first()[0] == "20250304_050607"
+
+
+def test_stream_dedupe_keeps_late_rows(spark, tmp_dir):
+    import datetime as dt
+    import time
+    schema = "event_id string, event_ts timestamp"
+    spark.createDataFrame([("a", dt.datetime(2024, 1, 30))], schema).coalesce(1) \
+        .write.parquet(f"{tmp_dir}/src/f1")
+    time.sleep(1.1)
+    spark.createDataFrame([("b", dt.datetime(2024, 1, 1)), ("a", dt.datetime(2024, 1, 30))], schema) \
+        .coalesce(1).write.parquet(f"{tmp_dir}/src/f2")
+    s = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_dir}/src/*")
+    q = (landing.dedupe_stream(s).writeStream.format("parquet").option("path", f"{tmp_dir}/out")
+         .option("checkpointLocation", f"{tmp_dir}/ck").trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert sorted(r["event_id"] for r in spark.read.parquet(f"{tmp_dir}/out").collect()) == ["a", "b"]

@@ -90,8 +90,10 @@ def dedupe_stream(stream: DataFrame, key: Sequence[str] = ("event_id",), ts_col:
     """Drop repeats of a key seen within the watermark (stream retention).
 
     The event time is cast to ``timestamp`` (watermarks reject
-    ``timestamp_ntz``). Rows older than the watermark are late and are left
-    to the daily batch dedupe, which stays the final authority.
+    ``timestamp_ntz``). A row older than the watermark is still emitted (no
+    row is lost), but its key state expires at once, so a repeat of such a
+    late row can pass again: the batch dedupe of the staged table stays the
+    final authority.
     """
     ts = F.col(ts_col).cast("string").try_cast("timestamp") \
         if dict(stream.dtypes).get(ts_col) == "string" else F.col(ts_col).cast("timestamp")
