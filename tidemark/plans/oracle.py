@@ -363,3 +363,11 @@ ORACLE["medallion_customer_360"] = f"""
   FROM customer c
   LEFT JOIN counts k ON c.c_custkey = k.customer_id
   LEFT JOIN spend s ON c.c_custkey = s.customer_id"""
+
+ORACLE["coerce_numeric"] = """
+  SELECT event_id, json_extract_string(props, '$.k') AS k_text,
+         CAST(trunc(TRY_CAST(trim(json_extract_string(props, '$.k')) AS DOUBLE)) AS INTEGER) AS k_quantity,
+         TRY_CAST(trim(json_extract_string(props, '$.k')) AS DECIMAL(18,2)) AS k_amount,
+         CAST(trunc(value) AS INTEGER) AS value_quantity,
+         CAST(value AS DECIMAL(18,2)) AS value_amount
+  FROM events"""

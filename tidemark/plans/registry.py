@@ -68,6 +68,18 @@ def q_avg_conversion(spark, d):
 
 # ----- staging ------------------------------------------------------------
 
+def q_coerce_numeric(spark, d):
+    """Lenient parsing of numbers held as text: the ``k`` property of each event's
+    JSON props and the event value rendered as text, as a quantity and an amount."""
+    from tidemark.functions.scalar import coerce_amount, coerce_quantity
+    ev = td.table(spark, d, "events")
+    k = F.get_json_object("props", "$.k")
+    return ev.select("event_id", k.alias("k_text"), coerce_quantity(k).alias("k_quantity"),
+                     coerce_amount(k).alias("k_amount"),
+                     coerce_quantity(F.col("value").cast("string")).alias("value_quantity"),
+                     coerce_amount(F.col("value").cast("string")).alias("value_amount"))
+
+
 def _staged_clickstream(spark, d):
     return staged.stage_clickstream(td.raw_clickstream(spark, d), types=td.CLICKSTREAM_TYPES,
                                     stamp=None)
@@ -316,6 +328,7 @@ QUERIES: dict[str, QueryFn] = {
     "funnel_dropoff": q_funnel_dropoff,
     "event_type_counts": q_event_type_counts,
     "avg_conversion": q_avg_conversion,
+    "coerce_numeric": q_coerce_numeric,
     "stage_clickstream": q_stage_clickstream,
     "stage_clickstream_rejects": q_stage_clickstream_rejects,
     "stage_transactions": q_stage_transactions,
