@@ -76,17 +76,19 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
     On a cluster this is whatever ``spark.checkpoint.dir`` names (a path on a
-    shared file system). Only when the session leaves it unset (local tests)
-    is a private temporary folder created and registered.
+    shared file system), as read from the session. Only when the session
+    leaves it unset (local tests) is a private temporary folder created and
+    registered as the context's checkpoint directory.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
-    if not root:
-        root = tempfile.mkdtemp(prefix="tidemark-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    spark.sparkContext.setCheckpointDir(root)
-    return root.rstrip("/")
+    if root:
+        return root.rstrip("/")
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    if current:
+        return current.rstrip("/")
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-ckpt-"))
+    return sc.getCheckpointDir().rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
