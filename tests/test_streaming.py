@@ -145,3 +145,39 @@ def test_stream_dedupe_keeps_late_rows(spark, tmp_dir):
          .option("checkpointLocation", f"{tmp_dir}/ck").trigger(availableNow=True).start())
     q.awaitTermination()
     assert sorted(r["event_id"] for r in spark.read.parquet(f"{tmp_dir}/out").collect()) == ["a", "b"]
+
+
+def test_stream_alarm_matches_batch(spark, tmp_dir):
+    import datetime as dt
+    import time
+
+    from tidemark.config import AlarmSpec
+    from tidemark.operators import metrics
+    from tidemark.streaming.alarms import stream_alarm
+
+    base = dt.datetime(2025, 1, 1)
+    schema = "metric string, ts timestamp, value double"
+    drops = [[("m", 0, 70.0), ("m", 1, 10.0), ("n", 2, 1.0), ("m", 6, 80.0)],
+             [("m", 16, 90.0), ("m", 21, 95.0), ("n", 22, 99.0)],
+             [("m", 33, 5.0), ("n", 37, 99.0), ("m", 41, 99.0)],
+             [("m", 90, 1.0), ("n", 91, 1.0)]]
+    for i, rows in enumerate(drops):
+        spark.createDataFrame([(k, base + dt.timedelta(minutes=m), v) for k, m, v in rows], schema) \
+            .coalesce(1).write.parquet(f"{tmp_dir}/src/f{i}")
+        time.sleep(1.1)
+    for j, spec in enumerate([AlarmSpec("a", "max", 300, 60.0, 2, ">", "notBreaching"),
+                              AlarmSpec("b", "max", 300, 60.0, 2, ">", "breaching"),
+                              AlarmSpec("c", "sum", 300, 50.0, 2, ">=", "missing")]):
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_dir}/src/*")
+        q = (stream_alarm(stream, spec, "1 minute").writeStream.format("parquet")
+             .option("path", f"{tmp_dir}/out{j}").option("checkpointLocation", f"{tmp_dir}/ck{j}")
+             .outputMode("append").trigger(availableNow=True).start())
+        q.awaitTermination()
+        got = {(r["metric"], r["period_start"]): (r["stat_value"], r["state"])
+               for r in spark.read.parquet(f"{tmp_dir}/out{j}").collect()}
+        batch = {(r["metric"], r["period_start"]): (r["stat_value"], r["state"])
+                 for r in metrics.metric_alarm(spark.read.parquet(f"{tmp_dir}/src/*"), spec).collect()
+                 if r["stat_value"] is not None}
+        assert got, spec
+        assert all(batch[k] == v for k, v in got.items()), (spec, got, batch)
+        assert any(v[1] == "ALARM" for v in got.values()), spec
