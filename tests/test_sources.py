@@ -88,3 +88,20 @@ def test_csv_raw_round_trip(spark, tmp_dir):
                                ["customer_id", "signup_date", "country", "_ingested_ts"])
     got = {r["customer_id"]: (r["signup_date"], r["country"]) for r in back.collect()}
     assert got == {"C1": ("2025-01-01", "NA"), "C2": (None, "ZA")}
+
+
+def test_stage_full_overwrites_by_date(spark, tmp_dir):
+    df = spark.createDataFrame([("e1", "2025-01-01 10:00:00"), ("e2", "2025-01-02 10:00:00")],
+                               "event_id string, event_ts string")
+    clean = df.withColumn("event_ts", F.col("event_ts").cast("timestamp"))
+    incremental.stage_full(clean, f"{tmp_dir}/s", "event_date", "event_ts")
+    incremental.stage_full(clean.limit(1), f"{tmp_dir}/s", "event_date", "event_ts")
+    assert spark.read.parquet(f"{tmp_dir}/s").count() == 1
+
+
+def test_cluster_conf_profile():
+    from tidemark.session import cluster_conf
+    c = cluster_conf(8000, 100.0)
+    assert int(c["spark.sql.shuffle.partitions"]) == 50000
+    assert cluster_conf(100, 0.001)["spark.sql.shuffle.partitions"] == "400"
+    assert c["spark.sql.autoBroadcastJoinThreshold"] == str(64 * 1024 * 1024)

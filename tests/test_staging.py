@@ -94,3 +94,12 @@ def test_reject_summary_zero_fill(spark):
     df = spark.createDataFrame([("a",)], "order_id string").withColumn(REJECT_COL, F.lit(None).cast("string"))
     got = {r[0]: r[1] for r in reject_summary(df, TRANSACTION_REASONS, ["order_id"]).collect()}
     assert got["invalid_amount"] == 0 and got["clean"] == 1 and got["duplicate"] == 0
+
+
+def test_split_rejects_and_duplicate_count(spark):
+    from tidemark.operators.cleanse import split_rejects
+    from tidemark.operators.dedupe import duplicate_count
+    df = spark.createDataFrame([("a", 1), ("a", 2), ("b", -1), ("c", 3)], "k string, v int")
+    valid, rejected = split_rejects(df, [("negative", F.col("v") > 0)])
+    assert valid.count() == 3 and [r[REJECT_COL] for r in rejected.collect()] == ["negative"]
+    assert duplicate_count(valid, ["k"]).first().asDict() == {"rows": 3, "distinct_keys": 2, "duplicates": 1}

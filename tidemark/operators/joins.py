@@ -37,21 +37,6 @@ def anti_join(df: DataFrame, keys_df: DataFrame, on, key_cols=None) -> DataFrame
     return df.join(_key_set(keys_df, on, key_cols), on, "left_anti")
 
 
-def flag_membership(df: DataFrame, keys_df: DataFrame, on, flag: str = "_known",
-                    key_cols=None) -> DataFrame:
-    """``df`` plus a boolean ``flag``: does the key occur in ``keys_df``.
-
-    The key side is made distinct first, so duplicated parent keys never fan
-    rows out. One left join tags every row. Because an aggregate sits between
-    that join and the key side's shuffle, AQE cannot split a skewed partition
-    here; for large fact tables with hot keys use ``semi_join`` and
-    ``anti_join`` (both split by AQE), as the staging plans do.
-    """
-    on = _on(on)
-    ks = _key_set(keys_df, on, key_cols).distinct().withColumn(flag, F.lit(True))
-    return df.join(ks, on, "left").withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
-
-
 def new_keys(batch: DataFrame, staged: DataFrame, on, partition_cols: Sequence[str] = ()) -> DataFrame:
     """Rows of ``batch`` whose key is not staged yet (incremental append).
 

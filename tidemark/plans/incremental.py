@@ -28,7 +28,7 @@ StageFn = Callable[[DataFrame], DataFrame]
 def stage_full(clean: DataFrame, staged_path: str, partition_col: str, date_from: str) -> None:
     """Full mode: recompute and overwrite the staged table."""
     clean.withColumn(partition_col, F.to_date(date_from)).write.mode("overwrite") \
-        .partitionBy(partition_col).parquet(staged_path)
+        .option("partitionOverwriteMode", "static").partitionBy(partition_col).parquet(staged_path)
 
 
 def stage_incremental(spark: SparkSession, raw_path: str, raw_schema: T.StructType,

@@ -45,7 +45,6 @@ def cluster_conf(total_cores: int, input_tb: float = 100.0) -> dict:
         "spark.sql.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
         "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 * 1024 * 1024),
         "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
-        "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.sql.streaming.stateStore.providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",

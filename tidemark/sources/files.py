@@ -56,7 +56,9 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", fmt: str = "p
     obs = Observation("rows") if observe else None
     if obs is not None:
         df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    w = df.write.mode(mode).format(fmt)
+    # an overwrite replaces the whole table (also partitions that vanished),
+    # whatever the session's partitionOverwriteMode says
+    w = df.write.mode(mode).format(fmt).option("partitionOverwriteMode", "static")
     if fmt == "csv":
         w = w.option("header", header)
     if partition_by:
