@@ -37,6 +37,20 @@ DQ_REFERENTIAL_THRESHOLD = 0.99
 DQ_FRESHNESS_MAX_AGE_DAYS = 7
 DQ_SCORE_SCALE = 4
 
+# Data-quality result texts: check names, statuses and detail formats.
+# Counts are written with thousands separators; column lists as Python lists.
+DQ_COMPLETENESS = "completeness"
+DQ_UNIQUENESS = "uniqueness"
+DQ_REFERENTIAL = "referential_integrity"
+DQ_FRESHNESS = "freshness"
+DQ_PASS = "PASS"
+DQ_FAIL = "FAIL"
+DQ_DETAIL_COMPLETENESS = "{part}/{total} rows complete across {columns}"
+DQ_DETAIL_UNIQUENESS = "{part}/{total} unique values for {key}"
+DQ_DETAIL_REFERENTIAL = "{part}/{total} rows have a valid {column} reference"
+DQ_DETAIL_FRESHNESS = "Latest record is {age} days old (max allowed: {max_age})"
+DQ_DETAIL_EMPTY = "Table is empty"
+
 # Storage lifecycle per zone: (minimum age in days, storage class), ascending.
 # raw: STANDARD, STANDARD_IA after 30 days, GLACIER after 90, expired after 1825.
 # staged: STANDARD, STANDARD_IA after 60 days. curated: always STANDARD.

@@ -9,6 +9,7 @@ driver-side step is the gate, which reads the handful of result rows.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -16,8 +17,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.config import (DQ_COMPLETENESS_THRESHOLD, DQ_FRESHNESS_MAX_AGE_DAYS,
-                             DQ_REFERENTIAL_THRESHOLD, DQ_SCORE_SCALE, DQ_UNIQUENESS_THRESHOLD)
+from tidemark.config import (DQ_COMPLETENESS, DQ_COMPLETENESS_THRESHOLD, DQ_DETAIL_COMPLETENESS,
+                             DQ_DETAIL_EMPTY, DQ_DETAIL_FRESHNESS, DQ_DETAIL_REFERENTIAL,
+                             DQ_DETAIL_UNIQUENESS, DQ_FAIL, DQ_FRESHNESS,
+                             DQ_FRESHNESS_MAX_AGE_DAYS, DQ_PASS, DQ_REFERENTIAL,
+                             DQ_REFERENTIAL_THRESHOLD, DQ_SCORE_SCALE, DQ_UNIQUENESS,
+                             DQ_UNIQUENESS_THRESHOLD)
 from tidemark.functions.scalar import floor_days_between, half_up_ratio, thousands
 
 DQ_SCHEMA = T.StructType([
@@ -50,13 +55,26 @@ def _py_list(cols: Sequence[str]) -> str:
     return "[" + ", ".join(repr(c) for c in cols) + "]"
 
 
+def _render(template: str, **parts) -> Column:
+    """Fill ``{name}`` placeholders of a fixed text with Columns or plain text."""
+    pieces = []
+    for i, chunk in enumerate(re.split(r"\{(\w+)\}", template)):
+        if i % 2 == 0:
+            if chunk:
+                pieces.append(F.lit(chunk))
+        else:
+            v = parts[chunk]
+            pieces.append(v if isinstance(v, Column) else F.lit(str(v)))
+    return F.concat(*pieces)
+
+
 def _result_cols(name: str, table: str, part: str, total: str, threshold: float,
                  detail: Column, as_of) -> list[Column]:
     """The result fields of a ratio check from aggregated ``part`` / ``total`` columns."""
     score = F.when(F.col(total) > 0, F.col(part) / F.col(total)).otherwise(F.lit(0.0))
     metric = F.coalesce(half_up_ratio(part, total, DQ_SCORE_SCALE), F.lit(0.0))
     return [F.lit(name).alias("check_name"), F.lit(table).alias("table"),
-            F.when(score >= F.lit(float(threshold)), "PASS").otherwise("FAIL").alias("status"),
+            F.when(score >= F.lit(float(threshold)), DQ_PASS).otherwise(DQ_FAIL).alias("status"),
             metric.alias("metric_value"), F.lit(float(threshold)).alias("threshold"),
             detail.alias("detail"), _run_ts(as_of).alias("run_ts")]
 
@@ -91,9 +109,9 @@ def _completeness_aggs(df, p, required_cols):
 
 
 def _completeness_row(p, table, required_cols, threshold, as_of):
-    detail = F.concat(thousands(f"{p}part"), F.lit("/"), thousands("_total"),
-                      F.lit(f" rows complete across {_py_list(required_cols)}"))
-    return _result_cols("completeness", table, f"{p}part", "_total", threshold, detail, as_of)
+    detail = _render(DQ_DETAIL_COMPLETENESS, part=thousands(f"{p}part"), total=thousands("_total"),
+                     columns=_py_list(required_cols))
+    return _result_cols(DQ_COMPLETENESS, table, f"{p}part", "_total", threshold, detail, as_of)
 
 
 def _uniqueness_aggs(df, p, key_col):
@@ -103,9 +121,9 @@ def _uniqueness_aggs(df, p, key_col):
 def _uniqueness_row(p, table, key_col, threshold, as_of):
     keys = _keys(key_col)
     label = keys[0] if len(keys) == 1 else _py_list(keys)
-    detail = F.concat(thousands(f"{p}part"), F.lit("/"), thousands("_total"),
-                      F.lit(f" unique values for {label}"))
-    return _result_cols("uniqueness", table, f"{p}part", "_total", threshold, detail, as_of)
+    detail = _render(DQ_DETAIL_UNIQUENESS, part=thousands(f"{p}part"), total=thousands("_total"),
+                     key=label)
+    return _result_cols(DQ_UNIQUENESS, table, f"{p}part", "_total", threshold, detail, as_of)
 
 
 def _freshness_aggs(df, p, date_col):
@@ -117,13 +135,12 @@ def _freshness_row(p, table, date_col, max_age_days, as_of):
     latest = F.col(f"{p}latest")
     age = floor_days_between(latest, now)
     empty = F.col("_total") == 0
-    status = F.when(~empty & latest.isNotNull() & (age <= F.lit(max_age_days)), "PASS") \
-        .otherwise("FAIL")
-    detail = F.when(empty, F.lit("Table is empty")) \
+    status = F.when(~empty & latest.isNotNull() & (age <= F.lit(max_age_days)), DQ_PASS) \
+        .otherwise(DQ_FAIL)
+    detail = F.when(empty, F.lit(DQ_DETAIL_EMPTY)) \
         .when(latest.isNull(), F.lit(f"No valid {date_col} values")) \
-        .otherwise(F.concat(F.lit("Latest record is "), age.cast("string"),
-                            F.lit(f" days old (max allowed: {max_age_days})")))
-    return [F.lit("freshness").alias("check_name"), F.lit(table).alias("table"),
+        .otherwise(_render(DQ_DETAIL_FRESHNESS, age=age.cast("string"), max_age=max_age_days))
+    return [F.lit(DQ_FRESHNESS).alias("check_name"), F.lit(table).alias("table"),
             status.alias("status"), F.when(~empty, age.cast("double")).alias("metric_value"),
             F.lit(float(max_age_days)).alias("threshold"), detail.alias("detail"),
             now.alias("run_ts")]
@@ -168,9 +185,9 @@ def check_referential_integrity(df: DataFrame, table: str, fk_col: str, valid_ke
     joined = per_fk.join(parents, "_fk", "left")
     agg = joined.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("_total"),
                      F.coalesce(F.sum(F.when(F.col("_hit"), F.col("_n"))), F.lit(0)).alias("_part"))
-    detail = F.concat(thousands("_part"), F.lit("/"), thousands("_total"),
-                      F.lit(f" rows have a valid {fk_col} reference"))
-    return agg.select(*_result_cols("referential_integrity", table, "_part", "_total", threshold,
+    detail = _render(DQ_DETAIL_REFERENTIAL, part=thousands("_part"), total=thousands("_total"),
+                     column=fk_col)
+    return agg.select(*_result_cols(DQ_REFERENTIAL, table, "_part", "_total", threshold,
                                     detail, as_of))
 
 
@@ -255,7 +272,7 @@ def run_suite(checks: Sequence[DataFrame]) -> tuple[DataFrame, DataFrame]:
     results = checks[0]
     for c in checks[1:]:
         results = results.unionByName(c)
-    return results, results.filter(F.col("status") == "FAIL")
+    return results, results.filter(F.col("status") == DQ_FAIL)
 
 
 def run_suite_specs(specs: Sequence[CheckSpec], tables: dict[str, DataFrame],
@@ -288,7 +305,7 @@ def run_suite_specs(specs: Sequence[CheckSpec], tables: dict[str, DataFrame],
 def suite_summary(results: DataFrame) -> DataFrame:
     """(checks, failed) — one row."""
     return results.agg(F.count(F.lit(1)).alias("checks"),
-                       F.count_if(F.col("status") == "FAIL").alias("failed"))
+                       F.count_if(F.col("status") == DQ_FAIL).alias("failed"))
 
 
 def write_results(results: DataFrame, path: str) -> None:
@@ -303,7 +320,7 @@ def gate(results: DataFrame) -> DataFrame:
     The result table has one row per check (a handful), so reading its FAIL
     rows on the driver is bounded by the suite size, not by data size.
     """
-    failed = [r.asDict() for r in results.filter(F.col("status") == "FAIL")
+    failed = [r.asDict() for r in results.filter(F.col("status") == DQ_FAIL)
               .select("check_name", "table", "metric_value", "threshold").collect()]
     if failed:
         raise DataQualityError(failed)
