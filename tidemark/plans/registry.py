@@ -10,20 +10,18 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
 from pyspark.sql import functions as F
 
+from tidemark.config import ALARMS, AlarmSpec
+from tidemark.functions.scalar import coerce_amount, coerce_quantity
 from tidemark.operators import category as cat
-from tidemark.operators import dq
-from tidemark.operators import joins, metrics, retention
-from tidemark.operators.cleanse import reject_summary
-from tidemark.operators.dedupe import dedupe_first
+from tidemark.operators import dq, joins, metrics, retention, spend
 from tidemark.operators import funnel as fun
 from tidemark.operators import profile as prof
-from tidemark.operators import spend
-from tidemark.plans import staged
-from tidemark.config import ALARMS, AlarmSpec
-from tidemark.plans import incremental
+from tidemark.operators.cleanse import reject_summary
+from tidemark.operators.dedupe import dedupe_first
+from tidemark.plans import incremental, staged
+from tidemark.plans.medallion import run_medallion
 from tidemark.session import scratch_path
 from tidemark.sources import files
 from tidemark.sources import testdata as td
@@ -71,7 +69,6 @@ def q_avg_conversion(spark, d):
 def q_coerce_numeric(spark, d):
     """Lenient parsing of numbers held as text: the ``k`` property of each event's
     JSON props and the event value rendered as text, as a quantity and an amount."""
-    from tidemark.functions.scalar import coerce_amount, coerce_quantity
     ev = td.table(spark, d, "events")
     k = F.get_json_object("props", "$.k")
     return ev.select("event_id", k.alias("k_text"), coerce_quantity(k).alias("k_quantity"),
@@ -313,7 +310,6 @@ def q_metric_alarm_consecutive(spark, d):
 
 def q_medallion_customer_360(spark, d):
     """raw → staged → DQ gate → curated over the supplied tables; the published profile."""
-    from tidemark.plans.medallion import run_medallion
     lake = scratch_path(spark, "lake")
     res = run_medallion(spark, td.medallion_raw(spark, d), td.medallion_config(lake))
     return res.curated["customer_360"]
