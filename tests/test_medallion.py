@@ -75,3 +75,15 @@ def test_cli_on_csv(spark, tmp_dir):
                  "--as-of", "2025-06-01 00:00:00"]) == 0
     prof = spark.read.parquet(os.path.join(tmp_dir, "lake", "curated", "customer_360"))
     assert prof.count() == 3
+
+
+def test_failed_gate_leaves_published_curated_unchanged(spark, tmp_dir):
+    conf = MedallionConfig(lake_dir=tmp_dir, as_of="2025-06-01 00:00:00")
+    run_medallion(spark, _raw(spark), conf)
+    before = sorted(tuple(r) for r in spark.read.parquet(f"{tmp_dir}/curated/customer_360").collect())
+    with pytest.raises(DataQualityError):
+        run_medallion(spark, _raw(spark, dup_customer=True), conf)
+    after = sorted(tuple(r) for r in spark.read.parquet(f"{tmp_dir}/curated/customer_360").collect())
+    assert before == after and len(after) == 3
+    runs = spark.read.parquet(f"{tmp_dir}/dq_results").select("run_id").distinct().count()
+    assert runs == 2
