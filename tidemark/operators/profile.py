@@ -1,4 +1,4 @@
-"""Customer profile (customer 360): funnel counts + spend + conversion rate."""
+"""Customer profile: funnel counts + spend + conversion rate."""
 
 from __future__ import annotations
 
