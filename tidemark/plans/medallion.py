@@ -17,17 +17,14 @@ from pyspark.sql import functions as F
 
 from tidemark.config import COMPLETED_STATUS, DEFAULT_FUNNEL, FunnelSpec
 from tidemark.operators import dq
-from tidemark.operators.category import category_performance, top_categories
+from tidemark.operators.category import top_categories
 from tidemark.operators.cleanse import rejected_rows
-from tidemark.operators.funnel import event_type_counts, funnel_dropoff
-from tidemark.operators.profile import average_conversion, customer_profile
-from tidemark.operators.spend import completed
+from tidemark.operators.profile import average_conversion
+from tidemark.plans.curated import build_curated
 from tidemark.plans.staged import stage_clickstream, stage_passthrough, stage_transactions
 from tidemark.schemas import STAGED_TYPES
 from tidemark.sources.files import ingest_raw, write_table
 
-TECHNICAL = ("_ingested_ts", "_cleansed_ts")
-
 # The standard suite on the staged zone.
 STANDARD_SUITE = (
     dq.CheckSpec("completeness", "transactions", ("customer_id", "product_id", "amount")),
@@ -124,19 +121,9 @@ def run_medallion(spark: SparkSession, raw: dict[str, DataFrame], conf: Medallio
     dq.gate(this_run)
 
     # curated zone (technical columns dropped)
-    def business(df):
-        return df.drop(*[c for c in TECHNICAL if c in df.columns])
-
-    cust, click, txn, prod = (business(staged[n]) for n in
-                              ("customers", "clickstream_events", "transactions", "products"))
-    curated = {
-        "customer_360": customer_profile(cust, click, txn, conf.funnel,
-                                         completed_value=conf.completed_value),
-        "category_performance": category_performance(
-            completed(txn, completed_value=conf.completed_value), prod),
-        "funnel_dropoff": funnel_dropoff(click, conf.funnel.stages),
-        "event_type_counts": event_type_counts(click),
-    }
+    curated = build_curated(staged["customers"], staged["clickstream_events"],
+                            staged["transactions"], staged["products"], conf.funnel,
+                            conf.completed_value)
     for name, df in curated.items():
         counts[f"curated.{name}"] = write_table(df, _zone(conf, "curated", name))
     published = {n: spark.read.parquet(_zone(conf, "curated", n)) for n in curated}
