@@ -31,9 +31,10 @@ class MicroBatch:
     seconds: int = STREAM_BATCH_WINDOW_SECONDS
 
     def source_options(self, source_format: str, files_per_batch: int | None = None) -> dict:
+        """Per-trigger limits; ``files_per_batch=0`` lifts the file limit (backlog replay)."""
         if source_format == "kafka":
             return {"maxOffsetsPerTrigger": str(self.max_records)}
-        if source_format == "rate":
+        if source_format == "rate" or files_per_batch == 0:
             return {}
         return {"maxFilesPerTrigger": str(files_per_batch or 1)}
 
