@@ -19,3 +19,19 @@ def test_entry_smoke(spark):
     df = e.entry(spark)
     assert df.count() > 0 and "conversion_rate" in df.columns
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_results_do_not_depend_on_session_settings(spark):
+    """The driver's session may differ: another time zone, ANSI off, AQE off."""
+    keys = {"spark.sql.session.timeZone": "America/Los_Angeles", "spark.sql.ansi.enabled": "false",
+            "spark.sql.adaptive.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        res = run(SF, spark=spark, verbose=False)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    bad = {k: v[2] for k, v in res.items() if v[2]}
+    assert not bad, bad
