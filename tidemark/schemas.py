@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
 RAW_COLUMNS = {
     "customers": ("customer_id", "signup_date", "country", "marketing_opt_in"),
     "products": ("product_id", "category", "price"),
@@ -20,7 +18,3 @@ STAGED_TYPES = {
     "clickstream_events": {"event_ts": "timestamp"},
     "transactions": {"order_date": "date"},
 }
-
-
-def raw_schema(table: str) -> T.StructType:
-    return T.StructType([T.StructField(c, T.StringType(), True) for c in RAW_COLUMNS[table]])
