@@ -87,3 +87,27 @@ def test_failed_gate_leaves_published_curated_unchanged(spark, tmp_dir):
     assert before == after and len(after) == 3
     runs = spark.read.parquet(f"{tmp_dir}/dq_results").select("run_id").distinct().count()
     assert runs == 2
+
+
+def test_incremental_runs_equal_full_run(spark, tmp_dir):
+    import os
+
+    raw = _raw(spark)
+    click, txn = raw["clickstream_events"], raw["transactions"]
+    drop1 = dict(raw, clickstream_events=click.filter("event_id IN ('E1', 'E2', 'E3')"),
+                 transactions=txn.filter("order_id IN ('O1', 'O2')"))
+    drop2 = dict(raw, clickstream_events=click.filter("event_id IN ('E3', 'E4', 'E5')"),
+                 transactions=txn.filter("order_id IN ('O2', 'O3', 'O4')"))
+    inc = os.path.join(tmp_dir, "inc")
+    conf = MedallionConfig(lake_dir=inc, as_of="2025-06-01 00:00:00", mode="incremental")
+    run_medallion(spark, drop1, conf)
+    res = run_medallion(spark, drop2, conf)
+    full = run_medallion(spark, raw, MedallionConfig(lake_dir=os.path.join(tmp_dir, "full"),
+                                                     as_of="2025-06-01 00:00:00"))
+    for name in ("customer_360", "category_performance", "funnel_dropoff", "event_type_counts"):
+        a = sorted(tuple(r) for r in res.curated[name].collect())
+        b = sorted(tuple(r) for r in full.curated[name].collect())
+        assert a == b, name
+    staged = spark.read.parquet(os.path.join(inc, "staged", "clickstream_events"))
+    assert sorted(r["event_id"] for r in staged.collect()) == ["E1", "E2", "E3", "E5"]
+    assert spark.read.parquet(os.path.join(inc, "staged", "_rejects", "transactions")).count() == 1

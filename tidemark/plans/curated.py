@@ -10,7 +10,7 @@ from tidemark.operators.funnel import event_type_counts, funnel_dropoff
 from tidemark.operators.profile import customer_profile
 from tidemark.operators.spend import completed
 
-TECHNICAL = ("_ingested_ts", "_cleansed_ts")
+TECHNICAL = ("_ingested_ts", "_cleansed_ts", "_date")
 
 
 def business_columns(df: DataFrame) -> DataFrame:

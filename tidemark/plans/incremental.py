@@ -22,7 +22,9 @@ from pyspark.sql import types as T
 from tidemark.operators.joins import new_keys
 from tidemark.sources.files import table_exists
 
-StageFn = Callable[[DataFrame], DataFrame]
+# A staging rule for one micro-batch: returns the clean rows, or (tagged, clean)
+# when the rejected rows should be written too.
+StageFn = Callable[[DataFrame], "DataFrame | tuple[DataFrame, DataFrame]"]
 
 
 def stage_full(clean: DataFrame, staged_path: str, partition_col: str, date_from: str) -> None:
@@ -34,11 +36,25 @@ def stage_full(clean: DataFrame, staged_path: str, partition_col: str, date_from
 def stage_incremental(spark: SparkSession, raw_path: str, raw_schema: T.StructType,
                       stage: StageFn, staged_path: str, checkpoint: str,
                       key: Sequence[str], partition_col: str, date_from: str,
-                      fmt: str = "parquet") -> None:
-    """Process the raw files that are new since the last run; append new keys."""
+                      fmt: str = "parquet", rejects_path: str | None = None) -> None:
+    """Process the raw files that are new since the last run; append new keys.
+
+    With ``rejects_path`` (and a ``stage`` returning ``(tagged, clean)``) the
+    rejected rows of micro-batch N are written to ``rejects_path/batch_id=N``
+    with overwrite, so a replayed batch rewrites the same files.
+    """
+    from tidemark.operators.cleanse import rejected_rows
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        clean = stage(batch).withColumn(partition_col, F.to_date(date_from))
+        staged_rows = stage(batch)
+        if isinstance(staged_rows, tuple):
+            tagged, clean = staged_rows
+            if rejects_path:
+                rejected_rows(tagged).write.mode("overwrite") \
+                    .parquet(f"{rejects_path}/batch_id={batch_id}")
+        else:
+            clean = staged_rows
+        clean = clean.withColumn(partition_col, F.to_date(date_from))
         if table_exists(spark, staged_path):
             staged = spark.read.parquet(staged_path)
             clean = new_keys(clean, staged, list(key), [partition_col])

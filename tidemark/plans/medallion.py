@@ -21,6 +21,7 @@ from tidemark.operators.category import top_categories
 from tidemark.operators.cleanse import rejected_rows
 from tidemark.operators.profile import average_conversion
 from tidemark.plans.curated import build_curated
+from tidemark.plans.incremental import stage_incremental
 from tidemark.plans.staged import stage_clickstream, stage_passthrough, stage_transactions
 from tidemark.schemas import STAGED_TYPES
 from tidemark.sources.files import ingest_raw, write_table
@@ -53,6 +54,12 @@ class MedallionConfig:
     clickstream_partition: str = "event_type"
     transaction_partition: str = "status"
     write_rejects: bool = True
+    # "full": every zone recomputed. "incremental": dimension snapshots are
+    # overwritten, fact drops are appended to the raw zone and only the new raw
+    # files are staged (new keys appended, date-partitioned staged facts).
+    mode: str = "full"
+    clickstream_date_from: str = "event_ts"
+    transaction_date_from: str = "order_date"
 
 
 @dataclass
@@ -67,6 +74,49 @@ def _zone(conf: MedallionConfig, zone: str, table: str) -> str:
     return f"{conf.lake_dir.rstrip('/')}/{zone}/{table}"
 
 
+def _stage_facts_fully(r: dict, customers: DataFrame, conf: "MedallionConfig", counts: dict) -> None:
+    tagged, clean = stage_clickstream(r["clickstream_events"], conf.clickstream_key,
+                                      order_by=conf.clickstream_order,
+                                      types=conf.types.get("clickstream_events"))
+    counts["staged.clickstream_events"] = write_table(
+        clean, _zone(conf, "staged", "clickstream_events"),
+        partition_by=[conf.clickstream_partition])
+    if conf.write_rejects:
+        counts["rejected.clickstream_events"] = write_table(
+            rejected_rows(tagged), _zone(conf, "staged", "_rejects/clickstream_events"))
+
+    tagged, clean = stage_transactions(r["transactions"], valid_customers=customers,
+                                       key=conf.transaction_key, order_by=conf.transaction_order,
+                                       types=conf.types.get("transactions"))
+    counts["staged.transactions"] = write_table(
+        clean, _zone(conf, "staged", "transactions"), partition_by=[conf.transaction_partition])
+    if conf.write_rejects:
+        counts["rejected.transactions"] = write_table(
+            rejected_rows(tagged), _zone(conf, "staged", "_rejects/transactions"))
+
+
+def _stage_facts_incrementally(spark: SparkSession, r: dict, customers: DataFrame,
+                               conf: "MedallionConfig") -> None:
+    """Stage only the raw fact files that arrived since the last run (per-table checkpoints)."""
+    def click(batch):
+        return stage_clickstream(batch, conf.clickstream_key, order_by=conf.clickstream_order,
+                                 types=conf.types.get("clickstream_events"))
+
+    def txn(batch):
+        return stage_transactions(batch, valid_customers=customers, key=conf.transaction_key,
+                                  order_by=conf.transaction_order,
+                                  types=conf.types.get("transactions"))
+
+    ck = f"{conf.lake_dir.rstrip('/')}/_checkpoints"
+    for name, fn, key, date_from in (
+            ("clickstream_events", click, conf.clickstream_key, conf.clickstream_date_from),
+            ("transactions", txn, conf.transaction_key, conf.transaction_date_from)):
+        rejects = _zone(conf, "staged", f"_rejects/{name}") if conf.write_rejects else None
+        stage_incremental(spark, _zone(conf, "raw", name), r[name].schema, fn,
+                          _zone(conf, "staged", name), f"{ck}/{name}", list(key), "_date",
+                          date_from, rejects_path=rejects)
+
+
 def run_medallion(spark: SparkSession, raw: dict[str, DataFrame], conf: MedallionConfig,
                   run_id: str | None = None) -> MedallionResult:
     """Run every zone for the four tables in ``raw`` (any columns; text or typed).
@@ -76,10 +126,15 @@ def run_medallion(spark: SparkSession, raw: dict[str, DataFrame], conf: Medallio
     """
     run_id = run_id or uuid.uuid4().hex[:12]
     counts: dict[str, int] = {}
+    incremental = conf.mode == "incremental"
+    if conf.mode not in ("full", "incremental"):
+        raise ValueError(f"unknown mode {conf.mode!r}")
 
     # raw zone: land as received (text) with the ingest stamp
     for name, df in raw.items():
-        counts[f"raw.{name}"] = ingest_raw(df, _zone(conf, "raw", name))
+        fact = name in ("clickstream_events", "transactions")
+        counts[f"raw.{name}"] = ingest_raw(df, _zone(conf, "raw", name),
+                                           mode="append" if incremental and fact else "overwrite")
     r = {name: spark.read.parquet(_zone(conf, "raw", name)) for name in raw}
 
     # staged zone
@@ -89,24 +144,10 @@ def run_medallion(spark: SparkSession, raw: dict[str, DataFrame], conf: Medallio
             _zone(conf, "staged", name))
     customers = spark.read.parquet(_zone(conf, "staged", "customers"))
 
-    tagged, clean = stage_clickstream(r["clickstream_events"], conf.clickstream_key,
-                                      order_by=conf.clickstream_order,
-                                      types=conf.types.get("clickstream_events"))
-    counts["staged.clickstream_events"] = write_table(
-        clean, _zone(conf, "staged", "clickstream_events"),
-        partition_by=[conf.clickstream_partition])
-    if conf.write_rejects:
-        counts["rejected.clickstream_events"] = write_table(
-            rejected_rows(tagged), _zone(conf, "staged", "_rejects/clickstream_events"))
-
-    tagged, clean = stage_transactions(r["transactions"], valid_customers=customers,
-                                       key=conf.transaction_key, order_by=conf.transaction_order,
-                                       types=conf.types.get("transactions"))
-    counts["staged.transactions"] = write_table(
-        clean, _zone(conf, "staged", "transactions"), partition_by=[conf.transaction_partition])
-    if conf.write_rejects:
-        counts["rejected.transactions"] = write_table(
-            rejected_rows(tagged), _zone(conf, "staged", "_rejects/transactions"))
+    if incremental:
+        _stage_facts_incrementally(spark, r, customers, conf)
+    else:
+        _stage_facts_fully(r, customers, conf, counts)
 
     staged = {n: spark.read.parquet(_zone(conf, "staged", n))
               for n in ("customers", "products", "clickstream_events", "transactions")}

@@ -67,10 +67,13 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", fmt: str = "p
     return int(obs.get["rows"]) if obs is not None else None
 
 
-def ingest_raw(df: DataFrame, path: str, fmt: str = "parquet") -> int:
-    """Raw zone landing: every value as text plus ``_ingested_ts``; row count."""
+def ingest_raw(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite") -> int:
+    """Raw zone landing: every value as text plus ``_ingested_ts``; row count.
+
+    ``mode="append"`` lands a new drop next to the earlier ones (new files only).
+    """
     text = df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
-    return write_table(stamp_ingest(text), path, fmt=fmt)
+    return write_table(stamp_ingest(text), path, mode=mode, fmt=fmt)
 
 
 def union_sources(*frames: DataFrame) -> DataFrame:
