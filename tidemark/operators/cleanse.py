@@ -54,9 +54,8 @@ def reject_summary(tagged: DataFrame, reasons: Sequence[str], key: Sequence[str]
     else:
         aggs.append(F.count_if(r.isNull()).alias("_distinct"))
     totals = tagged.agg(*aggs)
-    parts = [f"'{x}', _r{i}" for i, x in enumerate(reasons)]
-    parts.append("'duplicate', _valid - _distinct")
-    parts.append("'clean', _distinct")
-    return totals.selectExpr(
-        f"stack({len(parts)}, {', '.join(parts)}) as (reject_reason, rejected_rows)") \
+    cells = [c for i, x in enumerate(reasons) for c in (F.lit(x), F.col(f"_r{i}"))]
+    cells += [F.lit("duplicate"), F.col("_valid") - F.col("_distinct"),
+              F.lit("clean"), F.col("_distinct")]
+    return totals.select(F.stack(F.lit(len(cells) // 2), *cells).alias("reject_reason", "rejected_rows")) \
         .select("reject_reason", F.col("rejected_rows").cast("long"))

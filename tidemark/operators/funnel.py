@@ -34,8 +34,8 @@ def funnel_dropoff(events: DataFrame, stages: Sequence[str] = FUNNEL_STAGES,
     """
     t = F.col(type_col)
     totals = events.agg(*[F.count_if(t == F.lit(s)).alias(f"_s{i}") for i, s in enumerate(stages)])
-    pairs = ", ".join(f"{i + 1}, '{s}', _s{i}" for i, s in enumerate(stages))
-    return totals.selectExpr(f"stack({len(stages)}, {pairs}) as (stage_no, stage, event_count)") \
+    cells = [c for i, s in enumerate(stages) for c in (F.lit(i + 1), F.lit(s), F.col(f"_s{i}"))]
+    return totals.select(F.stack(F.lit(len(stages)), *cells).alias("stage_no", "stage", "event_count")) \
         .select(F.col("stage_no").cast("int"), "stage", F.col("event_count").cast("long"))
 
 
