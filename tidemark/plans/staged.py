@@ -1,9 +1,11 @@
 """Raw → staged: typed, validated, deduplicated tables.
 
-Each function returns ``(tagged, clean)``: ``tagged`` is the raw input with a
-``_reject_reason`` per row (for reject output and counts), ``clean`` the
-valid rows, deduplicated and typed. Both are lazy; a caller that writes both
-either writes ``clean`` with an ``Observation`` for the counts or persists.
+The two fact functions return ``(tagged, clean)``: ``tagged`` is the raw
+input with a ``_reject_reason`` per row (for reject output and counts),
+``clean`` the valid rows, deduplicated and typed. Both are lazy. A caller that
+writes both reads the raw input twice (two column-pruned scans), which at
+scale is cheaper than caching the whole raw table; counts come from
+``Observation``s on the writes.
 """
 
 from __future__ import annotations
