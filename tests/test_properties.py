@@ -67,3 +67,25 @@ def test_staging_invariants(spark, rows):
     assert clean.select("event_id").distinct().count() == n_clean
     _, again = stage_clickstream(clean, stamp=None)
     assert sorted(again.collect()) == sorted(clean.collect())
+
+
+@FAST
+@given(st.lists(st.one_of(
+    st.decimals(min_value=Decimal("-1e12"), max_value=Decimal("1e12"), allow_nan=False,
+                allow_infinity=False, places=4).map(lambda d: f"  {d} "),
+    st.sampled_from(["", "abc", "NaN", "Infinity", "-", "1e3", "1,000"])), min_size=1, max_size=40))
+def test_coerce_amount_matches_decimal(spark, texts):
+    from tidemark.functions.scalar import coerce_amount
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r[0] for r in df.select(coerce_amount("t")).collect()]
+
+    def want(t):
+        try:
+            d = Decimal(t.strip())
+        except Exception:  # noqa: BLE001
+            return None
+        if not d.is_finite():
+            return None
+        return d.quantize(Decimal("0.01"), rounding=ROUND_HALF_UP)
+
+    assert got == [want(t) for t in texts]
