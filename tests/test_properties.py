@@ -89,3 +89,29 @@ def test_coerce_amount_matches_decimal(spark, texts):
         return d.quantize(Decimal("0.01"), rounding=ROUND_HALF_UP)
 
     assert got == [want(t) for t in texts]
+
+
+@FAST
+@given(st.lists(st.one_of(
+    st.floats(min_value=-1e12, max_value=1e12, allow_nan=False).map(lambda f: f" {f!r}"),
+    st.integers(-10**12, 10**12).map(str),
+    st.sampled_from(["", "x", "NaN", "-Infinity", "2147483648", "-2147483648", "0.999"])),
+    min_size=1, max_size=40))
+def test_coerce_quantity_truncates_within_int_range(spark, texts):
+    import math
+
+    from tidemark.functions.scalar import coerce_quantity
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r[0] for r in df.select(coerce_quantity("t")).collect()]
+
+    def want(t):
+        try:
+            f = float(t.strip())
+        except ValueError:
+            return None
+        if not math.isfinite(f):
+            return None
+        i = math.trunc(f)
+        return i if -2**31 <= i < 2**31 else None
+
+    assert got == [want(t) for t in texts]
