@@ -84,10 +84,12 @@ def test_stream_lag_alarm(spark):
 
 def test_rollup_stream_emits_closed_periods(spark, tmp_dir):
     base = dt.datetime(2025, 1, 1)
+    import time
     schema = "metric string, ts timestamp, value double"
     for part, minutes in (("a", (0, 1, 2, 6, 7)), ("b", (30,))):
         rows = [("m", base + dt.timedelta(minutes=m), float(m)) for m in minutes]
         spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{tmp_dir}/src/{part}")
+        time.sleep(1.1)          # the file source reads files in modification-time order
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1) \
         .parquet(f"{tmp_dir}/src/*")
     out = metrics.rollup_stream(stream, 300, "1 minute")
