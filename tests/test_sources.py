@@ -105,3 +105,12 @@ def test_cluster_conf_profile():
     assert int(c["spark.sql.shuffle.partitions"]) == 50000
     assert cluster_conf(100, 0.001)["spark.sql.shuffle.partitions"] == "400"
     assert c["spark.sql.autoBroadcastJoinThreshold"] == str(64 * 1024 * 1024)
+
+
+def test_read_table_prunes_columns(spark, tmp_dir):
+    spark.range(5).withColumn("x", F.col("id") * 2).write.parquet(f"{tmp_dir}/t")
+    df = files.read_table(spark, f"{tmp_dir}/t", columns=["x"])
+    assert df.columns == ["x"] and sorted(r[0] for r in df.collect()) == [0, 2, 4, 6, 8]
+    assert "ReadSchema: struct<x:bigint>" in df._sc._jvm.PythonSQLUtils.explainString(
+        df._jdf.queryExecution(), "formatted")
+    assert files.table_exists(spark, f"{tmp_dir}/t") and not files.table_exists(spark, f"{tmp_dir}/none")
