@@ -82,7 +82,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception as e:  # noqa: BLE001 (a Spark Connect session has no SparkContext)
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder for this session") from e
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
