@@ -103,3 +103,13 @@ def test_rollup_stream_emits_closed_periods(spark, tmp_dir):
     # the latest event is still open when the available data ends
     assert got and all(batch[k] == v for k, v in got.items())
     assert set(got) <= set(batch) and len(got) < len(batch)
+
+
+def test_alarm_spec_validation_and_ignore(spark):
+    import pytest
+    with pytest.raises(ValueError):
+        AlarmSpec("x", "max", 300, 1.0, 1, ">", "sometimes")
+    s = _series(spark, [(1, 70000.0), (11, 61000.0)])
+    a = [r["state"] for r in metrics.metric_alarm(s, AlarmSpec("l", "max", 300, 60000.0, 2, ">", "ignore"))
+         .orderBy("period_start").collect()]
+    assert a == ["OK", "ALARM"]

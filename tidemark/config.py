@@ -79,7 +79,15 @@ class AlarmSpec:
     threshold: float
     evaluation_periods: int = 1
     comparison: str = ">"     # ">" | ">=" | "<" | "<="
-    treat_missing: str = "missing"  # "missing" | "notBreaching" | "breaching"
+    treat_missing: str = "missing"  # "missing" | "ignore" | "notBreaching" | "breaching"
+
+    def __post_init__(self):
+        if self.treat_missing not in ("missing", "ignore", "notBreaching", "breaching"):
+            raise ValueError(f"unknown treat_missing {self.treat_missing!r}")
+        if self.comparison not in (">", ">=", "<", "<="):
+            raise ValueError(f"unknown comparison {self.comparison!r}")
+        if self.evaluation_periods < 1 or self.period_seconds < 1:
+            raise ValueError("evaluation_periods and period_seconds must be positive")
 
 
 # Alarm definitions: failures (sum over 5 min > 0), consumer lag (max over

@@ -79,7 +79,7 @@ def metric_alarm(series: DataFrame, spec: AlarmSpec, metric_col: str = "metric",
     ``state`` is ALARM when the last ``evaluation_periods`` periods all breach.
     Missing periods (no data): ``notBreaching`` / ``breaching`` fill a dense
     period grid per metric with a non-breaching / breaching point;
-    ``missing`` evaluates only the periods that have data.
+    ``missing`` / ``ignore`` evaluate only the periods that have data.
     """
     stats = period_stats(series, spec, metric_col, ts_col, value_col)
     if spec.treat_missing in ("notBreaching", "breaching"):

@@ -84,7 +84,7 @@ def _evaluator(spec: AlarmSpec):
         out = []
         for p in sorted(q for q in open_ if q + period_us <= watermark_us):
             c, u, x, n = open_.pop(p)
-            if last is not None and spec.treat_missing != "missing":
+            if last is not None and spec.treat_missing in ("notBreaching", "breaching"):
                 gap = (p - last) // period_us - 1
                 if gap > 0:
                     run = run + gap if spec.treat_missing == "breaching" else 0
