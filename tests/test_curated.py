@@ -97,3 +97,14 @@ def test_revenue_equals_spend_when_all_known(spark, ):
     rev = sum(r["revenue"] for r in category_performance(completed(txn), prod).collect())
     spend = sum(r["total_spend"] for r in customer_profile(cust, ev, txn).collect())
     assert round(rev, 2) == round(spend, 2)
+
+
+def test_stage_names_with_dots(spark):
+    from tidemark.config import FunnelSpec
+    spec = FunnelSpec(stages=("page.view", "buy"), numerator="buy", denominator="page.view")
+    cust = spark.createDataFrame([("A",)], CUST)
+    ev = spark.createDataFrame([("A", "page.view"), ("A", "page.view"), ("A", "buy")], EV)
+    txn = spark.createDataFrame([], TXN)
+    r = customer_profile(cust, ev, txn, spec).first()
+    assert r["page.view"] == 2 and r["conversion_rate"] == 0.5
+    assert average_conversion(customer_profile(cust, ev, txn, spec), spec).first()["avg_conversion_rate"] == 0.5

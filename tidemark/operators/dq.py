@@ -80,6 +80,8 @@ def _result_cols(name: str, table: str, part: str, total: str, threshold: float,
 
 
 def _all_present(df: DataFrame, required_cols: Sequence[str]) -> Column:
+    if not required_cols:
+        raise ValueError("completeness needs at least one required column")
     types = dict(df.dtypes)
     out = None
     for c in required_cols:

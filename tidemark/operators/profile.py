@@ -35,7 +35,7 @@ def customer_profile(customers: DataFrame, clickstream: DataFrame, transactions:
         .withColumn("total_orders", F.col("total_orders").cast("long"))
     return prof.withColumn(
         "conversion_rate",
-        safe_ratio(F.col(funnel.numerator), F.col(funnel.denominator), RATE_SCALE))
+        safe_ratio(F.col(f"`{funnel.numerator}`"), F.col(f"`{funnel.denominator}`"), RATE_SCALE))
 
 
 def average_conversion(profile: DataFrame, funnel: FunnelSpec = DEFAULT_FUNNEL) -> DataFrame:
@@ -44,7 +44,7 @@ def average_conversion(profile: DataFrame, funnel: FunnelSpec = DEFAULT_FUNNEL)
     One row: (customers_with_views, avg_conversion_rate). The mean of rates
     with 4 decimals is taken exactly in integers and rounded half-up to 8.
     """
-    viewed = profile.filter(F.col(funnel.denominator) > 0)
+    viewed = profile.filter(F.col(f"`{funnel.denominator}`") > 0)
     rate_units = (F.col("conversion_rate") * F.lit(10 ** RATE_SCALE)).cast("decimal(18,0)")
     agg = viewed.agg(F.count(F.lit(1)).alias("customers_with_views"),
                      F.sum(rate_units.cast("long")).alias("_units"))
