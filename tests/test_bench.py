@@ -19,3 +19,12 @@ def test_bench_prints_one_json_line():
     d = json.loads(lines[0])
     assert d["unit"] == "sec" and d["sf"] == 0.001 and set(d["queries"]) == {"funnel_dropoff", "customer_spend"}
     assert d["value"] == round(sum(d["queries"].values()), 3)
+
+
+def test_query_cli_writes_result(tmp_path):
+    out = tmp_path / "funnel"
+    r = subprocess.run([sys.executable, "-m", "tidemark.plans.registry", "funnel_dropoff",
+                        "--sf-dir", "/root/testdata/sf0.001", "--out", str(out), "--master", "local[2]"],
+                       cwd=ROOT, capture_output=True, text=True, timeout=600)
+    assert r.returncode == 0, r.stderr[-2000:]
+    assert "funnel_dropoff: 5 rows written" in r.stdout

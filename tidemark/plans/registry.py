@@ -358,3 +358,35 @@ QUERIES: dict[str, QueryFn] = {
     "metric_alarm_consecutive": q_metric_alarm_consecutive,
     "medallion_customer_360": q_medallion_customer_360,
 }
+
+
+def main(argv=None) -> int:
+    """``python -m tidemark.plans.registry QUERY --sf-dir DIR [--out PATH] [--format parquet]``.
+
+    Runs one registered query over the tables in DIR; writes the result to
+    PATH (Parquet, CSV or JSON), or shows the first rows when no PATH is given.
+    """
+    import argparse
+
+    from tidemark.session import get_session
+    from tidemark.sources.files import write_table
+
+    ap = argparse.ArgumentParser(prog="tidemark-query")
+    ap.add_argument("query", choices=sorted(QUERIES))
+    ap.add_argument("--sf-dir", required=True)
+    ap.add_argument("--out", default=None)
+    ap.add_argument("--format", default="parquet", choices=("parquet", "csv", "json"))
+    ap.add_argument("--master", default=None)
+    args = ap.parse_args(argv)
+    spark = get_session(args.master)
+    df = QUERIES[args.query](spark, args.sf_dir)
+    if args.out:
+        n = write_table(df, args.out, fmt=args.format)
+        print(f"{args.query}: {n:,} rows written to {args.out}")
+    else:
+        df.show(20, truncate=False)
+    return 0
+
+
+if __name__ == "__main__":
+    raise SystemExit(main())
