@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import re
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,6 +17,12 @@ ASCII_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstu
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    if spark.sparkContext.master.startswith("local"):
+        # Python workers of this machine find the package wherever the driver was started;
+        # on a cluster it is shipped with --py-files.
+        env, root = spark.sparkContext.environment, str(Path(__file__).resolve().parents[2])
+        if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+            env["PYTHONPATH"] = os.pathsep.join(filter(None, [root, env.get("PYTHONPATH")]))
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tidemark.llm import chat, quality
+from tidemark.llm import chat, quality, rans
 
 QUERIES = {
     "op4_chat_format": chat.q_chat,
+    "op5_rans_token_files": rans.q_token_files,
     "op8_quality_ledger": quality.q_quality,
 }
 
