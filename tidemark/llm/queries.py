@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from tidemark.llm import chat, quality, rans
+from tidemark.llm import chat, packing, quality, rans, urls
 
 QUERIES = {
     "op4_chat_format": chat.q_chat,
     "op5_rans_token_files": rans.q_token_files,
+    "op6_nnls_packing": packing.q_packing,
     "op8_quality_ledger": quality.q_quality,
+    "op9_url_verdicts": urls.q_urls,
 }
 
 ORACLE = {
