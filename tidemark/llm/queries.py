@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tidemark.llm import chat, packing, quality, rans, urls
+from tidemark.llm import chat, packing, quality, rans, urls, warc
 
 QUERIES = {
+    "op1_warc_roundtrip": warc.q_warc,
     "op4_chat_format": chat.q_chat,
     "op5_rans_token_files": rans.q_token_files,
     "op6_nnls_packing": packing.q_packing,
@@ -13,6 +14,7 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op1_warc_roundtrip": warc.SQL,
     "op4_chat_format": chat.SQL,
     "op8_quality_ledger": quality.SQL,
 }
