@@ -42,7 +42,7 @@ from tidemark.llm import tokens
 from tidemark.llm.common import remove, table, written
 from tidemark.session import scratch_path
 
-PROB_BITS = 20
+PROB_BITS = 18
 BLOCK_IDS = 1 << 18
 EVERY = 128                    # steps between checkpoints
 _LOW = np.uint64(1 << 31)      # states stay in [2**31, 2**63)
@@ -208,8 +208,9 @@ def histogram(ids: DataFrame, n_symbols: int) -> np.ndarray:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(n_symbols, np.int64)
         for b in batches:
-            for x in b.column("ids"):
-                total += np.bincount(np.frombuffer(x.as_buffer(), "<u4"), minlength=n_symbols)
+            for a in range(0, b.num_rows, 1024):
+                ids = b"".join(b.column("ids").slice(a, 1024).to_pylist())
+                total += np.bincount(np.frombuffer(ids, "<u4"), minlength=n_symbols)
         at = np.flatnonzero(total)
         yield pa.record_batch({"symbol": at, "n": total[at]})
 

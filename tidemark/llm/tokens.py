@@ -27,7 +27,7 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
 class Encoder:
     """``encode(texts)`` gives, per text, its ids as little-endian unsigned 32-bit integers."""
 
-    def __init__(self, path: str, limit: int = 600_000):
+    def __init__(self, path: str, limit: int = 1_000_000):
         import os
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
@@ -41,24 +41,31 @@ class Encoder:
                 for e in self._tok.encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        known, heads, rests, new = self._known, [], [], set()
+        known, heads, rows, new = self._known, [], [], {}
         for t in texts:
             head, *rest = t.split(" ")
-            missing = set(rest).difference(known)
-            if missing and not all(map(_SOLID.match, missing)):
-                head, rest = _joined(head, rest)
-                missing = set(rest).difference(known)
-            new |= missing
+            ids = list(map(known.get, rest))
+            if None in ids:
+                missing = [p for p, x in zip(rest, ids) if x is None]
+                if not all(map(_SOLID.match, missing)):
+                    head, rest = _joined(head, rest)
+                    ids = list(map(known.get, rest))
+                    missing = [p for p, x in zip(rest, ids) if x is None]
+                new.update(dict.fromkeys(missing))
+                rows.append((rest, ids, True))
+            else:
+                rows.append((rest, ids, False))
             heads.append(head)
-            rests.append(rest)
-        known.update(zip(new, self.direct([" " + p for p in new])))
-        out = [h + b"".join(map(known.__getitem__, rest)) for h, rest in zip(self.direct(heads), rests)]
-        # Long parts, and new ones beyond the limit, are forgotten after the batch.
-        over = len(known) - self._limit
-        for p in new:
-            if len(p) > _LONGEST or over > 0:
-                del known[p]
-                over -= 1
+        words = list(new)
+        new = dict(zip(words, self.direct([" " + p for p in words])))
+        out = []
+        for head, (rest, ids, gaps) in zip(self.direct(heads), rows):
+            out.append(head + b"".join([new[p] if x is None else x for p, x in zip(rest, ids)] if gaps else ids))
+        for p, x in new.items():
+            if len(known) >= self._limit:
+                break
+            if len(p) <= _LONGEST:
+                known[p] = x
         return out
 
 
