@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from tidemark.llm import chat, packing, quality, rans, simhash, urls, warc
+from tidemark.llm import chat, decontaminate, packing, quality, rans, simhash, urls, warc
 
 QUERIES = {
     "op1_warc_roundtrip": warc.q_warc,
     "op2_simhash_groups": simhash.q_simhash,
+    "op3_template_leaks": decontaminate.q_decontaminate,
     "op4_chat_format": chat.q_chat,
     "op5_rans_token_files": rans.q_token_files,
     "op6_nnls_packing": packing.q_packing,
