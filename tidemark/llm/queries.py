@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import chat, decontaminate, packing, quality, rans, simhash, urls, warc
+from tidemark.llm import chat, decontaminate, langid, packing, quality, rans, secrets, simhash, urls, warc
 
 QUERIES = {
     "op1_warc_roundtrip": warc.q_warc,
@@ -11,8 +11,10 @@ QUERIES = {
     "op4_chat_format": chat.q_chat,
     "op5_rans_token_files": rans.q_token_files,
     "op6_nnls_packing": packing.q_packing,
+    "op7_secret_spans": secrets.q_secrets,
     "op8_quality_ledger": quality.q_quality,
     "op9_url_verdicts": urls.q_urls,
+    "op10_language": langid.q_langid,
 }
 
 ORACLE = {
