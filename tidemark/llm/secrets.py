@@ -349,10 +349,10 @@ def redact(docs: DataFrame, field: Field | None) -> DataFrame:
     return out
 
 
-def _scanned(docs: DataFrame) -> DataFrame:
+def scanned(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
 
 
 def q_secrets(spark, sf_dir):
-    docs = _scanned(table(spark, sf_dir, "documents"))
+    docs = scanned(table(spark, sf_dir, "documents"))
     return scan(docs, train(docs))
