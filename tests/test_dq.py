@@ -76,10 +76,9 @@ def test_suite_and_gate(spark):
         [f.name for f in dq.DQ_SCHEMA]
 
 
-def test_results_sink_appends(spark, tmp_dir):
+def test_results_sink_is_idempotent(spark, tmp_dir):
     df = spark.createDataFrame([("a",)], "k string")
     r = dq.check_uniqueness(df, "t", "k", as_of="2025-01-01 00:00:00")
-    dq.write_results(r, f"{tmp_dir}/dq")
-    dq.write_results(r, f"{tmp_dir}/dq")
-    back = spark.read.parquet(f"{tmp_dir}/dq")
-    assert back.count() == 2 and "run_date" in back.columns
+    for run_id in ("r1", "r1", "r2"):                  # a retry replaces its own rows
+        dq.write_results(r, f"{tmp_dir}/dq", run_id)
+    assert sorted(x["run_id"] for x in spark.read.parquet(f"{tmp_dir}/dq").collect()) == ["r1", "r2"]

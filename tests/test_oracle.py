@@ -3,13 +3,15 @@
 import pytest
 
 from tests.oracle_compare import run
+from tidemark.plans.registry import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
 
 @pytest.mark.parametrize("sf_dir", [SF])
 def test_all_queries_match_oracle(spark, sf_dir):
-    res = run(sf_dir, spark=spark, verbose=False)
+    res = run(sf_dir, list(QUERIES), spark=spark, verbose=False)
+    assert all(v[0] == "checked" for v in res.values())
     bad = {k: v[2] for k, v in res.items() if v[2]}
     assert not bad, bad
 
@@ -29,7 +31,7 @@ def test_results_do_not_depend_on_session_settings(spark):
     try:
         for k, v in keys.items():
             spark.conf.set(k, v)
-        res = run(SF, spark=spark, verbose=False)
+        res = run(SF, list(QUERIES), spark=spark, verbose=False)
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)

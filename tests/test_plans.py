@@ -4,12 +4,12 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry
 from tidemark.plans import registry
 
 SF = "/root/testdata/sf0.001"
 # queries whose callables write intermediate data before returning a frame
-SIDE_EFFECTS = {"stream_landing", "stream_dedupe", "incremental_ingest", "medallion_customer_360"}
+SIDE_EFFECTS = {"stream_landing", "stream_dedupe", "stream_batch_convergence", "stream_alarm", "incremental_ingest",
+                "medallion_customer_360", "medallion_incremental"}
 
 
 def plan(df, mode="formatted"):
@@ -17,9 +17,9 @@ def plan(df, mode="formatted"):
         df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), mode)
 
 
-@pytest.mark.parametrize("name", [k for k in entry.queries() if k not in SIDE_EFFECTS])
+@pytest.mark.parametrize("name", [k for k in registry.QUERIES if k not in SIDE_EFFECTS])
 def test_no_python_evaluation(spark, name):
-    p = plan(entry.queries()[name](spark, SF))
+    p = plan(registry.QUERIES[name](spark, SF))
     assert not re.search(r"BatchEvalPython|ArrowEvalPython|PythonUDF|MapInPandas|FlatMapGroupsInPandas", p)
 
 
@@ -60,6 +60,30 @@ def test_dq_suite_scans_each_table_once_per_pass(spark):
     assert "Expand" not in p
 
 
-def test_staging_semi_join_feeds_clean_rows(spark):
-    p = plan(registry.q_stage_transactions(spark, SF))
-    assert "LeftSemi" in p and "LeftAnti" not in p and "Union" not in p
+def scans(p, table):
+    """Scans of a table in the plan tree (a reused exchange is read once)."""
+    return len(re.findall(rf"Location: InMemoryFileIndex [^\n]*/{table}\.parquet\]", p))
+
+
+def test_rejects_come_from_one_pass(spark):
+    """One scan of lines and orders, one outer join to the customer keys, no union of branches."""
+    p = plan(registry.q_stage_transactions_rejects(spark, SF))
+    assert scans(p, "lineitem") == 1 and scans(p, "orders") == 1 and "Union" not in p
+    assert "LeftAnti" not in p and "LeftSemi" not in p and "LeftOuter" in p
+
+
+@pytest.mark.parametrize("name", ["json_decode", "json_dead_letter", "union_sources", "json_decode_faulty"])
+def test_records_are_parsed_once(spark, name):
+    """One from_json in the whole executed plan: filters and projections do not repeat it."""
+    df = registry.QUERIES[name](spark, SF)
+    tree = df._jdf.queryExecution().executedPlan().toString()
+    assert tree.count("from_json(") == 1, tree
+
+
+def test_incremental_reads_history_as_keys_only(spark, tmp_dir):
+    """The anti join against everything staged reads the key column and no other."""
+    from tidemark.operators.joins import new_keys
+    staged = registry.q_stage_clickstream(spark, SF)
+    staged.write.parquet(f"{tmp_dir}/staged")
+    p = plan(new_keys(staged, spark.read.parquet(f"{tmp_dir}/staged"), ["event_id"]))
+    assert "ReadSchema: struct<event_id:bigint>" in p and "LeftAnti" in p

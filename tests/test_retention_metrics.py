@@ -113,3 +113,33 @@ def test_alarm_spec_validation_and_ignore(spark):
     a = [r["state"] for r in metrics.metric_alarm(s, AlarmSpec("l", "max", 300, 60000.0, 2, ">", "ignore"))
          .orderBy("period_start").collect()]
     assert a == ["OK", "ALARM"]
+
+
+def test_metrics_survive_huge_and_missing_values(spark):
+    """1e13, NaN, infinities and NULL: exact sums, missing values ignored everywhere, no overflow."""
+    import datetime as dt
+
+    from tidemark.config import AlarmSpec
+    from tidemark.operators import metrics
+    t = dt.datetime(2025, 1, 1)
+    rows = [("a", t, 1e13), ("a", t, 0.5), ("a", t, float("nan")), ("a", t, float("inf")), ("a", t, None),
+            ("b", t, float("nan")), ("b", t, 1.0), ("c", t, 1e30)]
+    df = spark.createDataFrame(rows, "metric string, ts timestamp, value double")
+    got = {r["metric"]: r for r in metrics.rollup(df, 300).collect()}
+    assert (got["a"]["samples"], got["a"]["sum"], got["a"]["max"], got["a"]["min"]) == (2, 1e13 + 0.5, 1e13, 0.5)
+    assert got["a"]["avg"] == 5000000000000.25
+    assert (got["b"]["samples"], got["b"]["sum"], got["b"]["avg"], got["b"]["max"]) == (1, 1.0, 1.0, 1.0)
+    assert (got["c"]["samples"], got["c"]["sum"], got["c"]["max"]) == (1, None, 1e30)
+    for stat in ("sum", "max", "min", "count", "avg"):
+        assert metrics.metric_alarm(df, AlarmSpec("x", stat, 300, 0.0)).count() == 3
+
+
+def test_half_up_ratio_of_large_numbers(spark):
+    from tidemark.functions.scalar import half_up_ratio
+    rows = [(10 ** 18, 3, 333333333333333333.3333), (-(10 ** 18), 3, -333333333333333333.3333), (1, 8, 0.125), (5, 0, None),
+            (-1, 2, -0.5), (9007199254740993, 1, 9007199254740993.0)]
+    df = spark.createDataFrame([r[:2] for r in rows], "n long, d long")
+    got = [r[0] for r in df.select(half_up_ratio("n", "d", 4)).collect()]
+    import pytest
+    assert [x is None for x in got] == [r[2] is None for r in rows]
+    assert [x or 0 for x in got] == pytest.approx([r[2] or 0 for r in rows], rel=1e-15)

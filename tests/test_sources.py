@@ -2,6 +2,8 @@
 
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -90,19 +92,12 @@ def test_csv_raw_round_trip(spark, tmp_dir):
     assert got == {"C1": ("2025-01-01", "NA"), "C2": (None, "ZA")}
 
 
-def test_stage_full_overwrites_by_date(spark, tmp_dir):
-    df = spark.createDataFrame([("e1", "2025-01-01 10:00:00"), ("e2", "2025-01-02 10:00:00")],
-                               "event_id string, event_ts string")
-    clean = df.withColumn("event_ts", F.col("event_ts").cast("timestamp"))
-    incremental.stage_full(clean, f"{tmp_dir}/s", "event_date", "event_ts")
-    incremental.stage_full(clean.limit(1), f"{tmp_dir}/s", "event_date", "event_ts")
-    assert spark.read.parquet(f"{tmp_dir}/s").count() == 1
-
 
 def test_cluster_conf_profile():
     from tidemark.session import cluster_conf
     c = cluster_conf(8000, 100.0)
-    assert int(c["spark.sql.shuffle.partitions"]) == 50000
+    assert int(c["spark.sql.shuffle.partitions"]) == 400_000
+    assert cluster_conf(8000, 100.0, max_partitions=50_000)["spark.sql.shuffle.partitions"] == "50000"
     assert cluster_conf(100, 0.001)["spark.sql.shuffle.partitions"] == "400"
     assert c["spark.sql.autoBroadcastJoinThreshold"] == str(64 * 1024 * 1024)
 
@@ -114,3 +109,30 @@ def test_read_table_prunes_columns(spark, tmp_dir):
     assert "ReadSchema: struct<x:bigint>" in df._sc._jvm.PythonSQLUtils.explainString(
         df._jdf.queryExecution(), "formatted")
     assert files.table_exists(spark, f"{tmp_dir}/t") and not files.table_exists(spark, f"{tmp_dir}/none")
+
+
+def test_scratch_needs_a_shared_folder_off_local(monkeypatch):
+    """Without spark.checkpoint.dir only a local master gets a private folder."""
+    from types import SimpleNamespace
+
+    from tidemark.session import checkpoint_root
+    for master in ("yarn", "spark://h:7077", "local-cluster[2,1,1024]"):
+        fake = SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: d),
+                               sparkContext=SimpleNamespace(master=master, getCheckpointDir=lambda: None))
+        with pytest.raises(RuntimeError):
+            checkpoint_root(fake)
+
+
+def test_incremental_ignores_dates_of_returning_keys(spark, tmp_dir):
+    """A key that returns with another date, or without one, is staged once; a replayed drop adds nothing."""
+    from tidemark.plans import incremental
+    schema = "event_id string, event_ts timestamp"
+    import datetime as dt
+    drops = [[("a", dt.datetime(2024, 1, 1)), ("n", None)], [("a", dt.datetime(2024, 1, 2)), ("n", None), ("b", None)],
+             [("a", None), (None, dt.datetime(2024, 1, 3))]]
+    for i, rows in enumerate(drops):
+        df = spark.createDataFrame(rows, schema)
+        df.write.parquet(f"{tmp_dir}/raw/drop={i}")
+        incremental.stage_incremental(spark, f"{tmp_dir}/raw/drop=*", df.schema, lambda b: b.dropDuplicates(["event_id"]),
+                                      f"{tmp_dir}/staged", f"{tmp_dir}/ck", ["event_id"], "_date", "event_ts")
+    assert sorted(r["event_id"] for r in spark.read.parquet(f"{tmp_dir}/staged").collect()) == ["a", "b", "n"]

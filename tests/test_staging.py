@@ -96,10 +96,15 @@ def test_reject_summary_zero_fill(spark):
     assert got["invalid_amount"] == 0 and got["clean"] == 1 and got["duplicate"] == 0
 
 
-def test_split_rejects_and_duplicate_count(spark):
-    from tidemark.operators.cleanse import split_rejects
-    from tidemark.operators.dedupe import duplicate_count
-    df = spark.createDataFrame([("a", 1), ("a", 2), ("b", -1), ("c", 3)], "k string, v int")
-    valid, rejected = split_rejects(df, [("negative", F.col("v") > 0)])
-    assert valid.count() == 3 and [r[REJECT_COL] for r in rejected.collect()] == ["negative"]
-    assert duplicate_count(valid, ["k"]).first().asDict() == {"rows": 3, "distinct_keys": 2, "duplicates": 1}
+def test_keys_are_typed_before_they_are_compared(spark):
+    """' 7 ' and '07' are customer 7; unreadable keys are rejected, not merged; nothing is lost."""
+    rows = [("1", " 7 ", "1", "5"), ("2", "07", "1", "5"), ("3", "8", "1", "5"), ("x", "7", "1", "5"), ("y", "7", "1", "5"),
+            ("1", "7", "1", "6"), (None, "7", "1", "5")]
+    raw = spark.createDataFrame(rows, "order_id string, customer_id string, quantity string, amount string")
+    known = spark.createDataFrame([("7",), ("7",)], "customer_id string")
+    tagged, clean = stage_transactions(raw, known, types={"order_id": "bigint", "customer_id": "bigint"}, stamp=None)
+    assert sorted((r["order_id"], r["customer_id"]) for r in clean.collect()) == [(1, 7), (2, 7)]
+    got = {r[0]: r[1] for r in reject_summary(tagged, TRANSACTION_REASONS, ["order_id"]).collect()}
+    assert got == {"invalid_key": 3, "invalid_quantity": 0, "invalid_amount": 0, "missing_customer": 0,
+                   "unknown_customer": 1, "duplicate": 1, "clean": 2}
+    assert [r["_raw"]["order_id"] for r in tagged.filter(f"{REJECT_COL} = 'invalid_key'").collect()].count("x") == 1

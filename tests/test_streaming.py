@@ -115,12 +115,14 @@ def test_ndjson_landing_and_progress(spark, tmp_dir):
     _fixture_records(spark).write.parquet(src)
     out = os.path.join(tmp_dir, "out")
     q = landing.land_stream(landing.read_records(spark, src), f"{out}/good", f"{out}/dead",
-                            f"{out}/_ck", FIELDS, fmt="json", available_now=True)
+                            f"{out}/_ck", FIELDS, fmt="json", available_now=True, progress_path=f"{out}/progress")
     q.awaitTermination()
     lines = spark.read.text(f"{out}/good").collect()
     assert len(lines) == 5 and all(r[0].startswith("{") for r in lines)
     prog = landing.batch_progress(spark, q).collect()
     assert sum(r["num_input_rows"] for r in prog) == 13
+    kept = landing.landing_progress(spark, f"{out}/progress").agg({"landed": "sum", "dead": "sum"}).first()
+    assert (kept["sum(landed)"], kept["sum(dead)"]) == (5, 8)
 
 
 def test_compact_timestamp(spark):
@@ -153,7 +155,7 @@ def test_stream_alarm_matches_batch(spark, tmp_dir):
 
     from tidemark.config import AlarmSpec
     from tidemark.operators import metrics
-    from tidemark.streaming.alarms import stream_alarm
+    from tidemark.streaming.alarms import alarm_states, stream_alarm
 
     base = dt.datetime(2025, 1, 1)
     schema = "metric string, ts timestamp, value double"
@@ -169,15 +171,55 @@ def test_stream_alarm_matches_batch(spark, tmp_dir):
                               AlarmSpec("b", "max", 300, 60.0, 2, ">", "breaching"),
                               AlarmSpec("c", "sum", 300, 50.0, 2, ">=", "missing")]):
         stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_dir}/src/*")
-        q = (stream_alarm(stream, spec, "1 minute").writeStream.format("parquet")
-             .option("path", f"{tmp_dir}/out{j}").option("checkpointLocation", f"{tmp_dir}/ck{j}")
-             .outputMode("append").trigger(availableNow=True).start())
+        q = stream_alarm(stream, spec, "1 minute", f"{tmp_dir}/out{j}", f"{tmp_dir}/ck{j}", available_now=True)
         q.awaitTermination()
         got = {(r["metric"], r["period_start"]): (r["stat_value"], r["state"])
-               for r in spark.read.parquet(f"{tmp_dir}/out{j}").collect()}
+               for r in alarm_states(spark, f"{tmp_dir}/out{j}", spec).collect() if r["stat_value"] is not None}
         batch = {(r["metric"], r["period_start"]): (r["stat_value"], r["state"])
                  for r in metrics.metric_alarm(spark.read.parquet(f"{tmp_dir}/src/*"), spec).collect()
                  if r["stat_value"] is not None}
         assert got, spec
         assert all(batch[k] == v for k, v in got.items()), (spec, got, batch)
         assert any(v[1] == "ALARM" for v in got.values()), spec
+
+
+def test_a_batch_is_always_bounded():
+    import pytest
+    with pytest.raises(ValueError):
+        landing.MicroBatch().source_options("parquet", 0)
+
+
+def test_convergence_takes_several_micro_batches(spark, tmp_dir):
+    """Repeats batches apart and both arrival paths: staging keeps one of each event."""
+    from tidemark.plans.registry import STREAM_FILES
+    from tidemark.sources import testdata as td
+    from tidemark.plans import staged
+    from tidemark.sources.files import union_sources
+    sf = "/root/testdata/sf0.001"
+    td.event_records(spark, sf).repartition(STREAM_FILES).write.parquet(f"{tmp_dir}/src")
+    q = landing.land_stream(landing.read_records(spark, f"{tmp_dir}/src"), f"{tmp_dir}/good", f"{tmp_dir}/dead",
+                            f"{tmp_dir}/ck", td.EVENT_FIELDS, available_now=True, progress_path=f"{tmp_dir}/progress")
+    q.awaitTermination()
+    assert landing.landing_progress(spark, f"{tmp_dir}/progress").count() >= 5
+    raw = union_sources(td.batch_export(spark, sf), landing.read_landed(spark, f"{tmp_dir}/good").select(*td.EVENT_FIELDS))
+    clean = staged.stage_clickstream(raw, types=td.CLICKSTREAM_TYPES, stamp=None)[1]
+    want = td.table(spark, sf, "events").filter("event_type <> 'error'")
+    assert clean.count() == want.count() == clean.select("event_id").distinct().count()
+
+
+def test_late_rows_are_counted(spark, tmp_dir):
+    import datetime as dt
+    import time
+
+    from tidemark.config import AlarmSpec
+    from tidemark.streaming.alarms import late_rows, stream_alarm
+    schema, base = "metric string, ts timestamp, value double", dt.datetime(2025, 1, 1)
+    for i, minutes in enumerate([0, 60, 90, 1, 120]):
+        spark.createDataFrame([("m", base + dt.timedelta(minutes=minutes), 1.0)], schema).coalesce(1) \
+            .write.parquet(f"{tmp_dir}/src/f{i}")
+        time.sleep(1.1)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_dir}/src/*")
+    q = stream_alarm(stream, AlarmSpec("a", "sum", 300, 0.0), "1 minute", f"{tmp_dir}/out", f"{tmp_dir}/ck",
+                     available_now=True)
+    q.awaitTermination()
+    assert late_rows(q) == 1

@@ -1,8 +1,8 @@
 """Fixed values.
 
 Everything in the first block must equal the reference behaviour for the
-results to agree: the funnel stages and their order, the closed value
-sets, the default data-quality thresholds, the standard suite, the storage
+results to agree: the funnel stages and their order, the default
+data-quality thresholds, the standard suite, the storage
 lifecycle rules, the storage prices and the alarm definitions.
 """
 
@@ -16,11 +16,6 @@ from dataclasses import dataclass
 
 # Funnel stages, in order. remove_from_cart is an event type outside the funnel.
 FUNNEL_STAGES = ("page_view", "product_view", "add_to_cart", "checkout_start", "purchase")
-EVENT_TYPES = ("page_view", "product_view", "add_to_cart", "remove_from_cart",
-               "checkout_start", "purchase")
-DEVICE_TYPES = ("mobile", "desktop", "tablet")
-CATEGORIES = ("Electronics", "Fashion", "Home", "Beauty", "Sports", "Books")
-ORDER_STATUSES = ("completed", "refunded", "cancelled")
 COMPLETED_STATUS = "completed"
 
 # conversion_rate = purchase / product_view, rounded to 4 places; spend to 2.

@@ -54,13 +54,21 @@ def half_up_ratio(num, den, scale: int) -> Column:
 
     ``num`` and ``den`` are integral columns (counts, cents). The division
     is done in integers so that ties such as x.xx5 never depend on a binary
-    float representation. NULL when ``den`` is 0 or NULL.
+    float representation. NULL when ``den`` is 0 or NULL. Numerators too large for
+    64-bit intermediate values (about 9e18 / 10**scale) take the same steps in
+    38-digit decimals.
     """
-    num, den = _col(num).cast("long"), _col(den).cast("long")
     unit = 10 ** scale
-    quotient = int_div(F.abs(num) * F.lit(2 * unit) + den, den * F.lit(2))
-    signed = F.when(num < 0, -quotient).otherwise(quotient)
-    return F.when(den > 0, signed.cast("double") / F.lit(float(unit)))
+    n, d = _col(num).cast("decimal(38,0)"), _col(den).cast("decimal(38,0)")
+    small = F.abs(n) < F.lit(2 ** 61 // (2 * unit))
+    narrow = lambda c: F.when(small, c.cast("long"))
+    short = int_div(F.abs(narrow(n)) * F.lit(2 * unit) + narrow(d), narrow(d) * F.lit(2)).cast("decimal(38,0)")
+    double = (d * F.lit(2)).cast("decimal(38,0)")
+    top = (F.abs(n) * F.lit(2 * unit)).cast("decimal(38,0)") + d
+    long = ((top - top % double) / double).cast("decimal(38,0)")
+    quotient = F.when(small, short).otherwise(long)
+    signed = F.when(n < 0, -quotient).otherwise(quotient)
+    return F.when(d > 0, signed.cast("double") / F.lit(float(unit)))
 
 
 def safe_ratio(num, den, scale: int) -> Column:

@@ -31,12 +31,6 @@ def rejected_rows(tagged: DataFrame, col: str = REJECT_COL) -> DataFrame:
     return tagged.filter(F.col(col).isNotNull())
 
 
-def split_rejects(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, DataFrame]:
-    """(valid, rejected) from one tagging expression; rejected keeps the reason."""
-    tagged = tag_rejects(df, rules)
-    return valid_rows(tagged), rejected_rows(tagged)
-
-
 def reject_summary(tagged: DataFrame, reasons: Sequence[str], key: Sequence[str] | None = None,
                    col: str = REJECT_COL) -> DataFrame:
     """(reject_reason, rejected_rows) for every reason, zero-filled, plus

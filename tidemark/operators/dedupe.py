@@ -29,10 +29,3 @@ def dedupe_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = (
     first = df.groupBy(*keys).agg(F.min(packed).alias("_first"))
     return first.select(*[F.col(c) if c in keys else F.col(f"_first.`{c}`").alias(c)
                           for c in df.columns])
-
-
-def duplicate_count(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """(rows, distinct_keys, duplicates) in one aggregation."""
-    return df.agg(F.count(F.lit(1)).alias("rows"),
-                  F.count_distinct(*[F.col(k) for k in keys]).alias("distinct_keys")) \
-        .withColumn("duplicates", F.col("rows") - F.col("distinct_keys"))

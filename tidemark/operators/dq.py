@@ -310,10 +310,9 @@ def suite_summary(results: DataFrame) -> DataFrame:
                        F.count_if(F.col("status") == DQ_FAIL).alias("failed"))
 
 
-def write_results(results: DataFrame, path: str) -> None:
-    """Append the results, partitioned by run date, to the result table."""
-    results.withColumn("run_date", F.to_date("run_ts")) \
-        .write.mode("append").partitionBy("run_date").parquet(path)
+def write_results(results: DataFrame, path: str, run_id: str) -> None:
+    """Write the results of one run; a retry with the same ``run_id`` replaces its own rows only."""
+    results.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path}/run_id={run_id}")
 
 
 def gate(results: DataFrame) -> DataFrame:

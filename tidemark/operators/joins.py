@@ -37,16 +37,11 @@ def anti_join(df: DataFrame, keys_df: DataFrame, on, key_cols=None) -> DataFrame
     return df.join(_key_set(keys_df, on, key_cols), on, "left_anti")
 
 
-def new_keys(batch: DataFrame, staged: DataFrame, on, partition_cols: Sequence[str] = ()) -> DataFrame:
+def new_keys(batch: DataFrame, staged: DataFrame, on) -> DataFrame:
     """Rows of ``batch`` whose key is not staged yet (incremental append).
 
-    With ``partition_cols`` the staged side is first restricted to the
-    partitions the batch touches, so the anti join reads the touched date
-    partitions instead of the whole history (dynamic partition pruning
-    applies when ``staged`` is a partitioned table).
+    Every staged key counts, whatever its date or partition: a key may return with
+    another date, or none. The history is read as its key columns only.
     """
     on = _on(on)
-    if partition_cols:
-        touched = batch.select(*partition_cols).distinct()
-        staged = staged.join(touched, list(partition_cols), "left_semi")
     return batch.join(staged.select(*on), on, "left_anti")

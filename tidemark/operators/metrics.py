@@ -20,41 +20,57 @@ from tidemark.functions.scalar import half_up_ratio
 VALUE_SCALE = 6   # values are aggregated exactly in units of 10^-6
 
 
-def _units(value: str) -> Column:
-    return (F.col(value).cast("decimal(38,6)") * F.lit(10 ** VALUE_SCALE)).cast("long")
+def number(value: str) -> Column:
+    """The value as a double; NULL, NaN and infinities are all missing."""
+    v = F.col(value).cast("double")
+    return F.when(~F.isnan(v) & (F.abs(v) < F.lit(float("inf"))), v)
+
+
+def exact(value: str) -> Column:
+    """The value as a decimal with 6 places, NULL when missing or of 1e22 and more.
+
+    28 digits leave room for 10^10 rows of any size in a 38-digit sum.
+    """
+    return number(value).try_cast("decimal(28,6)")
 
 
 def rollup(series: DataFrame, period_seconds: int, group_cols: Sequence[str] = ("metric",),
            ts_col: str = "ts", value_col: str = "value") -> DataFrame:
     """(group..., period_start, period_end, samples, sum, max, min, avg) per period.
 
-    Sums and averages are exact (integer micro-units); the average is rounded
-    half-up to 6 places.
+    Sums and averages are exact (decimals with 6 places); the average is rounded
+    half-up to 6 places. NULL, NaN and infinite values are missing everywhere;
+    values of 1e22 and more count as samples and for max and min, but not for sum and avg.
     """
     w = F.window(F.col(ts_col), f"{period_seconds} seconds")
+    v, d = number(value_col), exact(value_col)
     agg = series.groupBy(*group_cols, w.alias("_w")).agg(
-        F.count(F.col(value_col)).alias("samples"),
-        F.sum(_units(value_col)).alias("_units"),
-        F.max(value_col).alias("max"), F.min(value_col).alias("min"))
+        F.count(v).alias("samples"), F.sum(d).alias("_sum"), F.count(d).alias("_n"),
+        F.max(v).alias("max"), F.min(v).alias("min"))
     return agg.select(
         *group_cols, F.col("_w.start").alias("period_start"), F.col("_w.end").alias("period_end"),
-        "samples", (F.col("_units").cast("double") / F.lit(float(10 ** VALUE_SCALE))).alias("sum"),
-        "max", "min",
-        (half_up_ratio("_units", "samples", 0) / F.lit(float(10 ** VALUE_SCALE))).alias("avg"))
+        "samples", F.col("_sum").cast("double").alias("sum"), "max", "min",
+        _mean(F.col("_sum"), F.col("_n")).alias("avg"))
+
+
+def _mean(total: Column, n: Column) -> Column:
+    """total / n, half-up to 6 places, as a double (NULL for n = 0)."""
+    units = (total * F.lit(10 ** VALUE_SCALE)).cast("decimal(38,0)")
+    return half_up_ratio(units, n, 0) / F.lit(float(10 ** VALUE_SCALE))
 
 
 def _statistic(name: str, value_col: str) -> Column:
-    v = F.col(value_col)
+    v, d = number(value_col), exact(value_col)
     if name == "sum":
-        return F.sum(_units(value_col)).cast("double") / F.lit(float(10 ** VALUE_SCALE))
+        return F.sum(d).cast("double")
     if name == "max":
-        return F.max(v).cast("double")
+        return F.max(v)
     if name == "min":
-        return F.min(v).cast("double")
+        return F.min(v)
     if name == "count":
         return F.count(v).cast("double")
     if name == "avg":
-        return half_up_ratio(F.sum(_units(value_col)), F.count(v), 0) / F.lit(float(10 ** VALUE_SCALE))
+        return _mean(F.sum(d), F.count(d))
     raise ValueError(f"unknown statistic {name!r}")
 
 
@@ -74,14 +90,21 @@ def period_stats(series: DataFrame, spec: AlarmSpec, metric_col: str = "metric",
 
 def metric_alarm(series: DataFrame, spec: AlarmSpec, metric_col: str = "metric",
                  ts_col: str = "ts", value_col: str = "value") -> DataFrame:
-    """(metric, period_start, stat_value, breaching, state) per evaluated period.
+    """(metric, period_start, stat_value, breaching, state) per evaluated period."""
+    return evaluate_periods(period_stats(series, spec, metric_col, ts_col, value_col), spec)
+
+
+def evaluate_periods(stats: DataFrame, spec: AlarmSpec) -> DataFrame:
+    """Alarm states from (metric, period_start, stat_value), one row per period with data.
 
     ``state`` is ALARM when the last ``evaluation_periods`` periods all breach.
     Missing periods (no data): ``notBreaching`` / ``breaching`` fill a dense
     period grid per metric with a non-breaching / breaching point;
-    ``missing`` / ``ignore`` evaluate only the periods that have data.
+    ``missing`` / ``ignore`` evaluate only the periods that have data. The grid, and what
+    one task holds of a metric, grow with the time between its first and last period:
+    a stray timestamp decades off makes millions of periods, so filter the series
+    to the time range in question.
     """
-    stats = period_stats(series, spec, metric_col, ts_col, value_col)
     if spec.treat_missing in ("notBreaching", "breaching"):
         step = F.expr(f"INTERVAL {spec.period_seconds} SECONDS")
         bounds = stats.groupBy("metric").agg(F.min("period_start").alias("_lo"),
@@ -122,7 +145,8 @@ def rollup_stream(stream: DataFrame, period_seconds: int, watermark: str,
                   group_cols: Sequence[str] = ("metric",), ts_col: str = "ts",
                   value_col: str = "value") -> DataFrame:
     """``rollup`` on a stream: a period is emitted (append mode) once the
-    watermark has passed its end; events later than the watermark are dropped."""
+    watermark has passed its end. Events later than the watermark are left out and counted by
+    ``alarms.late_rows``; ``rollup`` over the landed series is the authority."""
     ts = F.col(ts_col).cast("timestamp")
     return rollup(stream.withColumn(ts_col, ts).withWatermark(ts_col, watermark),
                   period_seconds, group_cols, ts_col, value_col)

@@ -1,66 +1,203 @@
-"""Incremental staging (S6, V16): only new files, only new keys, nothing lost.
+"""Incremental staging (S6, V16): only new data is staged, and the result equals a full run.
 
-A file-source stream with ``trigger(availableNow=True)`` and a checkpoint is
-the bookmark: each run processes exactly the files that arrived since the
-previous run. Each micro-batch is cleaned with the same staging rule as the
-full run, then anti-joined against the staged table restricted to the date
-partitions the batch touches (dynamic partition pruning keeps that read
-proportional to the batch, not to the history) and appended.
+Two entry points share the rules:
 
-A replayed batch is harmless: its keys are already staged, so the anti join
-removes them.
+* ``stage_incremental``: a file-source stream with ``trigger(availableNow=True)``; its
+  checkpoint is the bookmark. Each micro-batch is cleaned, anti-joined against
+  *all* keys staged so far (the key columns only, whatever dates they have)
+  and appended. A replayed batch appends nothing: its keys are staged.
+
+* ``stage_fact``: one run of the medallion. Tables hold a partition ``_run`` per run, so a
+  failed run is simply written again, and readers see a run only once it is
+  committed. What was rejected because its customer was unknown stays
+  *pending* and is judged again with every run's customers. Of two rows of a key the one
+  that arrived in the earlier run is kept, as in a full run: if a pending row is
+  released after a later one was staged, the later row is marked superseded.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.operators.cleanse import REJECT_COL, rejected_rows
 from tidemark.operators.joins import new_keys
-from tidemark.sources.files import table_exists
+from tidemark.plans.staged import RAW_COL
+from tidemark.session import delete_path, scratch_path
+from tidemark.sources.files import spread_by, table_exists
 
 # A staging rule for one micro-batch: returns the clean rows, or (tagged, clean)
 # when the rejected rows should be written too.
 StageFn = Callable[[DataFrame], "DataFrame | tuple[DataFrame, DataFrame]"]
 
 
-def stage_full(clean: DataFrame, staged_path: str, partition_col: str, date_from: str) -> None:
-    """Full mode: recompute and overwrite the staged table."""
-    clean.withColumn(partition_col, F.to_date(date_from)).write.mode("overwrite") \
-        .option("partitionOverwriteMode", "static").partitionBy(partition_col).parquet(staged_path)
-
-
 def stage_incremental(spark: SparkSession, raw_path: str, raw_schema: T.StructType,
                       stage: StageFn, staged_path: str, checkpoint: str,
                       key: Sequence[str], partition_col: str, date_from: str,
                       fmt: str = "parquet", rejects_path: str | None = None) -> None:
     """Process the raw files that are new since the last run; append new keys.
 
-    With ``rejects_path`` (and a ``stage`` returning ``(tagged, clean)``) the
+    Rows with a NULL key say nothing about identity and are left out (staging
+    rejects them). With ``rejects_path`` (and a ``stage`` returning ``(tagged, clean)``) the
     rejected rows of micro-batch N are written to ``rejects_path/batch_id=N``
     with overwrite, so a replayed batch rewrites the same files.
     """
-    from tidemark.operators.cleanse import rejected_rows
-
     def process(batch: DataFrame, batch_id: int) -> None:
         staged_rows = stage(batch)
         if isinstance(staged_rows, tuple):
             tagged, clean = staged_rows
             if rejects_path:
-                rejected_rows(tagged).write.mode("overwrite") \
+                rejected_rows(tagged).select(f"{RAW_COL}.*", REJECT_COL).write.mode("overwrite") \
                     .parquet(f"{rejects_path}/batch_id={batch_id}")
         else:
             clean = staged_rows
-        clean = clean.withColumn(partition_col, F.to_date(date_from))
+        clean = clean.dropna(subset=list(key)).withColumn(partition_col, F.to_date(date_from))
         if table_exists(spark, staged_path):
-            staged = spark.read.parquet(staged_path)
-            clean = new_keys(clean, staged, list(key), [partition_col])
-        clean.write.mode("append").partitionBy(partition_col).parquet(staged_path)
+            clean = new_keys(clean, spark.read.parquet(staged_path), list(key))
+        spread_by(clean, [partition_col]).write.mode("append").partitionBy(partition_col).parquet(staged_path)
 
     q = (spark.readStream.format(fmt).schema(raw_schema).load(raw_path)
          .writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
+
+
+# ----- runs of a lake ----------------------------------------------------------
+
+RUN, ARRIVED, COPIES = "_run", "_arrived", "_copies"
+_COMMIT = "run int, base int"
+
+
+def committed_runs(spark: SparkSession, lake: str) -> list[int]:
+    """The runs whose data count: those since the last committed full run (one small row per run)."""
+    path = f"{lake}/_commits"
+    if not table_exists(spark, path):
+        return []
+    rows = spark.read.schema(_COMMIT).parquet(path).collect()
+    base = max(r["base"] for r in rows)
+    return sorted(r["run"] for r in rows if r["run"] >= base)
+
+
+def commit_run(spark: SparkSession, lake: str, run: int, base: int) -> None:
+    spark.createDataFrame([(run, base)], _COMMIT).coalesce(1).write.mode("append").parquet(f"{lake}/_commits")
+
+
+def run_path(table: str, run: int) -> str:
+    return f"{table}/{RUN}={run}"
+
+
+def read_runs(spark: SparkSession, table: str, schema: T.StructType, runs: Sequence[int]) -> DataFrame:
+    """The rows of some runs, with their run; a run that wrote no row has none."""
+    if not runs:
+        return spark.createDataFrame([], schema).withColumn(RUN, F.lit(0))
+    fields = [f for f in schema.fields if f.name != RUN]
+    return spark.read.schema(T.StructType([*fields, T.StructField(RUN, T.IntegerType())])) \
+        .option("basePath", table).parquet(*[run_path(table, r) for r in runs])
+
+
+def write_run(df: DataFrame, table: str, run: int, partition_by: Sequence[str] = ()) -> int:
+    """Write (or write again) one run of a table; the number of rows."""
+    obs = Observation("rows")
+    w = spread_by(df, partition_by).observe(obs, F.count(F.lit(1)).alias("rows")) \
+        .write.mode("overwrite").option("partitionOverwriteMode", "static")
+    (w.partitionBy(*partition_by) if partition_by else w).parquet(run_path(table, run))
+    return int(obs.get["rows"])
+
+
+@dataclass(frozen=True)
+class Fact:
+    """How a fact is staged. ``tag`` gives typed rows with a reason and the row as it arrived."""
+
+    name: str
+    key: tuple[str, ...]
+    order_by: tuple[str, ...]
+    partition_by: str
+    tag: Callable[[DataFrame], DataFrame]
+
+
+def staged_path(lake: str, fact: str) -> str:
+    return f"{lake}/staged/{fact}"
+
+
+def reject_path(lake: str, fact: str, kind: str) -> str:
+    return f"{lake}/staged/_{kind}/{fact}"
+
+
+def read_staged(spark: SparkSession, lake: str, fact: Fact, schema: T.StructType, runs: Sequence[int]) -> DataFrame:
+    """The staged rows of some runs without those that an earlier arrival superseded."""
+    rows = read_runs(spark, staged_path(lake, fact.name), schema, runs)
+    gone = read_runs(spark, reject_path(lake, fact.name, "superseded"), _superseded_schema(schema, fact), runs)
+    gone = gone.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(fact.key)], F.col("_of").alias("_gone"))
+    same = F.col(RUN) == F.col("_gone")
+    for i, k in enumerate(fact.key):
+        same = same & (F.col(k) == F.col(f"_k{i}"))
+    return rows.join(gone, same, "left_anti")
+
+
+def _superseded_schema(schema: T.StructType, fact: Fact) -> T.StructType:
+    return T.StructType([schema[k] for k in fact.key] + [T.StructField("_of", T.IntegerType())])
+
+
+def stage_fact(spark: SparkSession, lake: str, fact: Fact, raw: DataFrame, run: int,
+               runs: Sequence[int]) -> tuple[T.StructType, dict[str, int]]:
+    """Stage one run of a fact on top of the committed ``runs``.
+
+    ``raw`` holds the run's rows as they arrived. Returns the staged schema and counts:
+    raw and pending rows taken in; staged, rejected, duplicate, pending and superseded rows.
+    Raises if a row was lost or made up on the way.
+    """
+    raw_schema = raw.schema
+    pending_schema = T.StructType([*raw_schema.fields, T.StructField(ARRIVED, T.IntegerType())])
+    rows = raw.withColumn(ARRIVED, F.lit(run))
+    if runs:
+        old = read_runs(spark, reject_path(lake, fact.name, "pending"), pending_schema, runs[-1:]).drop(RUN)
+        rows = rows.unionByName(old)
+    # One pass over the input: typed, judged and written, split by reason. The text as it
+    # arrived is only kept for rows that were refused.
+    tagged = fact.tag(rows)
+    tagged = tagged.withColumn(RAW_COL, F.when(F.col(REJECT_COL).isNotNull(), F.col(RAW_COL))) \
+        .withColumn("_class", F.when(F.col(REJECT_COL).isNull(), "valid")
+                    .when(F.col(REJECT_COL) == "unknown_customer", "pending").otherwise("rejected"))
+    work = scratch_path(spark, f"tagged-{fact.name}")
+    taken = Observation("taken")
+    tagged.observe(taken, F.count(F.lit(1)).alias("n")).write.partitionBy("_class").parquet(work)
+    judged = spark.read.schema(tagged.schema).parquet(work)
+
+    counts = {"taken": int(taken.get["n"])}
+    counts["pending"] = write_run(judged.filter("_class = 'pending'").select(f"{RAW_COL}.*"),
+                                  reject_path(lake, fact.name, "pending"), run)
+    content = [c for c in tagged.columns if c not in (RAW_COL, REJECT_COL, "_class")]
+    valid = judged.filter("_class = 'valid'").select(*content)
+    order = [ARRIVED, *[c for c in fact.order_by if c not in fact.key]]
+    rest = [c for c in content if c not in fact.key and c not in order]
+    first = valid.groupBy(*fact.key).agg(F.min(F.struct(*order, *rest)).alias("_first"), F.count(F.lit(1)).alias(COPIES)) \
+        .select(*[F.col(c) if c in fact.key else F.col(f"_first.`{c}`").alias(c) for c in content], COPIES)
+    schema = T.StructType([f for f in first.schema.fields if f.name != COPIES])
+    # All history, but only its keys and when they arrived.
+    history = read_staged(spark, lake, fact, schema, runs).select(
+        *fact.key, F.col(ARRIVED).alias("_since"), F.col(RUN).alias("_of"))
+    met = first.join(history, list(fact.key), "left")
+    earlier = F.col("_of").isNull() | (F.col(ARRIVED) < F.col("_since"))
+    counts["staged"] = write_run(met.filter(earlier).select(*content), staged_path(lake, fact.name), run, [fact.partition_by])
+    counts["superseded"] = write_run(met.filter(earlier & F.col("_of").isNotNull()).select(*fact.key, "_of"),
+                                     reject_path(lake, fact.name, "superseded"), run)
+    # Repeats of a key are one row with their number; only the key is left of them.
+    repeats = met.select(*[F.col(k).cast("string").alias(k) for k in fact.key],
+                         (F.col(COPIES) - F.when(earlier, 1).otherwise(0)).alias(COPIES)) \
+        .filter(F.col(COPIES) > 0).withColumn(REJECT_COL, F.lit("duplicate"))
+    refused = judged.filter("_class = 'rejected'").select(f"{RAW_COL}.*", REJECT_COL).withColumn(COPIES, F.lit(1).cast("bigint"))
+    rejects = refused.unionByName(repeats, allowMissingColumns=True)
+    duplicates = Observation("duplicates")
+    rejects = rejects.observe(duplicates, F.sum(F.when(F.col(REJECT_COL) == "duplicate", F.col(COPIES))).alias("n"),
+                              F.count_if(F.col(REJECT_COL) != "duplicate").alias("refused"))
+    write_run(rejects, reject_path(lake, fact.name, "rejects"), run)
+    counts["duplicate"], counts["rejected"] = int(duplicates.get["n"] or 0), int(duplicates.get["refused"])
+    delete_path(spark, work)
+    found = counts["staged"] + counts["duplicate"] + counts["rejected"] + counts["pending"]
+    if found != counts["taken"]:
+        raise RuntimeError(f"{fact.name}: {counts['taken']} rows came in, {found} are accounted for: {counts}")
+    return schema, counts

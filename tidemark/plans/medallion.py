@@ -1,9 +1,11 @@
 """End-to-end run (C7): raw → staged → data-quality gate → curated.
 
-Each zone is written once from one lazy plan per table; every count comes
-from an ``Observation`` on the write; the gate reads back the few result
-rows of this run; curated tables are published only when every check
-passed. Nothing but counts and those result rows reaches the driver.
+Every zone keeps one partition ``_run`` per run, in both modes and with one layout. A
+full run stages everything it is given and becomes the new base; an incremental
+run stages its drop on top of the committed runs. Readers see committed runs only, and a
+run is committed when its checks pass: after a failure the published data is
+as before, and the next run takes the failed run's place. Counts come from
+``Observation``s on the writes; nothing but counts and the check results reaches the driver.
 """
 
 from __future__ import annotations
@@ -18,13 +20,16 @@ from pyspark.sql import functions as F
 from tidemark.config import COMPLETED_STATUS, DEFAULT_FUNNEL, FunnelSpec
 from tidemark.operators import dq
 from tidemark.operators.category import top_categories
-from tidemark.operators.cleanse import rejected_rows
 from tidemark.operators.profile import average_conversion
+from tidemark.plans import incremental as inc
 from tidemark.plans.curated import build_curated
-from tidemark.plans.incremental import stage_incremental
-from tidemark.plans.staged import stage_clickstream, stage_passthrough, stage_transactions
+from tidemark.plans.staged import stage_passthrough, tag_clickstream, tag_transactions
 from tidemark.schemas import STAGED_TYPES
-from tidemark.sources.files import ingest_raw, write_table
+from tidemark.session import delete_path
+from tidemark.sources.files import stamp_ingest, write_table
+
+DIMENSIONS = ("customers", "products")
+FACTS = ("clickstream_events", "transactions")
 
 # The standard suite on the staged zone.
 STANDARD_SUITE = (
@@ -53,13 +58,9 @@ class MedallionConfig:
     as_of: str | None = None
     clickstream_partition: str = "event_type"
     transaction_partition: str = "status"
-    write_rejects: bool = True
-    # "full": every zone recomputed. "incremental": dimension snapshots are
-    # overwritten, fact drops are appended to the raw zone and only the new raw
-    # files are staged (new keys appended, date-partitioned staged facts).
+    # "full": every zone recomputed from what is given. "incremental": dimensions are snapshots,
+    # facts are drops added to those of the committed runs.
     mode: str = "full"
-    clickstream_date_from: str = "event_ts"
-    transaction_date_from: str = "order_date"
 
 
 @dataclass
@@ -74,92 +75,62 @@ def _zone(conf: MedallionConfig, zone: str, table: str) -> str:
     return f"{conf.lake_dir.rstrip('/')}/{zone}/{table}"
 
 
-def _stage_facts_fully(r: dict, customers: DataFrame, conf: "MedallionConfig", counts: dict) -> None:
-    tagged, clean = stage_clickstream(r["clickstream_events"], conf.clickstream_key,
-                                      order_by=conf.clickstream_order,
-                                      types=conf.types.get("clickstream_events"))
-    counts["staged.clickstream_events"] = write_table(
-        clean, _zone(conf, "staged", "clickstream_events"),
-        partition_by=[conf.clickstream_partition])
-    if conf.write_rejects:
-        counts["rejected.clickstream_events"] = write_table(
-            rejected_rows(tagged), _zone(conf, "staged", "_rejects/clickstream_events"))
-
-    tagged, clean = stage_transactions(r["transactions"], valid_customers=customers,
-                                       key=conf.transaction_key, order_by=conf.transaction_order,
-                                       types=conf.types.get("transactions"))
-    counts["staged.transactions"] = write_table(
-        clean, _zone(conf, "staged", "transactions"), partition_by=[conf.transaction_partition])
-    if conf.write_rejects:
-        counts["rejected.transactions"] = write_table(
-            rejected_rows(tagged), _zone(conf, "staged", "_rejects/transactions"))
-
-
-def _stage_facts_incrementally(spark: SparkSession, r: dict, customers: DataFrame,
-                               conf: "MedallionConfig") -> None:
-    """Stage only the raw fact files that arrived since the last run (per-table checkpoints)."""
-    def click(batch):
-        return stage_clickstream(batch, conf.clickstream_key, order_by=conf.clickstream_order,
-                                 types=conf.types.get("clickstream_events"))
-
-    def txn(batch):
-        return stage_transactions(batch, valid_customers=customers, key=conf.transaction_key,
-                                  order_by=conf.transaction_order,
-                                  types=conf.types.get("transactions"))
-
-    ck = f"{conf.lake_dir.rstrip('/')}/_checkpoints"
-    for name, fn, key, date_from in (
-            ("clickstream_events", click, conf.clickstream_key, conf.clickstream_date_from),
-            ("transactions", txn, conf.transaction_key, conf.transaction_date_from)):
-        rejects = _zone(conf, "staged", f"_rejects/{name}") if conf.write_rejects else None
-        stage_incremental(spark, _zone(conf, "raw", name), r[name].schema, fn,
-                          _zone(conf, "staged", name), f"{ck}/{name}", list(key), "_date",
-                          date_from, rejects_path=rejects)
+def facts(conf: MedallionConfig, customers: DataFrame | None) -> dict[str, inc.Fact]:
+    """How the two facts are staged; ``customers`` are the known ones."""
+    click_key, txn_key = tuple(conf.clickstream_key), tuple(conf.transaction_key)
+    return {
+        "clickstream_events": inc.Fact(
+            "clickstream_events", click_key, tuple(conf.clickstream_order), conf.clickstream_partition,
+            lambda rows: tag_clickstream(rows, click_key, types=conf.types.get("clickstream_events"))),
+        "transactions": inc.Fact(
+            "transactions", txn_key, tuple(conf.transaction_order), conf.transaction_partition,
+            lambda rows: tag_transactions(rows, customers, txn_key, types=conf.types.get("transactions"))),
+    }
 
 
 def run_medallion(spark: SparkSession, raw: dict[str, DataFrame], conf: MedallionConfig,
                   run_id: str | None = None) -> MedallionResult:
     """Run every zone for the four tables in ``raw`` (any columns; text or typed).
 
-    Raises ``DataQualityError`` after writing the staged zone and the check
-    results when a check fails; the curated zone is then left unchanged.
+    Raises ``DataQualityError`` after writing the staged run and the check
+    results when a check fails; neither is committed and the curated zone is left unchanged.
     """
-    run_id = run_id or uuid.uuid4().hex[:12]
-    counts: dict[str, int] = {}
-    incremental = conf.mode == "incremental"
     if conf.mode not in ("full", "incremental"):
         raise ValueError(f"unknown mode {conf.mode!r}")
+    run_id = run_id or uuid.uuid4().hex[:12]
+    lake, counts = conf.lake_dir.rstrip("/"), {}
+    before = inc.committed_runs(spark, lake)
+    run = max(before, default=-1) + 1
+    runs = before if conf.mode == "incremental" else []
 
     # raw zone: land as received (text) with the ingest stamp
+    landed = {}
     for name, df in raw.items():
-        fact = name in ("clickstream_events", "transactions")
-        counts[f"raw.{name}"] = ingest_raw(df, _zone(conf, "raw", name),
-                                           mode="append" if incremental and fact else "overwrite")
-    r = {name: spark.read.parquet(_zone(conf, "raw", name)) for name in raw}
+        text = stamp_ingest(df.select(*[F.col(c).cast("string").alias(c) for c in df.columns]))
+        counts[f"raw.{name}"] = inc.write_run(text, _zone(conf, "raw", name), run)
+        landed[name] = spark.read.schema(text.schema).parquet(inc.run_path(_zone(conf, "raw", name), run))
 
     # staged zone
-    for name in ("customers", "products"):
-        counts[f"staged.{name}"] = write_table(
-            stage_passthrough(r[name], conf.types.get(name), stamp="now"),
-            _zone(conf, "staged", name))
-    customers = spark.read.parquet(_zone(conf, "staged", "customers"))
-
-    if incremental:
-        _stage_facts_incrementally(spark, r, customers, conf)
-    else:
-        _stage_facts_fully(r, customers, conf, counts)
-
-    staged = {n: spark.read.parquet(_zone(conf, "staged", n))
-              for n in ("customers", "products", "clickstream_events", "transactions")}
+    staged = {}
+    for name in DIMENSIONS:
+        typed = stage_passthrough(landed[name], conf.types.get(name), stamp="now")
+        counts[f"staged.{name}"] = inc.write_run(typed, _zone(conf, "staged", name), run)
+        staged[name] = spark.read.schema(typed.schema).parquet(inc.run_path(_zone(conf, "staged", name), run))
+    for name, fact in facts(conf, staged["customers"]).items():
+        schema, n = inc.stage_fact(spark, lake, fact, landed[name], run, runs)
+        counts[f"staged.{name}"] = n["staged"]
+        counts[f"rejected.{name}"] = n["rejected"] + n["pending"]
+        counts[f"duplicate.{name}"] = n["duplicate"]
+        counts[f"superseded.{name}"] = n["superseded"]
+        staged[name] = inc.read_staged(spark, lake, fact, schema, [*runs, run]).drop(inc.RUN, inc.ARRIVED)
 
     # data-quality gate on the staged zone
     results, _ = dq.run_suite_specs(conf.dq_suite, staged, conf.as_of)
-    results_path = f"{conf.lake_dir.rstrip('/')}/dq_results"
-    # dynamic partition overwrite: a retried run rewrites only its own run_id
-    results.withColumn("run_id", F.lit(run_id)).write.mode("overwrite") \
-        .option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(results_path)
-    this_run = spark.read.parquet(results_path).filter(F.col("run_id") == run_id).drop("run_id")
+    dq.write_results(results, f"{lake}/dq_results", run_id)
+    this_run = spark.read.schema(results.schema).parquet(f"{lake}/dq_results/run_id={run_id}")
     dq.gate(this_run)
+    base = runs[0] if runs else run
+    inc.commit_run(spark, lake, run, base)
 
     # curated zone (technical columns dropped)
     curated = build_curated(staged["customers"], staged["clickstream_events"],
@@ -168,6 +139,7 @@ def run_medallion(spark: SparkSession, raw: dict[str, DataFrame], conf: Medallio
     for name, df in curated.items():
         counts[f"curated.{name}"] = write_table(df, _zone(conf, "curated", name))
     published = {n: spark.read.parquet(_zone(conf, "curated", n)) for n in curated}
+    _forget(spark, conf, [r for r in before if r < base])
 
     summary = {
         "funnel": published["funnel_dropoff"].orderBy("stage_no"),
@@ -177,37 +149,101 @@ def run_medallion(spark: SparkSession, raw: dict[str, DataFrame], conf: Medallio
     return MedallionResult(counts, this_run, published, summary)
 
 
+def _forget(spark: SparkSession, conf: MedallionConfig, runs: Sequence[int]) -> None:
+    """Delete the staged data of runs that a committed full run has replaced (raw drops stay)."""
+    lake = conf.lake_dir.rstrip("/")
+    tables = [_zone(conf, "staged", t) for t in (*DIMENSIONS, *FACTS)]
+    tables += [inc.reject_path(lake, f, k) for f in FACTS for k in ("pending", "superseded", "rejects")]
+    for t in tables:
+        for r in runs:
+            delete_path(spark, inc.run_path(t, r))
+
+
+def with_landed_stream(spark: SparkSession, batch: DataFrame, path: str, fmt: str = "parquet") -> DataFrame:
+    """The batch export and the records a stream has landed, as one clickstream.
+
+    Records delivered twice, or by both ways, are repeats of their key: staging, the
+    authority on duplicates, keeps one.
+    """
+    from tidemark.sources.files import union_sources
+    from tidemark.streaming.landing import read_landed
+    landed = read_landed(spark, path, fmt)
+    return union_sources(batch, landed.select(*[F.col(c).cast("string").alias(c) for c in batch.columns
+                                                if c in landed.columns]))
+
+
+# ----- command line ---------------------------------------------------------------
+
+_SEEN = "table string, path string, modified long, length long"
+
+
+def new_files(spark: SparkSession, lake: str, table: str, path: str) -> list[tuple[str, int, int]]:
+    """(path, modified, length) of the files below ``path`` that no committed run has read (names and sizes only)."""
+    from tidemark.sources.files import table_exists
+
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path) \
+        .select("path", F.unix_micros("modificationTime").alias("modified"), "length") \
+        .filter(~F.element_at(F.split("path", "/"), -1).rlike("^[_.]"))
+    if table_exists(spark, f"{lake}/_seen"):
+        seen = spark.read.schema(_SEEN).parquet(f"{lake}/_seen").filter(F.col("table") == table).drop("table")
+        found = found.join(seen, ["path", "modified", "length"], "left_anti")
+    return [(r["path"], r["modified"], r["length"]) for r in found.orderBy("path").collect()]
+
+
 def main(argv: Sequence[str] | None = None) -> int:
     """``spark-submit -m tidemark.plans.medallion --raw-dir ... --lake-dir ...``.
 
-    Reads the four raw tables (``<raw-dir>/<table>.csv`` or ``.parquet``),
-    runs every zone and prints the summary. Exit code 1 when the
-    data-quality gate stops the run.
+    Reads the four raw tables (``<raw-dir>/<table>.csv`` or ``.parquet``, a file or a folder
+    of files, or with ``--catalog DB`` the tables of a catalog database),
+    runs every zone and prints the summary. ``--mode incremental`` takes only fact files that
+    no committed run has read. ``--cores`` and ``--input-tb`` size the session for a cluster.
+    Exit code 1 when the data-quality gate stops the run.
     """
     import argparse
 
     from tidemark.schemas import RAW_COLUMNS
-    from tidemark.session import get_session
-    from tidemark.sources.files import read_table, read_text_csv
+    from tidemark.session import cluster_conf, get_session
+    from tidemark.sources.files import read_catalog, read_table, read_text_csv
 
     ap = argparse.ArgumentParser(prog="tidemark-medallion")
-    ap.add_argument("--raw-dir", required=True)
+    ap.add_argument("--raw-dir", default=None)
+    ap.add_argument("--catalog", default=None, help="database that holds the four raw tables")
     ap.add_argument("--lake-dir", required=True)
     ap.add_argument("--format", default="csv", choices=("csv", "parquet"))
+    ap.add_argument("--mode", default="full", choices=("full", "incremental"))
+    ap.add_argument("--landed-stream", default=None, help="folder of landed stream records to add to the clickstream")
     ap.add_argument("--as-of", default=None, help="evaluation time for freshness, e.g. 2026-06-01")
+    ap.add_argument("--cores", type=int, default=None)
+    ap.add_argument("--input-tb", type=float, default=1.0)
     ap.add_argument("--master", default=None)
     args = ap.parse_args(argv)
+    if bool(args.raw_dir) == bool(args.catalog):
+        ap.error("give either --raw-dir or --catalog")
+    if args.catalog and args.mode == "incremental":
+        ap.error("--mode incremental needs files (--raw-dir): they are its bookmark")
 
-    spark = get_session(args.master)
-    raw = {}
+    spark = get_session(args.master, extra_conf=cluster_conf(args.cores, args.input_tb) if args.cores else None)
+    lake, raw, read = args.lake_dir.rstrip("/"), {}, []
     for t, cols in RAW_COLUMNS.items():
-        path = f"{args.raw_dir.rstrip('/')}/{t}.{args.format}"
-        raw[t] = read_text_csv(spark, path, cols) if args.format == "csv" else read_table(spark, path)
+        if args.catalog:
+            raw[t] = read_catalog(spark, f"{args.catalog}.{t}")
+            continue
+        paths = [f"{args.raw_dir.rstrip('/')}/{t}.{args.format}"]
+        if args.mode == "incremental" and t in FACTS:
+            files = new_files(spark, lake, t, paths[0])
+            read += [(t, *f) for f in files]
+            paths = [f[0] for f in files]
+        raw[t] = read_text_csv(spark, paths, cols) if args.format == "csv" else \
+            read_table(spark, paths) if paths else spark.createDataFrame([], ", ".join(f"{c} string" for c in cols))
+    if args.landed_stream:
+        raw["clickstream_events"] = with_landed_stream(spark, raw["clickstream_events"], args.landed_stream)
     try:
-        res = run_medallion(spark, raw, MedallionConfig(lake_dir=args.lake_dir, as_of=args.as_of))
+        res = run_medallion(spark, raw, MedallionConfig(lake_dir=lake, as_of=args.as_of, mode=args.mode))
     except dq.DataQualityError as e:
         print(f"curated layer NOT published: {e}")
         return 1
+    if read:
+        spark.createDataFrame(read, _SEEN).coalesce(1).write.mode("append").parquet(f"{lake}/_seen")
     for k, v in sorted(res.counts.items()):
         print(f"{k:40s} {v:>14,}")
     res.summary["funnel"].show(truncate=False)

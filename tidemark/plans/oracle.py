@@ -7,6 +7,8 @@ half-up, as ``(2*num*10^s + den) // (2*den) / 10^s``.
 
 from __future__ import annotations
 
+from tidemark.sources.testdata import FAULTS
+
 
 def _half_up(num: str, den: str, scale: int) -> str:
     unit = 10 ** scale
@@ -77,17 +79,41 @@ ORACLE: dict[str, str] = {
 
 # ----- staging ---------------------------------------------------------------
 
-# The supplied events without the anonymous (error) rows, each event once.
-STAGE_CLICKSTREAM = """
-  SELECT event_id, user_id AS customer_id, ts AS event_ts, event_type, value, props
-  FROM events WHERE event_type <> 'error'"""
+# What arrives: the batch export (error events are anonymous) and a second delivery of purchases.
+CLICK_RAW = """
+  SELECT CAST(event_id AS VARCHAR) AS event_id,
+         CASE WHEN event_type = 'error' THEN '' ELSE CAST(user_id AS VARCHAR) END AS customer_id,
+         CAST(ts AS VARCHAR) AS event_ts, event_type, CAST(value AS VARCHAR) AS value, props
+  FROM events, (VALUES (1), (2)) AS copy(n) WHERE n = 1 OR event_type = 'purchase'"""
+
+CLICK_TAGGED = f"""
+  SELECT TRY_CAST(event_id AS BIGINT) AS event_id, TRY_CAST(customer_id AS BIGINT) AS customer_id,
+         TRY_CAST(event_ts AS TIMESTAMP) AS event_ts, event_type, TRY_CAST(value AS DOUBLE) AS value, props,
+         CASE WHEN TRY_CAST(event_id AS BIGINT) IS NULL THEN 'invalid_key'
+              WHEN customer_id IS NULL OR TRY_CAST(customer_id AS BIGINT) IS NULL THEN 'missing_customer' END AS reason
+  FROM ({CLICK_RAW})"""
+
+# Rows without a reason, the first per key.
+STAGE_CLICKSTREAM = f"""
+  SELECT event_id, customer_id, event_ts, event_type, value, props
+  FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY event_ts NULLS FIRST, customer_id NULLS FIRST,
+                                     event_type NULLS FIRST, value NULLS FIRST, props NULLS FIRST) AS rn
+        FROM ({CLICK_TAGGED}) WHERE reason IS NULL)
+  WHERE rn = 1"""
 
-STAGE_CLICKSTREAM_REJECTS = """
-  SELECT * FROM (VALUES
-    ('missing_customer', (SELECT count(*) FROM events WHERE event_type = 'error')),
-    ('duplicate', (SELECT count(*) FROM events WHERE event_type = 'purchase')),
-    ('clean', (SELECT count(*) FROM events WHERE event_type <> 'error')))
-    AS t(reject_reason, rejected_rows)"""
+
+def _summary(tagged: str, key: str, reasons: tuple) -> str:
+    return f"""
+  WITH t AS ({tagged}),
+  v AS (SELECT count(*) AS n, (SELECT count(*) FROM (SELECT DISTINCT {key} FROM t WHERE reason IS NULL)) AS d
+        FROM t WHERE reason IS NULL)
+  SELECT r.reason AS reject_reason, CAST(count(t.reason) AS BIGINT) AS rejected_rows
+  FROM (VALUES {", ".join(f"('{x}')" for x in reasons)}) AS r(reason) LEFT JOIN t ON t.reason = r.reason GROUP BY r.reason
+  UNION ALL SELECT 'duplicate', n - d FROM v
+  UNION ALL SELECT 'clean', d FROM v"""
+
+
+STAGE_CLICKSTREAM_REJECTS = _summary(CLICK_TAGGED, "event_id", ("invalid_key", "missing_customer"))
 
 TXN_TYPED = """
   SELECT l.l_orderkey AS order_id, l.l_linenumber AS line_no, o.o_custkey AS customer_id,
@@ -96,34 +122,56 @@ TXN_TYPED = """
          CAST(l.l_extendedprice AS DECIMAL(18,2)) AS amount, o.o_orderstatus AS status
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey"""
 
-TXN_TAGGED = f"""
-  SELECT t.*, CASE WHEN quantity IS NULL OR quantity <= 0 THEN 'invalid_quantity'
+TXN_REASONS = ("invalid_key", "invalid_quantity", "invalid_amount", "missing_customer", "unknown_customer")
+
+
+def _txn_tagged(typed: str) -> str:
+    return f"""
+  SELECT t.*, CASE WHEN order_id IS NULL OR line_no IS NULL THEN 'invalid_key'
+                   WHEN quantity IS NULL OR quantity <= 0 THEN 'invalid_quantity'
                    WHEN amount IS NULL OR amount <= 0 THEN 'invalid_amount'
                    WHEN customer_id IS NULL THEN 'missing_customer'
                    WHEN customer_id NOT IN (SELECT c_custkey FROM customer) THEN 'unknown_customer'
               END AS reason
-  FROM ({TXN_TYPED}) t"""
+  FROM ({typed}) t"""
+
 
-STAGE_TRANSACTIONS = f"""
+def _txn_first(tagged: str) -> str:
+    return f"""
   SELECT order_id, line_no, customer_id, product_id, order_date, ship_date, quantity, amount, status
   FROM (SELECT *, row_number() OVER (
                PARTITION BY order_id, line_no
                ORDER BY ship_date NULLS FIRST, customer_id NULLS FIRST, product_id NULLS FIRST,
                         order_date NULLS FIRST, quantity NULLS FIRST, amount NULLS FIRST,
                         status NULLS FIRST) AS rn
-        FROM ({TXN_TAGGED}) WHERE reason IS NULL)
+        FROM ({tagged}) WHERE reason IS NULL)
   WHERE rn = 1"""
 
-STAGE_TRANSACTIONS_REJECTS = f"""
-  WITH t AS ({TXN_TAGGED}),
-  v AS (SELECT count(*) AS n, (SELECT count(*) FROM (SELECT DISTINCT order_id, line_no FROM t
-                                                    WHERE reason IS NULL)) AS d
-        FROM t WHERE reason IS NULL)
-  SELECT r.reason AS reject_reason, CAST(count(t.reason) AS BIGINT) AS rejected_rows
-  FROM (VALUES ('invalid_quantity'), ('invalid_amount'), ('missing_customer'), ('unknown_customer'))
-       AS r(reason) LEFT JOIN t ON t.reason = r.reason GROUP BY r.reason
-  UNION ALL SELECT 'duplicate', n - d FROM v
-  UNION ALL SELECT 'clean', d FROM v"""
+
+TXN_TAGGED = _txn_tagged(TXN_TYPED)
+STAGE_TRANSACTIONS = _txn_first(TXN_TAGGED)
+STAGE_TRANSACTIONS_REJECTS = _summary(TXN_TAGGED, "order_id, line_no", TXN_REASONS)
+
+# The same lines as text with faults by rule, then the staging rule over that text.
+FAULTY_RAW = f"""
+  SELECT {", ".join(f"{FAULTS.get(c, c)} AS {c}" for c in (
+      "order_id", "line_no", "customer_id", "product_id", "order_date", "ship_date", "quantity", "amount", "status"))}
+  FROM (SELECT l.l_orderkey AS o, l.l_linenumber AS n, CAST(l.l_orderkey AS VARCHAR) AS order_id,
+               CAST(l.l_linenumber AS VARCHAR) AS line_no, CAST(o.o_custkey AS VARCHAR) AS customer_id,
+               CAST(l.l_partkey AS VARCHAR) AS product_id, CAST(o.o_orderdate AS VARCHAR) AS order_date,
+               CAST(l.l_shipdate AS VARCHAR) AS ship_date, CAST(l.l_quantity AS VARCHAR) AS quantity,
+               CAST(l.l_extendedprice AS VARCHAR) AS amount, o.o_orderstatus AS status
+        FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey), (VALUES (1), (2)) AS copy(k)
+  WHERE k = 1 OR o % 5 = 0"""
+
+FAULTY_TYPED = f"""
+  SELECT TRY_CAST(trim(order_id) AS BIGINT) AS order_id, TRY_CAST(trim(line_no) AS INTEGER) AS line_no,
+         TRY_CAST(trim(customer_id) AS BIGINT) AS customer_id, TRY_CAST(trim(product_id) AS BIGINT) AS product_id,
+         TRY_CAST(trim(order_date) AS TIMESTAMP) AS order_date, TRY_CAST(trim(ship_date) AS TIMESTAMP) AS ship_date,
+         TRY_CAST(trunc(TRY_CAST(trim(quantity) AS DOUBLE)) AS INTEGER) AS quantity,
+         TRY_CAST(trim(amount) AS DECIMAL(18,2)) AS amount, status
+  FROM ({FAULTY_RAW})"""
+FAULTY_TAGGED = _txn_tagged(FAULTY_TYPED)
 
 DEDUPE_FIRST = """
   SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount,
@@ -144,10 +192,15 @@ ORACLE.update({
     "dedupe_first": DEDUPE_FIRST,
     "semi_join_valid": """
   SELECT * FROM orders o WHERE EXISTS (SELECT 1 FROM customer c WHERE c.c_custkey = o.o_custkey)""",
+    "semi_join_known_keys": """
+  SELECT * FROM orders o WHERE EXISTS (SELECT 1 FROM customer c WHERE c.c_custkey = o.o_custkey AND c.c_nationkey % 2 = 0)""",
     "anti_join_new_keys": """
-  SELECT * FROM orders a WHERE a.o_orderdate >= TIMESTAMP '1997-07-01'
-    AND NOT EXISTS (SELECT 1 FROM orders s WHERE s.o_orderdate < TIMESTAMP '1998-01-01'
-                                             AND s.o_orderkey = a.o_orderkey)""",
+  SELECT * FROM orders a WHERE NOT EXISTS (SELECT 1 FROM lineitem s WHERE s.l_linestatus = 'F'
+                                                                      AND s.l_orderkey = a.o_orderkey)""",
+    "stage_faulty_transactions": _txn_first(FAULTY_TAGGED),
+    "stage_faulty_transactions_rejects": _summary(FAULTY_TAGGED, "order_id, line_no", TXN_REASONS),
+    "category_performance_orphans": CATEGORY.replace(
+        "l.l_partkey = p.p_partkey", "l.l_partkey = p.p_partkey AND l.l_partkey % 7 <> 0"),
 })
 
 # ----- data quality ----------------------------------------------------------
@@ -226,20 +279,40 @@ ORACLE.update({
   FROM ({DQ_SUITE_SQL})""",
 })
 
+_FAULTY_ORDERS = """(SELECT CASE WHEN o_orderkey % 9 = 0 THEN 9 ELSE o_orderkey END AS o_orderkey,
+    CASE WHEN o_orderkey % 10 = 0 THEN NULL WHEN o_orderkey % 10 = 1 THEN -o_custkey ELSE o_custkey END AS o_custkey,
+    CASE WHEN o_orderkey % 15 = 2 THEN 'nan'::DOUBLE ELSE o_totalprice END AS o_totalprice, o_orderdate FROM orders)"""
+ORACLE["dq_suite_faulty"] = "\n  UNION ALL ".join(
+    sql.replace("FROM orders", f"FROM {_FAULTY_ORDERS}") for sql in (
+        DQ_COMPLETENESS, _dq_unique("orders", "o_orderkey"), _dq_ri("orders", "o_custkey"),
+        DQ_FRESHNESS.replace("3650", "30"))) + "\n  UNION ALL " + _dq_unique("customer", "c_custkey")
+
 # ----- stream records --------------------------------------------------------
 
+# Records as delivered: error events are not base64, purchases come twice.
 EVENTS_DELIVERED = """
   SELECT event_id, user_id AS customer_id, ts AS event_ts, event_type, value, props
-  FROM events WHERE event_type <> 'error'
-  UNION ALL
-  SELECT event_id, user_id, ts, event_type, value, props FROM events WHERE event_type = 'purchase'"""
+  FROM events, (VALUES (1), (2)) AS copy(n)
+  WHERE event_type <> 'error' AND (n = 1 OR event_type = 'purchase')"""
+
+# The fault of a record by its event id, in the order the decoder judges.
+FAULTY_REASON = """CASE WHEN event_id % 11 = 0 OR event_id % 7 = 1 THEN 'invalid_base64'
+              WHEN event_id % 7 = 2 THEN 'invalid_utf8' WHEN event_id % 7 = 3 THEN 'empty_payload'
+              WHEN event_id % 7 IN (4, 5) THEN 'malformed_json' END"""
 
 ORACLE.update({
     "json_decode": EVENTS_DELIVERED,
     "json_dead_letter": """
   SELECT CAST(event_id AS VARCHAR) AS _sequence_number, 'invalid_base64' AS _dead_letter_reason
   FROM events WHERE event_type = 'error'""",
+    "json_decode_faulty": f"""
+  SELECT event_id, user_id AS customer_id, ts AS event_ts, event_type, value, props
+  FROM events WHERE {FAULTY_REASON} IS NULL""",
+    "json_dead_letter_faulty": f"""
+  SELECT CAST(event_id AS VARCHAR) AS _sequence_number, {FAULTY_REASON} AS _dead_letter_reason
+  FROM events WHERE {FAULTY_REASON} IS NOT NULL""",
     "stream_landing": EVENTS_DELIVERED,
+    "stream_batch_convergence": STAGE_CLICKSTREAM,
     "stream_dedupe": STAGE_CLICKSTREAM,
 })
 
@@ -334,6 +407,20 @@ ORACLE.update({
   FROM b""",
 })
 
+ORACLE["stream_lag"] = f"""
+  WITH s AS (SELECT 'stream_lag_ms' AS metric, {_period('l_shipdate', 300)} AS period_start,
+                    max(CAST(date_diff('millisecond', o_orderdate, l_shipdate) AS DOUBLE)) AS stat_value
+             FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY ALL),
+  b AS (SELECT *, stat_value > 60000.0 AS breaching FROM s)
+  SELECT metric, period_start, stat_value, breaching,
+         CASE WHEN breaching AND coalesce(lag(breaching) OVER (PARTITION BY metric ORDER BY period_start), false)
+              THEN 'ALARM' ELSE 'OK' END AS state
+  FROM b"""
+# Periods that end at or before the last event less the delay.
+ORACLE["stream_alarm"] = f"""
+  SELECT * FROM ({ORACLE["metric_alarm_consecutive"]})
+  WHERE period_start + INTERVAL 300 SECOND <= (SELECT max(ts) FROM events) - INTERVAL 1 MINUTE"""
+
 # ----- the whole run -------------------------------------------------------------
 
 ORACLE["medallion_customer_360"] = f"""
@@ -364,6 +451,8 @@ ORACLE["medallion_customer_360"] = f"""
   LEFT JOIN counts k ON c.c_custkey = k.customer_id
   LEFT JOIN spend s ON c.c_custkey = s.customer_id"""
 
+ORACLE["medallion_incremental"] = ORACLE["medallion_customer_360"]
+
 ORACLE["coerce_numeric"] = """
   SELECT event_id, json_extract_string(props, '$.k') AS k_text,
          CAST(trunc(TRY_CAST(trim(json_extract_string(props, '$.k')) AS DOUBLE)) AS INTEGER) AS k_quantity,

@@ -1,8 +1,9 @@
 """Named queries over the supplied tables (the driver contract's ``queries()``).
 
-Each entry takes ``(spark, sf_dir)`` and returns a lazy DataFrame that reads
-whole tables; nothing is collected. The matching DuckDB SQL lives in
-``tidemark.plans.oracle``.
+Each entry takes ``(spark, sf_dir)`` and returns a DataFrame that reads whole tables; nothing
+is collected. Most are lazy. The ``stream_*`` entries, ``incremental_ingest`` and the
+``medallion_*`` entries run their streams or zones when called (that is what they show)
+and return what was written. The matching DuckDB SQL lives in ``tidemark.plans.oracle``.
 """
 
 from __future__ import annotations
@@ -22,10 +23,10 @@ from tidemark.operators.cleanse import reject_summary
 from tidemark.operators.dedupe import dedupe_first
 from tidemark.plans import incremental, staged
 from tidemark.plans.medallion import run_medallion
-from tidemark.session import scratch_path
+from tidemark.session import delete_path, scratch_path
 from tidemark.sources import files
 from tidemark.sources import testdata as td
-from tidemark.streaming import landing, records
+from tidemark.streaming import alarms, landing, records
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -117,11 +118,40 @@ def q_semi_join_valid(spark, d):
                            "o_custkey", key_cols=["c_custkey"])
 
 
+def q_semi_join_known_keys(spark, d):
+    """Orders of the customers that are known: those in the nations of even key, of all orders."""
+    known = td.table(spark, d, "customer").filter(F.col("c_nationkey") % 2 == 0)
+    return joins.semi_join(td.table(spark, d, "orders"), known, "o_custkey", key_cols=["c_custkey"])
+
+
 def q_anti_join_new_keys(spark, d):
-    orders = td.table(spark, d, "orders")
-    already = orders.filter(F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz"))
-    arriving = orders.filter(F.col("o_orderdate") >= F.lit("1997-07-01").cast("timestamp_ntz"))
-    return joins.new_keys(arriving, already, "o_orderkey")
+    """All orders whose key is not staged yet; staged are the orders that have a shipped line."""
+    shipped = td.table(spark, d, "lineitem").filter(F.col("l_linestatus") == "F")
+    return joins.new_keys(td.table(spark, d, "orders"), shipped.withColumnRenamed("l_orderkey", "o_orderkey"), "o_orderkey")
+
+
+# ----- staging with faults ----------------------------------------------------
+
+def _faulty_transactions(spark, d):
+    return staged.stage_transactions(
+        td.faulty_transactions(spark, d), valid_customers=td.customers(spark, d),
+        key=("order_id", "line_no"), order_by=("ship_date",), types=td.TRANSACTION_TYPES, stamp=None)
+
+
+def q_stage_faulty_transactions(spark, d):
+    return _faulty_transactions(spark, d)[1]
+
+
+def q_stage_faulty_transactions_rejects(spark, d):
+    return reject_summary(_faulty_transactions(spark, d)[0], staged.TRANSACTION_REASONS, key=["order_id", "line_no"])
+
+
+def q_category_performance_orphans(spark, d):
+    """Category performance when every seventh product id is unknown: its lines form the NULL category."""
+    lines = td.completed_lines(spark, d)
+    p = F.col("product_id")
+    return cat.category_performance(lines.withColumn("product_id", F.when(p % 7 == 0, -1 - p).otherwise(p)),
+                                    td.products(spark, d))
 
 
 # ----- data quality ---------------------------------------------------------
@@ -170,6 +200,20 @@ def q_dq_suite(spark, d):
     return dq.run_suite_specs(DQ_SUITE, _dq_tables(spark, d), DQ_AS_OF)[0]
 
 
+FAULTY_SUITE = (
+    dq.CheckSpec("completeness", "orders", ("o_custkey", "o_totalprice", "o_orderdate")),
+    dq.CheckSpec("uniqueness", "orders", ("o_orderkey",)),
+    dq.CheckSpec("referential_integrity", "orders", ("o_custkey",), "customer", "c_custkey"),
+    dq.CheckSpec("freshness", "orders", ("o_orderdate",), options={"max_age_days": 30}),
+    dq.CheckSpec("uniqueness", "customer", ("c_custkey",)),
+)
+
+
+def q_dq_suite_faulty(spark, d):
+    """The suite on orders with faults: four checks fail, one passes."""
+    return dq.run_suite_specs(FAULTY_SUITE, {**_dq_tables(spark, d), "orders": td.faulty_orders(spark, d)}, DQ_AS_OF)[0]
+
+
 def q_dq_suite_summary(spark, d):
     return dq.suite_summary(q_dq_suite(spark, d))
 
@@ -190,36 +234,77 @@ def q_json_dead_letter(spark, d):
     return records.dead_letters(decoded).select("_sequence_number", records.DEAD_LETTER_COL)
 
 
+def q_json_decode_faulty(spark, d):
+    decoded = records.decode_records(td.faulty_event_records(spark, d), td.EVENT_FIELDS)
+    return _typed_events(records.good_records(decoded))
+
+
+def q_json_dead_letter_faulty(spark, d):
+    decoded = records.decode_records(td.faulty_event_records(spark, d), td.EVENT_FIELDS)
+    return records.dead_letters(decoded).select("_sequence_number", records.DEAD_LETTER_COL)
+
+
+STREAM_FILES = 8
+
+
 def _record_source(spark, d):
+    """The records as files of a stream, one micro-batch each; a delivery repeated at once is in the same file."""
     src = scratch_path(spark, "records")
-    td.event_records(spark, d).write.mode("overwrite").parquet(src)
+    td.event_records(spark, d).repartition(STREAM_FILES, "sequence_number").write.parquet(src)
     return src
 
 
-def q_stream_landing(spark, d):
-    """Land the record backlog (availableNow, one micro-batch) and read the landed rows back."""
-    src, out = _record_source(spark, d), scratch_path(spark, "landing")
-    q = landing.land_stream(landing.read_records(spark, src, files_per_batch=0),
-                            f"{out}/good", f"{out}/dead",
-                            f"{out}/_checkpoint", td.EVENT_FIELDS, available_now=True)
+def _drops_in_time_order(spark, d, path, rows):
+    """Write ``rows`` below ``path`` as one drop after another, each a stretch of event time."""
+    first, last = td.table(spark, d, "events").agg(
+        F.unix_micros(F.min("ts").cast("timestamp")), F.unix_micros(F.max("ts").cast("timestamp"))).first()
+    step = -(-(last - first + 1) // STREAM_FILES) if first is not None else 1
+    for i in range(STREAM_FILES):
+        def when(ts, i=i):
+            at = F.unix_micros(F.col(ts).cast("timestamp")) - F.lit(first or 0)
+            return (at >= i * step) & (at < (i + 1) * step)
+        rows(when).coalesce(1).write.parquet(f"{path}/drop={i}")
+
+
+def _landed(spark, src, out):
+    q = landing.land_stream(landing.read_records(spark, src), f"{out}/good", f"{out}/dead", f"{out}/_checkpoint",
+                            td.EVENT_FIELDS, available_now=True, progress_path=f"{out}/progress")
     q.awaitTermination()
-    return _typed_events(landing.read_landed(spark, f"{out}/good"))
+    delete_path(spark, src)
+    return landing.read_landed(spark, f"{out}/good")
+
+
+def q_stream_landing(spark, d):
+    """Land the record backlog in bounded micro-batches and read the landed rows back."""
+    return _typed_events(_landed(spark, _record_source(spark, d), scratch_path(spark, "landing")))
+
+
+def q_stream_batch_convergence(spark, d):
+    """Landed records and the batch export through the same staging rule: each event once.
+
+    Records are dealt to micro-batches in turn, so repeats arrive batches apart; every event comes by both ways. The batch rule decides.
+    """
+    src, out = scratch_path(spark, "records"), scratch_path(spark, "convergence")
+    td.event_records(spark, d).repartition(STREAM_FILES).write.parquet(src)
+    raw = files.union_sources(td.batch_export(spark, d), _landed(spark, src, out).select(*td.EVENT_FIELDS))
+    return staged.stage_clickstream(raw, types=td.CLICKSTREAM_TYPES, stamp=None)[1]
 
 
 def q_stream_dedupe(spark, d):
-    """Decode, drop anonymous rows and repeats on the stream; file sink; read back.
+    """Decode, drop anonymous rows and repeats on the stream, in bounded micro-batches; file sink; read back.
 
-    The backlog is replayed as one micro-batch, so every repeat meets its
-    first copy within the watermark whatever the number of source files.
+    The records come in time order, so none is later than the watermark.
     """
-    src, out = _record_source(spark, d), scratch_path(spark, "stream-dedupe")
+    src, out = scratch_path(spark, "records"), scratch_path(spark, "stream-dedupe")
+    _drops_in_time_order(spark, d, src, lambda when: td.event_records(spark, d, when("event_ts")))
     stream = records.good_records(records.decode_records(
-        landing.read_records(spark, src, files_per_batch=0), td.EVENT_FIELDS))
+        landing.read_records(spark, f"{src}/drop=*"), td.EVENT_FIELDS))
     clean = landing.stage_clickstream_stream(stream)
     q = (clean.writeStream.format("parquet").option("path", f"{out}/data")
          .option("checkpointLocation", f"{out}/_checkpoint").outputMode("append")
          .trigger(availableNow=True).start())
     q.awaitTermination()
+    delete_path(spark, src)
     landed = spark.read.schema(clean.schema).parquet(f"{out}/data")
     return _typed_events(landed.withColumn("event_ts", F.col("event_ts").cast("timestamp_ntz")))
 
@@ -311,6 +396,28 @@ def q_metric_alarm_consecutive(spark, d):
     return metrics.metric_alarm(_event_series(spark, d), VALUE_ALARM)
 
 
+def q_stream_lag(spark, d):
+    """Lag between the order and the shipping of a line, as an alarm: max per period above the limit, twice."""
+    lines = td.order_lines(spark, d)
+    return metrics.stream_lag_alarm(lines, arrival_col="ship_date", event_col="order_date")
+
+
+STREAM_ALARM_DELAY = "1 minute"
+
+
+def q_stream_alarm(spark, d):
+    """The value alarm on the events as a stream in time order: periods that the watermark has closed."""
+    src, out = scratch_path(spark, "series"), scratch_path(spark, "alarm")
+    series = _event_series(spark, d).withColumn("ts", F.col("ts").cast("timestamp"))
+    _drops_in_time_order(spark, d, src, lambda when: series.filter(when("ts")))
+    stream = spark.readStream.schema(series.schema).option("maxFilesPerTrigger", 1).parquet(f"{src}/drop=*")
+    q = alarms.stream_alarm(stream, VALUE_ALARM, STREAM_ALARM_DELAY, f"{out}/closed", f"{out}/_checkpoint",
+                            available_now=True)
+    q.awaitTermination()
+    delete_path(spark, src)
+    return alarms.alarm_states(spark, f"{out}/closed", VALUE_ALARM)
+
+
 # ----- the whole run -----------------------------------------------------------
 
 def q_medallion_customer_360(spark, d):
@@ -320,6 +427,14 @@ def q_medallion_customer_360(spark, d):
     return res.curated["customer_360"]
 
 
+def q_medallion_incremental(spark, d):
+    """Three drops and a replay, run incrementally; the published profile, which equals that of a full run."""
+    lake = scratch_path(spark, "lake-incremental")
+    for drop in td.medallion_drops(spark, d):
+        res = run_medallion(spark, drop, td.medallion_config(lake, mode="incremental"))
+    return res.curated["customer_360"]
+
+
 QUERIES: dict[str, QueryFn] = {
     "customer_profile": q_customer_profile,
     "customer_funnel": q_customer_funnel,
@@ -336,7 +451,11 @@ QUERIES: dict[str, QueryFn] = {
     "stage_transactions_rejects": q_stage_transactions_rejects,
     "dedupe_first": q_dedupe_first,
     "semi_join_valid": q_semi_join_valid,
+    "semi_join_known_keys": q_semi_join_known_keys,
     "anti_join_new_keys": q_anti_join_new_keys,
+    "stage_faulty_transactions": q_stage_faulty_transactions,
+    "stage_faulty_transactions_rejects": q_stage_faulty_transactions_rejects,
+    "category_performance_orphans": q_category_performance_orphans,
     "dq_completeness": q_dq_completeness,
     "dq_uniqueness": q_dq_uniqueness,
     "dq_uniqueness_composite": q_dq_uniqueness_composite,
@@ -344,9 +463,13 @@ QUERIES: dict[str, QueryFn] = {
     "dq_freshness": q_dq_freshness,
     "dq_suite": q_dq_suite,
     "dq_suite_summary": q_dq_suite_summary,
+    "dq_suite_faulty": q_dq_suite_faulty,
     "json_decode": q_json_decode,
     "json_dead_letter": q_json_dead_letter,
+    "json_decode_faulty": q_json_decode_faulty,
+    "json_dead_letter_faulty": q_json_dead_letter_faulty,
     "stream_landing": q_stream_landing,
+    "stream_batch_convergence": q_stream_batch_convergence,
     "stream_dedupe": q_stream_dedupe,
     "union_sources": q_union_sources,
     "schema_drift_merged": q_schema_drift_merged,
@@ -356,7 +479,10 @@ QUERIES: dict[str, QueryFn] = {
     "metric_rollup": q_metric_rollup,
     "metric_alarm": q_metric_alarm,
     "metric_alarm_consecutive": q_metric_alarm_consecutive,
+    "stream_lag": q_stream_lag,
+    "stream_alarm": q_stream_alarm,
     "medallion_customer_360": q_medallion_customer_360,
+    "medallion_incremental": q_medallion_incremental,
 }
 
 

@@ -1,11 +1,14 @@
 """Raw → staged: typed, validated, deduplicated tables.
 
-The two fact functions return ``(tagged, clean)``: ``tagged`` is the raw
-input with a ``_reject_reason`` per row (for reject output and counts),
-``clean`` the valid rows, deduplicated and typed. Both are lazy. A caller that
-writes both reads the raw input twice (two column-pruned scans), which at
-scale is cheaper than caching the whole raw table; counts come from
-``Observation``s on the writes.
+A fact is *tagged* in one pass: columns are typed first, then every row gets a
+``_reject_reason`` (NULL for a valid row) from one CASE. Known customers are
+found by one left outer join on typed keys against distinct customer keys; AQE can
+split that join when one customer is hot. The row as it arrived travels in
+``_raw``, so rejects keep the text that was refused.
+
+``stage_*`` return ``(tagged, clean)``, both lazy; clean holds the first row per
+key. Rows whose key is NULL after typing are rejected as ``invalid_key``, so
+clean + rejected + duplicates always equals the input.
 """
 
 from __future__ import annotations
@@ -16,21 +19,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalar import coerce_amount, coerce_quantity, is_present
-from tidemark.operators.cleanse import REJECT_COL, rejected_rows, tag_rejects, valid_rows
+from tidemark.operators.cleanse import REJECT_COL, tag_rejects, valid_rows
 from tidemark.operators.dedupe import dedupe_first
-from tidemark.operators.joins import anti_join, semi_join
 
-CLICKSTREAM_REASONS = ("missing_customer",)
-TRANSACTION_REASONS = ("invalid_quantity", "invalid_amount", "missing_customer", "unknown_customer")
+RAW_COL = "_raw"
+CLICKSTREAM_REASONS = ("invalid_key", "missing_customer")
+TRANSACTION_REASONS = ("invalid_key", "invalid_quantity", "invalid_amount", "missing_customer", "unknown_customer")
+
+
+def _typed(c: str, dtype: str | None) -> Column:
+    if not dtype or dtype == "string":
+        return F.col(c)
+    return F.trim(F.col(c).cast("string")).try_cast(dtype)
 
 
 def apply_types(df: DataFrame, types: dict[str, str]) -> DataFrame:
     """Lenient typing of text columns: ``try_cast`` (NULL on failure, never an error)."""
-    return df.select(*[
-        (F.trim(F.col(c)).try_cast(types[c]) if types.get(c) and types[c] != "string"
-         else F.col(c)).alias(c)
-        if c in types else F.col(c)
-        for c in df.columns])
+    return df.select(*[(_typed(c, types.get(c)) if c in types else F.col(c)).alias(c) for c in df.columns])
 
 
 def _stamp(df: DataFrame, stamp) -> DataFrame:
@@ -42,16 +47,47 @@ def _stamp(df: DataFrame, stamp) -> DataFrame:
     return df.withColumn("_cleansed_ts", stamp)
 
 
+def _key_ok(key: Sequence[str]) -> Column:
+    ok = F.lit(True)
+    for k in key:
+        ok = ok & F.col(k).isNotNull()
+    return ok
+
+
+def tag_clickstream(raw: DataFrame, key: Sequence[str] = ("event_id",), customer: str = "customer_id",
+                    types: dict[str, str] | None = None) -> DataFrame:
+    """Typed clickstream rows with a reason: key unreadable, or anonymous (NULL, empty or unreadable customer)."""
+    kept = raw.withColumn(RAW_COL, F.struct(*[F.col(c) for c in raw.columns]))
+    return tag_rejects(apply_types(kept, types or {}),
+                       [("invalid_key", _key_ok(key)), ("missing_customer", is_present(customer))])
+
+
+def tag_transactions(raw: DataFrame, valid_customers: DataFrame | None = None,
+                     key: Sequence[str] = ("order_id",), customer: str = "customer_id",
+                     customer_key: str | None = None, quantity: str = "quantity",
+                     amount: str = "amount", types: dict[str, str] | None = None) -> DataFrame:
+    """Typed transaction rows with a reason: key, quantity and amount (both > 0), customer present and known."""
+    types = {c: t for c, t in (types or {}).items() if c not in (quantity, amount)}
+    kept = raw.withColumn(RAW_COL, F.struct(*[F.col(c) for c in raw.columns]))
+    df = apply_types(kept, types).withColumns({quantity: coerce_quantity(quantity), amount: coerce_amount(amount)})
+    rules = [("invalid_key", _key_ok(key)), ("invalid_quantity", F.col(quantity) > 0),
+             ("invalid_amount", F.col(amount) > 0), ("missing_customer", is_present(customer))]
+    if valid_customers is None:
+        return tag_rejects(df, rules)
+    ck = customer_key or customer
+    known = valid_customers.select(F.col(ck).cast("string").try_cast(dict(df.dtypes)[customer]).alias("_known")) \
+        .filter(F.col("_known").isNotNull()).distinct()
+    joined = df.join(known, F.col(customer) == F.col("_known"), "left")
+    return tag_rejects(joined, [*rules, ("unknown_customer", F.col("_known").isNotNull())]).drop("_known")
+
+
 def stage_clickstream(raw: DataFrame, key: Sequence[str] = ("event_id",),
                       customer: str = "customer_id", order_by: Sequence[str] = ("event_ts",),
                       types: dict[str, str] | None = None,
                       stamp: Column | str | None = "now"):
-    """Drop anonymous rows (NULL or empty customer), keep the first row per key."""
-    tagged = tag_rejects(raw, [("missing_customer", is_present(customer))])
-    valid = valid_rows(tagged)
-    if types:
-        valid = apply_types(valid, types)
-    clean = dedupe_first(valid, list(key), list(order_by))
+    """Drop rows without a key or customer, keep the first row per key."""
+    tagged = tag_clickstream(raw, key, customer, types)
+    clean = dedupe_first(valid_rows(tagged).drop(RAW_COL), list(key), list(order_by))
     return tagged, _stamp(clean, stamp)
 
 
@@ -61,33 +97,9 @@ def stage_transactions(raw: DataFrame, valid_customers: DataFrame | None = None,
                        amount: str = "amount", order_by: Sequence[str] = (),
                        types: dict[str, str] | None = None,
                        stamp: Column | str | None = "now"):
-    """Coerce quantity/amount, require both > 0, require a (known) customer,
-    keep the first row per key.
-
-    With ``valid_customers`` the rows that passed the other rules are split
-    by a semi join (known) and an anti join (``unknown_customer``) against the
-    customer keys. Neither needs the keys to be distinct, so the key side is a
-    plain shuffled projection and AQE can split a partition made huge by one
-    hot customer; a clean-only plan keeps just the semi join.
-    """
-    df = raw.withColumn(quantity, coerce_quantity(quantity)) \
-        .withColumn(amount, coerce_amount(amount))
-    rules = [("invalid_quantity", F.col(quantity) > 0),
-             ("invalid_amount", F.col(amount) > 0),
-             ("missing_customer", is_present(customer))]
-    tagged = tag_rejects(df, rules)
-    valid = valid_rows(tagged)
-    if valid_customers is not None:
-        ck = customer_key or customer
-        keys = valid_customers.select(F.col(ck).cast(dict(df.dtypes)[customer]).alias(customer))
-        known = semi_join(valid, keys, customer)
-        unknown = anti_join(valid, keys, customer).withColumn(REJECT_COL, F.lit("unknown_customer"))
-        tagged = rejected_rows(tagged).unionByName(unknown) \
-            .unionByName(known.withColumn(REJECT_COL, F.lit(None).cast("string")))
-        valid = known
-    if types:
-        valid = apply_types(valid, types)
-    clean = dedupe_first(valid, list(key), list(order_by))
+    """Coerce quantity/amount, require both > 0, require a (known) customer, keep the first row per key."""
+    tagged = tag_transactions(raw, valid_customers, key, customer, customer_key, quantity, amount, types)
+    clean = dedupe_first(valid_rows(tagged).drop(RAW_COL), list(key), list(order_by))
     return tagged, _stamp(clean, stamp)
 
 
@@ -97,5 +109,5 @@ def stage_passthrough(raw: DataFrame, types: dict[str, str] | None = None,
     return _stamp(apply_types(raw, types or {}), stamp)
 
 
-__all__ = ["REJECT_COL", "CLICKSTREAM_REASONS", "TRANSACTION_REASONS", "apply_types",
-           "stage_clickstream", "stage_transactions", "stage_passthrough"]
+__all__ = ["REJECT_COL", "RAW_COL", "CLICKSTREAM_REASONS", "TRANSACTION_REASONS", "apply_types", "tag_clickstream",
+           "tag_transactions", "stage_clickstream", "stage_transactions", "stage_passthrough"]

@@ -22,12 +22,13 @@ BASE_CONF = {
 }
 
 
-def cluster_conf(total_cores: int, input_tb: float = 100.0) -> dict:
+def cluster_conf(total_cores: int, input_tb: float = 100.0, max_partitions: int = 400_000) -> dict:
     """Starting configuration for a large cluster (tune from the event log).
 
     Shuffle partitions start high (at least 4 per core, up to one per
-    256 MB of input, capped at 50,000 so the map-output bookkeeping stays
-    bounded) and AQE coalesces small ones and splits skewed ones at runtime;
+    256 MB of input; ``max_partitions`` bounds the map-output bookkeeping of
+    the driver and should only be lowered with partitions that still fit a
+    task) and AQE coalesces small ones and splits skewed ones at runtime;
     scans use 256 MB splits; the broadcast threshold stays at a fixed, small
     size, so a table is only broadcast when its measured size is under it;
     runtime Bloom filters prune the large side of selective joins; stream
@@ -35,7 +36,7 @@ def cluster_conf(total_cores: int, input_tb: float = 100.0) -> dict:
     checkpoints; tasks and stages retry more often, for lost executors.
     """
     by_size = int(input_tb * 1024 * 1024 / 256)
-    parts = max(total_cores * 4, min(by_size, 50_000))
+    parts = max(total_cores * 4, min(by_size, max_partitions))
     return {
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
@@ -89,10 +90,19 @@ def checkpoint_root(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share; "
+                           "only a local master may use a private one")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="tidemark-ckpt-"))
     return sc.getCheckpointDir().rstrip("/")
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder on whatever file system ``path`` names (nothing if absent)."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"

@@ -18,19 +18,27 @@ def text_schema(columns: Sequence[str]) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
 
 
-def read_text_csv(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
-    """All-text CSV scan with a header (no inference pass, no type errors)."""
+def read_text_csv(spark: SparkSession, path: str | list[str], columns: Sequence[str]) -> DataFrame:
+    """All-text CSV scan with a header (no inference pass, no type errors); no paths give no rows."""
+    if not path:
+        return spark.createDataFrame([], text_schema(columns))
     return spark.read.option("header", True).option("mode", "PERMISSIVE") \
         .schema(text_schema(columns)).csv(path)
 
 
-def read_table(spark: SparkSession, path: str, fmt: str = "parquet",
+def read_table(spark: SparkSession, path: str | list[str], fmt: str = "parquet",
                columns: Sequence[str] | None = None) -> DataFrame:
     """Scan a zone table (Parquet by default); ``columns`` prunes the scan."""
     df = spark.read.format(fmt).load(path)
     return df.select(*columns) if columns else df
 
 
+def read_catalog(spark: SparkSession, name: str, columns: Sequence[str] | None = None) -> DataFrame:
+    """A table or view of the session's catalog (``table`` or ``database.table``)."""
+    df = spark.table(name)
+    return df.select(*columns) if columns else df
+
+
 def table_exists(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
     try:
         spark.read.format(fmt).load(path).schema  # noqa: B018
@@ -43,16 +51,24 @@ def stamp_ingest(df: DataFrame, col: str = "_ingested_ts") -> DataFrame:
     return df.withColumn(col, F.current_timestamp())
 
 
+def spread_by(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Rows dealt by their partition values before a partitioned write (REBALANCE).
+
+    AQE then splits the value that holds most rows over many tasks and merges
+    small ones, so a table gets neither one huge task nor tasks x values small files.
+    """
+    return df.hint("rebalance", *partition_by) if partition_by else df
+
+
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", fmt: str = "parquet",
                 partition_by: Sequence[str] = (), header: bool = True,
                 observe: bool = True) -> int | None:
     """Write ``df``; return the number of rows written (observed during the write).
 
-    With ``partition_by`` Spark's dynamic-partition writer sorts each task's
-    rows by the partition columns; no repartition by the partition value is
-    done, because a value holding most rows (``status=completed``) would
-    then land in a single task.
+    With ``partition_by`` rows are rebalanced by the partition columns first
+    (``spread_by``).
     """
+    df = spread_by(df, partition_by)
     obs = Observation("rows") if observe else None
     if obs is not None:
         df = df.observe(obs, F.count(F.lit(1)).alias("rows"))

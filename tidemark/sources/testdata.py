@@ -12,7 +12,9 @@ columns down to the Parquet reader and pushes filters into it.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.config import FunnelSpec
@@ -129,24 +131,111 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
 EVENT_FIELDS = ("event_id", "customer_id", "event_ts", "event_type", "value", "props")
 
 
-def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events as stream records ``(sequence_number, value)``.
+def _record(fields: Sequence[str] = EVENT_FIELDS):
+    return F.to_json(F.struct(*[F.col(c).cast("string").alias(c) for c in fields]))
+
+
+def _stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").select(
+        "event_id", F.col("user_id").alias("customer_id"), F.col("ts").alias("event_ts"),
+        "event_type", "value", "props")
+
+
+def event_records(spark: SparkSession, sf_dir: str, when: Column | None = None) -> DataFrame:
+    """Events (those for which ``when`` holds) as stream records ``(sequence_number, value)``.
 
     ``value`` is the base64 of a JSON object with the event's fields as text.
     Two transport faults of the kind the consumer must survive: the legacy
     client that emits error events sends its JSON without base64 encoding
     (dead letter), and purchase events are delivered twice (at least once).
     """
-    ev = table(spark, sf_dir, "events").select(
-        "event_id", F.col("user_id").alias("customer_id"), F.col("ts").alias("event_ts"),
-        "event_type", "value", "props")
-    payload = F.to_json(F.struct(*[F.col(c).cast("string").alias(c) for c in EVENT_FIELDS]))
-    value = F.when(F.col("event_type") == "error", payload) \
-        .otherwise(F.base64(F.encode(payload, "UTF-8")))
-    records = ev.select(F.col("event_id").cast("string").alias("sequence_number"),
-                        value.alias("value"), "event_type")
-    again = records.filter(F.col("event_type") == "purchase")
-    return records.unionByName(again).drop("event_type")
+    copies = F.when(F.col("event_type") == "purchase", 2).otherwise(1)
+    value = F.when(F.col("event_type") == "error", _record()).otherwise(F.base64(F.encode(_record(), "UTF-8")))
+    events = _stream_events(spark, sf_dir)
+    return (events if when is None else events.filter(when)).select(
+        F.col("event_id").cast("string").alias("sequence_number"), value.alias("value"),
+        F.explode(F.array_repeat(F.lit(0), copies)).alias("_copy")).drop("_copy")
+
+
+def faulty_event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as records with every kind of transport fault, by a rule on the event id.
+
+    id mod 7: 1 is not base64, 2 is base64 of bytes that are not UTF-8, 3 is an empty payload, 4 a
+    JSON array, 5 a cut object; others are good. Ids divisible by 11 have no value.
+    """
+    m = F.col("event_id") % 7
+    b64 = lambda c: F.base64(F.encode(c, "UTF-8"))
+    value = (F.when(F.col("event_id") % 11 == 0, F.lit(None).cast("string"))
+             .when(m == 1, F.concat(F.lit("%%"), b64(_record())))
+             .when(m == 2, F.base64(F.unhex(F.lit("FFFE7B"))))
+             .when(m == 3, b64(F.lit("  ")))
+             .when(m == 4, b64(F.lit("[1,2]")))
+             .when(m == 5, b64(F.substring(_record(), 1, 10)))
+             .otherwise(b64(_record())))
+    return _stream_events(spark, sf_dir).select(F.col("event_id").cast("string").alias("sequence_number"),
+                                                value.alias("value"))
+
+
+def faulty_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All transactions as text, with faults by a rule on order and line number; no row is left out.
+
+    The rules are in ``FAULTS``; each is SQL that Spark and DuckDB read alike. Orders
+    divisible by 5 arrive twice.
+    """
+    raw = raw_transactions(spark, sf_dir).withColumns({
+        "o": F.col("order_id").cast("bigint"), "n": F.col("line_no").cast("bigint")})
+    faulty = raw.select(*[F.expr(FAULTS.get(c, c)).alias(c) for c in raw.columns if c not in ("o", "n")], "o")
+    return faulty.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), F.when(F.col("o") % 5 == 0, 2).otherwise(1)))) \
+        .drop("_copy", "o")
+
+
+# o and n are the order and line number of a row; every other name is a text column.
+FAULTS = {
+    "order_id": "CASE WHEN o % 43 = 0 THEN 'x' || order_id WHEN o % 47 = 0 THEN NULL "
+                "WHEN o % 3 = 0 THEN '0' || order_id ELSE order_id END",
+    "quantity": "CASE WHEN (o + n) % 11 = 0 THEN 'abc' WHEN (o + n) % 13 = 0 THEN '-1' WHEN (o + n) % 17 = 0 THEN '0.5' "
+                "WHEN (o + n) % 19 = 0 THEN '1.5' WHEN (o + n) % 53 = 0 THEN '99999999999' ELSE quantity END",
+    "amount": "CASE WHEN (o + n) % 23 = 0 THEN 'NaN' WHEN (o + n) % 29 = 0 THEN '0' WHEN (o + n) % 59 = 0 THEN NULL "
+              "ELSE amount END",
+    "customer_id": "CASE WHEN o % 31 = 0 THEN '' WHEN o % 37 = 0 THEN '99999999' WHEN o % 41 = 0 THEN ' ' || customer_id || ' ' "
+                   "WHEN o % 4 = 0 THEN '00' || customer_id ELSE customer_id END",
+    "order_date": "CASE WHEN o % 7 = 0 THEN 'n/a' ELSE order_date END",
+}
+
+
+def faulty_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All orders with faults for the checks: missing customers, unknown customers, repeated keys, missing prices."""
+    o = table(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    return o.withColumns({
+        "o_custkey": F.when(k % 10 == 0, F.lit(None).cast("bigint")).when(k % 10 == 1, -F.col("o_custkey"))
+        .otherwise(F.col("o_custkey")),
+        "o_totalprice": F.when(k % 15 == 2, F.lit(float("nan"))).otherwise(F.col("o_totalprice")),
+        "o_orderkey": F.when(k % 9 == 0, F.lit(9).cast("bigint")).otherwise(k)})
+
+
+def medallion_drops(spark: SparkSession, sf_dir: str) -> list[dict]:
+    """The raw tables of ``medallion_raw`` as three drops and a replay of the second.
+
+    Customers arrive late (a third with each drop), so orders wait for them. Order lines and
+    events are dealt to drops by their key. First lines of the first drop return in the second
+    with another customer, no readable date and twice the amount; purchases are
+    delivered again one drop later. None of it may change the result of a full run.
+    """
+    raw = medallion_raw(spark, sf_dir)
+    lines, events = raw["transactions"], raw["clickstream_events"]
+    order, event = F.col("order_id").cast("bigint"), F.col("event_id").cast("bigint")
+    again = lines.filter((order % 3 == 0) & (F.col("line_no") == "1")).withColumns({
+        "customer_id": F.lit("3"), "order_date": F.lit("n/a"),
+        "amount": (F.col("amount").cast("decimal(18,2)") * 2).cast("string")})
+    drops = []
+    for i in range(3):
+        t = lines.filter(order % 3 == i)
+        e = events.filter(event % 3 == i).unionByName(
+            events.filter((event % 3 == (i + 2) % 3) & (F.col("event_type") == "purchase")) if i else events.filter(F.lit(False)))
+        drops.append({**raw, "customers": raw["customers"].filter(F.col("customer_id") % 3 <= i),
+                      "transactions": t.unionByName(again) if i == 1 else t, "clickstream_events": e})
+    return [*drops, {**drops[1], "customers": raw["customers"]}]
 
 
 # ---------------------------------------------------------------------------
@@ -168,7 +257,7 @@ def medallion_raw(spark: SparkSession, sf_dir: str) -> dict:
             "transactions": raw_transactions(spark, sf_dir)}
 
 
-def medallion_config(lake_dir: str, as_of: str = "2001-09-01 00:00:00"):
+def medallion_config(lake_dir: str, as_of: str = "2001-09-01 00:00:00", mode: str = "full"):
     from tidemark.operators.dq import CheckSpec
     from tidemark.plans.medallion import MedallionConfig
 
@@ -185,4 +274,6 @@ def medallion_config(lake_dir: str, as_of: str = "2001-09-01 00:00:00"):
     return MedallionConfig(lake_dir=lake_dir, funnel=TESTDATA_FUNNEL, completed_value=COMPLETED,
                            transaction_key=("order_id", "line_no"),
                            transaction_order=("_ingested_ts", "ship_date"),
-                           types=dict(MEDALLION_TYPES), dq_suite=suite, as_of=as_of)
+                           types=dict(MEDALLION_TYPES), as_of=as_of, mode=mode,
+                           # with drops, events of customers yet to come are no fault
+                           dq_suite=suite if mode == "full" else suite[:-1])

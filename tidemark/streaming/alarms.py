@@ -1,122 +1,58 @@
-"""Continuous alarm evaluation on a stream (R4/R5 on Structured Streaming).
-
-Spark does not allow a stateful Python operator after a streaming
-aggregation in append mode, so one ``applyInPandasWithState`` operator per
-metric does both steps: it keeps the partial statistics of the periods that
-are still open (count, exact sum in micro-units, max, min), closes a period
-once the event-time watermark has passed its end, and evaluates closed
-periods in order with the same rules as the batch ``metric_alarm``
-(threshold, n consecutive breaches, missing periods as not breaching /
-breaching / skipped). An event-time timeout closes periods even when no new
-data arrives for a metric. The state per metric holds only the open periods
-and the current run, and each call sees one micro-batch of one metric.
+"""Alarms on a stream (R4, R5): periods closed by a watermark, states from the closed periods.
+
+The stream part is a built-in window aggregation, so a metric that holds most of
+the events is combined before its shuffle and no event passes through Python. In append mode a
+period leaves the aggregation once, when the watermark has passed its end;
+``foreachBatch`` writes the closed periods of micro-batch N to ``batch_id=N`` with overwrite,
+so a replayed batch changes nothing. States need the periods before, a few rows per
+metric: they are evaluated over the closed periods by the batch rule.
+
+An event later than the watermark cannot change a closed period. ``late_rows`` counts
+them, and ``metrics.metric_alarm`` over the landed series is the authority that
+includes them.
 """
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
+from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.config import AlarmSpec
-from tidemark.operators.metrics import VALUE_SCALE
-
-OUTPUT_SCHEMA = "metric string, period long, stat_value double, breaching boolean, state string"
-STATE_SCHEMA = ("periods array<long>, counts array<long>, units array<long>, "
-                "maxs array<double>, mins array<double>, last long, run int")
-_UNIT = 10 ** VALUE_SCALE
-
-
-def _half_up(num: int, den: int) -> int:
-    q = (2 * abs(num) + den) // (2 * den)
-    return -q if num < 0 else q
+from tidemark.operators.metrics import evaluate_periods, period_stats
 
+_CLOSED = "metric string, period_start timestamp, stat_value double"
 
-def _statistic(spec: AlarmSpec, count: int, units: int, mx: float, mn: float):
-    if spec.statistic == "sum":
-        return units / _UNIT
-    if spec.statistic == "max":
-        return mx
-    if spec.statistic == "min":
-        return mn
-    if spec.statistic == "count":
-        return float(count)
-    if spec.statistic == "avg":
-        return _half_up(units, count) / _UNIT if count else None
-    raise ValueError(f"unknown statistic {spec.statistic!r}")
 
+def closed_periods(series: DataFrame, spec: AlarmSpec, watermark: str, metric_col: str = "metric",
+                   ts_col: str = "ts", value_col: str = "value") -> DataFrame:
+    """(metric, period_start, stat_value) of a stream, one row per period once it is closed."""
+    prepared = series.select(F.col(metric_col).cast("string").alias("metric"), F.col(ts_col).cast("timestamp").alias("ts"),
+                             F.col(value_col).alias("value")).withWatermark("ts", watermark)
+    return period_stats(prepared, spec)
 
-def _breach(spec: AlarmSpec, v) -> bool:
-    if v is None:
-        return False
-    t = spec.threshold
-    return {">": v > t, ">=": v >= t, "<": v < t, "<=": v <= t}[spec.comparison]
 
+def stream_alarm(series: DataFrame, spec: AlarmSpec, watermark: str, path: str, checkpoint: str,
+                 metric_col: str = "metric", ts_col: str = "ts", value_col: str = "value",
+                 available_now: bool = False) -> StreamingQuery:
+    """Start the query that writes closed periods below ``path``."""
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        # one row per metric and closed period
+        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
-def _evaluator(spec: AlarmSpec):
-    period_us = spec.period_seconds * 1_000_000
+    writer = closed_periods(series, spec, watermark, metric_col, ts_col, value_col).writeStream \
+        .outputMode("append").foreachBatch(write_batch).option("checkpointLocation", checkpoint)
+    trigger = {"availableNow": True} if available_now else {"processingTime": f"{spec.period_seconds} seconds"}
+    return writer.trigger(**trigger).start()
 
-    def evaluate(key, pdfs, state):
-        metric = key[0]
-        if state.exists:
-            periods, counts, units, maxs, mins, last, run = state.get
-            open_ = {p: [c, u, x, n] for p, c, u, x, n in zip(periods, counts, units, maxs, mins)}
-        else:
-            open_, last, run = {}, None, 0
-        if not state.hasTimedOut:
-            for pdf in pdfs:
-                pdf = pdf[pdf["units"].notna()]
-                if pdf.empty:
-                    continue
-                agg = pdf.groupby("period").agg(c=("units", "size"), u=("units", "sum"),
-                                                x=("value", "max"), n=("value", "min"))
-                for p, r in agg.iterrows():
-                    if last is not None and p <= last:
-                        continue            # its period was already evaluated: late data
-                    cur = open_.get(p)
-                    if cur is None:
-                        open_[p] = [int(r.c), int(r.u), float(r.x), float(r.n)]
-                    else:
-                        open_[p] = [cur[0] + int(r.c), cur[1] + int(r.u), max(cur[2], float(r.x)),
-                                    min(cur[3], float(r.n))]
-        watermark_us = state.getCurrentWatermarkMs() * 1000
-        out = []
-        for p in sorted(q for q in open_ if q + period_us <= watermark_us):
-            c, u, x, n = open_.pop(p)
-            if last is not None and spec.treat_missing in ("notBreaching", "breaching"):
-                gap = (p - last) // period_us - 1
-                if gap > 0:
-                    run = run + gap if spec.treat_missing == "breaching" else 0
-            stat = _statistic(spec, c, u, x, n)
-            breaching = _breach(spec, stat)
-            run = run + 1 if breaching else 0
-            out.append((metric, p, stat, breaching,
-                        "ALARM" if run >= spec.evaluation_periods else "OK"))
-            last = p
-        keys = sorted(open_)
-        state.update((keys, [open_[k][0] for k in keys], [open_[k][1] for k in keys],
-                      [open_[k][2] for k in keys], [open_[k][3] for k in keys], last, run))
-        if keys:
-            state.setTimeoutTimestamp((keys[0] + period_us) // 1000)
-        yield pd.DataFrame(out, columns=["metric", "period", "stat_value", "breaching", "state"])
 
-    return evaluate
+def alarm_states(spark: SparkSession, path: str, spec: AlarmSpec) -> DataFrame:
+    """(metric, period_start, stat_value, breaching, state) of the periods closed so far."""
+    closed = spark.read.schema(_CLOSED).option("recursiveFileLookup", True).parquet(path)
+    return evaluate_periods(closed, spec)
 
 
-def stream_alarm(series: DataFrame, spec: AlarmSpec, watermark: str, metric_col: str = "metric",
-                 ts_col: str = "ts", value_col: str = "value") -> DataFrame:
-    """(metric, period_start, stat_value, breaching, state) for each closed period, in append mode."""
-    period_us = spec.period_seconds * 1_000_000
-    ts = F.col(ts_col).cast("timestamp")
-    value = F.col(value_col).cast("double")
-    prepared = series.select(F.col(metric_col).cast("string").alias("metric"), ts.alias("ts"),
-                             value.alias("value")).withWatermark("ts", watermark)
-    prepared = prepared.select(
-        "metric", "ts", "value",
-        (F.call_function("div", F.unix_micros("ts"), F.lit(period_us)) * F.lit(period_us)).alias("period"),
-        (value.cast("decimal(38,6)") * F.lit(_UNIT)).cast("long").alias("units"))
-    evaluated = prepared.groupBy("metric").applyInPandasWithState(
-        _evaluator(spec), OUTPUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.EventTimeTimeout)
-    return evaluated.select("metric", F.timestamp_micros("period").alias("period_start"),
-                            "stat_value", "breaching", "state")
+def late_rows(query: StreamingQuery) -> int:
+    """Events left out as later than the watermark, over the progress reports the query keeps."""
+    return sum(int(op.get("numRowsDroppedByWatermark") or 0)
+               for p in query.recentProgress for op in p["stateOperators"])

@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -23,6 +23,9 @@ from tidemark.operators.cleanse import tag_rejects, valid_rows
 from tidemark.streaming.records import (CLICKSTREAM_FIELDS, DEAD_LETTER_COL, decode_records)
 
 
+PROGRESS = "batch_id long, landed long, dead long"
+
+
 @dataclass(frozen=True)
 class MicroBatch:
     """Micro-batch bound: at most ``max_records`` per batch or one per ``seconds``."""
@@ -30,13 +33,16 @@ class MicroBatch:
     max_records: int = STREAM_MAX_RECORDS_PER_BATCH
     seconds: int = STREAM_BATCH_WINDOW_SECONDS
 
-    def source_options(self, source_format: str, files_per_batch: int | None = None) -> dict:
-        """Per-trigger limits; ``files_per_batch=0`` lifts the file limit (backlog replay)."""
+    def source_options(self, source_format: str, files_per_batch: int = 1) -> dict:
+        """Per-trigger limits. A file source can only be bounded by files: its producer bounds the
+        records of a file (``maxRecordsPerFile``), so a batch has at most files x records."""
         if source_format == "kafka":
             return {"maxOffsetsPerTrigger": str(self.max_records)}
-        if source_format == "rate" or files_per_batch == 0:
+        if source_format == "rate":
             return {}
-        return {"maxFilesPerTrigger": str(files_per_batch or 1)}
+        if files_per_batch < 1:
+            raise ValueError("files_per_batch must be positive: a batch is always bounded")
+        return {"maxFilesPerTrigger": str(files_per_batch)}
 
     def trigger(self, available_now: bool = False) -> dict:
         return {"availableNow": True} if available_now else \
@@ -44,7 +50,7 @@ class MicroBatch:
 
 
 def read_records(spark: SparkSession, path: str, fmt: str = "parquet",
-                 batch: MicroBatch = MicroBatch(), files_per_batch: int | None = None) -> DataFrame:
+                 batch: MicroBatch = MicroBatch(), files_per_batch: int = 1) -> DataFrame:
     """A file-backed record stream (sequence_number, value)."""
     return (spark.readStream.format(fmt).schema("sequence_number string, value string")
             .options(**batch.source_options(fmt, files_per_batch)).load(path))
@@ -53,10 +59,12 @@ def read_records(spark: SparkSession, path: str, fmt: str = "parquet",
 def land_stream(records: DataFrame, landing_path: str, dead_letter_path: str,
                 checkpoint_path: str, fields: Sequence[str] = CLICKSTREAM_FIELDS,
                 fmt: str = "parquet", batch: MicroBatch = MicroBatch(),
-                available_now: bool = False, query_name: str | None = None) -> StreamingQuery:
+                available_now: bool = False, query_name: str | None = None,
+                progress_path: str | None = None) -> StreamingQuery:
     """Decode each micro-batch and land good rows and dead letters (idempotently).
 
-    ``fmt`` is the landed format: ``parquet`` (default) or ``json`` (NDJSON).
+    With ``progress_path`` every batch leaves one row there (batch_id, landed, dead): a
+    complete history, however long the query runs. ``fmt`` is the landed format: ``parquet`` (default) or ``json`` (NDJSON).
     Good rows get ``_ingested_ts`` (arrival time, for stream-lag metrics).
     """
     decoded = decode_records(records, fields).withColumn("_ingested_ts", F.current_timestamp())
@@ -69,9 +77,15 @@ def land_stream(records: DataFrame, landing_path: str, dead_letter_path: str,
             good = batch_df.filter(F.col(DEAD_LETTER_COL).isNull()).drop(DEAD_LETTER_COL, "_payload")
             bad = batch_df.filter(F.col(DEAD_LETTER_COL).isNotNull()) \
                 .select("_sequence_number", "_payload", DEAD_LETTER_COL, "_ingested_ts")
-            good.write.mode("overwrite").format(fmt).save(f"{landing_path}/batch_id={batch_id}")
-            if not bad.isEmpty():
+            landed = Observation("landed")
+            good.observe(landed, F.count(F.lit(1)).alias("n")).write.mode("overwrite").format(fmt) \
+                .save(f"{landing_path}/batch_id={batch_id}")
+            n_bad = bad.count()
+            if n_bad:
                 bad.write.mode("overwrite").format(fmt).save(f"{dead_letter_path}/batch_id={batch_id}")
+            if progress_path:
+                batch_df.sparkSession.createDataFrame([(batch_id, int(landed.get["n"]), n_bad)], PROGRESS) \
+                    .coalesce(1).write.mode("overwrite").parquet(f"{progress_path}/part_{batch_id}")
         finally:
             batch_df.unpersist()
 
@@ -91,10 +105,10 @@ def dedupe_stream(stream: DataFrame, key: Sequence[str] = ("event_id",), ts_col:
     """Drop repeats of a key seen within the watermark (stream retention).
 
     The event time is cast to ``timestamp`` (watermarks reject
-    ``timestamp_ntz``). A row older than the watermark is still emitted (no
-    row is lost), but its key state expires at once, so a repeat of such a
-    late row can pass again: the batch dedupe of the staged table stays the
-    final authority.
+    ``timestamp_ntz``). A row that is later than the watermark of the batch
+    before is left out (``alarms.late_rows`` counts them), and a repeat that comes after
+    its key expired passes again: the batch dedupe over the landed records, which holds
+    every row, stays the final authority.
     """
     ts = F.col(ts_col).cast("string").try_cast("timestamp") \
         if dict(stream.dtypes).get(ts_col) == "string" else F.col(ts_col).cast("timestamp")
@@ -127,11 +141,17 @@ def kafka_records(spark: SparkSession, bootstrap_servers: str, topic: str,
     return raw.select(seq.alias("sequence_number"), F.col("value").cast("string").alias("value"))
 
 
+def landing_progress(spark: SparkSession, progress_path: str) -> DataFrame:
+    """(batch_id, landed, dead): one row for every micro-batch that landed records."""
+    return spark.read.schema(PROGRESS).option("recursiveFileLookup", True).parquet(progress_path)
+
+
 def batch_progress(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """(batch_id, num_input_rows, input_rows_per_second) of the query's recent batches.
+    """(batch_id, num_input_rows, input_rows_per_second) of the query's latest batches.
 
-    Built from the query's progress reports (driver-side metadata, one row
-    per micro-batch), not from the data.
+    The rates come from the progress reports the query still keeps
+    (``spark.sql.streaming.numRecentProgressUpdates``); the complete counts are those of
+    ``landing_progress``.
     """
     rows = [(int(p["batchId"]), int(p["numInputRows"]), float(p.get("inputRowsPerSecond") or 0.0))
             for p in query.recentProgress]

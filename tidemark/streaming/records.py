@@ -43,7 +43,11 @@ def decode_records(records: DataFrame, fields: Sequence[str] = CLICKSTREAM_FIELD
         F.col(seq_col).cast("string").alias("_sequence_number"),
         F.col(value_col).isNull().alias("_missing"), raw.isNull().alias("_bad64"),
         text.alias("_payload"))
-    parsed = staged.withColumn("_obj", F.from_json("_payload", text_schema(fields), opts))
+    # A generator is a barrier: Catalyst neither repeats what feeds it nor moves filters below it, so
+    # every record is decoded and parsed once, whatever is read from the result.
+    parsed = staged.select(F.inline(F.array(F.struct(
+        "_sequence_number", "_missing", "_bad64", "_payload",
+        F.from_json("_payload", text_schema(fields), opts).alias("_obj")))))
     reason = (F.when(F.col("_missing") | F.col("_bad64"), F.lit("invalid_base64"))
               .when(F.col("_payload").isNull(), F.lit("invalid_utf8"))
               .when(F.trim(F.col("_payload")) == F.lit(""), F.lit("empty_payload"))
