@@ -494,7 +494,7 @@ def main(argv=None) -> int:
     """
     import argparse
 
-    from tidemark.session import get_session
+    from tidemark.session import cluster_conf, get_session
     from tidemark.sources.files import write_table
 
     ap = argparse.ArgumentParser(prog="tidemark-query")
@@ -503,8 +503,10 @@ def main(argv=None) -> int:
     ap.add_argument("--out", default=None)
     ap.add_argument("--format", default="parquet", choices=("parquet", "csv", "json"))
     ap.add_argument("--master", default=None)
+    ap.add_argument("--cores", type=int, default=None, help="size the session for a cluster of so many cores")
+    ap.add_argument("--input-tb", type=float, default=1.0)
     args = ap.parse_args(argv)
-    spark = get_session(args.master)
+    spark = get_session(args.master, extra_conf=cluster_conf(args.cores, args.input_tb) if args.cores else None)
     df = QUERIES[args.query](spark, args.sf_dir)
     if args.out:
         n = write_table(df, args.out, fmt=args.format)
