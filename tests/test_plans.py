@@ -9,7 +9,8 @@ from tidemark.plans import registry
 SF = "/root/testdata/sf0.001"
 # queries whose callables write intermediate data before returning a frame
 SIDE_EFFECTS = {"stream_landing", "stream_dedupe", "stream_batch_convergence", "stream_alarm", "incremental_ingest",
-                "medallion_customer_360", "medallion_incremental"}
+                "medallion_customer_360", "medallion_incremental", "medallion_counts", "stream_landing_progress", "csv_text_scan",
+                "zone_sql", "dq_results_retry"}
 
 
 def plan(df, mode="formatted"):

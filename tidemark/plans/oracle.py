@@ -287,6 +287,11 @@ ORACLE["dq_suite_faulty"] = "\n  UNION ALL ".join(
         DQ_COMPLETENESS, _dq_unique("orders", "o_orderkey"), _dq_ri("orders", "o_custkey"),
         DQ_FRESHNESS.replace("3650", "30"))) + "\n  UNION ALL " + _dq_unique("customer", "c_custkey")
 
+ORACLE["dq_freshness_text"] = DQ_FRESHNESS.replace(
+    "FROM orders", "FROM (SELECT TRY_CAST(CASE WHEN o_orderkey % 10 = 0 THEN 'n/a' ELSE CAST(o_orderdate AS VARCHAR) END"
+                   " AS TIMESTAMP) AS o_orderdate FROM orders)")
+ORACLE["dq_results_retry"] = DQ_SUITE_SQL
+
 # ----- stream records --------------------------------------------------------
 
 # Records as delivered: error events are not base64, purchases come twice.
@@ -312,6 +317,9 @@ ORACLE.update({
   SELECT CAST(event_id AS VARCHAR) AS _sequence_number, {FAULTY_REASON} AS _dead_letter_reason
   FROM events WHERE {FAULTY_REASON} IS NOT NULL""",
     "stream_landing": EVENTS_DELIVERED,
+    "stream_landing_progress": f"""
+  SELECT 8 AS batches, (SELECT count(*) FROM ({EVENTS_DELIVERED})) AS landed,
+         (SELECT count(*) FROM events WHERE event_type = 'error') AS dead""",
     "stream_batch_convergence": STAGE_CLICKSTREAM,
     "stream_dedupe": STAGE_CLICKSTREAM,
 })
@@ -337,6 +345,10 @@ ORACLE.update({
          TRY_CAST(json_extract_string(props, '$.k') AS INTEGER)
   FROM events WHERE ts >= TIMESTAMP '2024-01-16'""",
     "incremental_ingest": STAGE_CLICKSTREAM,
+    "csv_text_scan": "SELECT * FROM orders",
+    "zone_sql": """
+  SELECT c_mktsegment, count(DISTINCT c_custkey) AS customers, count(o_orderkey) AS orders
+  FROM customer LEFT JOIN orders ON c_custkey = o_custkey GROUP BY c_mktsegment""",
 })
 
 # ----- storage lifecycle -----------------------------------------------------
@@ -451,6 +463,21 @@ ORACLE["medallion_customer_360"] = f"""
   LEFT JOIN counts k ON c.c_custkey = k.customer_id
   LEFT JOIN spend s ON c.c_custkey = s.customer_id"""
 
+ORACLE["medallion_counts"] = f"""
+  WITH c AS ({CLICK_TAGGED}), t AS ({TXN_TAGGED})
+  SELECT 'raw.customers' AS name, count(*) AS rows FROM customer
+  UNION ALL SELECT 'raw.products', count(*) FROM part
+  UNION ALL SELECT 'raw.clickstream_events', count(*) FROM c
+  UNION ALL SELECT 'raw.transactions', count(*) FROM t
+  UNION ALL SELECT 'staged.customers', count(*) FROM customer
+  UNION ALL SELECT 'staged.products', count(*) FROM part
+  UNION ALL SELECT 'staged.clickstream_events', count(DISTINCT event_id) FROM c WHERE reason IS NULL
+  UNION ALL SELECT 'staged.transactions', count(DISTINCT (order_id, line_no)) FROM t WHERE reason IS NULL
+  UNION ALL SELECT 'rejected.clickstream_events', count(reason) FROM c
+  UNION ALL SELECT 'rejected.transactions', count(reason) FROM t
+  UNION ALL SELECT 'duplicate.clickstream_events', count(*) - count(DISTINCT event_id) FROM c WHERE reason IS NULL
+  UNION ALL SELECT 'duplicate.transactions', count(*) - count(DISTINCT (order_id, line_no)) FROM t WHERE reason IS NULL"""
+
 ORACLE["medallion_incremental"] = ORACLE["medallion_customer_360"]
 
 ORACLE["coerce_numeric"] = """

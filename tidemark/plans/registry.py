@@ -214,6 +214,21 @@ def q_dq_suite_faulty(spark, d):
     return dq.run_suite_specs(FAULTY_SUITE, {**_dq_tables(spark, d), "orders": td.faulty_orders(spark, d)}, DQ_AS_OF)[0]
 
 
+def q_dq_freshness_text(spark, d):
+    """Freshness of a date held as text, every tenth unreadable."""
+    k, date = F.col("o_orderkey"), F.col("o_orderdate").cast("string")
+    text = td.table(spark, d, "orders").withColumn("o_orderdate", F.when(k % 10 == 0, "n/a").otherwise(date))
+    return dq.run_check(DQ_SUITE[3], {"orders": text}, DQ_AS_OF)
+
+
+def q_dq_results_retry(spark, d):
+    """The suite's results written twice under one run id (a retry) and read back: each result once."""
+    out = scratch_path(spark, "dq-results")
+    for _ in range(2):
+        dq.write_results(q_dq_suite(spark, d), out, "run-1")
+    return spark.read.parquet(out).drop("run_id")
+
+
 def q_dq_suite_summary(spark, d):
     return dq.suite_summary(q_dq_suite(spark, d))
 
@@ -290,6 +305,14 @@ def q_stream_batch_convergence(spark, d):
     return staged.stage_clickstream(raw, types=td.CLICKSTREAM_TYPES, stamp=None)[1]
 
 
+def q_stream_landing_progress(spark, d):
+    """What the landing's own records say: micro-batches, landed records and dead letters."""
+    out = scratch_path(spark, "landing")
+    _landed(spark, _record_source(spark, d), out)
+    return landing.landing_progress(spark, f"{out}/progress").agg(
+        F.count(F.lit(1)).alias("batches"), F.sum("landed").alias("landed"), F.sum("dead").alias("dead"))
+
+
 def q_stream_dedupe(spark, d):
     """Decode, drop anonymous rows and repeats on the stream, in bounded micro-batches; file sink; read back.
 
@@ -338,6 +361,24 @@ def q_schema_drift_merged(spark, d):
     return files.merge_drifted(first, second)
 
 
+def q_csv_text_scan(spark, d):
+    """All orders written as CSV with a header, scanned as text without inference, then typed."""
+    out = scratch_path(spark, "orders-csv")
+    orders = td.table(spark, d, "orders")
+    files.write_table(orders, out, fmt="csv")
+    return staged.apply_types(files.read_text_csv(spark, out, orders.columns), dict(orders.dtypes))
+
+
+def q_zone_sql(spark, d):
+    """Zone tables in place under SQL: customers and their orders per segment."""
+    zone = scratch_path(spark, "zone")
+    for t in ("customer", "orders"):
+        files.write_table(td.table(spark, d, t), f"{zone}/{t}")
+    files.register_zone(spark, zone, ["customer", "orders"], prefix="zone_")
+    return spark.sql("""SELECT c_mktsegment, count(DISTINCT c_custkey) AS customers, count(o_orderkey) AS orders
+        FROM zone_customer LEFT JOIN zone_orders ON c_custkey = o_custkey GROUP BY c_mktsegment""")
+
+
 def q_incremental_ingest(spark, d):
     """Two raw drops that overlap by six days, staged incrementally: each event once."""
     root = scratch_path(spark, "incremental")
@@ -427,6 +468,14 @@ def q_medallion_customer_360(spark, d):
     return res.curated["customer_360"]
 
 
+def q_medallion_counts(spark, d):
+    """Rows per zone and fact of a full run with its rejects and repeats, as the writes counted them."""
+    lake = scratch_path(spark, "lake-counts")
+    counts = run_medallion(spark, td.medallion_raw(spark, d), td.medallion_config(lake)).counts
+    wanted = [(k, int(v)) for k, v in sorted(counts.items()) if k.split(".")[0] in ("raw", "staged", "rejected", "duplicate")]
+    return spark.createDataFrame(wanted, "name string, rows long")
+
+
 def q_medallion_incremental(spark, d):
     """Three drops and a replay, run incrementally; the published profile, which equals that of a full run."""
     lake = scratch_path(spark, "lake-incremental")
@@ -464,16 +513,21 @@ QUERIES: dict[str, QueryFn] = {
     "dq_suite": q_dq_suite,
     "dq_suite_summary": q_dq_suite_summary,
     "dq_suite_faulty": q_dq_suite_faulty,
+    "dq_freshness_text": q_dq_freshness_text,
+    "dq_results_retry": q_dq_results_retry,
     "json_decode": q_json_decode,
     "json_dead_letter": q_json_dead_letter,
     "json_decode_faulty": q_json_decode_faulty,
     "json_dead_letter_faulty": q_json_dead_letter_faulty,
     "stream_landing": q_stream_landing,
+    "stream_landing_progress": q_stream_landing_progress,
     "stream_batch_convergence": q_stream_batch_convergence,
     "stream_dedupe": q_stream_dedupe,
     "union_sources": q_union_sources,
     "schema_drift_merged": q_schema_drift_merged,
     "incremental_ingest": q_incremental_ingest,
+    "csv_text_scan": q_csv_text_scan,
+    "zone_sql": q_zone_sql,
     "retention_tiers": q_retention_tiers,
     "tier_cost": q_tier_cost,
     "metric_rollup": q_metric_rollup,
@@ -483,6 +537,7 @@ QUERIES: dict[str, QueryFn] = {
     "stream_alarm": q_stream_alarm,
     "medallion_customer_360": q_medallion_customer_360,
     "medallion_incremental": q_medallion_incremental,
+    "medallion_counts": q_medallion_counts,
 }
 
 
