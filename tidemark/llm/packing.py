@@ -14,7 +14,8 @@ hash of the row, so no key can be hot, and their number follows from the number
 of documents and characters, which bounds what one task holds. A document's ids
 are shuffled once; there is no global rank, join or sort, and the driver sees two
 numbers. With thousands of documents in a group the histogram of a group is that
-of the table.
+of the table. Rows are numbered as they are scanned, so pass a table read from files: a
+task that is run again then sees the same rows.
 
 Defined results: a null or empty text is a document of only the end id; repeated
 rows are packed one by one; a null doc_id is kept as such; a text longer than a
@@ -189,9 +190,8 @@ def pack_documents(docs: DataFrame, vocabulary: str, end_id: int = 1, window: in
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, end = tokens.encoder(vocabulary), np.array([end_id], "<u4").tobytes()
         for whole in batches:
-            for a in range(0, whole.num_rows, 256):
-                b = whole.slice(a, 256)
-                ids = [x + end for x in enc.encode(b.column("text").to_pylist())]
+            for b in tokens.pieces(whole):
+                ids = enc.encode(b.column("text").to_pylist(), end)
                 yield pa.record_batch([b.column("g"), b.column("row"), b.column("doc_id"), pa.array(ids, pa.binary())],
                                       names=["g", "row", "doc_id", "ids"])
 

@@ -65,7 +65,8 @@ class Model:
     def symbol(self) -> np.ndarray:
         """The symbol of every slot."""
         if self._symbol is None:
-            self._symbol = np.repeat(np.arange(len(self.freq), dtype=np.uint32), self.freq.astype(np.int64))
+            kind = np.uint16 if len(self.freq) <= 1 << 16 else np.uint32
+            self._symbol = np.repeat(np.arange(len(self.freq), dtype=kind), self.freq.astype(np.int64))
         return self._symbol
 
 
@@ -190,9 +191,8 @@ def tokenized(docs: DataFrame, path: str, end_id: int, partitions: int) -> DataF
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, end, before = tokens.encoder(path), np.array([end_id], "<u4").tobytes(), 0
         for whole in batches:
-            for a in range(0, whole.num_rows, 256):
-                b = whole.slice(a, 256)
-                ids = [x + end for x in enc.encode(b.column("text").to_pylist())]
+            for b in tokens.pieces(whole):
+                ids = enc.encode(b.column("text").to_pylist(), end)
                 sizes = [len(x) // 4 for x in ids]
                 places = [before + n for n in accumulate(sizes, initial=0)]
                 before = places.pop()
@@ -231,7 +231,7 @@ def blocks(ids: DataFrame, freq: np.ndarray, block_ids: int = BLOCK_IDS) -> Data
             return _batch(_BLOCKS, [held[0][0]], [held[0][1]], [[d for _, _, d, _ in held]],
                           [[len(x) // 4 for *_, x in held]], [len(whole)], [encode(whole, model)])
 
-        for b in batches:
+        for b in (whole.slice(a, 512) for whole in batches for a in range(0, whole.num_rows, 512)):
             for row in zip(*(b.column(c).to_pylist() for c in ("shard", "before", "doc_id", "ids"))):
                 n = len(row[3]) // 4
                 if held and (row[0] != held[0][0] or row[1] != held[-1][1] + len(held[-1][3]) // 4
@@ -273,7 +273,7 @@ def read(spark: SparkSession, path: str, n_symbols: int = 50257) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model(freq)
-        for b in batches:
+        for b in (whole.slice(a, 8) for whole in batches for a in range(0, whole.num_rows, 8)):
             for shard, before, doc_ids, lengths, payload in zip(*(
                     b.column(c).to_pylist() for c in ("shard", "before", "doc_ids", "lengths", "payload"))):
                 ids = decode(payload, model).astype("<u4")
