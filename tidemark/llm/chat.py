@@ -22,7 +22,7 @@ is rendered, sorted and joined by many tasks and its last step gets one row
 per block.
 
 Defined results: null roles and texts are empty; equal rows each count as a
-turn; equal turn numbers are ordered by role, then text; a null conversation id
+turn; equal turn numbers are ordered by role, then escaped text; a null conversation id
 is one conversation; null turn numbers come first; a conversation with a hundred
 thousand turns is one row; an empty table gives an empty one; extra columns are
 ignored.

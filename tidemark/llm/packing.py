@@ -43,7 +43,7 @@ WINDOW = 2048
 BINS = 64
 PARTS = 4
 GROUP_DOCS = 8192
-GROUP_CHARS = 24_000_000
+GROUP_CHARS = 8_000_000
 _OUT = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
         "sequence_id bigint, offset bigint")
 
