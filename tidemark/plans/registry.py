@@ -456,7 +456,8 @@ def q_stream_alarm(spark, d):
                             available_now=True)
     q.awaitTermination()
     delete_path(spark, src)
-    return alarms.alarm_states(spark, f"{out}/closed", VALUE_ALARM)
+    return alarms.alarm_states(spark, f"{out}/closed", VALUE_ALARM) \
+        .withColumn("period_start", F.col("period_start").cast("timestamp_ntz"))
 
 
 # ----- the whole run -----------------------------------------------------------
