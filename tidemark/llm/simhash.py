@@ -35,7 +35,7 @@ ignored by ``near_duplicates`` and kept by ``keep_one``.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 from itertools import combinations
 
@@ -44,7 +44,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
 from tidemark.llm.common import table, written
 from tidemark.llm.components import components
@@ -233,148 +233,119 @@ def q_simhash(spark, sf_dir):
 
 
 # ---- one document of each group --------------------------------------------
-# Near copies by similarity: two words-of-the-text fingerprints find candidates, a
-# minhash sketch of the five-word shingles verifies them.
+# Near copies by similarity: bands of minhashes of the five-word shingles find candidates, a
+# minhash sketch of the same shingles verifies them.
 
 SHINGLE, SIMILARITY = 5, 0.8
 SKETCH = 256
 # A sketch estimates the similarity with a standard error of 0.025 at 0.8; pairs down to
 # half of one below the limit are taken.
 SKETCH_MATCHES = int(SKETCH * (SIMILARITY - 0.0125))
-FAR = 12                # bits: candidates that share a bucket and differ in more are no copies
+# Two texts share a bucket if all minhashes of one band agree. At a similarity of 0.8 none of the bands does
+# for 7 pairs in a million, (1 - 0.8^5)^30, whatever the table's size.
+BAND, BANDS = 5, 30
 BUCKET = 2_048          # rows of a bucket compared by one task; larger buckets are split
 _RNG = np.random.default_rng(20240101)
 _MULTIPLY = _RNG.integers(1, 1 << 62, SKETCH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _OTHER = np.uint64(0xD6E8FEB86659FD93)
 
 
-def features(text: str | None) -> tuple[int, int, bytes]:
-    """(fingerprint, second fingerprint, sketch): distinct words give the first two, five-word shingles the sketch."""
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not words:
-        return 0, 0, bytes(SKETCH)
-    hash_ = xxhash.xxh64_intdigest
-    of = {w: hash_(w, SEED) for w in set(words)}
-    h = np.array(list(of.values()), np.uint64)
-    mixed = (h ^ (h >> np.uint64(31))) * _OTHER
-    prints = []
-    for x in (h, mixed):
-        ones = np.unpackbits(x.astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0, dtype=np.int64)
-        prints.append(_signed(int.from_bytes(np.packbits(2 * ones > len(x)).tobytes(), "big")))
+def _words(text: str | None) -> list[bytes]:
+    return (text or "").encode("utf-8", "surrogatepass").lower().split()
+
+
+def shingle_hashes(words: list[bytes]) -> np.ndarray:
+    """A hash per run of ``SHINGLE`` words, in text order; fewer words are one run."""
+    of = {w: xxhash.xxh64_intdigest(w, SEED) for w in set(words)}
     w = np.fromiter(map(of.__getitem__, words), np.uint64, len(words))
     n = max(1, len(w) - SHINGLE + 1)
     s = np.zeros(n, np.uint64)
     for i in range(min(SHINGLE, len(w))):
         s = (s ^ w[i:i + n]) * _OTHER
         s ^= s >> np.uint64(29)
+    return s
+
+
+def features(text: str | None) -> tuple[bytes, np.ndarray, bytes]:
+    """(digest of the words, keys of the bands, sketch); a text without words has no bands."""
+    words = _words(text)
+    digest = xxhash.xxh128_digest(b" ".join(words), SEED)
+    if not words:
+        return digest, np.zeros(0, np.int64), bytes(SKETCH)
+    s = shingle_hashes(words)
     low = np.full(SKETCH, np.iinfo(np.uint64).max, np.uint64)
-    for a in range(0, n, 1 << 12):
+    for a in range(0, len(s), 1 << 12):
         low = np.minimum(low, (s[a:a + (1 << 12), None] * _MULTIPLY[None, :]).min(axis=0))
-    return prints[0], prints[1], ((low * _OTHER) >> np.uint64(56)).astype(np.uint8).tobytes()
+    keys = np.arange(1, BANDS + 1, dtype=np.uint64)
+    for column in low[:BAND * BANDS].reshape(BANDS, BAND).T:
+        keys = (keys ^ column) * _OTHER
+        keys ^= keys >> np.uint64(29)
+    return digest, keys.view(np.int64), ((low * _OTHER) >> np.uint64(56)).astype(np.uint8).tobytes()
 
 
-_FEATURES = StructType([StructField("fp", LongType()), StructField("other", LongType()), StructField("sketch", BinaryType())])
+_FEATURES = StructType([StructField("digest", BinaryType()), StructField("bands", ArrayType(LongType())),
+                        StructField("sketch", BinaryType())])
 
 
 @F.arrow_udf(_FEATURES)
 def _features(text: pa.Array) -> pa.Array:
     rows = [features(t) for t in text.to_pylist()]
     columns = list(zip(*rows)) or [(), (), ()]
-    return pa.StructArray.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.binary()))],
-                                      names=["fp", "other", "sketch"])
+    return pa.StructArray.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.binary(), pa.list_(pa.int64()), pa.binary()))],
+                                      names=["digest", "bands", "sketch"])
 
 
-def _bucket_keys(which: int, partitions: list[tuple[list[int], int]], fp: Column) -> list[Column]:
-    return [_probes(100 * which + k, fp.bitwiseAND(F.lit(_signed(_mask(bits)))),
-                    [_signed(_mask(c)) for r in range(radius + 1) for c in combinations(bits, r)])
-            for k, (bits, radius) in enumerate(partitions)]
+def _alike(sketch: np.ndarray, x: int, at: np.ndarray) -> np.ndarray:
+    return at[(sketch[at] == sketch[x]).sum(axis=1) >= SKETCH_MATCHES]
 
 
-def _forest(fp: np.ndarray, sketch: np.ndarray, ids: list[int], block: np.ndarray, i: int, j: int) -> list[tuple[int, int]]:
+def _forest(alike: Callable[[int, np.ndarray], np.ndarray], top: np.ndarray, ids: list[int], block: np.ndarray,
+            i: int, j: int) -> list[tuple[int, int]]:
     """Links that connect the copies of one bucket: at most one fewer than rows.
 
-    ``block`` tells the two halves of a split bucket apart; of halves i < j only pairs across are compared.
+    ``alike`` picks a row's copies from others, rows of equal ``top`` are connected already. ``block``
+    tells the two halves of a split bucket apart; of halves i < j only pairs across are compared.
     """
-    top = list(range(len(ids)))
-
-    def root(x: int) -> int:
-        while top[x] != x:
-            top[x] = top[top[x]]
-            x = top[x]
-        return x
-
-    rows = np.flatnonzero(block == i) if i != j else np.arange(len(ids))
-    columns = np.flatnonzero(block == j) if i != j else rows
+    rows = np.flatnonzero(block == i)
+    columns = np.flatnonzero(block == j)
     found = []
-    for a in range(0, len(rows), 256):
-        part = rows[a:a + 256]
-        near = np.bitwise_count(fp[part, None] ^ fp[None, columns]) <= FAR
+    for x in rows.tolist():
+        at = columns[top[columns] != top[x]]
         if i == j:
-            near &= columns[None, :] > part[:, None]
-        for x, hits in zip(part.tolist(), near):
-            at = columns[np.flatnonzero(hits)]
-            if not len(at):
-                continue
-            r = root(x)
-            at = at[[root(y) != r for y in at.tolist()]]
-            if not len(at):
-                continue
-            for y in at[(sketch[at] == sketch[x]).sum(axis=1) >= SKETCH_MATCHES].tolist():
-                p, q = root(x), root(y)
-                if p != q:
-                    top[max(p, q)] = min(p, q)
-                    found.append((ids[x], ids[y]))
+            at = at[at > x]
+        if not len(at):
+            continue
+        for y in alike(x, at).tolist():
+            if top[x] != top[y]:
+                top[top == top[y]] = top[x]
+                found.append((ids[x], ids[y]))
     return found
 
 
-def copies(spark: SparkSession, reps: DataFrame, distance: int = 4) -> DataFrame:
-    """(a, b): links between ``rid``s that connect every group of near copies found.
-
-    All pairs within ``distance`` bits of either fingerprint share a bucket, and so do most pairs a
-    few bits further apart; pairs that share one are verified by their sketches. Buckets with more
-    than ``BUCKET`` rows are cut into blocks and every two blocks are compared by a task of their own.
-    """
-    keys: list[Column] = []
-    for which, c in enumerate(("fp", "other")):
-        n, m = moments(reps.select(F.col(c).alias("fp")).distinct())
-        if n:
-            keys += _bucket_keys(which, plan(n, m, distance), F.col(c))
-    if not keys:
-        return spark.range(0).select(F.col("id").alias("a"), F.col("id").alias("b"))
-    rows = reps.select("rid", "sketch", F.col("fp").alias("own"), F.col("other").alias("own2"),
-                       F.explode(F.concat(*keys) if len(keys) > 1 else keys[0]).alias("k")) \
-        .select("rid", "sketch", "k.part", "k.bits", F.when(F.col("k.part") < 100, F.col("own")).otherwise(F.col("own2")).alias("fp"))
-    small = reps.select(F.explode(F.concat(*keys) if len(keys) > 1 else keys[0]).alias("k")).select("k.*")
-    sizes = small.groupBy("part", "bits").agg(F.count(F.lit(1)).alias("n")).filter("n > 1") \
-        .select("part", "bits", F.ceil(F.col("n") / BUCKET).cast("int").alias("blocks"))
-    # Buckets of one row are left out; a row of a split bucket goes to every pair of blocks with its own.
-    mine = F.pmod(F.xxhash64("rid"), F.col("blocks")).cast("int")
-    dealt = rows.join(sizes, ["part", "bits"]).withColumn("block", mine) \
+def _dealt(rows: DataFrame, key: str) -> DataFrame:
+    """A row goes to every pair of its bucket's ``blocks`` with its own; pairs lie together and in order."""
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("rid"), F.col("blocks")).cast("int")) \
         .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))) \
-        .select("part", "bits", F.least("block", "with").alias("i"), F.greatest("block", "with").alias("j"),
-                "block", "rid", "fp", "sketch")
-    dealt = dealt.repartition("part", "bits", "i", "j").sortWithinPartitions("part", "bits", "i", "j", "rid")
+        .withColumns({"i": F.least("block", "with"), "j": F.greatest("block", "with")}).drop("with", "blocks")
+    return rows.repartition(key, "i", "j").sortWithinPartitions(key, "i", "j", "rid")
+
 
+def _linked(dealt: DataFrame, key: str, forest: Callable[[pa.Table, int, int], list[tuple[int, int]]]) -> DataFrame:
+    """(a, b): the links that ``forest`` finds in each pair of blocks."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
 
-        def links_of(b: pa.Table) -> list[tuple[int, int]]:
-            fp = b.column("fp").to_numpy().astype(np.int64).view(np.uint64)
-            sketch = np.frombuffer(b"".join(b.column("sketch").to_pylist()), np.uint8).reshape(-1, SKETCH)
-            block, ids = b.column("block").to_numpy(), b.column("rid").to_pylist()
-            key = np.stack([b.column(c).to_numpy() for c in ("part", "bits", "i", "j")])
-            cut = np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1
-            out = []
-            for a, z in zip([0, *cut.tolist()], [*cut.tolist(), b.num_rows]):
-                if z - a > 1:
-                    out += _forest(fp[a:z], sketch[a:z], ids[a:z], block[a:z], int(key[2, a]), int(key[3, a]))
-            return out
-
         def same(x: pa.RecordBatch, r: int, y: pa.RecordBatch, q: int) -> bool:
-            return all(x.column(c)[r].as_py() == y.column(c)[q].as_py() for c in ("part", "bits", "i", "j"))
+            return all(x.column(c)[r].as_py() == y.column(c)[q].as_py() for c in (key, "i", "j"))
 
         def flush(bs: list[pa.RecordBatch]) -> pa.RecordBatch:
-            pairs = links_of(pa.Table.from_batches(bs).combine_chunks())
+            t = pa.Table.from_batches(bs).combine_chunks()
+            keys = np.stack([t.column(c).to_numpy().astype(np.int64) for c in (key, "i", "j")])
+            cut = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
+            pairs = []
+            for a, z in zip([0, *cut.tolist()], [*cut.tolist(), t.num_rows]):
+                if z - a > 1:
+                    pairs += forest(t.slice(a, z - a), int(keys[1, a]), int(keys[2, a]))
             return pa.record_batch([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
         for b in batches:
@@ -398,6 +369,30 @@ def copies(spark: SparkSession, reps: DataFrame, distance: int = 4) -> DataFrame
     return dealt.mapInArrow(run, "a bigint, b bigint")
 
 
+def _sketches(t: pa.Table) -> np.ndarray:
+    return np.frombuffer(b"".join(t.column("sketch").to_pylist()), np.uint8).reshape(-1, SKETCH)
+
+
+def copies(spark: SparkSession, reps: DataFrame) -> DataFrame:
+    """(a, b): links between ``rid``s that connect every group of near copies found.
+
+    Pairs that share a band's minhashes are verified by their sketches. Buckets with more
+    than ``BUCKET`` rows are cut into blocks and every two blocks are compared by a task of their own.
+    """
+    keys = reps.select("rid", F.explode("bands").alias("key"))
+    # Buckets of one row are left out before the sketches are joined.
+    sizes = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1") \
+        .select("key", F.ceil(F.col("n") / BUCKET).cast("int").alias("blocks"))
+    rows = keys.join(sizes, "key").join(reps.select("rid", "sketch"), "rid")
+
+    def forest(t: pa.Table, i: int, j: int) -> list[tuple[int, int]]:
+        sketch = _sketches(t)
+        return _forest(lambda x, at: _alike(sketch, x, at), np.arange(t.num_rows), t.column("rid").to_pylist(),
+                       t.column("block").to_numpy(), i, j)
+
+    return _linked(_dealt(rows, "key"), "key", forest)
+
+
 def keep_one(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """The documents with one of each group of exact or near copies: that with the smallest doc_id.
 
@@ -409,7 +404,7 @@ def keep_one(spark: SparkSession, docs: DataFrame) -> DataFrame:
     rows, _ = written(spark, docs.select(own, F.monotonically_increasing_id().alias("rid"), _features("text").alias("f")),
                       "dedup-rows")
     best = F.struct(F.col("d.doc_id").isNull().alias("none"), F.col("d.doc_id").alias("doc_id"), "rid")
-    reps = rows.select("f.*", best.alias("best")).groupBy("fp", "other", "sketch").agg(F.min("best").alias("best"))
+    reps = rows.select("f.*", best.alias("best")).groupBy("digest", "bands", "sketch").agg(F.min("best").alias("best"))
     reps, _ = written(spark, reps.withColumn("rid", F.col("best.rid")), "dedup-texts")
     groups = components(spark, copies(spark, reps))
     member = reps.select("rid", "best").join(groups.withColumnRenamed("node", "rid"), "rid")
