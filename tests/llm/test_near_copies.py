@@ -44,3 +44,48 @@ def test_block_copies_go_at_a_clear_distance(spark, monkeypatch, bucket):
         rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(words + [f"n{i}w{x}" for x in range(44)]))]     # 0.9
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     assert sorted(r["doc_id"] for r in simhash.keep_one(spark, docs).collect()) == list(range(0, 80, 2))
+
+
+def brute_kept(rows):
+    """Smallest doc_id of each group connected by pairs of 0.8 and more."""
+    sets, top = {d: shingles(t) for d, t in rows}, {d: d for d, _ in rows}
+
+    def root(x):
+        while top[x] != x:
+            x = top[x]
+        return x
+    for a in sets:
+        for b in sets:
+            both = len(sets[a] & sets[b])
+            if a < b and 5 * both >= 4 * len(sets[a] | sets[b]):
+                x, y = root(a), root(b)
+                top[max(x, y)] = min(x, y)
+    return sorted(d for d in sets if root(d) == d)
+
+
+@pytest.mark.parametrize("rows_of_a_block", [simhash.EXACT_ROWS, 2])
+def test_the_limit_is_exact(spark, monkeypatch, rows_of_a_block):
+    """Pairs at exactly 0.8 are copies, those just below (0.76 to 0.799) are none; chains are connected."""
+    monkeypatch.setattr(simhash, "EXACT_ROWS", rows_of_a_block)
+    rng = np.random.default_rng(5)
+    new = lambda n: [f"x{x}" for x in rng.integers(0, 10 ** 9, n)]
+    rows = []
+    for i in range(90):
+        size = 400
+        words = new(size + 4)
+        more = 100 if i % 3 == 0 else 101 if i % 3 == 1 else 120        # 0.8, 0.798, 0.769
+        rows += [(100 * i, " ".join(words)), (100 * i + 1, " ".join(words + new(more)))]
+        if i % 9 == 1:              # a chain: each is a copy of the next only
+            for k in range(2, 7):
+                words = words[60:] + new(60 + (k == 2))
+                rows.append((100 * i + k, " ".join(words)))
+    kept = [r["doc_id"] for r in simhash.keep_one(spark, spark.createDataFrame(rows, "doc_id bigint, text string")).collect()]
+    assert sorted(kept) == brute_kept(rows)
+    assert {100 * i + 1 for i in range(90) if i % 3 == 0}.isdisjoint(kept) and len(kept) >= 150
+
+
+def test_stage_equals_exact_groups(spark):
+    from tidemark.llm.common import table
+    docs = table(spark, "/root/testdata/sf0.001", "documents").select("doc_id", "text")
+    rows = [tuple(r) for r in docs.collect()]
+    assert sorted(r["doc_id"] for r in simhash.keep_one(spark, docs).collect()) == brute_kept(rows)

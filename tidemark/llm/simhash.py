@@ -44,7 +44,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, BooleanType, LongType, StructField, StructType
 
 from tidemark.llm.common import table, written
 from tidemark.llm.components import components
@@ -234,17 +234,18 @@ def q_simhash(spark, sf_dir):
 
 # ---- one document of each group --------------------------------------------
 # Near copies by similarity: bands of minhashes of the five-word shingles find candidates, a
-# minhash sketch of the same shingles verifies them.
+# minhash sketch preselects them, and the shingles themselves decide.
 
 SHINGLE, SIMILARITY = 5, 0.8
 SKETCH = 256
-# A sketch estimates the similarity with a standard error of 0.025 at 0.8; pairs down to
-# half of one below the limit are taken.
-SKETCH_MATCHES = int(SKETCH * (SIMILARITY - 0.0125))
+# A sketch estimates the similarity with a standard error of 0.025 at 0.8; it only leaves out what is more than
+# five of them below, so that of a hundred million pairs at 0.8 a handful is lost to it.
+SKETCH_MATCHES = int(SKETCH * (SIMILARITY - 0.14))
 # Two texts share a bucket if all minhashes of one band agree. At a similarity of 0.8 none of the bands does
 # for 7 pairs in a million, (1 - 0.8^5)^30, whatever the table's size.
 BAND, BANDS = 5, 30
 BUCKET = 2_048          # rows of a bucket compared by one task; larger buckets are split
+EXACT_ROWS, EXACT_CHARS = 256, 8 << 20      # of a block of texts compared with each other
 _RNG = np.random.default_rng(20240101)
 _MULTIPLY = _RNG.integers(1, 1 << 62, SKETCH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _OTHER = np.uint64(0xD6E8FEB86659FD93)
@@ -373,10 +374,10 @@ def _sketches(t: pa.Table) -> np.ndarray:
     return np.frombuffer(b"".join(t.column("sketch").to_pylist()), np.uint8).reshape(-1, SKETCH)
 
 
-def copies(spark: SparkSession, reps: DataFrame) -> DataFrame:
-    """(a, b): links between ``rid``s that connect every group of near copies found.
+def candidates(reps: DataFrame) -> DataFrame:
+    """(a, b): links between ``rid``s that connect all that may be near copies.
 
-    Pairs that share a band's minhashes are verified by their sketches. Buckets with more
+    Pairs that share a band's minhashes are preselected by their sketches. Buckets with more
     than ``BUCKET`` rows are cut into blocks and every two blocks are compared by a task of their own.
     """
     keys = reps.select("rid", F.explode("bands").alias("key"))
@@ -393,12 +394,80 @@ def copies(spark: SparkSession, reps: DataFrame) -> DataFrame:
     return _linked(_dealt(rows, "key"), "key", forest)
 
 
+def exact_shingles(text: str | None) -> np.ndarray:
+    """The hashes of the different shingles in order; a text without words has one of its own."""
+    words = _words(text)
+    return np.unique(shingle_hashes(words)) if words else np.zeros(1, np.uint64)
+
+
+def similar(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether the Jaccard similarity of two ``exact_shingles`` is 0.8 or more, in whole numbers."""
+    small, large = sorted((len(a), len(b)))
+    if 5 * small < 4 * large:
+        return False
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return 5 * both >= 4 * (small + large - both)
+
+
+@F.arrow_udf(BooleanType())
+def _similar(text: pa.Array, other: pa.Array) -> pa.Array:
+    last, held = None, None
+    out = []
+    for t, o in zip(text, other):
+        o = o.as_py()
+        if held is None or o != last:
+            last, held = o, exact_shingles(o)
+        out.append(similar(exact_shingles(t.as_py()), held))
+    return pa.array(out, pa.bool_())
+
+
+def copies(spark: SparkSession, reps: DataFrame, texts: DataFrame) -> DataFrame:
+    """(a, b): links between ``rid``s of a similarity of 0.8 or more that connect every group of near copies.
+
+    The texts (rid, text) of each group of candidates are compared exactly: all with the group's first, which
+    settles most, then, where some are no copies of it, those with all others. Groups with more than
+    ``EXACT_ROWS`` rows or ``EXACT_CHARS`` characters are cut into blocks, every two of which are a task's.
+    """
+    loose = components(spark, candidates(reps)).withColumnRenamed("node", "rid")
+    member, _ = written(spark, loose.join(reps.select("rid", "sketch"), "rid").join(texts, "rid"), "dedup-members")
+    first = member.filter("rid = component").select("component", F.col("text").alias("other"))
+    tested, _ = written(spark, member.filter("rid <> component").join(first, "component")
+                        .select("rid", "component", _similar("text", "other").alias("near")), "dedup-tested")
+    near = tested.filter("near").select("rid", F.col("component").alias("a"))
+    # A group of two is settled, and so is one whose members are all copies of the first.
+    odd = tested.groupBy("component").agg(F.min("near").alias("all"), F.count(F.lit(1)).alias("n")) \
+        .filter("not all and n > 1").select("component")
+    open_ = member.join(odd, "component")
+    sizes = open_.groupBy("component").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("text")).alias("chars")) \
+        .select("component", F.ceil(F.greatest(F.col("n") / EXACT_ROWS, F.col("chars") / EXACT_CHARS, F.lit(1)))
+                .cast("int").alias("blocks"))
+    rows = open_.join(sizes, "component").join(near.select("rid", F.lit(True).alias("core")), "rid", "left") \
+        .withColumn("core", F.coalesce("core", F.col("rid") == F.col("component")))
+
+    def forest(t: pa.Table, i: int, j: int) -> list[tuple[int, int]]:
+        sketch, text, held = _sketches(t), t.column("text"), {}
+
+        def own(x: int) -> np.ndarray:
+            if x not in held:
+                held[x] = exact_shingles(text[x].as_py())
+            return held[x]
+
+        def alike(x: int, at: np.ndarray) -> np.ndarray:
+            return np.array([y for y in _alike(sketch, x, at).tolist() if similar(own(x), own(y))], np.int64)
+
+        # What is a copy of the group's first is connected already.
+        core, n = t.column("core").to_numpy(zero_copy_only=False).astype(bool), t.num_rows
+        return _forest(alike, np.where(core, n, np.arange(n)), t.column("rid").to_pylist(), t.column("block").to_numpy(), i, j)
+
+    return near.select("a", F.col("rid").alias("b")).unionByName(_linked(_dealt(rows, "component"), "component", forest))
+
+
 def keep_one(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """The documents with one of each group of exact or near copies: that with the smallest doc_id.
 
     A group is connected by pairs whose five-word shingles have a similarity of ``SIMILARITY`` or
-    more, as far as the sketch can tell. Rows are told apart by a number written beside them, so
-    repeated rows are copies, and null doc_ids lose to others. The texts are written once.
+    more. Rows are told apart by a number written beside them, so repeated rows are copies, and null
+    doc_ids lose to others. The texts are written once, those of candidates once more.
     """
     own = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("d")
     rows, _ = written(spark, docs.select(own, F.monotonically_increasing_id().alias("rid"), _features("text").alias("f")),
@@ -406,7 +475,7 @@ def keep_one(spark: SparkSession, docs: DataFrame) -> DataFrame:
     best = F.struct(F.col("d.doc_id").isNull().alias("none"), F.col("d.doc_id").alias("doc_id"), "rid")
     reps = rows.select("f.*", best.alias("best")).groupBy("digest", "bands", "sketch").agg(F.min("best").alias("best"))
     reps, _ = written(spark, reps.withColumn("rid", F.col("best.rid")), "dedup-texts")
-    groups = components(spark, copies(spark, reps))
+    groups = components(spark, copies(spark, reps, rows.select("rid", "d.text")))
     member = reps.select("rid", "best").join(groups.withColumnRenamed("node", "rid"), "rid")
     stays = member.groupBy("component").agg(F.min("best").alias("top")).select(F.col("top.rid").alias("rid"))
     goes = member.select("rid").join(stays, "rid", "left_anti")
