@@ -5,6 +5,10 @@ followed by a non-space character, and merges never cross pieces. So a text can
 be cut at such spaces and the ids of the parts joined: the result is exactly
 that of encoding the whole text. Parts repeat a lot, so a worker keeps the ids
 of up to ``limit`` of them; only new parts reach the tokenizer.
+
+The ids are those of the library's call with ``add_special_tokens=False`` and nothing else set: the string
+of an added token (``<|endoftext|>``) in a text is that token. Such tokens may take spaces beside them, so a text that holds
+one goes through the library whole.
 """
 
 from __future__ import annotations
@@ -50,7 +54,7 @@ class Encoder:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self._tok = Tokenizer.from_file(path)
-        self._tok.encode_special_tokens = True       # their strings in a text are ordinary text
+        self._added = [t.content for t in self._tok.get_added_tokens_decoder().values() if t.content]
         self._known: dict[str, bytes] = {}
         self._limit = limit
         self._model = self._tok.model
@@ -62,6 +66,19 @@ class Encoder:
 
     def encode(self, texts: list[str], end: bytes = b"") -> list[bytes]:
         """The ids of each text, followed by ``end``."""
+        whole = [k for k, t in enumerate(texts) if any(a in t for a in self._added)]
+        if whole:
+            held, texts = [texts[k] for k in whole], list(texts)
+            for k in whole:
+                texts[k] = ""
+            out = self._parts(texts, end)
+            for k, ids in zip(whole, self.direct(held)):
+                out[k] = ids + end
+            return out
+        return self._parts(texts, end)
+
+    def _parts(self, texts: list[str], end: bytes) -> list[bytes]:
+        """The same for texts without the string of an added token, by parts."""
         heads, rests = [], []
         for t in texts:
             head, space, rest = t.partition(" ")
