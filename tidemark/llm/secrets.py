@@ -52,7 +52,8 @@ FIELD = "crf"
 
 LEAST = 12
 MAX_TRAINING, SHARDS, EPOCHS, RATE = 20_000, 4, 3, 0.2
-LONGEST_TRAINING_LINE = 400
+STRETCH, STRETCHES = 512, 32       # tokens of a line learned at once; stretches a document teaches at most, drawn by hash
+MAX_STRETCHES = 4_000              # of a shard
 DIM = 1 << 13
 O, B, I = 0, 1, 2  # noqa: E741
 _LINE_HINT = re.compile(r"[A-Za-z0-9+/_=-]*[0-9][A-Za-z0-9+/_=-]*")
@@ -190,19 +191,52 @@ def labels(tokens: list[str], starts: list[int], spans: list[Span]) -> list[int]
     return tags
 
 
-def learn(texts: list[str], epochs: int = EPOCHS) -> tuple[np.ndarray, np.ndarray, int]:
-    """Weights (DIM, 3), transitions (3, 3) and the number of lines, by stochastic gradient ascent with AdaGrad."""
-    rows = []
-    for text in texts:
-        of_file = file_features(text)
-        for _, line in lines_of(text):
-            if len(line) > LONGEST_TRAINING_LINE:
-                continue
-            tokens, starts = tokenize(line)
-            tags = labels(tokens, starts, base_spans(line))
-            legal = allowed(tokens)
-            legal[np.arange(len(tags)), tags] = True
-            rows.append(([token_features(tokens, i, of_file) for i in range(len(tokens))], legal, np.array(tags)))
+def stretches(tokens: list[str], tags: list[int]) -> Iterator[tuple[int, int]]:
+    """(begin, end) of stretches of a line of about ``STRETCH`` tokens; none begins inside a secret."""
+    a = 0
+    while a < len(tokens):
+        z = min(a + STRETCH, len(tokens))
+        while z < len(tokens) and tags[z] == I:
+            z += 1
+        yield a, z
+        a = z
+
+
+def lessons(text: str) -> list[tuple[int, int, int]]:
+    """(line's start, begin, end) of the stretches that a text teaches, at most ``STRETCHES`` by the hash of their place."""
+    out = []
+    for at, line in lines_of(text):
+        tokens, starts = tokenize(line)
+        out += [(at, a, z) for a, z in stretches(tokens, labels(tokens, starts, base_spans(line)))]
+    if len(out) > STRETCHES:
+        out = sorted(sorted(out, key=lambda x: zlib.crc32(b"%d %d" % x[:2]))[:STRETCHES])
+    return out
+
+
+def learn(texts: list[str], epochs: int = EPOCHS, of_files: list[list[str]] | None = None) -> tuple[np.ndarray, np.ndarray, int]:
+    """Weights (DIM, 3), transitions (3, 3) and the number of stretches, by stochastic gradient ascent with AdaGrad.
+
+    ``of_files``: the features of the whole texts if ``texts`` holds only some of their lines. At most
+    ``MAX_STRETCHES`` stretches are learned, drawn by hash of text and place; lines may have any length.
+    """
+    rows, drawn = [], [lessons(text) for text in texts]
+    if sum(map(len, drawn)) > MAX_STRETCHES:
+        own = [zlib.crc32(t.encode("utf-8", "surrogatepass")) for t in texts]
+        best = sorted((zlib.crc32(b"%d %d %d" % (own[k], x[0], x[1])), k, x) for k, xs in enumerate(drawn) for x in xs)
+        drawn = [[] for _ in texts]
+        for _, k, x in sorted(best[:MAX_STRETCHES], key=lambda y: y[1:]):
+            drawn[k].append(x)
+    for k, text in enumerate(texts):
+        of_file, last = of_files[k] if of_files else file_features(text), None
+        for at, a, z in drawn[k]:
+            if at != last:
+                end = text.find("\n", at)
+                line, last = text[at:end if end >= 0 else len(text)], at
+                tokens, starts = tokenize(line)
+                tags = labels(tokens, starts, base_spans(line))
+                legal = allowed(tokens)
+                legal[np.arange(len(tags)), tags] = True
+            rows.append(([np.array(token_features(tokens, i, of_file), np.int16) for i in range(a, z)], legal[a:z], np.array(tags[a:z])))
     w, step = np.zeros((DIM, 3)), np.zeros((3, 3))
     gw, gs = np.full((DIM, 3), 1e-2), np.full((3, 3), 1e-2)
     order = np.random.default_rng(5)
@@ -261,11 +295,12 @@ def train(docs: DataFrame, max_training: int = MAX_TRAINING) -> Field | None:
     sample = docs.filter(F.col("text").isNotNull()).filter(place < int(min(1.0, max_training / n) * (1 << 20)))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        w, step, n = learn(pdf.sort_values(["doc_id", "text"], kind="stable")["text"].tolist())
+        pdf = pdf.sort_values(["doc_id", "text"], kind="stable")
+        w, step, n = learn(pdf["text"].tolist(), of_files=[x.split(" ") for x in pdf["of_file"]])
         return pd.DataFrame({"n": [n], "w": [w.tobytes()], "step": [step.tobytes()]})
 
     # Only texts with a line to learn from are dealt to the shards.
-    some = sample.filter(F.col("text").rlike("[0-9]")).mapInArrow(_with_lines, "doc_id bigint, text string")
+    some = sample.filter(F.col("text").rlike("[0-9]")).mapInArrow(_with_lines, "doc_id bigint, of_file string, text string")
     parts = some.groupBy(F.pmod(F.xxhash64("doc_id", F.lit(9)), F.lit(SHARDS)).alias("shard")) \
         .applyInPandas(run, "n bigint, w binary, step binary").collect()                 # SHARDS rows
     total = sum(r["n"] for r in parts)
@@ -277,15 +312,16 @@ def train(docs: DataFrame, max_training: int = MAX_TRAINING) -> Field | None:
 
 
 def _with_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of every text the lines it can teach, without the longest."""
+    """Of every text the lines it teaches, with the features of the whole text."""
     for b in batches:
         rows = []
         for d, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
-            kept = [x for _, x in lines_of(t) if len(x) <= LONGEST_TRAINING_LINE]
+            drawn = {at for at, _, _ in lessons(t)}
+            kept = [x for at, x in lines_of(t) if at in drawn]
             if kept:
-                rows.append((d, "\n".join(kept)))
-        yield pa.record_batch([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.string())],
-                              names=["doc_id", "text"])
+                rows.append((d, " ".join(file_features(t)), "\n".join(kept)))
+        yield pa.record_batch([pa.array([r[0] for r in rows], pa.int64()), *(pa.array([r[k] for r in rows], pa.string()) for k in (1, 2))],
+                              names=["doc_id", "of_file", "text"])
 
 
 def all_spans(text: str, base: list[Span], field: Field | None) -> list[Span]:
