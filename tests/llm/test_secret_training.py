@@ -44,3 +44,16 @@ def test_a_shard_learns_a_bounded_sample(monkeypatch):
     monkeypatch.setattr(secrets, "MAX_STRETCHES", 5)
     texts = [f"t{k} token = {KEY}{k}\nsecret: {KEY}{k}{k}" for k in range(20)]
     assert secrets.learn(texts, epochs=1)[2] == 5
+
+
+def test_a_longer_span_of_the_field_is_masked_whole():
+    text = "key 9f86d081884c7d65_ZxQ82LmP04sTqW and " + KEY
+    base = secrets.base_spans(text)
+    assert base[0] == ("hex", 4, 20)
+
+    class Tagged:
+        def spans(self, _):
+            return [(secrets.FIELD, 4, 35), (secrets.FIELD, *base[1][1:])]
+    spans = secrets.all_spans(text, base, Tagged())
+    assert spans == [base[0], (secrets.FIELD, 4, 35), base[1]]
+    assert secrets.masked(text, spans) == "key [SECRET] and [SECRET]"

@@ -14,7 +14,7 @@ throughout and need not be decoded: whole texts are scanned, but few lines cost
 than a search.
 
 A span is kind, start, end in code points, end exclusive. Base spans stay; a span of the
-field that touches a base span is dropped, as that secret is known.
+field is dropped only if it lies inside one base span. Of spans that overlap the union is masked.
 
 Scale: one pass over the texts in which nothing is shuffled, after training on the lines of
 about ``MAX_TRAINING`` documents chosen by hash (the classifier's documented bound), dealt to
@@ -325,10 +325,10 @@ def _with_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def all_spans(text: str, base: list[Span], field: Field | None) -> list[Span]:
-    """Base spans and those of the field that touch none of them, by start, then kind."""
+    """Base spans and those of the field that lie inside none of them, by start, then kind."""
     if field is None:
         return base
-    more = [s for s in field.spans(text) if not any(s[1] < z and a < s[2] for _, a, z in base)]
+    more = [s for s in field.spans(text) if not any(a <= s[1] and s[2] <= z for _, a, z in base)]
     order = (*KINDS, FIELD)
     return sorted([*base, *more], key=lambda s: (s[1], order.index(s[0])))
 
