@@ -1,0 +1,86 @@
+"""Hard negatives: SQL, brute force over odd vectors, slots, repeats, blocks."""
+
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.llm import hard_negatives as hn
+
+ROWS = "id bigint, label int, vector array<float>, score string, slot int, cell string"
+
+
+def brute(rows, step=5, positives=5, negatives=3):
+    ok = {(i, y, tuple(np.float32(c) for c in v)) for i, y, v in rows
+          if i is not None and y is not None and v is not None and all(c is not None and math.isfinite(c) for c in v)}
+    ok = [(i, y, [math.floor(256 * float(c)) for c in v]) for i, y, v in ok]
+    out = []
+    for i, y, v in ok:
+        if i % step:
+            continue
+        scored = sorted({(-sum(p * q for p, q in zip(v, w)), j, z == y) for j, z, w in ok if j != i})
+        for s, p, _ in [x for x in scored if x[2]][:positives]:
+            hits = [x for x in scored if not x[2] and 50 * -s <= 100 * -x[0] <= 95 * -s][:negatives]
+            out += [(i, p, r, j, -s, -t) for r, (t, j, _) in enumerate(hits, 1)]
+    return sorted(out)
+
+
+def mined(spark, rows, parts=3, **kw):
+    df = spark.createDataFrame([(*r, "x", 1, "c") for r in rows], ROWS).repartition(parts)
+    return sorted(tuple(r) for r in hn.mine(spark, df, F.col("id") % 5 == 0, **kw).collect())
+
+
+def vectors(n, dim, seed, labels=3, ties=False):
+    rng = np.random.default_rng(seed)
+    v = rng.normal(size=(n, dim)) * 0.3
+    v[n // 2:] = v[:n - n // 2] + rng.normal(size=(n - n // 2, dim)) * 0.05
+    if ties:
+        v = np.round(v * 2) / 2
+    return [(int(i), int(y), [float(np.float32(c)) for c in x]) for i, y, x in zip(rng.permutation(n), rng.integers(0, labels, n), v)]
+
+
+@pytest.mark.parametrize("ties", [False, True])
+def test_equal_brute_force(spark, ties):
+    rows = vectors(160, 6, 3, ties=ties)
+    want = brute(rows)
+    assert len(want) > 50 and mined(spark, rows) == want
+
+
+def test_small_blocks_and_pieces_give_the_same(spark, monkeypatch):
+    rows = vectors(160, 6, 5, ties=True)
+    monkeypatch.setattr(hn, "ANCHOR_BLOCK", 7)
+    monkeypatch.setattr(hn, "ROW_BLOCK", 23)
+    assert mined(spark, rows) == brute(rows)
+
+
+def test_odd_rows(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(0, 1, [1.0, 0.0]), (0, 1, [1.0, 0.0]), (0, 1, [0.5, 0.5]), (5, 1, [1.0, 0.1]), (1, 1, [0.9, 0.1]), (1, 1, [0.9, 0.1]),
+            (2, 2, [0.8, 0.0]), (3, 2, [0.8, 0.0]), (4, 3, [0.7]), (6, 3, []), (7, 3, [0.6, 0.0, 9.0]), (None, 2, [0.8, 0.0]),
+            (8, None, [0.8, 0.0]), (9, 2, None), (11, 2, [nan, 0.8]), (12, 2, [inf, 0.8]), (13, 2, [None, 0.8]), (10, 9, [0.3, 0.3]),
+            (15, 4, [-1.0, 0.0]), (16, 4, [1.0, 0.0]), (17, 5, [0.0, 1.0]), (20, 6, [0.0, 0.0]), (21, 6, [0.1, 0.1])]
+    want = brute(rows)
+    assert want and mined(spark, rows) == want
+    assert mined(spark, []) == []
+    assert mined(spark, [(0, 1, [1.0]), (1, 1, [1.0])]) == []
+
+
+def test_one_vector_for_a_third_of_the_rows(spark):
+    rows = vectors(120, 4, 8) + [(1000 + i, 1, [0.3, 0.2, 0.1, 0.0]) for i in range(60)]
+    assert mined(spark, rows, parts=5) == brute(rows)
+
+
+def test_best_keeps_ties_by_id_and_counts_repeats_once():
+    best = hn.Best(2, 3)
+    best.add(np.array([0, 0, 0, 1]), np.array([5, 5, 5, 1]), np.array([9, 9, 4, 1]))
+    best.add(np.array([0, 0, 0]), np.array([5, 6, 5]), np.array([4, 7, 2]))
+    g, s, i = best.rows()
+    assert list(zip(g, s, i)) == [(0, 6, 7), (0, 5, 2), (0, 5, 4), (1, 1, 1)]
+
+
+def test_scores_are_exact_or_refused():
+    a = np.array([[2.0 ** 27 + 1, 1.0]])
+    assert hn.scores(a, a)[0, 0] == (2 ** 27 + 1) ** 2 + 1
+    with pytest.raises(OverflowError):
+        hn.scores(a * 4, a * 4)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidemark.llm import chat, decontaminate, langid, packing, quality, rans, secrets, simhash, urls, warc
+from tidemark.llm import chat, decontaminate, hard_negatives, langid, packing, quality, rans, secrets, simhash, urls, warc
 
 QUERIES = {
     "op1_warc_roundtrip": warc.q_warc,
@@ -15,10 +15,12 @@ QUERIES = {
     "op8_quality_ledger": quality.q_quality,
     "op9_url_verdicts": urls.q_urls,
     "op10_language": langid.q_langid,
+    "op11_hard_negatives": hard_negatives.q_hard_negatives,
 }
 
 ORACLE = {
     "op1_warc_roundtrip": warc.SQL,
     "op4_chat_format": chat.SQL,
     "op8_quality_ledger": quality.SQL,
+    "op11_hard_negatives": hard_negatives.SQL,
 }
