@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from tidemark.llm import chat, decontaminate, hard_negatives, langid, packing, quality, rans, secrets, simhash, urls, warc
+from tidemark.llm import (chat, decontaminate, hard_negatives, langid, packing, quality, rans, resample, secrets,
+                          simhash, urls, warc)
 
 QUERIES = {
     "op1_warc_roundtrip": warc.q_warc,
@@ -16,6 +17,7 @@ QUERIES = {
     "op9_url_verdicts": urls.q_urls,
     "op10_language": langid.q_langid,
     "op11_hard_negatives": hard_negatives.q_hard_negatives,
+    "op12_resample": resample.q_resample,
 }
 
 ORACLE = {
