@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from tidemark.llm import (chat, decontaminate, hard_negatives, langid, packing, quality, rans, resample, secrets,
-                          simhash, urls, warc)
+from tidemark.llm import (chat, classlm, decontaminate, hard_negatives, langid, packing, quality, rans, resample,
+                          secrets, simhash, urls, warc)
 
 QUERIES = {
     "op1_warc_roundtrip": warc.q_warc,
@@ -18,6 +18,7 @@ QUERIES = {
     "op10_language": langid.q_langid,
     "op11_hard_negatives": hard_negatives.q_hard_negatives,
     "op12_resample": resample.q_resample,
+    "op13_class_lm": classlm.q_class_lm,
 }
 
 ORACLE = {
