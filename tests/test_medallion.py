@@ -3,7 +3,7 @@
 import pytest
 
 from tidemark.operators.dq import CheckSpec, DataQualityError
-from tidemark.plans.medallion import MedallionConfig, run_medallion
+from tidemark.plans.medallion import MedallionConfig, read_published, run_medallion
 
 
 def _raw(spark, dup_customer=False):
@@ -73,17 +73,17 @@ def test_cli_on_csv(spark, tmp_dir):
         pdf.to_csv(os.path.join(raw_dir, f"{name}.csv"), index=False)
     assert main(["--raw-dir", raw_dir, "--lake-dir", os.path.join(tmp_dir, "lake"),
                  "--as-of", "2025-06-01 00:00:00"]) == 0
-    prof = spark.read.parquet(os.path.join(tmp_dir, "lake", "curated", "customer_360"))
+    prof = read_published(spark, os.path.join(tmp_dir, "lake"))["customer_360"]
     assert prof.count() == 3
 
 
 def test_failed_gate_leaves_published_curated_unchanged(spark, tmp_dir):
     conf = MedallionConfig(lake_dir=tmp_dir, as_of="2025-06-01 00:00:00")
     run_medallion(spark, _raw(spark), conf)
-    before = sorted(tuple(r) for r in spark.read.parquet(f"{tmp_dir}/curated/customer_360").collect())
+    before = sorted(tuple(r) for r in read_published(spark, tmp_dir)["customer_360"].collect())
     with pytest.raises(DataQualityError):
         run_medallion(spark, _raw(spark, dup_customer=True), conf)
-    after = sorted(tuple(r) for r in spark.read.parquet(f"{tmp_dir}/curated/customer_360").collect())
+    after = sorted(tuple(r) for r in read_published(spark, tmp_dir)["customer_360"].collect())
     assert before == after and len(after) == 3
     runs = spark.read.parquet(f"{tmp_dir}/dq_results").select("run_id").distinct().count()
     assert runs == 2
@@ -178,7 +178,7 @@ def test_cli_incremental_takes_new_files_only(spark, tmp_dir):
     assert main(args) == 0
     runs = spark.read.parquet(os.path.join(lake, "raw", "transactions")).groupBy("_run").count().collect()
     assert {r["_run"]: r["count"] for r in runs} == {0: 5, 1: 1}
-    prof = {r["customer_id"]: r["total_spend"] for r in spark.read.parquet(os.path.join(lake, "curated", "customer_360")).collect()}
+    prof = {r["customer_id"]: r["total_spend"] for r in read_published(spark, lake)["customer_360"].collect()}
     assert prof["C1"] == 63.0
 
 

@@ -7,9 +7,8 @@ Two entry points share the rules:
   *all* keys staged so far (the key columns only, whatever dates they have)
   and appended. A replayed batch appends nothing: its keys are staged.
 
-* ``stage_fact``: one run of the medallion. Tables hold a partition ``_run`` per run, so a
-  failed run is simply written again, and readers see a run only once it is
-  committed. What was rejected because its customer was unknown stays
+* ``stage_fact``: one run of the medallion. Tables hold a partition ``_run`` per run, and readers see
+  a run only once it is committed (``tidemark.plans.lake``); what a failed run wrote is never read. What was rejected because its customer was unknown stays
   *pending* and is judged again with every run's customers. Of two rows of a key the one
   that arrived in the earlier run is kept, as in a full run: if a pending row is
   released after a later one was staged, the later row is marked superseded.
@@ -69,21 +68,6 @@ def stage_incremental(spark: SparkSession, raw_path: str, raw_schema: T.StructTy
 # ----- runs of a lake ----------------------------------------------------------
 
 RUN, ARRIVED, COPIES = "_run", "_arrived", "_copies"
-_COMMIT = "run int, base int"
-
-
-def committed_runs(spark: SparkSession, lake: str) -> list[int]:
-    """The runs whose data count: those since the last committed full run (one small row per run)."""
-    path = f"{lake}/_commits"
-    if not table_exists(spark, path):
-        return []
-    rows = spark.read.schema(_COMMIT).parquet(path).collect()
-    base = max(r["base"] for r in rows)
-    return sorted(r["run"] for r in rows if r["run"] >= base)
-
-
-def commit_run(spark: SparkSession, lake: str, run: int, base: int) -> None:
-    spark.createDataFrame([(run, base)], _COMMIT).coalesce(1).write.mode("append").parquet(f"{lake}/_commits")
 
 
 def run_path(table: str, run: int) -> str:
@@ -142,6 +126,15 @@ def _superseded_schema(schema: T.StructType, fact: Fact) -> T.StructType:
     return T.StructType([schema[k] for k in fact.key] + [T.StructField("_of", T.IntegerType())])
 
 
+def superseded_rows(spark: SparkSession, lake: str, fact: Fact, schema: T.StructType, run: int, runs: Sequence[int]) -> DataFrame:
+    """The staged rows of earlier runs that ``run`` superseded; only the runs that held them are read."""
+    gone = spark.read.schema(_superseded_schema(schema, fact)).parquet(run_path(reject_path(lake, fact.name, "superseded"), run))
+    held = sorted(r[0] for r in gone.select("_of").distinct().collect())                # runs
+    rows = read_runs(spark, staged_path(lake, fact.name), schema, [r for r in runs if r in held])
+    gone = gone.withColumnRenamed("_of", RUN)
+    return rows.join(gone, [*fact.key, RUN], "left_semi").drop(RUN)
+
+
 def stage_fact(spark: SparkSession, lake: str, fact: Fact, raw: DataFrame, run: int,
                runs: Sequence[int]) -> tuple[T.StructType, dict[str, int]]:
     """Stage one run of a fact on top of the committed ``runs``.
@@ -180,8 +173,12 @@ def stage_fact(spark: SparkSession, lake: str, fact: Fact, raw: DataFrame, run:
     # All history, but only its keys and when they arrived.
     history = read_staged(spark, lake, fact, schema, runs).select(
         *fact.key, F.col(ARRIVED).alias("_since"), F.col(RUN).alias("_of"))
-    met = first.join(history, list(fact.key), "left")
     earlier = F.col("_of").isNull() | (F.col(ARRIVED) < F.col("_since"))
+    met = first.join(history, list(fact.key), "left").withColumn("_earlier", earlier) if runs else \
+        first.withColumns({"_of": F.lit(None).cast("int"), "_earlier": F.lit(True)})
+    met_work = scratch_path(spark, f"met-{fact.name}")
+    met.write.parquet(met_work)                      # the join with history is done once, its outcome read thrice
+    met, earlier = spark.read.schema(met.schema).parquet(met_work), F.col("_earlier")
     counts["staged"] = write_run(met.filter(earlier).select(*content), staged_path(lake, fact.name), run, [fact.partition_by])
     counts["superseded"] = write_run(met.filter(earlier & F.col("_of").isNotNull()).select(*fact.key, "_of"),
                                      reject_path(lake, fact.name, "superseded"), run)
@@ -197,6 +194,7 @@ def stage_fact(spark: SparkSession, lake: str, fact: Fact, raw: DataFrame, run:
     write_run(rejects, reject_path(lake, fact.name, "rejects"), run)
     counts["duplicate"], counts["rejected"] = int(duplicates.get["n"] or 0), int(duplicates.get["refused"])
     delete_path(spark, work)
+    delete_path(spark, met_work)
     found = counts["staged"] + counts["duplicate"] + counts["rejected"] + counts["pending"]
     if found != counts["taken"]:
         raise RuntimeError(f"{fact.name}: {counts['taken']} rows came in, {found} are accounted for: {counts}")

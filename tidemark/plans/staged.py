@@ -55,11 +55,26 @@ def _key_ok(key: Sequence[str]) -> Column:
 
 
 def tag_clickstream(raw: DataFrame, key: Sequence[str] = ("event_id",), customer: str = "customer_id",
-                    types: dict[str, str] | None = None) -> DataFrame:
-    """Typed clickstream rows with a reason: key unreadable, or anonymous (NULL, empty or unreadable customer)."""
+                    types: dict[str, str] | None = None, valid_customers: DataFrame | None = None) -> DataFrame:
+    """Typed clickstream rows with a reason: key unreadable, anonymous (NULL, empty or unreadable
+    customer), or of an unknown customer when the known ones are given."""
     kept = raw.withColumn(RAW_COL, F.struct(*[F.col(c) for c in raw.columns]))
-    return tag_rejects(apply_types(kept, types or {}),
-                       [("invalid_key", _key_ok(key)), ("missing_customer", is_present(customer))])
+    return _tag_known(apply_types(kept, types or {}),
+                      [("invalid_key", _key_ok(key)), ("missing_customer", is_present(customer))], valid_customers, customer, customer)
+
+
+def _tag_known(df: DataFrame, rules: list, valid_customers: DataFrame | None, customer: str, customer_key: str) -> DataFrame:
+    """The rules, and ``unknown_customer`` by one left join with the known customers, if they are given."""
+    if valid_customers is None:
+        return tag_rejects(df, rules)
+    known = valid_customers.select(F.col(customer_key).cast("string").try_cast(dict(df.dtypes)[customer]).alias("_known")) \
+        .filter(F.col("_known").isNotNull())
+    # Distinct by key and a function of it: rows stay unique by key, but their partitioning is not
+    # the join's, so the join gets an exchange of its own on both sides. Only such a join can
+    # be split by AQE when one customer holds most rows.
+    known = known.withColumn("_half", F.pmod(F.xxhash64("_known"), F.lit(2))).distinct().select("_known")
+    joined = df.join(known, F.col(customer) == F.col("_known"), "left")
+    return tag_rejects(joined, [*rules, ("unknown_customer", F.col("_known").isNotNull())]).drop("_known")
 
 
 def tag_transactions(raw: DataFrame, valid_customers: DataFrame | None = None,
@@ -72,17 +87,7 @@ def tag_transactions(raw: DataFrame, valid_customers: DataFrame | None = None,
     df = apply_types(kept, types).withColumns({quantity: coerce_quantity(quantity), amount: coerce_amount(amount)})
     rules = [("invalid_key", _key_ok(key)), ("invalid_quantity", F.col(quantity) > 0),
              ("invalid_amount", F.col(amount) > 0), ("missing_customer", is_present(customer))]
-    if valid_customers is None:
-        return tag_rejects(df, rules)
-    ck = customer_key or customer
-    known = valid_customers.select(F.col(ck).cast("string").try_cast(dict(df.dtypes)[customer]).alias("_known")) \
-        .filter(F.col("_known").isNotNull())
-    # Distinct by key and a function of it: rows stay unique by key, but their partitioning is not
-    # the join's, so the join gets an exchange of its own on both sides. Only such a join can
-    # be split by AQE when one customer holds most rows.
-    known = known.withColumn("_half", F.pmod(F.xxhash64("_known"), F.lit(2))).distinct().select("_known")
-    joined = df.join(known, F.col(customer) == F.col("_known"), "left")
-    return tag_rejects(joined, [*rules, ("unknown_customer", F.col("_known").isNotNull())]).drop("_known")
+    return _tag_known(df, rules, valid_customers, customer, customer_key or customer)
 
 
 def stage_clickstream(raw: DataFrame, key: Sequence[str] = ("event_id",),

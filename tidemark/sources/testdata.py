@@ -274,6 +274,6 @@ def medallion_config(lake_dir: str, as_of: str = "2001-09-01 00:00:00", mode: st
     return MedallionConfig(lake_dir=lake_dir, funnel=TESTDATA_FUNNEL, completed_value=COMPLETED,
                            transaction_key=("order_id", "line_no"),
                            transaction_order=("_ingested_ts", "ship_date"),
-                           types=dict(MEDALLION_TYPES), as_of=as_of, mode=mode,
-                           # with drops, events of customers yet to come are no fault
-                           dq_suite=suite if mode == "full" else suite[:-1])
+                           types=dict(MEDALLION_TYPES), as_of=as_of, mode=mode, dq_suite=suite,
+                           # with drops, customers arrive late: orders and events wait for them
+                           wait_for_customer=("clickstream_events", "transactions"))
