@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 from tidemark.operators.cleanse import REJECT_COL, rejected_rows
 from tidemark.operators.joins import new_keys
 from tidemark.plans.staged import RAW_COL
-from tidemark.session import delete_path, scratch_path
+from tidemark.session import delete_path, scratch_path, together
 from tidemark.sources.files import spread_by, table_exists
 
 # A staging rule for one micro-batch: returns the clean rows, or (tagged, clean)
@@ -161,8 +161,7 @@ def stage_fact(spark: SparkSession, lake: str, fact: Fact, raw: DataFrame, run:
     judged = spark.read.schema(tagged.schema).parquet(work)
 
     counts = {"taken": int(taken.get["n"])}
-    counts["pending"] = write_run(judged.filter("_class = 'pending'").select(f"{RAW_COL}.*"),
-                                  reject_path(lake, fact.name, "pending"), run)
+    pending = judged.filter("_class = 'pending'").select(f"{RAW_COL}.*")
     content = [c for c in tagged.columns if c not in (RAW_COL, REJECT_COL, "_class")]
     valid = judged.filter("_class = 'valid'").select(*content)
     order = [ARRIVED, *[c for c in fact.order_by if c not in fact.key]]
@@ -177,21 +176,25 @@ def stage_fact(spark: SparkSession, lake: str, fact: Fact, raw: DataFrame, run:
     met = first.join(history, list(fact.key), "left").withColumn("_earlier", earlier) if runs else \
         first.withColumns({"_of": F.lit(None).cast("int"), "_earlier": F.lit(True)})
     met_work = scratch_path(spark, f"met-{fact.name}")
-    met.write.parquet(met_work)                      # the join with history is done once, its outcome read thrice
-    met, earlier = spark.read.schema(met.schema).parquet(met_work), F.col("_earlier")
-    counts["staged"] = write_run(met.filter(earlier).select(*content), staged_path(lake, fact.name), run, [fact.partition_by])
-    counts["superseded"] = write_run(met.filter(earlier & F.col("_of").isNotNull()).select(*fact.key, "_of"),
-                                     reject_path(lake, fact.name, "superseded"), run)
+    # The join with history is done once, its outcome read thrice.
+    counts["pending"], _ = together(lambda: write_run(pending, reject_path(lake, fact.name, "pending"), run),
+                                    lambda: met.write.parquet(met_work))
+    met = spark.read.schema(met.schema).parquet(met_work)
+    earlier = F.col("_earlier")
     # Repeats of a key are one row with their number; only the key is left of them.
     repeats = met.select(*[F.col(k).cast("string").alias(k) for k in fact.key],
                          (F.col(COPIES) - F.when(earlier, 1).otherwise(0)).alias(COPIES)) \
         .filter(F.col(COPIES) > 0).withColumn(REJECT_COL, F.lit("duplicate"))
     refused = judged.filter("_class = 'rejected'").select(f"{RAW_COL}.*", REJECT_COL).withColumn(COPIES, F.lit(1).cast("bigint"))
-    rejects = refused.unionByName(repeats, allowMissingColumns=True)
     duplicates = Observation("duplicates")
-    rejects = rejects.observe(duplicates, F.sum(F.when(F.col(REJECT_COL) == "duplicate", F.col(COPIES))).alias("n"),
-                              F.count_if(F.col(REJECT_COL) != "duplicate").alias("refused"))
-    write_run(rejects, reject_path(lake, fact.name, "rejects"), run)
+    rejects = refused.unionByName(repeats, allowMissingColumns=True).observe(
+        duplicates, F.sum(F.when(F.col(REJECT_COL) == "duplicate", F.col(COPIES))).alias("n"),
+        F.count_if(F.col(REJECT_COL) != "duplicate").alias("refused"))
+    kept = met.filter(earlier)
+    counts["staged"], counts["superseded"], _ = together(
+        lambda: write_run(kept.select(*content), staged_path(lake, fact.name), run, [fact.partition_by]),
+        lambda: write_run(kept.filter(F.col("_of").isNotNull()).select(*fact.key, "_of"), reject_path(lake, fact.name, "superseded"), run),
+        lambda: write_run(rejects, reject_path(lake, fact.name, "rejects"), run))
     counts["duplicate"], counts["rejected"] = int(duplicates.get["n"] or 0), int(duplicates.get["refused"])
     delete_path(spark, work)
     delete_path(spark, met_work)

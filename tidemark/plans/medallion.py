@@ -16,6 +16,7 @@ import json
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,7 +33,7 @@ from tidemark.plans import maintained as kept
 from tidemark.plans.curated import business_columns
 from tidemark.plans.staged import stage_passthrough, tag_clickstream, tag_transactions
 from tidemark.schemas import RAW_COLUMNS, STAGED_TYPES
-from tidemark.session import delete_path
+from tidemark.session import delete_path, together
 from tidemark.sources.files import stamp_ingest, union_sources
 
 DIMENSIONS = ("customers", "products")
@@ -120,26 +121,35 @@ def run_medallion(spark: SparkSession, raw: dict[str, DataFrame], conf: Medallio
     runs = list(before.runs) if conf.mode == "incremental" else []
 
     # raw zone: land as received (text) with the ingest stamp
-    landed = {}
-    for name, df in raw.items():
+    def land(name):
+        df = raw[name]
         text = stamp_ingest(df.select(*[F.col(c).cast("string").alias(c) for c in df.columns]))
-        counts[f"raw.{name}"] = inc.write_run(text, _zone(conf, "raw", name), run)
-        landed[name] = spark.read.schema(text.schema).parquet(inc.run_path(_zone(conf, "raw", name), run))
+        n = inc.write_run(text, _zone(conf, "raw", name), run)
+        return n, spark.read.schema(text.schema).parquet(inc.run_path(_zone(conf, "raw", name), run))
+
+    landed = dict(zip(raw, together(*[partial(land, name) for name in raw])))
+    counts.update({f"raw.{name}": n for name, (n, _) in landed.items()})
+
+    # staged zone: customers first, the facts are judged by them
+    def stage_dimension(name):
+        typed = stage_passthrough(landed[name][1], conf.types.get(name), stamp="now")
+        n = inc.write_run(typed, _zone(conf, "staged", name), run)
+        return n, spark.read.schema(typed.schema).parquet(inc.run_path(_zone(conf, "staged", name), run))
 
-    # staged zone
     staged, schemas = {}, {}
-    for name in DIMENSIONS:
-        typed = stage_passthrough(landed[name], conf.types.get(name), stamp="now")
-        counts[f"staged.{name}"] = inc.write_run(typed, _zone(conf, "staged", name), run)
-        staged[name] = spark.read.schema(typed.schema).parquet(inc.run_path(_zone(conf, "staged", name), run))
-    for name, fact in facts(conf, staged["customers"]).items():
-        schemas[name], n = inc.stage_fact(spark, lake, fact, landed[name], run, runs)
+    counts["staged.customers"], staged["customers"] = stage_dimension("customers")
+    todo = facts(conf, staged["customers"])
+    (counts["staged.products"], staged["products"]), *done = together(
+        partial(stage_dimension, "products"),
+        *[partial(inc.stage_fact, spark, lake, fact, landed[name][1], run, runs) for name, fact in todo.items()])
+    for (name, fact), (schema, n) in zip(todo.items(), done):
+        schemas[name] = schema
         counts[f"staged.{name}"] = n["staged"]
         counts[f"rejected.{name}"] = n["rejected"] + n["pending"]
         counts[f"pending.{name}"] = n["pending"]
         counts[f"duplicate.{name}"] = n["duplicate"]
         counts[f"superseded.{name}"] = n["superseded"]
-        staged[name] = inc.read_staged(spark, lake, fact, schemas[name], [*runs, run]).drop(inc.RUN, inc.ARRIVED)
+        staged[name] = inc.read_staged(spark, lake, fact, schema, [*runs, run]).drop(inc.RUN, inc.ARRIVED)
 
     # data-quality gate on the staged zone
     results, _ = dq.run_suite_specs(conf.dq_suite, staged, conf.as_of)
@@ -197,13 +207,15 @@ def publish(spark: SparkSession, conf: MedallionConfig, before: log.Version, run
     key_type = dict(customers.dtypes)["customer_id"]
     who = kept.customer_state(conf.funnel)
     tables, shapes, touched = {}, {}, {}
-    for state, changes, n in ((who, kept.customer_changes(events, done, conf.funnel, key_type), buckets),
-                              (kept.PRODUCTS, kept.product_changes(done), buckets), (kept.TYPES, kept.type_changes(events), 1)):
-        tables[state.name], shapes[state.name], touched[state.name] = kept.apply_changes(
-            spark, lake, state, old.get(state.name, {}), changes, run, n)
+    states = ((who, kept.customer_changes(events, done, conf.funnel, key_type), buckets),
+              (kept.PRODUCTS, kept.product_changes(done), buckets), (kept.TYPES, kept.type_changes(events), 1))
+    sums, *applied = together(
+        partial(kept.checksums, customers, "customer_id", buckets),
+        *[partial(kept.apply_changes, spark, lake, state, old.get(state.name, {}), changes, run, n) for state, changes, n in states])
+    for (state, _, _), (held, schema, which) in zip(states, applied):
+        tables[state.name], shapes[state.name], touched[state.name] = held, schema, which
 
     # profiles: the buckets in which the state or the customers' own rows changed
-    sums = kept.checksums(customers, "customer_id", buckets)
     seen = {} if fresh else before.checksums.get("customers", {})
     differ = {int(b) for b in {*sums, *seen} if sums.get(b) != seen.get(b)}
     state_of = lambda s, wanted=None: kept.read_buckets(spark, lake, s.name, shapes[s.name], tables[s.name], wanted)
@@ -215,17 +227,23 @@ def publish(spark: SparkSession, conf: MedallionConfig, before: log.Version, run
         changed = sorted({*touched[who.name], *differ}) if not fresh else sorted(range(buckets))
     bucket = kept.bucket_of("customer_id", buckets)
     some = customers if len(changed) == buckets else customers.filter(bucket.isin(changed))
-    wrote = kept.write_buckets(kept.profile(some, state_of(who, changed), conf.funnel), lake, name, run, bucket, changed) \
-        if changed else {}
-    tables[name], shapes[name] = kept.carried(old.get(name, {}), changed, wrote), whole.schema
-    counts[f"rewritten.{name}"] = len(changed)
 
-    # small tables: whole
+    def write_profiles():
+        return kept.write_buckets(kept.profile(some, state_of(who, changed), conf.funnel), lake, name, run, bucket, changed) \
+            if changed else {}
+
+    # the small tables are written whole
     small = {"category_performance": kept.categories(state_of(kept.PRODUCTS), products),
              "funnel_dropoff": kept.dropoff(state_of(kept.TYPES), conf.funnel.stages),
              "event_type_counts": state_of(kept.TYPES).select("event_type", F.col("events").alias("event_count"))}
-    for t, df in small.items():
+
+    def write_small(t, df):
         df.coalesce(1).write.mode("overwrite").parquet(kept.bucket_path(lake, f"curated/{t}", run, 0))
+
+    wrote, *_ = together(write_profiles, *[partial(write_small, t, df) for t, df in small.items()])
+    tables[name], shapes[name] = kept.carried(old.get(name, {}), changed, wrote), whole.schema
+    counts[f"rewritten.{name}"] = len(changed)
+    for t, df in small.items():
         tables[f"curated/{t}"], shapes[f"curated/{t}"] = {"0": run}, df.schema
     return log.Version(version=before.version + 1, run=run, mode=conf.mode, runs=(*runs, run), buckets=buckets, tables=tables,
                        schemas={n: x.json() for n, x in shapes.items()}, checksums={"customers": sums}, rules=rules)

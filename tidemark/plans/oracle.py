@@ -480,6 +480,48 @@ ORACLE["medallion_counts"] = f"""
 
 ORACLE["medallion_incremental"] = ORACLE["medallion_customer_360"]
 
+
+def _arrival_steps(fact: str, key: str) -> str:
+    """Counts per step from rows (key..., file, late, never, refused): file 1 or 2 is the step they arrive in.
+
+    Rows of late customers wait until step 3, those of customers that never come for ever. A key has one customer.
+    """
+    def step(i: int) -> str:
+        here, known = f"file = {i}", "NOT refused AND NOT late AND NOT never"
+        staged = f"(SELECT count(*) FROM (SELECT DISTINCT {key} FROM r WHERE {known} AND {here}" + \
+            (f" EXCEPT SELECT {key} FROM r WHERE {known} AND file = 1" if i == 2 else "") + "))"
+        pending = f"(SELECT count(*) FROM r WHERE NOT refused AND (late OR never) AND file <= {i})"
+        valid = f"(SELECT count(*) FROM r WHERE {known} AND {here})"
+        refused = f"(SELECT count(*) FROM r WHERE refused AND {here})"
+        if i == 3:
+            staged = f"(SELECT count(*) FROM (SELECT DISTINCT {key} FROM r WHERE NOT refused AND late))"
+            valid = "(SELECT count(*) FROM r WHERE NOT refused AND late)"
+        if i == 4:
+            staged = valid = "0"
+        if i > 2:
+            pending, refused = "(SELECT count(*) FROM r WHERE NOT refused AND never)", "0"
+        raw = f"(SELECT count(*) FROM r WHERE {here})"
+        rows = {"raw": raw, "staged": staged, "rejected": f"{refused} + {pending}", "pending": pending, "duplicate": f"{valid} - {staged}"}
+        return " UNION ALL ".join(f"SELECT {i} AS step, '{k}.{fact}' AS name, CAST({v} AS BIGINT) AS rows" for k, v in rows.items())
+    return " UNION ALL ".join(step(i) for i in range(1, 5))
+
+
+# Batch events first, then the records of a stream: error events are anonymous in the one and dead letters
+# in the other, purchases are delivered twice.
+ORACLE["medallion_full_then_incremental"] = f"""
+  SELECT * FROM (WITH r AS (
+      SELECT event_id, file, user_id % 3 = 0 AS late, user_id NOT IN (SELECT c_custkey FROM customer) AS never,
+             event_type = 'error' AS refused
+      FROM events, (VALUES (1, 1), (2, 1), (2, 2)) AS copy(file, n)
+      WHERE file = 1 OR (event_type <> 'error' AND (n = 1 OR event_type = 'purchase')))
+    {_arrival_steps("clickstream_events", "event_id")})
+  UNION ALL SELECT * FROM (WITH r AS (
+      SELECT order_id, line_no, file, coalesce(customer_id % 3 = 0 AND reason IS NULL, false) AS late,
+             coalesce(reason = 'unknown_customer', false) AS never, coalesce(reason <> 'unknown_customer', false) AS refused
+      FROM ({TXN_TAGGED}), (VALUES (1), (2)) AS f(file)
+      WHERE (file = 1 AND order_id % 2 = 0) OR (file = 2 AND (order_id % 2 = 1 OR order_id % 10 = 0)))
+    {_arrival_steps("transactions", "order_id, line_no")})"""
+
 ORACLE["coerce_numeric"] = """
   SELECT event_id, json_extract_string(props, '$.k') AS k_text,
          CAST(trunc(TRY_CAST(trim(json_extract_string(props, '$.k')) AS DOUBLE)) AS INTEGER) AS k_quantity,

@@ -21,8 +21,8 @@ from tidemark.operators import funnel as fun
 from tidemark.operators import profile as prof
 from tidemark.operators.cleanse import reject_summary
 from tidemark.operators.dedupe import dedupe_first
-from tidemark.plans import incremental, staged
-from tidemark.plans.medallion import run_medallion
+from tidemark.plans import incremental, lake, staged
+from tidemark.plans.medallion import run_medallion, run_sources
 from tidemark.session import delete_path, scratch_path
 from tidemark.sources import files
 from tidemark.sources import testdata as td
@@ -464,27 +464,65 @@ def q_stream_alarm(spark, d):
 
 def q_medallion_customer_360(spark, d):
     """raw → staged → DQ gate → curated over the supplied tables; the published profile."""
-    lake = scratch_path(spark, "lake")
-    res = run_medallion(spark, td.medallion_raw(spark, d), td.medallion_config(lake))
+    root = scratch_path(spark, "lake")
+    res = run_medallion(spark, td.medallion_raw(spark, d), td.medallion_config(root))
     return res.curated["customer_360"]
 
 
 def q_medallion_counts(spark, d):
     """Rows per zone and fact of a full run with its rejects and repeats, as the writes counted them."""
-    lake = scratch_path(spark, "lake-counts")
-    counts = run_medallion(spark, td.medallion_raw(spark, d), td.medallion_config(lake)).counts
+    root = scratch_path(spark, "lake-counts")
+    counts = run_medallion(spark, td.medallion_raw(spark, d), td.medallion_config(root)).counts
     wanted = [(k, int(v)) for k, v in sorted(counts.items()) if k.split(".")[0] in ("raw", "staged", "rejected", "duplicate")]
     return spark.createDataFrame(wanted, "name string, rows long")
 
 
 def q_medallion_incremental(spark, d):
     """Three drops and a replay, run incrementally; the published profile, which equals that of a full run."""
-    lake = scratch_path(spark, "lake-incremental")
+    root = scratch_path(spark, "lake-incremental")
     for drop in td.medallion_drops(spark, d):
-        res = run_medallion(spark, drop, td.medallion_config(lake, mode="incremental"))
+        res = run_medallion(spark, drop, td.medallion_config(root, mode="incremental"))
     return res.curated["customer_360"]
 
 
+def q_medallion_full_then_incremental(spark, d):
+    """What each of four runs over one set of files took in: rows per zone and fact.
+
+    A full run, an incremental one after more files have arrived (order lines, and the events once more as
+    records landed by a stream), one after the missing customers have come, and one with nothing new.
+    No file is read twice, and rows of unknown customers are pending once until their customer comes.
+    """
+    root = scratch_path(spark, "arrivals")
+    known, late = td.late_customers(spark, d)
+    even, odd = td.line_files(spark, d)
+
+    def put(df, table, name):
+        files.write_table(df.select(*[F.col(c).cast("string").alias(c) for c in df.columns]), f"{root}/in/{table}/{name}")
+
+    sources = {t: [lake.Source(t, f"{root}/in/{t}", "parquet")] for t in ("customers", "products", "clickstream_events", "transactions")}
+    sources["clickstream_events"].append(lake.Source("clickstream_events/landed", f"{root}/landed/good", "parquet", optional=True))
+    first = {"customers": known, "products": td.products(spark, d), "clickstream_events": td.batch_export(spark, d), "transactions": even}
+    columns = {t: df.columns for t, df in first.items()}
+    counts = []
+
+    def run(mode):
+        got = run_sources(spark, sources, td.medallion_config(f"{root}/lake", mode=mode), columns).counts
+        counts.extend((len(counts) // 10 + 1, f"{zone}.{fact}", int(got[f"{zone}.{fact}"])) for fact in ("clickstream_events", "transactions")
+                      for zone in ("raw", "staged", "rejected", "pending", "duplicate"))
+
+    for t, df in first.items():
+        put(df, t, "first")
+    run("full")
+    put(odd, "transactions", "second")
+    _landed(spark, _record_source(spark, d), f"{root}/landed")
+    run("incremental")
+    put(late, "customers", "second")
+    run("incremental")
+    run("incremental")
+    delete_path(spark, root)
+    return spark.createDataFrame(counts, "step int, name string, rows long")
+
+
 QUERIES: dict[str, QueryFn] = {
     "customer_profile": q_customer_profile,
     "customer_funnel": q_customer_funnel,
@@ -539,6 +577,7 @@ QUERIES: dict[str, QueryFn] = {
     "medallion_customer_360": q_medallion_customer_360,
     "medallion_incremental": q_medallion_incremental,
     "medallion_counts": q_medallion_counts,
+    "medallion_full_then_incremental": q_medallion_full_then_incremental,
 }
 
 

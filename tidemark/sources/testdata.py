@@ -238,6 +238,19 @@ def medallion_drops(spark: SparkSession, sf_dir: str) -> list[dict]:
     return [*drops, {**drops[1], "customers": raw["customers"]}]
 
 
+def late_customers(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The customers in two files: those whose id is not divisible by 3, and the rest."""
+    late = F.col("customer_id") % 3 == 0
+    c = customers(spark, sf_dir)
+    return c.filter(~late), c.filter(late)
+
+
+def line_files(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """All order lines as text in two files: even orders; odd ones, and once more those divisible by 10."""
+    lines, order = raw_transactions(spark, sf_dir), F.col("order_id").cast("bigint")
+    return lines.filter(order % 2 == 0), lines.filter((order % 2 == 1) | (order % 10 == 0))
+
+
 # ---------------------------------------------------------------------------
 # The whole medallion run over the supplied tables.
 # ---------------------------------------------------------------------------
