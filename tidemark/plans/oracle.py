@@ -433,6 +433,13 @@ ORACLE["stream_alarm"] = f"""
   SELECT * FROM ({ORACLE["metric_alarm_consecutive"]})
   WHERE period_start + INTERVAL 300 SECOND <= (SELECT max(ts) FROM events) - INTERVAL 1 MINUTE"""
 
+# A shard holds the events of one remainder, in order, 500 of them in each batch.
+ORACLE["stream_landing_bounded"] = """
+  WITH r AS (SELECT event_type, (row_number() OVER (PARTITION BY event_id % 16 ORDER BY event_id) - 1) // 500 AS batch_id
+             FROM events, (VALUES (1), (2)) AS copy(n) WHERE n = 1 OR event_type = 'purchase')
+  SELECT batch_id, count(*) FILTER (WHERE event_type <> 'error') AS landed, count(*) FILTER (WHERE event_type = 'error') AS dead
+  FROM r GROUP BY batch_id"""
+
 # ----- the whole run -------------------------------------------------------------
 
 ORACLE["medallion_customer_360"] = f"""

@@ -26,7 +26,7 @@ from tidemark.plans.medallion import run_medallion, run_sources
 from tidemark.session import delete_path, scratch_path
 from tidemark.sources import files
 from tidemark.sources import testdata as td
-from tidemark.streaming import alarms, landing, records
+from tidemark.streaming import alarms, landing, record_log, records
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -313,6 +313,20 @@ def q_stream_landing_progress(spark, d):
         F.count(F.lit(1)).alias("batches"), F.sum("landed").alias("landed"), F.sum("dead").alias("dead"))
 
 
+STREAM_SHARDS = 16
+
+
+def q_stream_landing_bounded(spark, d):
+    """The landing of a record log, admitted by records: at most 500 of each shard in a micro-batch, in order."""
+    src, out = scratch_path(spark, "record-log"), scratch_path(spark, "landing-bounded")
+    record_log.write_log(td.event_records(spark, d), src, STREAM_SHARDS)
+    log = record_log.read_log(spark, src, max_wait=0, starting_offsets="earliest")
+    record_log.drain(landing.land_stream(log, f"{out}/good", f"{out}/dead", f"{out}/_checkpoint", td.EVENT_FIELDS,
+                                         batch=landing.MicroBatch(seconds=0), progress_path=f"{out}/progress"))
+    delete_path(spark, src)
+    return landing.landing_progress(spark, f"{out}/progress")
+
+
 def q_stream_dedupe(spark, d):
     """Decode, drop anonymous rows and repeats on the stream, in bounded micro-batches; file sink; read back.
 
@@ -560,6 +574,7 @@ QUERIES: dict[str, QueryFn] = {
     "json_dead_letter_faulty": q_json_dead_letter_faulty,
     "stream_landing": q_stream_landing,
     "stream_landing_progress": q_stream_landing_progress,
+    "stream_landing_bounded": q_stream_landing_bounded,
     "stream_batch_convergence": q_stream_batch_convergence,
     "stream_dedupe": q_stream_dedupe,
     "union_sources": q_union_sources,

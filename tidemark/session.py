@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -110,6 +112,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def workers_find_package(spark: SparkSession) -> None:
+    """Let the Python workers of a local master import the package wherever the driver was started.
+
+    On a cluster it is shipped with ``--py-files``.
+    """
+    if not spark.sparkContext.master.startswith("local"):
+        return
+    env, root = spark.sparkContext.environment, str(Path(__file__).resolve().parents[1])
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [root, env.get("PYTHONPATH")]))
+
+
 def together(*jobs: Callable) -> list:
     """Run independent jobs at the same time from threads of the driver; their results in order.
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -20,6 +20,7 @@ from tidemark.config import (STREAM_BATCH_WINDOW_SECONDS, STREAM_MAX_RECORDS_PER
                              STREAM_RETENTION)
 from tidemark.functions.scalar import is_present
 from tidemark.operators.cleanse import tag_rejects, valid_rows
+from tidemark.session import together
 from tidemark.streaming.records import (CLICKSTREAM_FIELDS, DEAD_LETTER_COL, decode_records)
 
 
@@ -72,19 +73,21 @@ def land_stream(records: DataFrame, landing_path: str, dead_letter_path: str,
     def write_batch(batch_df: DataFrame, batch_id: int) -> None:
         batch_df.persist()   # a micro-batch is bounded by the trigger limits; read it once
         try:
-            if batch_df.isEmpty():
+            good = F.col(DEAD_LETTER_COL).isNull()
+            n_good, n_bad = batch_df.agg(F.count_if(good), F.count_if(~good)).first()
+            if not n_good + n_bad:
                 return
-            good = batch_df.filter(F.col(DEAD_LETTER_COL).isNull()).drop(DEAD_LETTER_COL, "_payload")
-            bad = batch_df.filter(F.col(DEAD_LETTER_COL).isNotNull()) \
-                .select("_sequence_number", "_payload", DEAD_LETTER_COL, "_ingested_ts")
-            landed = Observation("landed")
-            good.observe(landed, F.count(F.lit(1)).alias("n")).write.mode("overwrite").format(fmt) \
-                .save(f"{landing_path}/batch_id={batch_id}")
-            n_bad = bad.count()
+            ways = []
+            if n_good:
+                ways.append(lambda: batch_df.filter(good).drop(DEAD_LETTER_COL, "_payload").write.mode("overwrite")
+                            .format(fmt).save(f"{landing_path}/batch_id={batch_id}"))
             if n_bad:
-                bad.write.mode("overwrite").format(fmt).save(f"{dead_letter_path}/batch_id={batch_id}")
+                ways.append(lambda: batch_df.filter(~good).select("_sequence_number", "_payload", DEAD_LETTER_COL, "_ingested_ts")
+                            .write.mode("overwrite").format(fmt).save(f"{dead_letter_path}/batch_id={batch_id}"))
+            together(*ways)
             if progress_path:
-                batch_df.sparkSession.createDataFrame([(batch_id, int(landed.get["n"]), n_bad)], PROGRESS) \
+                batch_df.sparkSession.range(1).select(
+                    F.lit(batch_id).cast("long").alias("batch_id"), F.lit(n_good).alias("landed"), F.lit(n_bad).alias("dead")) \
                     .coalesce(1).write.mode("overwrite").parquet(f"{progress_path}/part_{batch_id}")
         finally:
             batch_df.unpersist()
