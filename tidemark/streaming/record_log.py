@@ -159,7 +159,7 @@ def write_log(records: DataFrame, path: str, n_shards: int) -> None:
     shard = F.pmod(F.coalesce(number, F.xxhash64("sequence_number")), F.lit(n_shards))
     line = F.concat_ws("\t", F.coalesce("sequence_number", F.lit("")), F.coalesce(F.regexp_replace("value", "[\\r\\n]+", ""), F.lit("")))
     records.select(shard.alias("shard"), number.alias("n"), line.alias("line")) \
-        .repartitionByRange(n_shards, "shard").sortWithinPartitions("n").select("line").write.text(path)
+        .repartitionById(n_shards, F.col("shard").cast("int")).sortWithinPartitions("n").select("line").write.text(path)
 
 
 def drain(query: StreamingQuery) -> None:
