@@ -1,0 +1,70 @@
+"""Rows behind the watermark: side output, replays, every row accounted for."""
+
+import datetime as dt
+import os
+
+from pyspark.sql import functions as F
+
+from tidemark.plans.registry import _feed
+from tidemark.session import make_path
+from tidemark.streaming import landing, late, record_log
+
+SCHEMA = "event_id string, event_ts string, n int"
+BASE = dt.datetime(2025, 1, 1)
+
+
+def at(hours):
+    return None if hours is None else str(BASE + dt.timedelta(hours=hours))
+
+
+def split(spark, tmp, drops, delay=24 * 3600):
+    make_path(spark, f"{tmp}/src/arrived")
+    for i, rows in enumerate(drops):
+        spark.createDataFrame([(k, at(h) if not isinstance(h, str) else h, i) for k, h in rows], SCHEMA).repartition(2) \
+            .write.parquet(f"{tmp}/src/to-come/drop={i}")
+    stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 100).parquet(f"{tmp}/src/arrived/*")
+    _feed(spark, late.split_late(stream, f"{tmp}/out", f"{tmp}/ck", delay, batch=landing.MicroBatch(seconds=0)), f"{tmp}/src")
+    schema = spark.createDataFrame([], SCHEMA).schema
+    return {(r["event_id"], r["n"], r[late.REASON]) for r in late.read_late(spark, f"{tmp}/out", schema).collect()}, schema
+
+
+def test_late_rows_go_aside_and_nothing_is_lost(spark, tmp_dir):
+    drops = [[("a", 0), ("b", 30), ("old", 1)],                   # nothing is late in the first batch
+             [("c", 6), ("d", 7), ("a", 0), ("none", None), ("bad", "n/a")],      # watermark 6: at it is late
+             [("e", 100)], [("d", 7), ("f", 77), ("b", 30), ("e", 100)], []]
+    got, schema = split(spark, tmp_dir, drops)
+    assert got == {("c", 1, "late"), ("a", 1, "late"), ("none", 1, "no_time"), ("bad", 1, "no_time"), ("d", 3, "late"), ("b", 3, "late")}
+    prog = sorted(tuple(r)[:3] for r in late.progress(spark, f"{tmp_dir}/out").collect())
+    assert prog == [(0, 3, 0), (1, 1, 4), (2, 1, 0), (3, 2, 2)]
+    clean = landing.dedupe_stream(late.read_on_time(spark, f"{tmp_dir}/out", schema), watermark="24 hours")
+    q = clean.writeStream.format("parquet").option("path", f"{tmp_dir}/kept").option("checkpointLocation", f"{tmp_dir}/ck2").start()
+    record_log.drain(q)
+    kept = sorted(r["event_id"] for r in spark.read.parquet(f"{tmp_dir}/kept").collect())
+    assert kept == ["a", "b", "d", "e", "f", "old"]
+    assert sum(int(op["numRowsDroppedByWatermark"]) for p in q.recentProgress for op in p["stateOperators"]) == 0
+    assert len(kept) + len(got) + 1 == sum(map(len, drops))       # the second e is a repeat
+
+
+def test_a_replayed_batch_writes_the_same_again(spark, tmp_dir):
+    """The watermark of a batch is that of the batches before it, also when later ones have run."""
+    got, schema = split(spark, tmp_dir, [[("a", 50)], [("b", 20), ("c", 40)], [("d", 200)]])
+    assert got == {("b", 1, "late")}
+    assert late.latest_before(spark, f"{tmp_dir}/out/progress", 0) is None
+    us = int((BASE - dt.datetime(1970, 1, 1)).total_seconds() + 50 * 3600) * 1_000_000
+    assert late.latest_before(spark, f"{tmp_dir}/out/progress", 1) == us == late.latest_before(spark, f"{tmp_dir}/out/progress", 2)
+
+
+def test_no_late_row_gives_an_empty_table(spark, tmp_dir):
+    got, schema = split(spark, tmp_dir, [[("a", 0)], [("b", 1)]])
+    assert got == set() and not os.path.exists(f"{tmp_dir}/out/late")
+    assert late.read_late(spark, f"{tmp_dir}/out", schema).columns == ["event_id", "event_ts", "n", late.REASON]
+
+
+def test_drops_hold_every_row_whatever_its_time(spark, tmp_dir):
+    from tidemark.plans.lake import list_names
+    from tidemark.plans.registry import _drops
+    rows = spark.range(100).select("id", F.when(F.col("id") % 7 > 0, F.timestamp_seconds(F.col("id") * 1000)).alias("ts"))
+    _drops(spark, rows, "ts", tmp_dir)
+    names = list_names(spark, f"{tmp_dir}/to-come")
+    assert "drop=-1" in names and "drop=7" in names and spark.read.parquet(f"{tmp_dir}/to-come").count() == 100
+    _drops(spark, rows.filter("false"), "ts", f"{tmp_dir}/empty")

@@ -440,6 +440,22 @@ ORACLE["stream_landing_bounded"] = """
   SELECT batch_id, count(*) FILTER (WHERE event_type <> 'error') AS landed, count(*) FILTER (WHERE event_type = 'error') AS dead
   FROM r GROUP BY batch_id"""
 
+# Drops are eighths of the time of arrival. A row is late if it happened a day or more before the latest event of
+# the drops before.
+ORACLE["stream_late_rows"] = """
+  WITH a AS (
+    SELECT event_id, epoch_us(ts) AS us, epoch_us(CASE WHEN event_id % 10 = 0 THEN ts + INTERVAL 72 HOUR ELSE ts END) AS arrival FROM events
+    UNION ALL SELECT event_id, epoch_us(ts), epoch_us(CASE WHEN event_id % 4 = 0 THEN ts + INTERVAL 48 HOUR ELSE ts + INTERVAL 12 HOUR END)
+    FROM events WHERE event_type = 'purchase'),
+  b AS (SELECT min(arrival) AS first, (max(arrival) - min(arrival) + 1 + 7) // 8 AS step FROM a),
+  d AS (SELECT event_id, us, (arrival - first) // step AS drop_no FROM a, b),
+  w AS (SELECT drop_no, max(max(us)) OVER (ORDER BY drop_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 86400000000 AS wm
+        FROM d GROUP BY drop_no),
+  t AS (SELECT event_id, coalesce(us <= wm, false) AS late FROM d JOIN w USING (drop_no))
+  SELECT event_id, CAST(least(count(*) FILTER (WHERE NOT late), 1) AS BIGINT) AS kept,
+         CAST(greatest(count(*) FILTER (WHERE NOT late) - 1, 0) AS BIGINT) AS repeats, count(*) FILTER (WHERE late) AS late
+  FROM t GROUP BY event_id"""
+
 # ----- the whole run -------------------------------------------------------------
 
 ORACLE["medallion_customer_360"] = f"""

@@ -23,10 +23,10 @@ from tidemark.operators.cleanse import reject_summary
 from tidemark.operators.dedupe import dedupe_first
 from tidemark.plans import incremental, lake, staged
 from tidemark.plans.medallion import run_medallion, run_sources
-from tidemark.session import delete_path, scratch_path
+from tidemark.session import delete_path, make_path, move_path, scratch_path
 from tidemark.sources import files
 from tidemark.sources import testdata as td
-from tidemark.streaming import alarms, landing, record_log, records
+from tidemark.streaming import alarms, landing, late, record_log, records
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -269,16 +269,29 @@ def _record_source(spark, d):
     return src
 
 
-def _drops_in_time_order(spark, d, path, rows):
-    """Write ``rows`` below ``path`` as one drop after another, each a stretch of event time."""
-    first, last = td.table(spark, d, "events").agg(
-        F.unix_micros(F.min("ts").cast("timestamp")), F.unix_micros(F.max("ts").cast("timestamp"))).first()
-    step = -(-(last - first + 1) // STREAM_FILES) if first is not None else 1
-    for i in range(STREAM_FILES):
-        def when(ts, i=i):
-            at = F.unix_micros(F.col(ts).cast("timestamp")) - F.lit(first or 0)
-            return (at >= i * step) & (at < (i + 1) * step)
-        rows(when).coalesce(1).write.parquet(f"{path}/drop={i}")
+def _drops(spark, rows, ts, path, drops=8):
+    """Write ``rows`` in one pass as files of drops to come, each a stretch of the time ``ts``; rows without one come first.
+
+    A drop has as many files as its rows need.
+    """
+    at = F.unix_micros(F.col(ts).cast("timestamp"))
+    first, last, n = rows.agg(F.min(at), F.max(at), F.count(F.lit(1))).first()
+    step = -(-(last - first + 1) // drops) if first is not None else 1
+    number = F.coalesce(F.floor((at - F.lit(first or 0)) / F.lit(step)).cast("int"), F.lit(-1))
+    rows.withColumn("drop", number).repartitionByRange(max(drops, n // 1_000_000), "drop", ts) \
+        .write.partitionBy("drop").parquet(f"{path}/to-come")
+
+
+def _feed(spark, query, path):
+    """Let the drops arrive one after the other while a query over ``path/arrived`` runs."""
+    names = lake.list_names(spark, f"{path}/to-come")
+    try:
+        for name in sorted((n for n in names if n.startswith("drop=")), key=lambda n: int(n.split("=")[1])):
+            move_path(spark, f"{path}/to-come/{name}", f"{path}/arrived/{name}")
+            query.processAllAvailable()
+    finally:
+        query.stop()
+    delete_path(spark, path)
 
 
 def _landed(spark, src, out):
@@ -333,35 +346,62 @@ def q_stream_dedupe(spark, d):
     The records come in time order, so none is later than the watermark.
     """
     src, out = scratch_path(spark, "records"), scratch_path(spark, "stream-dedupe")
-    _drops_in_time_order(spark, d, src, lambda when: td.event_records(spark, d, when("event_ts")))
+    make_path(spark, f"{src}/arrived")
+    _drops(spark, td.event_records(spark, d, F.col("event_ts").alias("at")), "at", src)
     stream = records.good_records(records.decode_records(
-        landing.read_records(spark, f"{src}/drop=*"), td.EVENT_FIELDS))
+        landing.read_records(spark, f"{src}/arrived/*", files_per_batch=1_000), td.EVENT_FIELDS))
     clean = landing.stage_clickstream_stream(stream)
-    q = (clean.writeStream.format("parquet").option("path", f"{out}/data")
-         .option("checkpointLocation", f"{out}/_checkpoint").outputMode("append")
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    delete_path(spark, src)
+    _feed(spark, clean.writeStream.format("parquet").option("path", f"{out}/data")
+          .option("checkpointLocation", f"{out}/_checkpoint").outputMode("append").start(), src)
     landed = spark.read.schema(clean.schema).parquet(f"{out}/data")
     return _typed_events(landed.withColumn("event_ts", F.col("event_ts").cast("timestamp_ntz")))
 
 
+STREAM_DELAY_SECONDS = 24 * 3600
+
+
+def q_stream_late_rows(spark, d):
+    """Events that arrive out of order: per event, whether it was kept, how often repeated and how often late.
+
+    Rows behind the watermark go to an output of their own, the others to a stream that keeps one of each
+    event, so every row that arrived is accounted for.
+    """
+    src, out = scratch_path(spark, "arriving"), scratch_path(spark, "late")
+    make_path(spark, f"{src}/arrived")
+    rows = td.late_events(spark, d)
+    _drops(spark, rows, "arrival", src)
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1_000).parquet(f"{src}/arrived/*")
+    _feed(spark, late.split_late(stream, f"{out}/split", f"{out}/_split", STREAM_DELAY_SECONDS,
+                                 batch=landing.MicroBatch(seconds=0)), src)
+    clean = landing.dedupe_stream(late.read_on_time(spark, f"{out}/split", rows.schema, 1_000), watermark=f"{STREAM_DELAY_SECONDS} seconds")
+    record_log.drain(clean.writeStream.format("parquet").option("path", f"{out}/kept")
+                     .option("checkpointLocation", f"{out}/_kept").outputMode("append").start())
+    on_time = spark.read.schema(rows.schema).option("recursiveFileLookup", True).parquet(f"{out}/split/on_time")
+    one = lambda df, *flags: df.select("event_id", *[F.lit(x).alias(c) for c, x in zip(("kept", "on_time", "late"), flags)])
+    return one(spark.read.schema(rows.schema).parquet(f"{out}/kept"), 1, 0, 0).unionByName(one(on_time, 0, 1, 0)) \
+        .unionByName(one(late.read_late(spark, f"{out}/split", rows.schema), 0, 0, 1)).groupBy("event_id").agg(
+            F.sum("kept").alias("kept"), (F.sum("on_time") - F.sum("kept")).alias("repeats"), F.sum("late").alias("late"))
+
+
 # ----- sources: unions, drift, incremental ---------------------------------
 
 SPLIT_TS = "2024-01-16 00:00:00"
 
 
 def _before(col, ts=SPLIT_TS):
-    return F.col(col) < F.lit(ts).cast("timestamp_ntz")
+    """Earlier than a time, or without one."""
+    return F.coalesce(F.col(col) < F.lit(ts).cast("timestamp_ntz"), F.lit(True))
 
 
 def q_union_sources(spark, d):
     """Batch export (text) before the split, stream records after; one raw table."""
     split = F.lit(SPLIT_TS).cast("timestamp_ntz")
-    batch = td.batch_export(spark, d).filter(F.col("event_ts").try_cast("timestamp_ntz") < split)
+    # an event without a readable time is on the batch side, so none is on neither
+    before = F.coalesce(F.col("event_ts").try_cast("timestamp_ntz") < split, F.lit(True))
+    batch = td.batch_export(spark, d).filter(before)
     stream = records.good_records(records.decode_records(
         td.event_records(spark, d), ("event_id", "customer_id", "event_ts", "event_type", "props"))) \
-        .filter(F.col("event_ts").try_cast("timestamp_ntz") >= split)
+        .filter(~before)
     raw = files.union_sources(batch, stream)
     return staged.apply_types(raw, td.CLICKSTREAM_TYPES)
 
@@ -400,7 +440,7 @@ def q_incremental_ingest(spark, d):
     raw = td.raw_clickstream(spark, d)
     ts = F.col("event_ts").try_cast("timestamp_ntz")
     drops = [raw.filter(ts < F.lit("2024-01-16").cast("timestamp_ntz")),
-             raw.filter(ts >= F.lit("2024-01-10").cast("timestamp_ntz"))]
+             raw.filter(F.coalesce(ts >= F.lit("2024-01-10").cast("timestamp_ntz"), F.lit(True)))]
 
     def stage(batch):
         return staged.stage_clickstream(batch, types=td.CLICKSTREAM_TYPES, stamp=None)[1]
@@ -463,13 +503,12 @@ STREAM_ALARM_DELAY = "1 minute"
 def q_stream_alarm(spark, d):
     """The value alarm on the events as a stream in time order: periods that the watermark has closed."""
     src, out = scratch_path(spark, "series"), scratch_path(spark, "alarm")
+    make_path(spark, f"{src}/arrived")
     series = _event_series(spark, d).withColumn("ts", F.col("ts").cast("timestamp"))
-    _drops_in_time_order(spark, d, src, lambda when: series.filter(when("ts")))
-    stream = spark.readStream.schema(series.schema).option("maxFilesPerTrigger", 1).parquet(f"{src}/drop=*")
-    q = alarms.stream_alarm(stream, VALUE_ALARM, STREAM_ALARM_DELAY, f"{out}/closed", f"{out}/_checkpoint",
-                            available_now=True)
-    q.awaitTermination()
-    delete_path(spark, src)
+    _drops(spark, series, "ts", src)
+    stream = spark.readStream.schema(series.schema).option("maxFilesPerTrigger", 1_000).parquet(f"{src}/arrived/*")
+    _feed(spark, alarms.stream_alarm(stream, VALUE_ALARM, STREAM_ALARM_DELAY, f"{out}/closed", f"{out}/_checkpoint",
+                                     every="0 seconds"), src)
     return alarms.alarm_states(spark, f"{out}/closed", VALUE_ALARM) \
         .withColumn("period_start", F.col("period_start").cast("timestamp_ntz"))
 
@@ -577,6 +616,7 @@ QUERIES: dict[str, QueryFn] = {
     "stream_landing_bounded": q_stream_landing_bounded,
     "stream_batch_convergence": q_stream_batch_convergence,
     "stream_dedupe": q_stream_dedupe,
+    "stream_late_rows": q_stream_late_rows,
     "union_sources": q_union_sources,
     "schema_drift_merged": q_schema_drift_merged,
     "incremental_ingest": q_incremental_ingest,

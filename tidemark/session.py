@@ -107,6 +107,20 @@ def delete_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def make_path(spark: SparkSession, path: str) -> None:
+    """Create a folder."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(p)
+
+
+def move_path(spark: SparkSession, path: str, to: str) -> None:
+    """Rename a file or folder within its file system."""
+    jvm = spark.sparkContext._jvm
+    p, q = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(to)
+    if not p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).rename(p, q):
+        raise IOError(f"{path} could not be moved to {to}")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"

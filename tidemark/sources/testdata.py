@@ -141,8 +141,8 @@ def _stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_type", "value", "props")
 
 
-def event_records(spark: SparkSession, sf_dir: str, when: Column | None = None) -> DataFrame:
-    """Events (those for which ``when`` holds) as stream records ``(sequence_number, value)``.
+def event_records(spark: SparkSession, sf_dir: str, *extra: Column) -> DataFrame:
+    """Events as stream records ``(sequence_number, value)`` and ``extra`` columns of them.
 
     ``value`` is the base64 of a JSON object with the event's fields as text.
     Two transport faults of the kind the consumer must survive: the legacy
@@ -151,12 +151,21 @@ def event_records(spark: SparkSession, sf_dir: str, when: Column | None = None)
     """
     copies = F.when(F.col("event_type") == "purchase", 2).otherwise(1)
     value = F.when(F.col("event_type") == "error", _record()).otherwise(F.base64(F.encode(_record(), "UTF-8")))
-    events = _stream_events(spark, sf_dir)
-    return (events if when is None else events.filter(when)).select(
-        F.col("event_id").cast("string").alias("sequence_number"), value.alias("value"),
+    return _stream_events(spark, sf_dir).select(
+        F.col("event_id").cast("string").alias("sequence_number"), value.alias("value"), *extra,
         F.explode(F.array_repeat(F.lit(0), copies)).alias("_copy")).drop("_copy")
 
 
+def late_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events with the time they arrive: every tenth three days after it happened; purchases once more,
+    twelve hours later, of every fourth event two days later."""
+    ev = table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("event_ts"), "event_type")
+    i, hours = F.col("event_id"), lambda n: F.expr(f"event_ts + INTERVAL {n} HOURS")
+    first = ev.withColumn("arrival", F.when(i % 10 == 0, hours(72)).otherwise(F.col("event_ts")))
+    again = ev.filter("event_type = 'purchase'").withColumn("arrival", F.when(i % 4 == 0, hours(48)).otherwise(hours(12)))
+    return first.unionByName(again)
+
+
 def faulty_event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as records with every kind of transport fault, by a rule on the event id.
 

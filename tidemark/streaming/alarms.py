@@ -34,15 +34,15 @@ def closed_periods(series: DataFrame, spec: AlarmSpec, watermark: str, metric_co
 
 def stream_alarm(series: DataFrame, spec: AlarmSpec, watermark: str, path: str, checkpoint: str,
                  metric_col: str = "metric", ts_col: str = "ts", value_col: str = "value",
-                 available_now: bool = False) -> StreamingQuery:
-    """Start the query that writes closed periods below ``path``."""
+                 available_now: bool = False, every: str | None = None) -> StreamingQuery:
+    """Start the query that writes closed periods below ``path``, a batch per period or ``every`` interval."""
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         # one row per metric and closed period
         batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
     writer = closed_periods(series, spec, watermark, metric_col, ts_col, value_col).writeStream \
         .outputMode("append").foreachBatch(write_batch).option("checkpointLocation", checkpoint)
-    trigger = {"availableNow": True} if available_now else {"processingTime": f"{spec.period_seconds} seconds"}
+    trigger = {"availableNow": True} if available_now else {"processingTime": every or f"{spec.period_seconds} seconds"}
     return writer.trigger(**trigger).start()
 
 
