@@ -21,7 +21,6 @@ one; an empty table gives no rows; extra columns are ignored.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,14 +37,13 @@ MAX_TRAINING, MAX_CALIBRATION = 8_000, 2_000
 SHARDS, EPOCHS = 8, 2
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.02, 0.01
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
 _CHUNK = 1 << 20
-# Code points below 0x250: whether it is a letter.
-_LOW = np.array([chr(c).isalpha() for c in range(0x250)])
+# Per code point: whether it is a letter. Numbers such as ² or Ⅷ, marks, signs and emoji are none.
+_ALPHA = np.fromiter(map(str.isalpha, map(chr, range(0x110000))), bool, 0x110000)
 
 
 def has_letter(text: str | None) -> bool:
-    return bool(text) and _LETTER.search(text) is not None
+    return bool(text) and any(map(str.isalpha, text))
 
 
 def counts(text: str) -> np.ndarray:
@@ -54,7 +52,7 @@ def counts(text: str) -> np.ndarray:
     text = text.lower()
     for a in range(0, max(len(text), 1), _CHUNK):
         c = np.frombuffer(text[max(0, a - 2):a + _CHUNK].encode("utf-32-le", "surrogatepass"), "<u4")
-        c = np.where((c >= 0x250) | _LOW[np.minimum(c, 0x24F)], c, 32).astype(np.uint32)
+        c = np.where(_ALPHA[c], c, 32).astype(np.uint32)
         keep = c != 32
         keep[1:] |= c[:-1] != 32
         c = c[keep]
