@@ -22,7 +22,7 @@ is rendered, sorted and joined by many tasks and its last step gets one row
 per block.
 
 Defined results: null roles and texts are empty; equal rows each count as a
-turn; equal turn numbers are ordered by role, then escaped text; a null conversation id
+turn; equal turn numbers are ordered by role, then text; a null conversation id
 is one conversation; null turn numbers come first; a conversation with a hundred
 thousand turns is one row; an empty table gives an empty one; extra columns are
 ignored.
@@ -102,7 +102,10 @@ def format_conversations(turns: DataFrame) -> DataFrame:
     run = lambda n, loss: F.struct(n.cast("bigint").alias("n_chars"), loss.alias("in_loss"))
     tail = "</turn>\n"
     xs = F.col("xs")
-    blocks = rendered.groupBy("conv_id", "block").agg(F.sort_array(F.collect_list("x")).alias("xs")).select(
+    # Equal turns and roles are ordered by what they say, not by its escaped form.
+    said = lambda x: F.struct(x["turn"].alias("turn"), x["role"].alias("role"), unescape(x["body"]).alias("said"),
+                              *[x[c].alias(c) for c in ("body", "head", "chars", "loss", "attachments", "tokens")])
+    blocks = rendered.groupBy("conv_id", "block").agg(F.sort_array(F.transform(F.collect_list("x"), said)).alias("xs")).select(
         "conv_id", F.struct(
             "block",
             F.array_join(F.transform(xs, lambda x: F.concat(
