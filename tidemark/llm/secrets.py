@@ -4,8 +4,10 @@ The base patterns (assignments, access keys, hexadecimal strings) find what has
 a known form. The field adds what they miss: it tags the tokens of a line as
 secret begin (B), inside (I) or outside (O), from their shape, their neighbours' words
 and features of the file, decoded by Viterbi. Its labels are the base patterns'
-own findings in a bounded sample, so it
-learns what secrets look like and what stands near them.
+own findings in a bounded sample, and the same lines with the findings in other forms and under other
+names, and with harmless long tokens in their place (``variations``), so it learns what secrets look like
+and what stands near them beyond the patterns. Other long tokens of those lines have no label: their
+tags are summed over in training, since no pattern says that they are no secrets.
 
 Only a token with a digit among ``LEAST`` or more letters, digits and ``+/_=-`` may
 begin a secret, and only tokens of such letters may continue one. That is a rule of the
@@ -28,9 +30,12 @@ table gives no rows; extra columns are ignored (and kept by ``redact``).
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 import zlib
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pandas as pd
@@ -47,6 +52,7 @@ ASSIGN = re.compile("(" + "|".join(map(_ANY_CASE, ("password", "passwd", "secret
                     + r""")["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 ACCESS = re.compile("AKIA[A-Z0-9]+")
 HEX = re.compile("[0-9a-f]+")
+ASSIGN_NAME = re.compile("|".join(map(_ANY_CASE, ("password", "passwd", "secret", "token", "api_?key"))))
 KINDS = ("assign", "access", "hex")
 FIELD = "crf"
 
@@ -54,9 +60,11 @@ LEAST = 12
 MAX_TRAINING, SHARDS, EPOCHS, RATE = 20_000, 4, 3, 0.2
 STRETCH, STRETCHES = 512, 32       # tokens of a line learned at once; stretches a document teaches at most, drawn by hash
 MAX_STRETCHES = 4_000              # of a shard
+NEAR, VARIATIONS = 12, 6           # tokens on each side of a secret in a variation; real and harmless ones per secret
 DIM = 1 << 13
 O, B, I = 0, 1, 2  # noqa: E741
-_LINE_HINT = re.compile(r"[A-Za-z0-9+/_=-]*[0-9][A-Za-z0-9+/_=-]*")
+_RUN = re.compile(r"[A-Za-z0-9+/_=-]{12,}")        # LEAST and more; whole runs, so a search is linear
+_DIGIT = re.compile("[0-9]")
 _TOKEN = re.compile(r"[A-Za-z0-9+/_=-]+|[^\W]+|[^\s]")
 _SOLID = re.compile(r"[A-Za-z0-9+/_=-]+")
 
@@ -169,7 +177,7 @@ def lines_of(text: str) -> Iterator[tuple[int, str]]:
     """(start, line) of the lines that hold a token which may begin a secret."""
     at = 0
     for line in text.split("\n"):
-        if any(m.end() - m.start() >= LEAST for m in _LINE_HINT.finditer(line)):
+        if any(_DIGIT.search(line, m.start(), m.end()) for m in _RUN.finditer(line)):
             yield at, line
         at += len(line) + 1
 
@@ -183,11 +191,12 @@ def labels(tokens: list[str], starts: list[int], spans: list[Span]) -> list[int]
     """Tags of tokens that lie in the secret part of a base span."""
     tags = [O] * len(tokens)
     for _, a, z in spans:
-        first = True
-        for i, (t, s) in enumerate(zip(tokens, starts)):
-            if a <= s and s + len(t) <= z and (not first or can_begin(t)):
+        first, i = True, bisect_left(starts, a)
+        while i < len(tokens) and starts[i] + len(tokens[i]) <= z:
+            if not first or can_begin(tokens[i]):
                 tags[i] = B if first else I
                 first = False
+            i += 1
     return tags
 
 
@@ -213,6 +222,63 @@ def lessons(text: str) -> list[tuple[int, int, int]]:
     return out
 
 
+_UPPER, _LOWER, _FIGURES = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
+_ALPHABETS = (_UPPER + _LOWER + _FIGURES, _UPPER + _FIGURES, _LOWER + _FIGURES, _UPPER + _LOWER + _FIGURES + "+/")
+_NAMES = ("key", "auth", "bearer", "credential", "pwd", "passphrase", "private", "signature", "access", "login")
+
+
+def other_secret(rng: random.Random) -> str:
+    """A secret of a form that no base pattern asks for: any alphabet, a prefix, groups or padding."""
+    letters = rng.choice(_ALPHABETS)
+    body = "".join(rng.choices(letters, k=rng.randint(14, 72)))
+    at = rng.randrange(len(body))
+    body = body[:at] + rng.choice(_FIGURES) + body[at:]
+    form = rng.randrange(6)
+    if form == 0:
+        return f"{rng.choice(_LOWER)}{rng.choice(_LOWER)}_{rng.choice(('live', 'test', 'prod'))}_{body}"
+    if form == 1:
+        n = rng.randint(4, 8)
+        return "-".join(body[i:i + n] for i in range(0, len(body), n))
+    return body + "=" * rng.randint(1, 2) if form == 2 else body
+
+
+def harmless(rng: random.Random, words: list[str]) -> str:
+    """A long token with digits that is none: dates, phone numbers, hyphenated words, paths, names with a number."""
+    day = f"{rng.randint(1990, 2035)}-{rng.randint(1, 12):02d}-{rng.randint(1, 28):02d}"
+    a, b, c = (rng.choice(words) for _ in range(3))
+    n = rng.randint(1, 9999)
+    forms = (f"{day}T{rng.randint(0, 23):02d}", f"{day}/{day}", f"+{rng.randint(1, 99)}-{rng.randint(100, 999)}-{rng.randint(100, 999)}-{n:04d}",
+             f"{a}-{b}-{c}-{n}", f"{a}/{b}/{c}{n}", f"{a}_{b}_{n}", f"{a}{n}{b}{c}", f"/{a}/{n}/{b}/{c}", f"{a}={n}_{b}={n + 1}_")
+    return rng.choice(forms)
+
+
+def variations(line: str, tokens: list[str], starts: list[int], tags: list[int], a: int, z: int) -> list[tuple[list[str], list[int]]]:
+    """Tokens and tags around each secret of a stretch, with other forms and names, and with harmless tokens in its place.
+
+    The base patterns' own labels know secrets by their form and name alone; these lessons mask both.
+    """
+    out = []
+    for at in (i for i in range(a, z) if tags[i] == B):
+        rng = random.Random(zlib.crc32(line[starts[at]:starts[at] + 4096].encode("utf-8", "surrogatepass")))
+        low, high = max(a, at - NEAR), min(z, at + NEAR)
+        words = [t for t in tokens[low:high] if t.isalpha() and t.isascii() and len(t) < 16 and not ASSIGN_NAME.search(t)] or ["page"]
+        for real in [True, False] * VARIATIONS:
+            new, own = [], []
+            for i in range(low, high):
+                if tags[i] == B:
+                    text = other_secret(rng) if real else harmless(rng, words)
+                    got = [m.group() for m in _TOKEN.finditer(text)]
+                    first = next((k for k, t in enumerate(got) if can_begin(t)), None)
+                    new += got
+                    own += [O if not real or first is None or k < first else B if k == first else I for k in range(len(got))]
+                elif tags[i] == O:
+                    # a name of another kind, or any word of the text, where a pattern's name stands
+                    new.append(rng.choice(_NAMES if rng.random() < 0.5 else words) if ASSIGN_NAME.search(tokens[i]) else tokens[i])
+                    own.append(O)
+            out.append((new, own))
+    return out
+
+
 def learn(texts: list[str], epochs: int = EPOCHS, of_files: list[list[str]] | None = None) -> tuple[np.ndarray, np.ndarray, int]:
     """Weights (DIM, 3), transitions (3, 3) and the number of stretches, by stochastic gradient ascent with AdaGrad.
 
@@ -236,18 +302,30 @@ def learn(texts: list[str], epochs: int = EPOCHS, of_files: list[list[str]] | No
                 tags = labels(tokens, starts, base_spans(line))
                 legal = allowed(tokens)
                 legal[np.arange(len(tags)), tags] = True
-            rows.append(([np.array(token_features(tokens, i, of_file), np.int16) for i in range(a, z)], legal[a:z], np.array(tags[a:z])))
+            if B not in tags[a:z]:
+                continue
+            # A long token that no pattern labels may be a secret of another form: its tag is left open.
+            unseen = np.array([t == O and can_begin(x) for t, x in zip(tags[a:z], tokens[a:z])], bool)
+            rows.append(([np.array(token_features(tokens, i, of_file), np.int16) for i in range(a, z)], legal[a:z], np.array(tags[a:z]), unseen))
+            for new, own in variations(line, tokens, starts, tags, a, z):
+                legal_new = allowed(new)
+                legal_new[np.arange(len(own)), own] = True
+                rows.append(([np.array(token_features(new, i, of_file), np.int16) for i in range(len(new))], legal_new, np.array(own),
+                             np.zeros(len(own), bool)))
     w, step = np.zeros((DIM, 3)), np.zeros((3, 3))
     gw, gs = np.full((DIM, 3), 1e-2), np.full((3, 3), 1e-2)
     order = np.random.default_rng(5)
     for _ in range(epochs):
         for k in order.permutation(len(rows)):
-            features, legal, tags = rows[k]
+            features, legal, tags, unseen = rows[k]
             p, pairs = marginals(_scores(features, legal, w), step)
             own = np.zeros_like(p)
             own[np.arange(len(tags)), tags] = 1
-            seen = np.zeros((3, 3))
-            np.add.at(seen, (tags[:-1], tags[1:]), 1)
+            if unseen.any():
+                own, seen = marginals(_scores(features, np.where(unseen[:, None], legal, own > 0), w), step)
+            else:
+                seen = np.zeros((3, 3))
+                np.add.at(seen, (tags[:-1], tags[1:]), 1)
             diff = own - p
             size = np.array([len(f) for f in features])
             at, g = np.concatenate([np.array(f) for f in features]), np.repeat(diff, size, axis=0)
@@ -259,7 +337,7 @@ def learn(texts: list[str], epochs: int = EPOCHS, of_files: list[list[str]] | No
             w[bins] += RATE * grad / np.sqrt(gw[bins])
             gs += (seen - pairs) ** 2
             step += RATE * (seen - pairs) / np.sqrt(gs)
-    return w, step, len(rows)
+    return w, step, sum(map(len, drawn))
 
 
 class Field:
@@ -291,18 +369,25 @@ def train(docs: DataFrame, max_training: int = MAX_TRAINING) -> Field | None:
     n = docs.count()
     if not n:
         return None
-    place = F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(1 << 20))
-    sample = docs.filter(F.col("text").isNotNull()).filter(place < int(min(1.0, max_training / n) * (1 << 20)))
+    # By id and text, so rows without an id are drawn like others; a repeated row counts once.
+    place = F.pmod(F.xxhash64("doc_id", "text", F.lit(7)), F.lit(1 << 20))
+    sample = docs.filter(F.col("text").isNotNull()).filter(place < int(min(1.0, max_training / n) * (1 << 20))) \
+        .filter(F.col("text").rlike("[0-9]")).select("doc_id", "text").distinct()
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["doc_id", "text"], kind="stable")
         w, step, n = learn(pdf["text"].tolist(), of_files=[x.split(" ") for x in pdf["of_file"]])
         return pd.DataFrame({"n": [n], "w": [w.tobytes()], "step": [step.tobytes()]})
 
-    # Only texts with a line to learn from are dealt to the shards.
-    some = sample.filter(F.col("text").rlike("[0-9]")).mapInArrow(_with_lines, "doc_id bigint, of_file string, text string")
-    parts = some.groupBy(F.pmod(F.xxhash64("doc_id", F.lit(9)), F.lit(SHARDS)).alias("shard")) \
-        .applyInPandas(run, "n bigint, w binary, step binary").collect()                 # SHARDS rows
+    # Only texts with a line to learn from are dealt to the shards, each a task of its own.
+    some = sample.mapInArrow(_with_lines, "doc_id bigint, of_file string, text string") \
+        .withColumn("shard", F.pmod(F.xxhash64("doc_id", "text", F.lit(9)), F.lit(SHARDS)).cast("int")).repartitionById(SHARDS, "shard")
+    def shard(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = [x for x in pdfs if len(x)]
+        if rows:
+            yield run(pd.concat(rows))
+
+    parts = some.mapInPandas(shard, "n bigint, w binary, step binary").collect()         # SHARDS rows
     total = sum(r["n"] for r in parts)
     if not total:
         return None
@@ -328,7 +413,8 @@ def all_spans(text: str, base: list[Span], field: Field | None) -> list[Span]:
     """Base spans and those of the field that lie inside none of them, by start, then kind."""
     if field is None:
         return base
-    more = [s for s in field.spans(text) if not any(a <= s[1] and s[2] <= z for _, a, z in base)]
+    starts, reach = [a for _, a, _ in base], list(accumulate((z for _, _, z in base), max))
+    more = [s for s in field.spans(text) if not (k := bisect_right(starts, s[1])) or reach[k - 1] < s[2]]
     order = (*KINDS, FIELD)
     return sorted([*base, *more], key=lambda s: (s[1], order.index(s[0])))
 
