@@ -344,6 +344,17 @@ ORACLE.update({
   SELECT event_id, ts, user_id, event_type, value, NULL,
          TRY_CAST(json_extract_string(props, '$.k') AS INTEGER)
   FROM events WHERE ts >= TIMESTAMP '2024-01-16'""",
+    "schema_drift_types": """
+  SELECT event_id,
+         CASE event_id % 4 WHEN 0 THEN event_id::DOUBLE WHEN 1 THEN (event_id::BIGINT * 1000003 + 9007199254740000)::DOUBLE
+              ELSE value END AS reading,
+         CASE event_id % 4 WHEN 0 THEN event_id::VARCHAR WHEN 1 THEN (event_id::BIGINT * 1000003 + 9007199254740000)::VARCHAR
+              WHEN 2 THEN ts::DATE::VARCHAR ELSE event_type END AS note
+  FROM events""",
+    "schema_drift_losses": """
+  SELECT 'reading' AS column, 'bigint' AS from_type, 'double' AS to_type, x::VARCHAR AS value, count(*) AS rows
+  FROM (SELECT event_id::BIGINT * 1000003 + 9007199254740000 AS x FROM events WHERE event_id % 4 = 1)
+  WHERE x::DOUBLE::HUGEINT <> x GROUP BY x""",
     "incremental_ingest": STAGE_CLICKSTREAM,
     "csv_text_scan": "SELECT * FROM orders",
     "zone_sql": """

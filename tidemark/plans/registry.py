@@ -415,6 +415,26 @@ def q_schema_drift_merged(spark, d):
     return files.merge_drifted(first, second)
 
 
+def _drifting(spark, d):
+    """The events as four files in which two columns change their types: ``reading`` goes from int over bigint to
+    double, ``note`` from int over bigint and date to text."""
+    ev, i = td.table(spark, d, "events"), F.col("event_id")
+    big = i.cast("bigint") * 1_000_003 + 9_007_199_254_740_000
+    columns = [(i.cast("int"), i.cast("int")), (big, big), (F.col("value"), F.to_date("ts")), (F.col("value"), F.col("event_type"))]
+    return [ev.filter(i % 4 == k).select("event_id", reading.alias("reading"), note.alias("note"))
+            for k, (reading, note) in enumerate(columns)]
+
+
+def q_schema_drift_types(spark, d):
+    """Four files with drifting types as one table of the least common types."""
+    return files.merge_drifted(*_drifting(spark, d))
+
+
+def q_schema_drift_losses(spark, d):
+    """The values that lose digits when the drifting files are merged."""
+    return files.drift_losses(spark, *_drifting(spark, d))
+
+
 def q_csv_text_scan(spark, d):
     """All orders written as CSV with a header, scanned as text without inference, then typed."""
     out = scratch_path(spark, "orders-csv")
@@ -619,6 +639,8 @@ QUERIES: dict[str, QueryFn] = {
     "stream_late_rows": q_stream_late_rows,
     "union_sources": q_union_sources,
     "schema_drift_merged": q_schema_drift_merged,
+    "schema_drift_types": q_schema_drift_types,
+    "schema_drift_losses": q_schema_drift_losses,
     "incremental_ingest": q_incremental_ingest,
     "csv_text_scan": q_csv_text_scan,
     "zone_sql": q_zone_sql,

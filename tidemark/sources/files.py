@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
@@ -135,9 +135,97 @@ def schema_drift(spark: SparkSession, known: T.StructType, new: T.StructType) ->
     return spark.createDataFrame(rows, DRIFT_SCHEMA)
 
 
-def merge_drifted(known: DataFrame, new: DataFrame) -> DataFrame:
-    """Union under drift: new columns added, vanished ones kept as NULL."""
-    return known.unionByName(new, allowMissingColumns=True)
+def merge_drifted(known: DataFrame, *new: DataFrame) -> DataFrame:
+    """Union under drift: new columns added, vanished ones kept as NULL, changed types widened.
+
+    Each column gets the least type that holds the values of all frames (``common_types``); what a value loses on the
+    way there is in ``drift_losses``.
+    """
+    types = common_types([known, *new])
+    out = None
+    for df in (known, *new):
+        same = df.select(*[_as_type(F.col(f"`{f.name}`"), f.dataType, types[f.name]).alias(f.name) for f in df.schema.fields])
+        out = same if out is None else out.unionByName(same, allowMissingColumns=True)
+    return out
+
+
+_WHOLE = {"tinyint": 3, "smallint": 5, "int": 10, "bigint": 19}       # type -> decimal digits, in widening order
+
+
+def common_type(a: T.DataType, b: T.DataType) -> T.DataType:
+    """The least type that values of both fit: whole numbers < decimals < floating point; dates < timestamps; else text.
+
+    A decimal that would need more than 38 digits becomes a double. Types of different kinds, and nested
+    types that differ, meet in text. The order of arguments and of merging does not matter.
+    """
+    if a == b or isinstance(b, T.NullType):
+        return a
+    if isinstance(a, T.NullType):
+        return b
+    x, y = a.simpleString(), b.simpleString()
+    whole, real = list(_WHOLE), (T.FloatType, T.DoubleType)
+    numbers = [x in _WHOLE or isinstance(t, (T.DecimalType, *real)) for t, x in ((a, x), (b, y))]
+    if x in _WHOLE and y in _WHOLE:
+        return a if whole.index(x) > whole.index(y) else b
+    if all(numbers):
+        if isinstance(a, real) or isinstance(b, real):
+            return T.DoubleType()
+        (p, s), (q, t) = [(d.precision, d.scale) if isinstance(d, T.DecimalType) else (_WHOLE[n], 0) for d, n in ((a, x), (b, y))]
+        scale = max(s, t)
+        digits = max(p - s, q - t) + scale
+        return T.DecimalType(digits, scale) if digits <= 38 else T.DoubleType()
+    times = (T.DateType, T.TimestampNTZType, T.TimestampType)
+    if isinstance(a, times) and isinstance(b, times):
+        return a if times.index(type(a)) > times.index(type(b)) else b
+    return T.StringType()
+
+
+def common_types(frames: Sequence[DataFrame]) -> dict[str, T.DataType]:
+    """Column -> its type over all frames, from the schemas alone."""
+    out: dict[str, T.DataType] = {}
+    for df in frames:
+        for f in df.schema.fields:
+            out[f.name] = common_type(out[f.name], f.dataType) if f.name in out else f.dataType
+    return out
+
+
+def _as_type(c: Column, have: T.DataType, want: T.DataType) -> Column:
+    if have == want:
+        return c
+    if isinstance(have, (T.StructType, T.ArrayType, T.MapType)):
+        return F.to_json(c)
+    return c.cast(want)
+
+
+LOSSES = "column string, from_type string, to_type string, value string, rows long"
+
+
+def drift_losses(spark: SparkSession, *frames: DataFrame) -> DataFrame:
+    """(column, from_type, to_type, value, rows): the values that do not survive the way to the merged type and back.
+
+    Only widening into floating point and from a decimal can lose digits, so only such columns are looked at,
+    all of a frame in one pass.
+    """
+    types, out = common_types(frames), None
+    for df in frames:
+        cells = []
+        for f in df.schema.fields:
+            have, want = f.dataType, types[f.name]
+            if have == want or not isinstance(want, T.DoubleType) or isinstance(have, T.FloatType):
+                continue
+            c = F.col(f"`{f.name}`")
+            exact = "decimal(38,18)" if isinstance(have, T.DecimalType) else "decimal(38,0)"
+            lost = F.coalesce(c.cast(want).try_cast(exact) != c.try_cast(exact), c.isNotNull())
+            cells.append(F.struct(F.lit(f.name).alias("column"), F.lit(have.simpleString()).alias("from_type"),
+                                  F.lit(want.simpleString()).alias("to_type"), c.cast("string").alias("value"), lost.alias("lost")))
+        if cells:
+            rows = df.select(F.inline(F.filter(F.array(*cells), lambda x: x["lost"]))) \
+                .groupBy("column", "from_type", "to_type", "value").agg(F.count(F.lit(1)).alias("rows"))
+            out = rows if out is None else out.unionByName(rows)
+    if out is None:
+        return spark.createDataFrame([], LOSSES)
+    # a value may come from several frames of one type
+    return out.groupBy("column", "from_type", "to_type", "value").agg(F.sum("rows").alias("rows"))
 
 
 def read_merged(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
