@@ -11,7 +11,7 @@ SF = "/root/testdata/sf0.001"
 SIDE_EFFECTS = {"stream_landing", "stream_dedupe", "stream_batch_convergence", "stream_alarm", "incremental_ingest",
                 "medallion_customer_360", "medallion_incremental", "medallion_counts", "stream_landing_progress", "csv_text_scan",
                 "medallion_full_then_incremental", "stream_landing_bounded",
-                "stream_late_rows",
+                "stream_late_rows", "stream_alarm_kept",
                 "zone_sql", "dq_results_retry"}
 
 

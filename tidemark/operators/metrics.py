@@ -124,6 +124,111 @@ def evaluate_periods(stats: DataFrame, spec: AlarmSpec) -> DataFrame:
         .withColumn("state", F.when((run == F.lit(n)) & (size == F.lit(n)), "ALARM").otherwise("OK"))
 
 
+# ----- alarms without a period grid --------------------------------------------------
+
+BLOCK = 1 << 16                     # periods of a metric that one task evaluates
+CARRY = "metric string, last bigint, reset bigint, n bigint"
+
+
+def alarm_intervals(stats: DataFrame, spec: AlarmSpec, carry: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Alarm states over the periods there are, without making the missing ones.
+
+    Returns (intervals, carry). ``intervals`` has (metric, period_start, periods, stat_value, breaching, state): one row per
+    period with data, and for the missing periods before it one row (or two, if the state changes within them).
+    ``carry`` has one row per metric, all that a later call needs to go on from here.
+
+    A period's run of breaches is its number less that of the last reset, and the last reset is a running maximum. It is
+    taken in blocks of ``BLOCK`` period numbers and then over one row per block, so a metric with very many
+    periods is many tasks, and a stray timestamp is one row, however far off it is.
+    """
+    missing = spec.treat_missing if spec.treat_missing in ("notBreaching", "breaching") else "missing"
+    start = F.col("period_start")
+    micros, length = F.unix_micros(start.cast("timestamp")), spec.period_seconds * 1_000_000
+    breach = F.coalesce(_compare(F.col("stat_value"), spec.comparison, spec.threshold), F.lit(missing == "breaching"))
+    rows = stats.select(F.col("metric").cast("string").alias("metric"), "period_start", "stat_value", breach.alias("breaching"),
+                        F.floor(micros / F.lit(length)).alias("k")).withColumn("block", F.floor(F.col("k") / F.lit(BLOCK)))
+    own = Window.partitionBy("metric", "block").orderBy("k")
+    rows = rows.withColumns({"before": F.lag("k").over(own), "at": F.row_number().over(own).cast("long")})
+    # Per block: where it ends, how many rows, and its last reset (in rows of the block if missing periods are ignored).
+    place = F.col("at") if missing == "missing" else F.col("k")
+    after_gap = F.col("k") > F.col("before") + 1
+    reset = F.when(~F.col("breaching"), place)
+    if missing == "notBreaching":
+        reset = reset.when(after_gap, F.col("k") - 1)
+    rows = rows.withColumn("reset", F.max(reset).over(own))
+    blocks = rows.groupBy("metric", "block").agg(F.min("k").alias("first"), F.max("k").alias("last"), F.max("reset").alias("reset"),
+                                                 F.count(F.lit(1)).alias("n"))
+    if carry is not None:
+        # what came before is a block before all others
+        blocks = blocks.unionByName(carry.select("metric", F.lit(None).cast("long").alias("block"), F.col("last").alias("first"), "last",
+                                                 "reset", "n"))
+    # One row per block and metric.
+    order = Window.partitionBy("metric").orderBy(F.asc_nulls_first("block"))
+    past = order.rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumns({"seen": F.coalesce(F.sum("n").over(past), F.lit(0)), "ended": F.max("last").over(past)})
+    base = F.when(F.col("block").isNull(), F.col("reset"))
+    if missing == "missing":
+        whole = F.coalesce(base, F.col("seen") + F.col("reset"))
+    elif missing == "breaching":
+        # the first period of a metric is preceded by nothing
+        whole = F.coalesce(base, F.when(F.col("ended").isNull(), F.greatest("reset", F.col("first") - 1)).otherwise(F.col("reset")))
+    else:
+        gap = F.when(F.col("ended").isNull() | (F.col("first") > F.col("ended") + 1), F.col("first") - 1)
+        whole = F.coalesce(base, F.greatest("reset", gap))
+    blocks = blocks.withColumn("whole", whole)
+    blocks = blocks.withColumn("brought", F.max("whole").over(past))
+    outside = blocks.filter(F.col("block").isNotNull()).select("metric", "block", "first", "seen", "ended", "brought")
+    joined = rows.join(outside, ["metric", "block"])
+    place = (F.col("seen") + F.col("at")) if missing == "missing" else F.col("k")
+    prior = F.coalesce("before", "ended")
+    start_reset = F.when(F.col("ended").isNull(), F.lit(0) if missing == "missing" else F.col("first") - 1)
+    if missing == "notBreaching":
+        start_reset = F.coalesce(start_reset, F.when(F.col("first") > F.col("ended") + 1, F.col("first") - 1))
+    here = (F.col("seen") + F.col("reset")) if missing == "missing" else F.col("reset")
+    last_reset = F.greatest(here, F.col("brought"), start_reset, F.lit(0) if missing == "missing" else F.lit(-2 ** 62))
+    n = spec.evaluation_periods
+    state = lambda run: F.when(run >= n, "ALARM").otherwise("OK")
+    run = F.col("place") - F.col("last_reset")
+    joined = joined.withColumns({"place": place, "last_reset": last_reset, "prior": prior})
+    cell = lambda k, periods, value, breaching, s: F.struct(
+        k.alias("k"), periods.cast("long").alias("periods"), value.alias("stat_value"), breaching.alias("breaching"), s.alias("state"))
+    cells = [cell(F.col("k"), F.lit(1), F.col("stat_value"), F.col("breaching"), state(run))]
+    none = F.lit(None).cast("double")
+    missed = F.col("k") - F.col("prior") - 1
+    if missing == "notBreaching":
+        cells.append(cell(F.col("prior") + 1, missed, none, F.lit(False), F.lit("OK")))
+    elif missing == "breaching":
+        # The run that the gap goes on with: as long as the last period's before it.
+        earlier = F.col("prior") - F.col("gap_reset")
+        quiet = F.greatest(F.lit(0), F.least(missed, F.lit(n - 1) - earlier))
+        # a breaching period after the gap has the same last reset; one that does not breach resets itself
+        by_metric = Window.partitionBy("metric", "block").orderBy("k").rowsBetween(Window.unboundedPreceding, -1)
+        joined = joined.withColumn("gap_reset", F.greatest(F.max("reset").over(by_metric), F.col("brought"), start_reset, F.lit(-2 ** 62)))
+        cells += [cell(F.col("prior") + 1, quiet, none, F.lit(True), F.lit("OK")),
+                  cell(F.col("prior") + 1 + quiet, missed - quiet, none, F.lit(True), F.lit("ALARM"))]
+    out = joined.select("metric", F.inline(F.filter(F.array(*cells), lambda c: F.coalesce(c["periods"] > 0, F.lit(False)))))
+    time = F.timestamp_micros(F.col("k") * length)
+    kind = dict(stats.dtypes)["period_start"]
+    out = out.select("metric", time.cast(kind).alias("period_start"), "periods", "stat_value", "breaching", "state")
+    ends = blocks.groupBy("metric").agg(F.max("last").alias("last"), F.max("whole").alias("reset"), F.sum("n").cast("long").alias("n"))
+    return out, ends
+
+
+def silent_states(carry: DataFrame, spec: AlarmSpec, until: Column | str) -> DataFrame:
+    """(metric, silent_periods, state) at a time: what the whole periods without data since a metric's last one make of its state."""
+    until = F.lit(until).cast("timestamp") if isinstance(until, str) else until
+    now = F.floor(F.unix_micros(until) / F.lit(spec.period_seconds * 1_000_000))       # the period that is not over yet
+    silent = F.greatest(now - 1 - F.col("last"), F.lit(0))
+    ignored = spec.treat_missing not in ("notBreaching", "breaching")
+    run = F.coalesce((F.col("n") if ignored else F.col("last")) - F.coalesce("reset", F.lit(0)), F.lit(0))
+    if spec.treat_missing == "breaching":
+        run = run + silent
+    elif spec.treat_missing == "notBreaching":
+        run = F.when(silent > 0, 0).otherwise(run)
+    return carry.select("metric", silent.cast("long").alias("silent_periods"),
+                        F.when(run >= spec.evaluation_periods, "ALARM").otherwise("OK").alias("state"))
+
+
 def stream_lag(df: DataFrame, arrival_col: str = "_ingested_ts", event_col: str = "event_ts",
                metric: str = "stream_lag_ms") -> DataFrame:
     """A lag series (metric, ts, value): arrival time − event time in milliseconds."""

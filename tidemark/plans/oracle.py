@@ -451,6 +451,24 @@ ORACLE["stream_landing_bounded"] = """
   SELECT batch_id, count(*) FILTER (WHERE event_type <> 'error') AS landed, count(*) FILTER (WHERE event_type = 'error') AS dead
   FROM r GROUP BY batch_id"""
 
+# The states of all periods of a grid; those of missing ones are put together per gap and state.
+def _alarm_intervals(until: str) -> str:
+    return f"""
+  WITH s AS (SELECT event_type AS metric, {_period("ts", 300)} AS period_start, max(value) AS stat_value FROM events GROUP BY ALL),
+  c AS (SELECT * FROM s WHERE {until}),
+  g AS (SELECT metric, unnest(generate_series(min(period_start), max(period_start), INTERVAL 300 SECOND)) AS period_start FROM c GROUP BY metric),
+  b AS (SELECT g.metric, g.period_start, c.stat_value, c.metric IS NULL AS missing, coalesce(c.stat_value > 200.0, true) AS breaching
+        FROM g LEFT JOIN c ON g.metric = c.metric AND g.period_start = c.period_start),
+  r AS (SELECT *, CASE WHEN min(breaching::INT) OVER w = 1 AND count(*) OVER w = 3 THEN 'ALARM' ELSE 'OK' END AS state,
+               count(*) FILTER (WHERE NOT missing) OVER (PARTITION BY metric ORDER BY period_start) AS gap
+        FROM b WINDOW w AS (PARTITION BY metric ORDER BY period_start ROWS 2 PRECEDING))
+  SELECT metric, period_start, 1::BIGINT AS periods, stat_value, breaching, state FROM r WHERE NOT missing
+  UNION ALL SELECT metric, min(period_start), count(*), NULL, true, state FROM r WHERE missing GROUP BY metric, gap, state"""
+
+
+ORACLE["metric_alarm_intervals"] = _alarm_intervals("true")
+ORACLE["stream_alarm_kept"] = _alarm_intervals("period_start + INTERVAL 300 SECOND <= (SELECT max(ts) FROM events) - INTERVAL 1 MINUTE")
+
 # Drops are eighths of the time of arrival. A row is late if it happened a day or more before the latest event of
 # the drops before.
 ORACLE["stream_late_rows"] = """

@@ -511,6 +511,14 @@ def q_metric_alarm_consecutive(spark, d):
     return metrics.metric_alarm(_event_series(spark, d), VALUE_ALARM)
 
 
+SILENCE_ALARM = AlarmSpec("value_silence", "max", 300, 200.0, 3, ">", "breaching")
+
+
+def q_metric_alarm_intervals(spark, d):
+    """Max value per event type above 200, or no event at all, in 3 periods of 5 minutes, without a grid of periods."""
+    return metrics.alarm_intervals(metrics.period_stats(_event_series(spark, d), SILENCE_ALARM), SILENCE_ALARM)[0]
+
+
 def q_stream_lag(spark, d):
     """Lag between the order and the shipping of a line, as an alarm: max per period above the limit, twice."""
     lines = td.order_lines(spark, d)
@@ -533,6 +541,17 @@ def q_stream_alarm(spark, d):
         .withColumn("period_start", F.col("period_start").cast("timestamp_ntz"))
 
 
+def q_stream_alarm_kept(spark, d):
+    """The silence alarm on the events as a stream: states kept from batch to batch, each fed by its closed periods only."""
+    src, out = scratch_path(spark, "series"), scratch_path(spark, "kept-alarm")
+    make_path(spark, f"{src}/arrived")
+    series = _event_series(spark, d).withColumn("ts", F.col("ts").cast("timestamp"))
+    _drops(spark, series, "ts", src, drops=4)
+    stream = spark.readStream.schema(series.schema).option("maxFilesPerTrigger", 1_000).parquet(f"{src}/arrived/*")
+    _feed(spark, alarms.kept_alarm(stream, SILENCE_ALARM, STREAM_ALARM_DELAY, out, f"{out}/_checkpoint", every="0 seconds"), src)
+    return alarms.kept_states(spark, out).withColumn("period_start", F.col("period_start").cast("timestamp_ntz"))
+
+
 # ----- the whole run -----------------------------------------------------------
 
 def q_medallion_customer_360(spark, d):
@@ -651,6 +670,8 @@ QUERIES: dict[str, QueryFn] = {
     "metric_alarm_consecutive": q_metric_alarm_consecutive,
     "stream_lag": q_stream_lag,
     "stream_alarm": q_stream_alarm,
+    "metric_alarm_intervals": q_metric_alarm_intervals,
+    "stream_alarm_kept": q_stream_alarm_kept,
     "medallion_customer_360": q_medallion_customer_360,
     "medallion_incremental": q_medallion_incremental,
     "medallion_counts": q_medallion_counts,

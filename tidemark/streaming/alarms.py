@@ -19,7 +19,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.config import AlarmSpec
-from tidemark.operators.metrics import evaluate_periods, period_stats
+from tidemark.operators.metrics import CARRY, alarm_intervals, evaluate_periods, period_stats
+from tidemark.plans.lake import list_names
+from tidemark.session import delete_path, together
 
 _CLOSED = "metric string, period_start timestamp, stat_value double"
 
@@ -56,3 +58,55 @@ def late_rows(query: StreamingQuery) -> int:
     """Events left out as later than the watermark, over the progress reports the query keeps."""
     return sum(int(op.get("numRowsDroppedByWatermark") or 0)
                for p in query.recentProgress for op in p["stateOperators"])
+
+
+# ----- states kept between batches ---------------------------------------------------
+
+_STATES = "metric string, period_start timestamp, periods long, stat_value double, breaching boolean, state string"
+
+
+def _carry_before(spark: SparkSession, path: str, batch_id: int | None) -> DataFrame | None:
+    held = [int(n.split("=")[1]) for n in list_names(spark, f"{path}/carry") if n.startswith("batch_id=")]
+    held = [b for b in held if batch_id is None or b < batch_id]
+    return spark.read.schema(CARRY).parquet(f"{path}/carry/batch_id={max(held)}") if held else None
+
+
+def keep_batch(closed: DataFrame, batch_id: int, spec: AlarmSpec, path: str) -> None:
+    """Evaluate a batch's closed periods on top of what the batches before left, one row per metric."""
+    spark = closed.sparkSession
+    closed = closed.persist()                 # one row per metric and period
+    try:
+        if closed.isEmpty():
+            return
+        states, carry = alarm_intervals(closed, spec, _carry_before(spark, path, batch_id))
+        together(lambda: states.write.mode("overwrite").parquet(f"{path}/states/batch_id={batch_id}"),
+                 lambda: carry.select("metric", "last", "reset", "n").write.mode("overwrite").parquet(f"{path}/carry/batch_id={batch_id}"))
+    finally:
+        closed.unpersist()
+    # the carry before this one stays, for a replay of the batch
+    held = sorted(int(n.split("=")[1]) for n in list_names(spark, f"{path}/carry") if n.startswith("batch_id="))
+    for old in held[:-2]:
+        delete_path(spark, f"{path}/carry/batch_id={old}")
+
+
+def kept_alarm(series: DataFrame, spec: AlarmSpec, watermark: str, path: str, checkpoint: str, metric_col: str = "metric",
+               ts_col: str = "ts", value_col: str = "value", every: str | None = None) -> StreamingQuery:
+    """Start the query that keeps alarm states: each batch evaluates its closed periods alone.
+
+    Batch N reads one row per metric that the batch before it left in ``path/carry`` and writes its states to
+    ``path/states/batch_id=N``, so a replay writes the same again and no closed period is read twice.
+    """
+    return closed_periods(series, spec, watermark, metric_col, ts_col, value_col).writeStream.outputMode("append") \
+        .foreachBatch(lambda batch, batch_id: keep_batch(batch, batch_id, spec, path)).option("checkpointLocation", checkpoint) \
+        .trigger(processingTime=every or f"{spec.period_seconds} seconds").start()
+
+
+def kept_states(spark: SparkSession, path: str) -> DataFrame:
+    """(metric, period_start, periods, stat_value, breaching, state) of all batches so far."""
+    return spark.read.schema(_STATES).option("recursiveFileLookup", True).parquet(f"{path}/states")
+
+
+def latest_carry(spark: SparkSession, path: str) -> DataFrame:
+    """What the last batch left: with ``metrics.silent_states`` the present state of metrics that have gone silent."""
+    carry = _carry_before(spark, path, None)
+    return carry if carry is not None else spark.createDataFrame([], CARRY)
