@@ -209,6 +209,16 @@ def test_rans_detects_damage():
     for bad in (block[:-4], block[:10], b"XXXX" + block[4:], block[:-5] + bytes([block[-5] ^ 1]) + block[-4:]):
         with pytest.raises(ValueError):
             rans.decode(bad, model)
+    size = rans.stretch_size(rans.encode(ids, model, 4))
+    block = rans.encode(ids, model, 4)
+    for at in range(len(block) - 4, 200, -997):         # in a word or a checkpoint, whatever stretch it belongs to
+        bad, wrong = block[:at] + bytes([block[at] ^ 1]) + block[at + 1:], 0
+        for k in range(-(-len(ids) // size)):
+            try:
+                assert (rans.decode(bad, model, k) == ids[k * size:(k + 1) * size]).all()
+            except ValueError:
+                wrong += 1
+        assert wrong
     assert rans.scale(np.zeros(5, int)).sum() == 0
     many = rans.scale(np.array([10 ** 12] + [1] * 50_000))
     assert many.sum() == 1 << rans.PROB_BITS and many.min() == 1
@@ -238,6 +248,31 @@ def test_token_file_edge_cases(spark, tmp_dir, encoder):
     assert rans.read(spark, f"{tmp_dir}/none").count() == 0
 
 
+def test_null_ids_and_repeated_rows_are_many_shards(spark, tmp_dir, encoder):
+    docs = spark.range(3000).selectExpr("cast(if(id % 3 = 0, null, 5) as bigint) doc_id",
+                                        "if(id % 2 = 0, 'one text', concat('text ', id)) text")
+    rans.write(spark, docs, f"{tmp_dir}/t", tokens.vocabulary_path(), partitions=6)
+    sizes = [r["n"] for r in spark.read.parquet(f"{tmp_dir}/t/blocks").groupBy("shard")
+             .agg(F.sum(F.size("doc_ids")).alias("n")).collect()]
+    assert len(sizes) == 6 and max(sizes) < 1000
+    got = rans.read(spark, f"{tmp_dir}/t").select("doc_id", "start", "n_tokens", "ids_crc32")
+    check_token_rows([tuple(r) for r in got.collect()], [(r["doc_id"], r["text"]) for r in docs.collect()], encoder, 0)
+
+
+def test_spans_are_read_by_stretches(spark, tmp_dir, encoder):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rans.write(spark, docs, f"{tmp_dir}/t", tokens.vocabulary_path(), partitions=5)
+    rows = rans.read(spark, f"{tmp_dir}/t").select("start", "ids").collect()
+    whole = b"".join(r["ids"] for r in sorted(rows, key=lambda r: r["start"]))
+    n = len(whole) // 4
+    for a, z in ((0, n), (0, 1), (n - 1, n + 50), (n // 3, n // 3 + 7), (n // 5, n - n // 5), (7, 7), (n, n + 9)):
+        parts = sorted(rans.read_span(spark, f"{tmp_dir}/t", a, z).collect(), key=lambda r: r["start"])
+        assert b"".join(p["ids"] for p in parts) == whole[4 * a:4 * z]
+        assert not parts or parts[0]["start"] == a
+    rans.write(spark, docs.filter("false"), f"{tmp_dir}/none", tokens.vocabulary_path())
+    assert rans.read_span(spark, f"{tmp_dir}/none", 0, 5).collect() == []
+
+
 # ---- packing ---------------------------------------------------------------------
 
 def check_pieces(rows, texts, encoder, end=1):

@@ -9,21 +9,24 @@ works, a failed task leaves nothing behind and a lost executor costs a retry):
   and lengths it holds in ascending doc_id order, and ``payload``, an independent
   rANS stream.
 
-A payload starts with magic, number of ids, lanes, steps between checkpoints,
-number of 32-bit words, and the CRC-32 of its ids. Then come the checkpoints
-(lane states and word position at every ``every`` steps) and the words. Lane j
-of step i holds id i * lanes + j. Any stretch between two checkpoints decodes
-without the rest, so both blocks and stretches decode in parallel.
-
-Scale: documents are range-partitioned by doc_id once. Sampling the ranges reads
-texts but tokenizes nothing, as ids are made after the shuffle. ``start`` needs one
+A payload starts with magic, number of ids, lanes, steps between checkpoints and
+number of 32-bit words. Then come the checkpoints at every ``every`` steps (word
+position, CRC-32 of the ids up to the next checkpoint, lane states) and the words.
+Lane j of step i holds id i * lanes + j. Any stretch between two checkpoints decodes
+and is checked without the rest, so both blocks and stretches decode in parallel:
+``read`` decodes blocks, ``read_span`` only the stretches that hold a range of ids.
+
+Scale: documents are range-partitioned once, by doc_id, the text's first characters and hash and the
+row's place in the input, so that neither null ids nor repeated rows make one large shard. Sampling
+the ranges reads texts but tokenizes nothing, as ids are made after the shuffle. The
+tokenizing task counts its ids, so no pass over the ids is needed for the frequencies. ``start`` needs one
 sum per shard (a shard is one range partition); within a shard the writer counts.
 A block holds whole documents, about ``block_ids`` ids, or one longer document.
 
 Defined results: a null or empty text is a document of only the end id; equal
-doc_ids (repeated rows) keep one entry each, in the order of their texts; a null doc_id
-comes first; an empty table gives an empty file set, readable as such; extra
-columns are ignored. A damaged payload raises ValueError.
+doc_ids (repeated rows) keep one entry each, in the order of their texts (of the first
+``PREFIX`` characters, then of a hash); a null doc_id comes first; an empty table gives an empty file set, readable as such; extra
+columns are ignored. A damaged payload raises ValueError, in a stretch as in a block.
 """
 
 from __future__ import annotations
@@ -43,11 +46,13 @@ from tidemark.llm.common import remove, table, written
 from tidemark.session import scratch_path
 
 PROB_BITS = 18
-BLOCK_IDS = 1 << 18
+BLOCK_IDS = 1 << 20
+PREFIX = 32
 EVERY = 128                    # steps between checkpoints
 _LOW = np.uint64(1 << 31)      # states stay in [2**31, 2**63)
-_HEAD = struct.Struct("<4sIIIII")
-_MAGIC = b"RNS1"
+_HEAD = struct.Struct("<4sIIII")
+_POINT = struct.Struct("<II")
+_MAGIC = b"RNS2"
 _32 = np.uint64(32)
 _M = np.uint64(PROB_BITS)
 
@@ -93,7 +98,7 @@ def scale(counts: np.ndarray) -> np.ndarray:
 
 
 def _lanes(n: int) -> int:
-    return 1 << max(0, min(10, (max(n, 1) // 64).bit_length() - 1))
+    return 1 << max(0, min(12, (max(n, 1) // 64).bit_length() - 1))
 
 
 def encode(ids: np.ndarray, model: Model, every: int = EVERY) -> bytes:
@@ -118,19 +123,33 @@ def encode(ids: np.ndarray, model: Model, every: int = EVERY) -> bytes:
         if i % every == 0:
             marks.append((done, state.copy()))
     words = np.concatenate(out[::-1]) if out else np.zeros(0, np.uint32)
-    head = _HEAD.pack(_MAGIC, n, lanes, every, len(words), zlib.crc32(ids.astype("<u4").tobytes()))
-    points = b"".join(struct.pack("<I", len(words) - d) + st.astype("<u8").tobytes() for d, st in marks[::-1])
+    head = _HEAD.pack(_MAGIC, n, lanes, every, len(words))
+    size = every * lanes
+    points = b"".join(_POINT.pack(len(words) - d, _crc(ids[k * size:(k + 1) * size])) + st.astype("<u8").tobytes()
+                      for k, (d, st) in enumerate(marks[::-1]))
     return head + points + words.astype("<u4").tobytes()
 
 
+def _crc(ids: np.ndarray) -> int:
+    return zlib.crc32(ids.astype("<u4").tobytes())
+
+
+def stretch_size(payload: bytes) -> int:
+    """Ids between two checkpoints of a block (the last stretch may hold fewer)."""
+    if len(payload) < _HEAD.size:
+        raise ValueError("block is cut short")
+    _, _, lanes, every, _ = _HEAD.unpack_from(payload)
+    return lanes * every
+
+
 def decode(payload: bytes, model: Model, stretch: int | None = None) -> np.ndarray:
-    """All ids of a block (checked), or those between checkpoint ``stretch`` and the next."""
+    """All ids of a block, or those between checkpoint ``stretch`` and the next; both checked."""
     if len(payload) < _HEAD.size:
         raise ValueError("block is cut short")
-    magic, n, lanes, every, n_words, crc = _HEAD.unpack_from(payload)
+    magic, n, lanes, every, n_words = _HEAD.unpack_from(payload)
     steps = -(-n // lanes) if lanes else 0
     n_points = -(-steps // every) if every else 0
-    point = 4 + 8 * lanes
+    point = _POINT.size + 8 * lanes
     if magic != _MAGIC or len(payload) != _HEAD.size + n_points * point + 4 * n_words:
         raise ValueError("not a block of this format, or cut short")
     words = np.frombuffer(payload, "<u4", n_words, _HEAD.size + n_points * point).astype(np.uint64)
@@ -139,14 +158,21 @@ def decode(payload: bytes, model: Model, stretch: int | None = None) -> np.ndarr
     first, last = (0, n_points) if stretch is None else (stretch, stretch + 1)
     if not 0 <= first < max(last, 1) <= max(n_points, 1):
         raise ValueError("no such stretch")
+
+    def mark(k: int) -> tuple[int, int, np.ndarray]:
+        """Word position, CRC and lane states of a checkpoint; behind the last one, how a block ends."""
+        if k >= n_points:
+            return n_words, 0, np.full(lanes, _LOW, np.uint64)
+        off = _HEAD.size + k * point
+        return *_POINT.unpack_from(payload, off), np.frombuffer(payload, "<u8", lanes, off + _POINT.size).astype(np.uint64)
+
     at, state = 0, None
     for i in range(first * every, min(last * every, steps)):
         if i % every == 0:
-            off = _HEAD.size + (i // every) * point
-            here = struct.unpack_from("<I", payload, off)[0]
-            if state is not None and here != at:
+            here, _, states = mark(i // every)
+            if state is not None and (here != at or (state != states).any()):
                 raise ValueError("checkpoint does not fit the words before it")
-            at, state = here, np.frombuffer(payload, "<u8", lanes, off + 4).astype(np.uint64)
+            at, state = here, states
         k = min(lanes, n - i * lanes)
         x = state[:k]
         slot = x & mask
@@ -161,16 +187,19 @@ def decode(payload: bytes, model: Model, stretch: int | None = None) -> np.ndarr
             x[low] = (x[low] << _32) | words[at:at + m]
             at += m
         state[:k] = x
-    if stretch is not None:
-        return out[first * every * lanes:min(last * every * lanes, n)]
-    if zlib.crc32(out.astype("<u4").tobytes()) != crc:
-        raise ValueError("checksum of the ids does not match")
-    return out
+    if n and (at != mark(last)[0] or (state != mark(last)[2]).any()):
+        raise ValueError("words do not lead to the next checkpoint")
+    size = every * lanes
+    for k in range(first, last):
+        if _crc(out[k * size:(k + 1) * size]) != mark(k)[1]:
+            raise ValueError("checksum of the ids does not match")
+    return out if stretch is None else out[first * size:min(last * size, n)]
 
 
 # ---- Spark side -----------------------------------------------------------
 
-_TOKENS = "shard int, before bigint, doc_id bigint, ids binary"
+_TOKENS = "shard int, before bigint, doc_id bigint, ids binary, counts binary"
+_COUNTS = np.dtype([("symbol", "<u4"), ("n", "<i8")])
 _BLOCKS = ("shard int, before bigint, doc_ids array<bigint>, lengths array<bigint>, n_ids bigint, "
            "payload binary")
 _DOCS = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint, ids binary"
@@ -182,41 +211,48 @@ def _batch(schema: str, *columns: list) -> pa.RecordBatch:
     return pa.record_batch([pa.array(c, kinds[t]) for c, t in zip(columns, types)], names=names)
 
 
-def tokenized(docs: DataFrame, path: str, end_id: int, partitions: int) -> DataFrame:
-    """(shard, before, doc_id, ids) in ascending doc_id order.
+def tokenized(docs: DataFrame, path: str, end_id: int, n_symbols: int, partitions: int) -> DataFrame:
+    """(shard, before, doc_id, ids, counts) in ascending doc_id order.
 
-    A shard is a range of doc_id and one task; ``before`` counts the shard's
-    ids before the document.
+    A shard is a range of rows and one task; ``before`` counts the shard's ids before the document. A
+    shard's last row is no document: its ``ids`` are null and ``counts`` holds the shard's number of every id.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, end, before = tokens.encoder(path), np.array([end_id], "<u4").tobytes(), 0
+        enc, end, before, shard = tokens.encoder(path), np.array([end_id], "<u4").tobytes(), 0, None
+        total = np.zeros(n_symbols, np.int64)
         for whole in batches:
             for b in tokens.pieces(whole):
                 ids = enc.encode(b.column("text").to_pylist(), end)
                 sizes = [len(x) // 4 for x in ids]
                 places = [before + n for n in accumulate(sizes, initial=0)]
-                before = places.pop()
-                yield _batch(_TOKENS, b.column("shard").to_pylist(), places, b.column("doc_id").to_pylist(), ids)
-
+                before, shard = places.pop(), b.column("shard")[0].as_py()
+                total += np.bincount(np.frombuffer(b"".join(ids), "<u4"), minlength=n_symbols)
+                yield _batch(_TOKENS, b.column("shard").to_pylist(), places, b.column("doc_id").to_pylist(), ids,
+                             [None] * len(ids))
+        if shard is not None:
+            at = np.flatnonzero(total)
+            counts = np.zeros(len(at), _COUNTS)
+            counts["symbol"], counts["n"] = at, total[at]
+            yield _batch(_TOKENS, [shard], [before], [None], [None], [counts.tobytes()])
+
+    order = ["doc_id", "begin", "hash", "place"]
     ranged = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")) \
-        .repartitionByRange(partitions, "doc_id").sortWithinPartitions("doc_id", "text")
-    return ranged.withColumn("shard", F.spark_partition_id()).mapInArrow(run, _TOKENS)
+        .withColumns({"begin": F.substring("text", 1, PREFIX), "hash": F.xxhash64("text"), "place": F.monotonically_increasing_id()}) \
+        .repartitionByRange(partitions, *order).sortWithinPartitions(*order)
+    return ranged.select("doc_id", "text", F.spark_partition_id().alias("shard")).mapInArrow(run, _TOKENS)
 
 
 def histogram(ids: DataFrame, n_symbols: int) -> np.ndarray:
-    """Counts of every symbol over all rows; at most ``n_symbols`` rows reach the driver."""
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(n_symbols, np.int64)
+    """Counts of every symbol, summed over the shards' ``counts``; at most ``n_symbols`` rows reach the driver."""
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for a in range(0, b.num_rows, 1024):
-                ids = b"".join(b.column("ids").slice(a, 1024).to_pylist())
-                total += np.bincount(np.frombuffer(ids, "<u4"), minlength=n_symbols)
-        at = np.flatnonzero(total)
-        yield pa.record_batch({"symbol": at, "n": total[at]})
+            for c in b.column("counts").to_pylist():
+                held = np.frombuffer(c, _COUNTS)
+                yield pa.record_batch({"symbol": held["symbol"].astype(np.int64), "n": held["n"].astype(np.int64)})
 
     out = np.zeros(n_symbols, np.int64)
-    for r in ids.select("ids").mapInArrow(count, "symbol bigint, n bigint").groupBy("symbol") \
-            .agg(F.sum("n").alias("n")).toLocalIterator():
+    for r in ids.filter("counts is not null").select("counts").mapInArrow(unpack, "symbol bigint, n bigint") \
+            .groupBy("symbol").agg(F.sum("n").alias("n")).toLocalIterator():
         out[r["symbol"]] = r["n"]
     return out
 
@@ -243,15 +279,16 @@ def blocks(ids: DataFrame, freq: np.ndarray, block_ids: int = BLOCK_IDS) -> Data
         if held:
             yield block()
 
-    return ids.mapInArrow(run, _BLOCKS)
+    return ids.filter("ids is not null").drop("counts").mapInArrow(run, _BLOCKS)
 
 
 def write(spark: SparkSession, docs: DataFrame, path: str, vocabulary: str, end_id: int = 0,
-          n_symbols: int = 50257, partitions: int | None = None) -> None:
+          partitions: int | None = None) -> None:
     """Tokenize ``docs`` and write the file set ``path``."""
     if partitions is None:
         partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ids, scratch = written(spark, tokenized(docs, vocabulary, end_id, partitions), "token-ids")
+    n_symbols = max(tokens.n_symbols(vocabulary), end_id + 1)
+    ids, scratch = written(spark, tokenized(docs, vocabulary, end_id, n_symbols, partitions), "token-ids")
     freq = scale(histogram(ids, n_symbols))
     at = np.flatnonzero(freq).tolist()
     spark.createDataFrame([(s, int(freq[s])) for s in at], "symbol bigint, freq bigint") \
@@ -261,15 +298,50 @@ def write(spark: SparkSession, docs: DataFrame, path: str, vocabulary: str, end_
     remove(spark, scratch)
 
 
-def read(spark: SparkSession, path: str, n_symbols: int = 50257) -> DataFrame:
-    """Per document: doc_id, start, n_tokens, ids_crc32, ids (binary, little-endian uint32)."""
-    freq = np.zeros(n_symbols, np.int64)
-    for r in spark.read.schema("symbol bigint, freq bigint").parquet(f"{path}/table").toLocalIterator():
-        freq[r["symbol"]] = r["freq"]                       # at most n_symbols rows
+def _opened(spark: SparkSession, path: str) -> tuple[np.ndarray, DataFrame, dict[int, int]]:
+    """(frequencies, blocks, ids of all shards before each shard) of a file set."""
+    # At most one row per symbol of the vocabulary, and one per shard (a range partition of the writer), reach the driver.
+    held = {r["symbol"]: r["freq"]
+            for r in spark.read.schema("symbol bigint, freq bigint").parquet(f"{path}/table").toLocalIterator()}
+    freq = np.zeros(max(held, default=0) + 1, np.int64)
+    freq[list(held)] = list(held.values())
     rows = spark.read.schema(_BLOCKS).parquet(f"{path}/blocks")
-    # One row per shard (a range partition of the writer) reaches the driver.
     sizes = rows.groupBy("shard").agg(F.sum("n_ids").alias("n")).orderBy("shard").collect()
-    base = dict(zip((r["shard"] for r in sizes), accumulate((r["n"] for r in sizes), initial=0)))
+    return freq, rows, dict(zip((r["shard"] for r in sizes), accumulate((r["n"] for r in sizes), initial=0)))
+
+
+def read_span(spark: SparkSession, path: str, start: int, end: int) -> DataFrame:
+    """The ids at ``start`` to ``end`` (exclusive, counted over all documents) as rows (start, ids binary).
+
+    Only blocks that hold some are read, and of these only the stretches that do are decoded, one row each.
+    """
+    freq, rows, base = _opened(spark, path)
+    at = [s for s, b in base.items() if b < end]
+    if start >= end or not at:
+        return rows.select(F.lit(0).cast("bigint").alias("start"), F.col("payload").alias("ids")).filter("false")
+    low, high = max((s for s in at if base[s] <= start), default=at[0]), at[-1]
+    rows = rows.filter(F.col("shard").between(low, high)
+                       & ((F.col("shard") > low) | (F.col("before") + F.col("n_ids") > start - base[low]))
+                       & ((F.col("shard") < high) | (F.col("before") < end - base[high])))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = Model(freq)
+        for b in batches:
+            for row in range(b.num_rows):
+                shard, before, n, payload = (b.column(c)[row].as_py() for c in ("shard", "before", "n_ids", "payload"))
+                at, size = base[shard] + before, stretch_size(payload)
+                a, z = max(start - at, 0), min(end - at, n)
+                for k in range(a // size, -(-z // size)):
+                    lo, hi = max(a, k * size), min(z, (k + 1) * size)
+                    ids = decode(payload, model, k)[lo - k * size:hi - k * size].astype("<u4").tobytes()
+                    yield _batch("start bigint, ids binary", [at + lo], [ids])
+
+    return rows.select("shard", "before", "n_ids", "payload").mapInArrow(run, "start bigint, ids binary")
+
+
+def read(spark: SparkSession, path: str) -> DataFrame:
+    """Per document: doc_id, start, n_tokens, ids_crc32, ids (binary, little-endian uint32)."""
+    freq, rows, base = _opened(spark, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Model(freq)

@@ -170,6 +170,13 @@ def pieces(batch: pa.RecordBatch, rows: int = 1024, size: int = 2 << 20) -> Iter
         yield batch.slice(start)
 
 
+@cache
+def n_symbols(path: str) -> int:
+    """Ids of the vocabulary, added tokens included: one more than the largest."""
+    from tokenizers import Tokenizer
+    return max(Tokenizer.from_file(path).get_vocab(with_added_tokens=True).values()) + 1
+
+
 @cache
 def encoder(path: str) -> Encoder:
     """One encoder per Python worker and vocabulary."""
