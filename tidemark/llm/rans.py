@@ -31,6 +31,7 @@ columns are ignored. A damaged payload raises ValueError, in a stretch as in a b
 
 from __future__ import annotations
 
+import math
 import struct
 import zlib
 from collections.abc import Iterator
@@ -230,10 +231,7 @@ def tokenized(docs: DataFrame, path: str, end_id: int, n_symbols: int, partition
                 yield _batch(_TOKENS, b.column("shard").to_pylist(), places, b.column("doc_id").to_pylist(), ids,
                              [None] * len(ids))
         if shard is not None:
-            at = np.flatnonzero(total)
-            counts = np.zeros(len(at), _COUNTS)
-            counts["symbol"], counts["n"] = at, total[at]
-            yield _batch(_TOKENS, [shard], [before], [None], [None], [counts.tobytes()])
+            yield _batch(_TOKENS, [shard], [before], [None], [None], [_packed(total)])
 
     order = ["doc_id", "begin", "hash", "place"]
     ranged = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")) \
@@ -242,18 +240,30 @@ def tokenized(docs: DataFrame, path: str, end_id: int, n_symbols: int, partition
     return ranged.select("doc_id", "text", F.spark_partition_id().alias("shard")).mapInArrow(run, _TOKENS)
 
 
-def histogram(ids: DataFrame, n_symbols: int) -> np.ndarray:
-    """Counts of every symbol, summed over the shards' ``counts``; at most ``n_symbols`` rows reach the driver."""
-    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _packed(total: np.ndarray) -> bytes:
+    at = np.flatnonzero(total)
+    counts = np.zeros(len(at), _COUNTS)
+    counts["symbol"], counts["n"] = at, total[at]
+    return counts.tobytes()
+
+
+def histogram(ids: DataFrame, n_symbols: int, partitions: int) -> np.ndarray:
+    """The shards' ``counts`` summed as a tree: about the root of ``partitions`` tasks, then one, add them up.
+
+    A row holds at most ``n_symbols`` entries, a task one sum of them, and one row reaches the driver.
+    """
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(n_symbols, np.int64)
         for b in batches:
             for c in b.column("counts").to_pylist():
                 held = np.frombuffer(c, _COUNTS)
-                yield pa.record_batch({"symbol": held["symbol"].astype(np.int64), "n": held["n"].astype(np.int64)})
+                total[held["symbol"]] += held["n"]
+        yield pa.record_batch({"counts": [_packed(total)]})
 
-    out = np.zeros(n_symbols, np.int64)
-    for r in ids.filter("counts is not null").select("counts").mapInArrow(unpack, "symbol bigint, n bigint") \
-            .groupBy("symbol").agg(F.sum("n").alias("n")).toLocalIterator():
-        out[r["symbol"]] = r["n"]
+    rows = ids.filter("counts is not null").select("counts").coalesce(math.isqrt(partitions) + 1)
+    top = rows.mapInArrow(add, "counts binary").repartition(1).mapInArrow(add, "counts binary").first()
+    out, held = np.zeros(n_symbols, np.int64), np.frombuffer(top["counts"] if top else b"", _COUNTS)
+    out[held["symbol"]] = held["n"]
     return out
 
 
@@ -289,7 +299,7 @@ def write(spark: SparkSession, docs: DataFrame, path: str, vocabulary: str, end_
         partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     n_symbols = max(tokens.n_symbols(vocabulary), end_id + 1)
     ids, scratch = written(spark, tokenized(docs, vocabulary, end_id, n_symbols, partitions), "token-ids")
-    freq = scale(histogram(ids, n_symbols))
+    freq = scale(histogram(ids, n_symbols, partitions))
     at = np.flatnonzero(freq).tolist()
     spark.createDataFrame([(s, int(freq[s])) for s in at], "symbol bigint, freq bigint") \
         .coalesce(1).write.parquet(f"{path}/table")
