@@ -9,7 +9,7 @@ from tidemark.plans import registry
 SF = "/root/testdata/sf0.001"
 # queries whose callables write intermediate data before returning a frame
 SIDE_EFFECTS = {"stream_landing", "stream_dedupe", "stream_batch_convergence", "stream_alarm", "incremental_ingest",
-                "medallion_customer_360", "medallion_incremental", "medallion_counts", "stream_landing_progress", "csv_text_scan",
+                "medallion_customer_360", "medallion_incremental", "medallion_compacted", "medallion_counts", "stream_landing_progress", "csv_text_scan",
                 "medallion_full_then_incremental", "stream_landing_bounded",
                 "stream_late_rows", "stream_alarm_kept",
                 "zone_sql", "dq_results_retry"}

@@ -114,7 +114,7 @@ def reject_path(lake: str, fact: str, kind: str) -> str:
 def read_staged(spark: SparkSession, lake: str, fact: Fact, schema: T.StructType, runs: Sequence[int]) -> DataFrame:
     """The staged rows of some runs without those that an earlier arrival superseded."""
     rows = read_runs(spark, staged_path(lake, fact.name), schema, runs)
-    gone = read_runs(spark, reject_path(lake, fact.name, "superseded"), _superseded_schema(schema, fact), runs)
+    gone = read_runs(spark, reject_path(lake, fact.name, "superseded"), superseded_schema(schema, fact), runs)
     gone = gone.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(fact.key)], F.col("_of").alias("_gone"))
     same = F.col(RUN) == F.col("_gone")
     for i, k in enumerate(fact.key):
@@ -122,13 +122,13 @@ def read_staged(spark: SparkSession, lake: str, fact: Fact, schema: T.StructType
     return rows.join(gone, same, "left_anti")
 
 
-def _superseded_schema(schema: T.StructType, fact: Fact) -> T.StructType:
+def superseded_schema(schema: T.StructType, fact: Fact) -> T.StructType:
     return T.StructType([schema[k] for k in fact.key] + [T.StructField("_of", T.IntegerType())])
 
 
 def superseded_rows(spark: SparkSession, lake: str, fact: Fact, schema: T.StructType, run: int, runs: Sequence[int]) -> DataFrame:
     """The staged rows of earlier runs that ``run`` superseded; only the runs that held them are read."""
-    gone = spark.read.schema(_superseded_schema(schema, fact)).parquet(run_path(reject_path(lake, fact.name, "superseded"), run))
+    gone = spark.read.schema(superseded_schema(schema, fact)).parquet(run_path(reject_path(lake, fact.name, "superseded"), run))
     held = sorted(r[0] for r in gone.select("_of").distinct().collect())                # runs
     rows = read_runs(spark, staged_path(lake, fact.name), schema, [r for r in runs if r in held])
     gone = gone.withColumnRenamed("_of", RUN)

@@ -161,7 +161,7 @@ def run_medallion(spark: SparkSession, raw: dict[str, DataFrame], conf: Medallio
     new = publish(spark, conf, before, run, runs, staged, schemas, counts)
     log.record_arrivals(spark, lake, run, files)
     log.commit(spark, lake, new)
-    _forget(spark, conf, before, new)
+    forget(spark, conf, before, new)
 
     published = read_published(spark, lake, new)
     summary = {
@@ -246,7 +246,8 @@ def publish(spark: SparkSession, conf: MedallionConfig, before: log.Version, run
     for t, df in small.items():
         tables[f"curated/{t}"], shapes[f"curated/{t}"] = {"0": run}, df.schema
     return log.Version(version=before.version + 1, run=run, mode=conf.mode, runs=(*runs, run), buckets=buckets, tables=tables,
-                       schemas={n: x.json() for n, x in shapes.items()}, checksums={"customers": sums}, rules=rules)
+                       schemas={**{n: x.json() for n, x in shapes.items()}, **{f"staged/{n}": x.json() for n, x in schemas.items()}},
+                       checksums={"customers": sums}, rules=rules)
 
 
 def read_published(spark: SparkSession, lake: str, version: log.Version | int | None = None) -> dict[str, DataFrame]:
@@ -267,20 +268,24 @@ def register_published(spark: SparkSession, lake: str, version: int | None = Non
     return [prefix + t for t in tables]
 
 
-def _forget(spark: SparkSession, conf: MedallionConfig, before: log.Version, new: log.Version) -> None:
-    """Delete what no kept version needs: staged runs a full run has replaced, folders of replaced buckets.
+def forget(spark: SparkSession, conf: MedallionConfig, before: log.Version, new: log.Version) -> None:
+    """Delete what no kept version needs: staged runs that were replaced, folders of replaced buckets.
 
-    Raw drops stay. A version's folders stay for ``log.KEEP`` more versions, so its readers can finish.
+    Raw drops stay. Staged runs that a full run has replaced go at once; runs that were merged and a version's
+    folders stay for ``log.KEEP`` more versions, so its readers can finish.
     """
     lake = conf.lake_dir.rstrip("/")
     tables = [_zone(conf, "staged", t) for t in (*DIMENSIONS, *FACTS)]
     tables += [inc.reject_path(lake, f, k) for f in FACTS for k in ("pending", "superseded", "rejects")]
     for t in tables:
-        for r in before.runs:
-            if r < new.runs[0]:
-                delete_path(spark, inc.run_path(t, r))
+        for r in before.runs if new.mode == "full" else ():
+            delete_path(spark, inc.run_path(t, r))
     gone = new.version - log.KEEP - 1
     if gone >= 0:
+        needed_runs = {r for v in range(gone + 1, new.version) for r in log.read_version(spark, lake, v).runs} | set(new.runs)
+        for r in set(log.read_version(spark, lake, gone).runs) - needed_runs:
+            for t in (*tables, f"{lake}/_arrivals"):
+                delete_path(spark, inc.run_path(t, r))
         named = lambda v: {(t, r, b) for t, held in v.tables.items() for b, r in held.items()}
         needed = {x for v in range(gone + 1, new.version) for x in named(log.read_version(spark, lake, v))} | named(new)
         for t, r, b in named(log.read_version(spark, lake, gone)) - needed:
@@ -334,6 +339,7 @@ def main(argv: Sequence[str] | None = None) -> int:
     ap.add_argument("--landed-stream", default=None, help="folder of landed stream records to add to the clickstream")
     ap.add_argument("--as-of", default=None, help="evaluation time for freshness, e.g. 2026-06-01")
     ap.add_argument("--buckets", type=int, default=None, help="parts of the keyed tables of a new lake")
+    ap.add_argument("--compact", action="store_true", help="afterwards merge the small runs of the lake")
     ap.add_argument("--cores", type=int, default=None)
     ap.add_argument("--input-tb", type=float, default=1.0)
     ap.add_argument("--master", default=None)
@@ -353,6 +359,9 @@ def main(argv: Sequence[str] | None = None) -> int:
     except dq.DataQualityError as e:
         print(f"curated layer NOT published: {e}")
         return 1
+    if args.compact:
+        from tidemark.plans.compaction import compact
+        compact(spark, conf)
     for k, v in sorted(res.counts.items()):
         print(f"{k:40s} {v:>14,}")
     res.summary["funnel"].show(truncate=False)

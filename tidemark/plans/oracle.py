@@ -531,6 +531,7 @@ ORACLE["medallion_counts"] = f"""
   UNION ALL SELECT 'duplicate.transactions', count(*) - count(DISTINCT (order_id, line_no)) FROM t WHERE reason IS NULL"""
 
 ORACLE["medallion_incremental"] = ORACLE["medallion_customer_360"]
+ORACLE["medallion_compacted"] = ORACLE["medallion_customer_360"]
 
 
 def _arrival_steps(fact: str, key: str) -> str:

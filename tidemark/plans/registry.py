@@ -22,6 +22,8 @@ from tidemark.operators import profile as prof
 from tidemark.operators.cleanse import reject_summary
 from tidemark.operators.dedupe import dedupe_first
 from tidemark.plans import incremental, lake, staged
+from tidemark.plans.compaction import compact, read_staged_zone
+from tidemark.plans.curated import build_curated
 from tidemark.plans.medallion import run_medallion, run_sources
 from tidemark.session import delete_path, make_path, move_path, scratch_path
 from tidemark.sources import files
@@ -577,6 +579,18 @@ def q_medallion_incremental(spark, d):
     return res.curated["customer_360"]
 
 
+def q_medallion_compacted(spark, d):
+    """Three drops, run incrementally, small runs merged after each; the profile from the rows staged then."""
+    root = scratch_path(spark, "lake-compacted")
+    for drop in td.medallion_drops(spark, d)[:3]:
+        conf = td.medallion_config(root, mode="incremental")
+        run_medallion(spark, drop, conf)
+        compact(spark, conf, fan=2)
+    staged = read_staged_zone(spark, conf)
+    return build_curated(td.customers(spark, d), staged["clickstream_events"], staged["transactions"], td.products(spark, d),
+                         conf.funnel, completed_value=conf.completed_value)["customer_360"]
+
+
 def q_medallion_full_then_incremental(spark, d):
     """What each of four runs over one set of files took in: rows per zone and fact.
 
@@ -676,6 +690,7 @@ QUERIES: dict[str, QueryFn] = {
     "medallion_incremental": q_medallion_incremental,
     "medallion_counts": q_medallion_counts,
     "medallion_full_then_incremental": q_medallion_full_then_incremental,
+    "medallion_compacted": q_medallion_compacted,
 }
 
 
