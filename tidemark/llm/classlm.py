@@ -5,9 +5,12 @@ within its class. Exchange clustering finds the classes of the ``CLUSTERED`` mos
 frequent words: round by round, a quarter of the words ask which of the ``CLASSES`` classes would raise the
 likelihood of the class bigrams most, given everybody's class, and move there; the best of the rounds'
 clusterings is taken. The round is a job over the words' neighbour counts, so no task or driver holds more than
-its words and one class matrix. All other words, however many, are in ``SHAPES`` classes by
-what they are made of, and the end of a text is a class of its own. Transitions are interpolated with
+its words and one class matrix. Meanwhile all other words are in ``SHAPES`` classes by
+what they are made of, and the end of a text is a class of its own. Then every other word of the training texts,
+however many there are, asks the same (``train_whole``): its counts beside each class are grouped by word, and it moves to
+the class that raises the likelihood most, or stays with its shape if none does. Transitions are interpolated with
 the classes' own shares, words of a shape class get ``EXTRA`` counts each and once more for all unknown ones.
+``train`` and ``score`` are the smaller model, whose other words keep their shapes.
 
 Counts cover all training texts: a table of every different word grows with the corpus. Each
 task holds the counts of the words that are more frequent than the ``LOOKUP``-th (found by counting jobs);
@@ -15,8 +18,10 @@ any other word is at most a 1/``LOOKUP`` share of the tokens, so the join of doc
 words with the table of counts has no hot key in training, and a word frequent in held-out texts alone is
 split by Spark's skew join. Neighbour counts are a table bounded by the square of ``CLUSTERED`` + ``SHAPES`` + 1.
 
-The driver gets at most ``LOOKUP`` words, a class per clustered word and a matrix per task and round. Texts are
-never shuffled; three passes read them (words, neighbours, scores).
+The driver gets at most ``LOOKUP`` words with their classes and a matrix per task and round. Texts are
+never shuffled; two passes read them (words, places). The second leaves a number per token and the words of each document
+that are not looked up; these meet their classes and counts by a join and return to their document,
+whose tokens are then a byte each, the class.
 
 Defined results: a null text is empty and has one token, the end; a null doc_id is never learned
 from and not held out; repeated rows are counted and scored each; words longer than 32 bytes are known by
@@ -303,7 +308,7 @@ def exchange(rows: DataFrame, n_clustered: int, rounds: int = ROUNDS) -> tuple[n
 
 @dataclass
 class Model:
-    """A trained model: what every task holds, and the path of the counts of all words."""
+    """A trained model: what every task holds, and the path of the counts of all words, if scoring reads them."""
 
     words: Words
     of: np.ndarray                        # class per unit
@@ -421,6 +426,304 @@ def score(spark: SparkSession, docs: DataFrame, model: Model) -> DataFrame:
         .withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")))
 
 
+# ----- classes for every word ----------------------------------------------------------
+
+_CODED = "rid bigint, doc_id bigint, held_out boolean, learned boolean, n_tokens bigint, codes binary, " \
+         "rest array<struct<word:binary,shape:int>>"
+C = CLASSES + SHAPES + 1
+ITSELF = C                           # as a neighbour: the word itself
+TRIES = 4                            # halvings of the words that move, if the likelihood falls
+CHUNK = 1_024                        # words asked at a time
+
+
+def code_texts(docs: DataFrame, words: Words) -> DataFrame:
+    """Every row with its tokens as places (int32), the end last.
+
+    The words that are not looked up are listed once per row, and numbered after the places.
+    """
+    vocabulary, n_words = words.words, len(words.words)
+    end, places_n = n_words + SHAPES, n_words + SHAPES + 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        places = Places(vocabulary)
+        for b in batches:
+            codes, sizes, rest = [], [], []
+            for t in b.column("text"):
+                held, own = [], {}
+                for some in word_lists(t.as_py()):
+                    at = np.fromiter(map(places.__getitem__, some), np.int64, len(some))
+                    for i in np.flatnonzero(at >= n_words).tolist():
+                        at[i] = places_n + own.setdefault((key(some[i]), int(at[i]) - n_words), len(own))
+                    held.append(at)
+                seq = np.concatenate([*held, [end]]).astype("<i4")
+                codes.append(seq.tobytes())
+                sizes.append(len(seq))
+                rest.append([{"word": w, "shape": s} for w, s in own])
+            kinds = pa.list_(pa.struct([("word", pa.binary()), ("shape", pa.int32())]))
+            yield pa.record_batch([b.column("rid"), b.column("doc_id"), b.column("held_out"), b.column("learned"),
+                                   pa.array(sizes, pa.int64()), pa.array(codes, pa.binary()), pa.array(rest, kinds)],
+                                  names=["rid", "doc_id", "held_out", "learned", "n_tokens", "codes", "rest"])
+
+    f = fold(F.col("doc_id"))
+    return docs.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("bigint").alias("doc_id"),
+                       F.coalesce(f == HELD_OUT, F.lit(False)).alias("held_out"),
+                       F.coalesce(f != HELD_OUT, F.lit(False)).alias("learned"), "text").mapInArrow(run, _CODED)
+
+
+def _sequence(b: pa.RecordBatch, rest_sizes: np.ndarray, places: int) -> np.ndarray:
+    """The places of a batch's tokens as one sequence, an end before it; other words are numbered through the batch."""
+    codes = np.frombuffer(b"".join(b.column("codes").to_pylist()), "<i4").astype(np.int64)
+    shift = np.repeat(np.cumsum(rest_sizes) - rest_sizes, b.column("n_tokens").to_numpy())
+    return np.concatenate([[places - 1], codes + np.where(codes >= places, shift, 0)])
+
+
+def _rest(b: pa.RecordBatch) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+    """How many other words each row has, and all of them with their shapes."""
+    sizes = b.column("rest").value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    flat = b.column("rest").flatten()
+    return sizes, flat.field("word"), flat.field("shape").to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def coded_neighbours(coded: DataFrame, words: Words) -> DataFrame:
+    """``count_neighbours`` of coded texts."""
+    units, size, places = words.units(), CLUSTERED + SHAPES + 1, len(words.words) + SHAPES + 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            sizes, _, shapes = _rest(b)
+            seq = np.concatenate([units, CLUSTERED + shapes])[_sequence(b, sizes, places)]
+            code, n = np.unique(seq[:-1] * size + seq[1:], return_counts=True)
+            yield pa.record_batch({"code": code, "n": n})
+
+    return coded.filter("learned").select("n_tokens", "codes", "rest").mapInArrow(run, "code bigint, n bigint") \
+        .groupBy("code").agg(F.sum("n").alias("n"))
+
+
+def contexts(coded: DataFrame, words: Words, of: np.ndarray) -> DataFrame:
+    """One row per word without a class of its own: word, shape, looked (up), and its counts n by ``code``.
+
+    code // (C + 1) is the class before, code % (C + 1) the class after, ``ITSELF`` the same word.
+    """
+    n_words, clustered, places = len(words.words), words.clustered(), len(words.words) + SHAPES + 1
+    place_class, vocabulary, vocabulary_shapes = of[words.units()], words.words, words.shapes
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = pa.array(vocabulary, pa.binary())
+        for b in batches:
+            sizes, others, shapes = _rest(b)
+            seq = _sequence(b, sizes, places)
+            of_token = np.concatenate([place_class, CLASSES + shapes])[seq]
+            at = np.flatnonzero(((seq >= clustered) & (seq < n_words)) | (seq >= places))
+            before = np.where(seq[at - 1] == seq[at], ITSELF, of_token[at - 1])
+            after = np.where(seq[at + 1] == seq[at], ITSELF, of_token[at + 1])
+            word = np.where(seq[at] < n_words, seq[at], seq[at] - places + n_words)
+            both, n = np.unique(word * (C + 1) ** 2 + before * (C + 1) + after, return_counts=True)
+            word = both // (C + 1) ** 2
+            yield pa.record_batch({"word": pa.concat_arrays([known, others]).take(pa.array(word)),
+                                   "shape": pa.array(np.concatenate([vocabulary_shapes, shapes])[word], pa.int32()),
+                                   "looked": pa.array(word < n_words), "code": pa.array(both % (C + 1) ** 2, pa.int32()),
+                                   "n": pa.array(n, pa.int64())})
+
+    # no such word is more than a 1/CLUSTERED share of the tokens, and none has more than (C + 1)^2 codes
+    return coded.filter("learned").select("n_tokens", "codes", "rest") \
+        .mapInArrow(run, "word binary, shape int, looked boolean, code int, n bigint").repartition("word") \
+        .groupBy("word", "shape", "looked", "code").agg(F.sum("n").alias("n")) \
+        .groupBy("word", "shape", "looked").agg(F.collect_list(F.struct("code", "n")).alias("counts"))
+
+
+def _by_row(rows: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+    """Sums of values per row; rows ascend."""
+    out = np.zeros((n, *values.shape[1:]))
+    if len(rows):
+        start = np.flatnonzero(np.diff(rows, prepend=-1))
+        out[rows[start]] = np.add.reduceat(values, start, axis=0)
+    return out
+
+
+def best_classes(m: np.ndarray, own: np.ndarray, after: np.ndarray, before: np.ndarray, same: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``best_class`` of many words, each now in the class ``own`` >= CLASSES: where to, and the gain over staying.
+
+    ``after`` and ``before`` are counts of other words by class, a row per word; ``same`` of the word beside itself.
+    """
+    m, w, k = m.astype(np.float64), len(own), CLASSES
+    out, into, rows = m.sum(1), m.sum(0), np.arange(w)
+    n_out, n_in = after.sum(1) + same, before.sum(1) + same
+    gain = np.zeros((w, k))
+    # Without the word itself, only the row and the column of its own class are less.
+    for side, other, cells in ((after, before, m.T), (before, after, m)):
+        x, j = np.nonzero(side)
+        base = cells[j, :k] - np.where((j == own[x])[:, None], other[x, :k], 0)
+        gain += _by_row(x, xlogx(base + side[x, j][:, None]) - xlogx(base), w)
+    d, a, b, s = np.diag(m)[None, :k], after[:, :k], before[:, :k], same[:, None]
+    gain += xlogx(d + a + b + s) + xlogx(d) - xlogx(d + a) - xlogx(d + b)
+    gain -= xlogx(out[:k] + n_out[:, None]) - xlogx(out[:k]) + xlogx(into[:k] + n_in[:, None]) - xlogx(into[:k])
+    stay = np.zeros(w)
+    a, b = after[rows, own], before[rows, own]
+    d = m[own, own] - a - b - same
+    for side, cells in ((after, m.T), (before, m)):
+        x, j = np.nonzero(side)
+        base = np.where(j == own[x], d[x], cells[j, own[x]] - side[x, j])
+        stay += _by_row(x, xlogx(base + side[x, j]) - xlogx(base), w)
+    stay += xlogx(d + a + b + same) + xlogx(d) - xlogx(d + a) - xlogx(d + b)
+    stay -= xlogx(out[own]) - xlogx(out[own] - n_out) + xlogx(into[own]) - xlogx(into[own] - n_in)
+    to = gain.argmax(1)
+    return to, gain[rows, to] - stay
+
+
+def choose_classes(of_words: DataFrame, m: np.ndarray) -> DataFrame:
+    """word, shape, looked, n, class: that which raises the likelihood most, or the word's shape."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for b in (whole.slice(i, CHUNK) for i in range(0, whole.num_rows, CHUNK)):
+                w = b.num_rows
+                x = np.repeat(np.arange(w), b.column("counts").value_lengths().to_numpy())
+                flat = b.column("counts").flatten()
+                code, n = flat.field("code").to_numpy().astype(np.int64), flat.field("n").to_numpy()
+                side = [np.bincount(x * (C + 1) + c, n, w * (C + 1)).reshape(w, C + 1) for c in (code % (C + 1), code // (C + 1))]
+                own = CLASSES + b.column("shape").to_numpy().astype(np.int64)
+                to, gain = best_classes(m, own, side[0][:, :C], side[1][:, :C], side[0][:, ITSELF])
+                yield pa.record_batch([b.column("word"), b.column("shape"), b.column("looked"),
+                                       pa.array(np.bincount(x, n, w).astype(np.int64)),
+                                       pa.array(np.where(gain > 1e-6, to, own), pa.int32())],
+                                      names=["word", "shape", "looked", "n", "class"])
+
+    return of_words.mapInArrow(run, "word binary, shape int, looked boolean, n bigint, class int")
+
+
+@dataclass
+class WholeModel(Model):
+    """A model in which every word has been asked for its class; ``texts`` is the table of all rows as classes."""
+
+    place_class: np.ndarray               # class per place
+    left: np.ndarray                      # different words per shape that stay there
+    texts: DataFrame
+
+    def unclustered(self) -> np.ndarray:
+        return self.left
+
+
+_CLASSED = "rid bigint, doc_id bigint, held_out boolean, learned boolean, n_tokens bigint, n_known bigint, base double, own double, classes binary"
+
+
+def _class_texts(coded: DataFrame, found: DataFrame, words: Words, place_class: np.ndarray, base_total: float) -> DataFrame:
+    """Every row with a byte per token, its class, and the sums that need no class matrix.
+
+    ``own`` is the sum of log10 of the words' counts (with ``EXTRA`` in a shape class), not yet divided by their classes'.
+    """
+    n_words, places = len(words.words), len(words.words) + SHAPES + 1
+    counted = np.concatenate([words.n, np.zeros(SHAPES), [words.ends]])
+
+    def numerators(n: np.ndarray, cls: np.ndarray) -> np.ndarray:
+        return np.log10(np.where(cls < CLASSES, np.maximum(n, 1), n + EXTRA))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own_places, known_places = numerators(counted, place_class), np.ones(places, bool)
+        own_places[-1], known_places[-1] = 0, words.ends > 0
+        for b in batches:
+            if not b.num_rows:
+                continue
+            sizes = b.column("n_rest").to_numpy().astype(np.int64)
+            seq = _sequence(b, sizes, places)[1:]
+            flat, m = b.column("found").flatten(), int(sizes.sum())
+            lengths = b.column("found").value_lengths().fill_null(0).to_numpy()
+            at = flat.field("i").to_numpy(zero_copy_only=False).astype(np.int64) + np.repeat(np.cumsum(sizes) - sizes, lengths)
+            cls, n = np.zeros(m, np.int64), np.zeros(m)
+            cls[at], n[at] = flat.field("class").to_numpy(zero_copy_only=False), flat.field("n").to_numpy(zero_copy_only=False)
+            every = np.concatenate([place_class, cls])
+            base = np.log10((np.concatenate([counted, n]) + EXTRA) / base_total)
+            own, known = np.concatenate([own_places, numerators(n, cls)]), np.concatenate([known_places, n > 0])
+            tokens = b.column("n_tokens").to_numpy()
+            start = np.cumsum(tokens) - tokens
+            classes = every[seq].astype(np.uint8).tobytes()
+            yield pa.record_batch([*(b.column(c) for c in ("rid", "doc_id", "held_out", "learned", "n_tokens")),
+                                   pa.array(np.add.reduceat(known[seq].astype(np.int64), start)),
+                                   pa.array(np.add.reduceat(base[seq], start)), pa.array(np.add.reduceat(own[seq], start)),
+                                   pa.array([classes[i:i + k] for i, k in zip(start.tolist(), tokens.tolist())], pa.binary())],
+                                  names=["rid", "doc_id", "held_out", "learned", "n_tokens", "n_known", "base", "own", "classes"])
+
+    wanted = coded.select("rid", F.posexplode("rest").alias("i", "x")).select("rid", "i", "x.word", "x.shape")
+    met = wanted.join(found, "word", "left").select("rid", F.struct(
+        "i", F.coalesce("class", F.col("shape") + CLASSES).alias("class"), F.coalesce("n", F.lit(0)).alias("n")).alias("x")) \
+        .groupBy("rid").agg(F.collect_list("x").alias("found"))
+    rows = coded.withColumn("n_rest", F.size("rest")).drop("rest")
+    return rows.join(met, "rid", "left").select("rid", "doc_id", "held_out", "learned", "n_tokens", "codes", "n_rest", "found") \
+        .mapInArrow(run, _CLASSED)
+
+
+def _classes(b: pa.RecordBatch) -> np.ndarray:
+    return np.frombuffer(b"".join([bytes([C - 1]), *b.column("classes").to_pylist()]), np.uint8).astype(np.int64)
+
+
+def text_matrix(texts: DataFrame) -> np.ndarray:
+    """Counts of class after class over the training texts."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = np.zeros(C * C, "<i8")
+        for b in batches:
+            seq = _classes(b)
+            m += np.bincount(seq[:-1] * C + seq[1:], minlength=C * C)
+        at = np.flatnonzero(m)
+        yield pa.record_batch({"at": pa.array(at), "n": pa.array(m[at])})
+
+    out = np.zeros(C * C, np.int64)
+    for r in texts.filter("learned").select("classes").mapInArrow(run, "at bigint, n bigint") \
+            .groupBy("at").agg(F.sum("n").alias("n")).collect():                       # at most C * C rows
+        out[r["at"]] = r["n"]
+    return out.reshape(C, C)
+
+
+def train_whole(spark: SparkSession, docs: DataFrame, rounds: int = ROUNDS) -> WholeModel:
+    """A model from the rows (doc_id, text) whose fold is not held out, with a class for every word that gains by one."""
+    counts, counts_path = written(spark, count_words(docs.filter(fold(F.col("doc_id")) != HELD_OUT)), "word-counts")
+    words = look_up(counts)
+    coded, coded_path = written(spark, code_texts(docs, words), "coded")
+    near, near_path = written(spark, coded_neighbours(coded, words), "neighbours")
+    rows, rows_path = written(spark, profiles(near), "profiles")
+    of, matrix, seen = exchange(rows, words.clustered(), rounds)
+    before = likelihood(matrix)
+    chosen, chosen_path = written(spark, choose_classes(contexts(coded, words, of), matrix), "word-classes")
+    place = {w: i for i, w in enumerate(words.words)}
+    base_total = words.tokens + EXTRA * (words.distinct + 1)
+    for t in range(TRIES + 1):
+        # All words that gain move at once. If the likelihood falls, half as many do, and none in the end.
+        moves = F.pmod(F.xxhash64("word"), F.lit(1 << TRIES)) < ((1 << TRIES) >> t if t < TRIES else 0)
+        now = chosen.withColumn("class", F.when(moves, F.col("class")).otherwise(F.col("shape") + CLASSES))
+        place_class = of[words.units()]
+        for r in now.filter("looked").select("word", "class").toLocalIterator():        # at most LOOKUP rows
+            place_class[place[bytes(r["word"])]] = r["class"]
+        left = np.zeros(SHAPES, np.int64)
+        for r in now.filter(F.col("class") >= CLASSES).groupBy("class").agg(F.count(F.lit(1)).alias("v")).collect():   # SHAPES rows
+            left[r["class"] - CLASSES] = r["v"]
+        found = now.filter("not looked").select("word", "class", "n")
+        texts, texts_path = written(spark, _class_texts(coded, found, words, place_class, base_total), "classed")
+        matrix = text_matrix(texts)
+        if t == TRIES or likelihood(matrix) >= before:
+            break
+        remove(spark, texts_path)
+    for path in (counts_path, coded_path, near_path, rows_path, chosen_path):
+        remove(spark, path)
+    return WholeModel(words, of, matrix, [*seen, likelihood(matrix)], "", place_class, left, texts)
+
+
+def score_whole(model: WholeModel) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, perplexity of every row."""
+    step, tokens = model.transitions(), model.words.tokens
+    # the end is alone in its class
+    total = np.log10(np.concatenate([np.maximum(model.tokens_of_class()[:CLASSES], 1), model.shape_total(), [1]]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if not b.num_rows:
+                continue
+            seq, n = _classes(b), b.column("n_tokens").to_numpy()
+            own = b.column("own").to_numpy() + np.add.reduceat(step[seq[:-1], seq[1:]] - total[seq[1:]], np.cumsum(n) - n)
+            yield pa.record_batch([b.column("doc_id"), b.column("held_out"), b.column("n_tokens"), b.column("n_known"),
+                                   pa.array(np.full(len(n), tokens)), b.column("base"), pa.array(own), pa.array(10 ** (-own / n))],
+                                  names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "perplexity"])
+
+    return model.texts.mapInArrow(run, "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, "
+                                  "base_score double, score double, perplexity double")
+
+
 def q_class_lm(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return score(spark, docs, train(spark, docs))
+    return score_whole(train_whole(spark, docs))
