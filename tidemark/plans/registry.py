@@ -264,10 +264,18 @@ def q_json_dead_letter_faulty(spark, d):
 STREAM_FILES = 8
 
 
+RECORDS_A_FILE = 250_000
+
+
+def _files_a_batch(spark, d):
+    """Files of one of ``STREAM_FILES`` micro-batches: so many that each has about ``RECORDS_A_FILE`` records."""
+    return max(1, -(-td.table(spark, d, "events").count() // (STREAM_FILES * RECORDS_A_FILE)))
+
+
 def _record_source(spark, d):
-    """The records as files of a stream, one micro-batch each; a delivery repeated at once is in the same file."""
+    """The records as files of a stream; a delivery repeated at once is in the same file."""
     src = scratch_path(spark, "records")
-    td.event_records(spark, d).repartition(STREAM_FILES, "sequence_number").write.parquet(src)
+    td.event_records(spark, d).repartition(STREAM_FILES * _files_a_batch(spark, d), "sequence_number").write.parquet(src)
     return src
 
 
@@ -296,8 +304,8 @@ def _feed(spark, query, path):
     delete_path(spark, path)
 
 
-def _landed(spark, src, out):
-    q = landing.land_stream(landing.read_records(spark, src), f"{out}/good", f"{out}/dead", f"{out}/_checkpoint",
+def _landed(spark, src, out, files_a_batch):
+    q = landing.land_stream(landing.read_records(spark, src, files_per_batch=files_a_batch), f"{out}/good", f"{out}/dead", f"{out}/_checkpoint",
                             td.EVENT_FIELDS, available_now=True, progress_path=f"{out}/progress")
     q.awaitTermination()
     delete_path(spark, src)
@@ -306,7 +314,7 @@ def _landed(spark, src, out):
 
 def q_stream_landing(spark, d):
     """Land the record backlog in bounded micro-batches and read the landed rows back."""
-    return _typed_events(_landed(spark, _record_source(spark, d), scratch_path(spark, "landing")))
+    return _typed_events(_landed(spark, _record_source(spark, d), scratch_path(spark, "landing"), _files_a_batch(spark, d)))
 
 
 def q_stream_batch_convergence(spark, d):
@@ -315,29 +323,34 @@ def q_stream_batch_convergence(spark, d):
     Records are dealt to micro-batches in turn, so repeats arrive batches apart; every event comes by both ways. The batch rule decides.
     """
     src, out = scratch_path(spark, "records"), scratch_path(spark, "convergence")
-    td.event_records(spark, d).repartition(STREAM_FILES).write.parquet(src)
-    raw = files.union_sources(td.batch_export(spark, d), _landed(spark, src, out).select(*td.EVENT_FIELDS))
+    n = _files_a_batch(spark, d)
+    td.event_records(spark, d).repartition(STREAM_FILES * n).write.parquet(src)
+    raw = files.union_sources(td.batch_export(spark, d), _landed(spark, src, out, n).select(*td.EVENT_FIELDS))
     return staged.stage_clickstream(raw, types=td.CLICKSTREAM_TYPES, stamp=None)[1]
 
 
 def q_stream_landing_progress(spark, d):
     """What the landing's own records say: micro-batches, landed records and dead letters."""
     out = scratch_path(spark, "landing")
-    _landed(spark, _record_source(spark, d), out)
+    _landed(spark, _record_source(spark, d), out, _files_a_batch(spark, d))
     return landing.landing_progress(spark, f"{out}/progress").agg(
         F.count(F.lit(1)).alias("batches"), F.sum("landed").alias("landed"), F.sum("dead").alias("dead"))
 
 
 STREAM_SHARDS = 16
+BACKLOG_BATCHES = 128            # batches of a backlog that are landed in one micro-batch of Spark
 
 
 def q_stream_landing_bounded(spark, d):
-    """The landing of a record log, admitted by records: at most 500 of each shard in a micro-batch, in order."""
+    """The landing of a record log, admitted by records: at most 500 of each shard in a batch, in order.
+
+    The backlog is taken many batches at a time, and each batch is landed and counted as its own.
+    """
     src, out = scratch_path(spark, "record-log"), scratch_path(spark, "landing-bounded")
     record_log.write_log(td.event_records(spark, d), src, STREAM_SHARDS)
-    log = record_log.read_log(spark, src, max_wait=0, starting_offsets="earliest")
+    log = record_log.read_log(spark, src, max_wait=0, starting_offsets="earliest", max_batches=BACKLOG_BATCHES)
     record_log.drain(landing.land_stream(log, f"{out}/good", f"{out}/dead", f"{out}/_checkpoint", td.EVENT_FIELDS,
-                                         batch=landing.MicroBatch(seconds=0), progress_path=f"{out}/progress"))
+                                         batch=landing.MicroBatch(seconds=0), progress_path=f"{out}/progress", batch_col="batch"))
     delete_path(spark, src)
     return landing.landing_progress(spark, f"{out}/progress")
 
@@ -620,7 +633,7 @@ def q_medallion_full_then_incremental(spark, d):
         put(df, t, "first")
     run("full")
     put(odd, "transactions", "second")
-    _landed(spark, _record_source(spark, d), f"{root}/landed")
+    _landed(spark, _record_source(spark, d), f"{root}/landed", _files_a_batch(spark, d))
     run("incremental")
     put(late, "customers", "second")
     run("incremental")

@@ -5,6 +5,8 @@ good records and the dead letters of micro-batch N to ``.../batch_id=N``
 with overwrite. A replayed batch (after a driver or executor failure)
 rewrites exactly the same directories, so the landing is idempotent; the
 checkpoint records progress (the commit). An empty batch writes nothing.
+A source that numbers its batches (``record_log``) may hand over several of them in one micro-batch of Spark; each is
+landed in a folder of its own all the same.
 """
 
 from __future__ import annotations
@@ -61,14 +63,41 @@ def land_stream(records: DataFrame, landing_path: str, dead_letter_path: str,
                 checkpoint_path: str, fields: Sequence[str] = CLICKSTREAM_FIELDS,
                 fmt: str = "parquet", batch: MicroBatch = MicroBatch(),
                 available_now: bool = False, query_name: str | None = None,
-                progress_path: str | None = None) -> StreamingQuery:
+                progress_path: str | None = None, batch_col: str | None = None) -> StreamingQuery:
     """Decode each micro-batch and land good rows and dead letters (idempotently).
 
     With ``progress_path`` every batch leaves one row there (batch_id, landed, dead): a
     complete history, however long the query runs. ``fmt`` is the landed format: ``parquet`` (default) or ``json`` (NDJSON).
-    Good rows get ``_ingested_ts`` (arrival time, for stream-lag metrics).
+    Good rows get ``_ingested_ts`` (arrival time, for stream-lag metrics). With ``batch_col``, a column of ``records`` that
+    never changes when a record is read again, a record's batch is the one named there, not Spark's.
     """
-    decoded = decode_records(records, fields).withColumn("_ingested_ts", F.current_timestamp())
+    kept = [F.col(batch_col).alias("batch_id")] if batch_col else []
+    decoded = decode_records(records.select("sequence_number", "value", *kept), fields, keep=["batch_id"] if kept else []).withColumn("_ingested_ts", F.current_timestamp())
+
+    def write_batches(batch_df: DataFrame, batch_id: int) -> None:
+        # The batches of a micro-batch are whole in it, so a repeat replaces exactly their folders.
+        batch_df.persist()
+        try:
+            good, spark = F.col(DEAD_LETTER_COL).isNull(), batch_df.sparkSession
+            n_good, n_bad = batch_df.agg(F.count_if(good), F.count_if(~good)).first()
+            tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+            def save(rows: DataFrame, path: str) -> None:
+                rows.repartition(tasks, "batch_id").write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+                    .partitionBy("batch_id").format(fmt).save(path)
+
+            ways = []
+            if n_good:
+                ways.append(lambda: save(batch_df.filter(good).drop(DEAD_LETTER_COL, "_payload"), landing_path))
+            if n_bad:
+                ways.append(lambda: save(batch_df.filter(~good).select("_sequence_number", "_payload", DEAD_LETTER_COL, "_ingested_ts", "batch_id"),
+                                         dead_letter_path))
+            together(*ways)
+            if progress_path and ways:
+                batch_df.groupBy("batch_id").agg(F.count_if(good).alias("landed"), F.count_if(~good).alias("dead")) \
+                    .coalesce(1).write.mode("overwrite").parquet(f"{progress_path}/part_{batch_id}")
+        finally:
+            batch_df.unpersist()
 
     def write_batch(batch_df: DataFrame, batch_id: int) -> None:
         batch_df.persist()   # a micro-batch is bounded by the trigger limits; read it once
@@ -92,7 +121,7 @@ def land_stream(records: DataFrame, landing_path: str, dead_letter_path: str,
         finally:
             batch_df.unpersist()
 
-    writer = decoded.writeStream.foreachBatch(write_batch) \
+    writer = decoded.writeStream.foreachBatch(write_batches if batch_col else write_batch) \
         .option("checkpointLocation", checkpoint_path).trigger(**batch.trigger(available_now))
     if query_name:
         writer = writer.queryName(query_name)

@@ -28,9 +28,9 @@ def text_schema(fields: Sequence[str]) -> T.StructType:
 
 
 def decode_records(records: DataFrame, fields: Sequence[str] = CLICKSTREAM_FIELDS,
-                   value_col: str = "value", seq_col: str = "sequence_number") -> DataFrame:
+                   value_col: str = "value", seq_col: str = "sequence_number", keep: Sequence[str] = ()) -> DataFrame:
     """Columns: ``_sequence_number``, one text column per payload field,
-    ``_payload`` (decoded text) and ``_dead_letter_reason`` (NULL when good).
+    ``_payload`` (decoded text), ``_dead_letter_reason`` (NULL when good) and those of ``keep``.
 
     Reasons: ``invalid_base64`` (value missing or not base64),
     ``invalid_utf8`` (bytes are not UTF-8), ``empty_payload`` (no text),
@@ -42,12 +42,12 @@ def decode_records(records: DataFrame, fields: Sequence[str] = CLICKSTREAM_FIELD
     staged = records.select(
         F.col(seq_col).cast("string").alias("_sequence_number"),
         F.col(value_col).isNull().alias("_missing"), raw.isNull().alias("_bad64"),
-        text.alias("_payload"))
+        text.alias("_payload"), *keep)
     # A generator is a barrier: Catalyst neither repeats what feeds it nor moves filters below it, so
     # every record is decoded and parsed once, whatever is read from the result.
     parsed = staged.select(F.inline(F.array(F.struct(
         "_sequence_number", "_missing", "_bad64", "_payload",
-        F.from_json("_payload", text_schema(fields), opts).alias("_obj")))))
+        F.from_json("_payload", text_schema(fields), opts).alias("_obj"), *keep))))
     reason = (F.when(F.col("_missing") | F.col("_bad64"), F.lit("invalid_base64"))
               .when(F.col("_payload").isNull(), F.lit("invalid_utf8"))
               .when(F.trim(F.col("_payload")) == F.lit(""), F.lit("empty_payload"))
@@ -55,7 +55,7 @@ def decode_records(records: DataFrame, fields: Sequence[str] = CLICKSTREAM_FIELD
                     F.lit("malformed_json")))
     return parsed.select(
         "_sequence_number", *[F.col(f"_obj.`{f}`").alias(f) for f in fields],
-        "_payload", reason.alias(DEAD_LETTER_COL))
+        "_payload", reason.alias(DEAD_LETTER_COL), *keep)
 
 
 def good_records(decoded: DataFrame) -> DataFrame:
