@@ -233,8 +233,9 @@ def q_simhash(spark, sf_dir):
 
 
 # ---- one document of each group --------------------------------------------
-# Near copies by similarity: bands of minhashes of the five-word shingles find candidates, a
-# minhash sketch preselects them, and the shingles themselves decide.
+# Near copies by similarity: fingerprints that link, as above, and bands of minhashes of the five-word shingles for
+# copies too far apart for that give candidates, and the shingles themselves decide. A minhash sketch preselects
+# those of the bands.
 
 SHINGLE, SIMILARITY = 5, 0.8
 SKETCH = 256
@@ -394,6 +395,16 @@ def candidates(reps: DataFrame) -> DataFrame:
     return _linked(_dealt(rows, "key"), "key", forest)
 
 
+def print_links(spark: SparkSession, reps: DataFrame) -> DataFrame:
+    """(a, b): links between ``rid``s that connect all whose fingerprints ``fp`` are equal or link."""
+    named, _ = written(spark, reps.groupBy("fp").agg(F.min("rid").alias("least")), "dedup-fingerprints")
+    equal = reps.join(named, "fp").filter("rid <> least").select(F.col("least").alias("a"), F.col("rid").alias("b"))
+    near = find_links(spark, named) \
+        .join(named.select(F.col("fp").alias("a"), F.col("least").alias("first")), "a") \
+        .join(named.select(F.col("fp").alias("b"), F.col("least").alias("second")), "b")
+    return equal.unionByName(near.select(F.col("first").alias("a"), F.col("second").alias("b")))
+
+
 def exact_shingles(text: str | None) -> np.ndarray:
     """The hashes of the different shingles in order; a text without words has one of its own."""
     words = _words(text)
@@ -428,7 +439,7 @@ def copies(spark: SparkSession, reps: DataFrame, texts: DataFrame) -> DataFrame:
     settles most, then, where some are no copies of it, those with all others. Groups with more than
     ``EXACT_ROWS`` rows or ``EXACT_CHARS`` characters are cut into blocks, every two of which are a task's.
     """
-    loose = components(spark, candidates(reps)).withColumnRenamed("node", "rid")
+    loose = components(spark, print_links(spark, reps).unionByName(candidates(reps))).withColumnRenamed("node", "rid")
     member, _ = written(spark, loose.join(reps.select("rid", "sketch"), "rid").join(texts, "rid"), "dedup-members")
     first = member.filter("rid = component").select("component", F.col("text").alias("other"))
     tested, _ = written(spark, member.filter("rid <> component").join(first, "component")
@@ -466,14 +477,14 @@ def keep_one(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """The documents with one of each group of exact or near copies: that with the smallest doc_id.
 
     A group is connected by pairs whose five-word shingles have a similarity of ``SIMILARITY`` or
-    more. Rows are told apart by a number written beside them, so repeated rows are copies, and null
+    more, among those that SimHash links and those that meet in a band. Rows are told apart by a number written beside them, so repeated rows are copies, and null
     doc_ids lose to others. The texts are written once, those of candidates once more.
     """
     own = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("d")
-    rows, _ = written(spark, docs.select(own, F.monotonically_increasing_id().alias("rid"), _features("text").alias("f")),
-                      "dedup-rows")
+    rows, _ = written(spark, docs.select(own, F.monotonically_increasing_id().alias("rid"), _features("text").alias("f"),
+                                         fingerprint_udf(4)("text").alias("fp")), "dedup-rows")
     best = F.struct(F.col("d.doc_id").isNull().alias("none"), F.col("d.doc_id").alias("doc_id"), "rid")
-    reps = rows.select("f.*", best.alias("best")).groupBy("digest", "bands", "sketch").agg(F.min("best").alias("best"))
+    reps = rows.select("f.*", "fp", best.alias("best")).groupBy("digest", "bands", "sketch", "fp").agg(F.min("best").alias("best"))
     reps, _ = written(spark, reps.withColumn("rid", F.col("best.rid")), "dedup-texts")
     groups = components(spark, copies(spark, reps, rows.select("rid", "d.text")))
     member = reps.select("rid", "best").join(groups.withColumnRenamed("node", "rid"), "rid")
