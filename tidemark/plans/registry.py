@@ -264,7 +264,7 @@ def q_json_dead_letter_faulty(spark, d):
 STREAM_FILES = 8
 
 
-RECORDS_A_FILE = 250_000
+RECORDS_A_FILE = 25_000           # at about 40,000 records a second and core, a file is less than a second's task
 
 
 def _files_a_batch(spark, d):
