@@ -108,3 +108,18 @@ def test_keys_are_typed_before_they_are_compared(spark):
     assert got == {"invalid_key": 3, "invalid_quantity": 0, "invalid_amount": 0, "missing_customer": 0,
                    "unknown_customer": 1, "duplicate": 1, "clean": 2}
     assert [r["_raw"]["order_id"] for r in tagged.filter(f"{REJECT_COL} = 'invalid_key'").collect()].count("x") == 1
+
+
+def test_known_customers_are_joined_before_typing(spark):
+    """What the join with the known customers moves is the row as it arrived, once: no typed columns, no copy of it."""
+    from tidemark.plans.staged import tag_transactions
+    raw = spark.createDataFrame([("1", "01", "2", "3.50"), ("2", "7", "1", "1"), ("3", None, "1", "1")],
+                                "order_id string, customer_id string, quantity string, amount string")
+    known = spark.createDataFrame([("1",), ("1",)], "customer_id string")
+    df = tag_transactions(raw, known, types={"order_id": "bigint", "customer_id": "bigint"})
+    plan = df._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    join = next(i for i, line in enumerate(plan) if "Join" in line)
+    assert any("AS _raw" in line for line in plan[:join]) and not any("AS _raw" in line for line in plan[join:])
+    assert df.columns == [*raw.columns, "_raw", "_reject_reason"]
+    got = {r["order_id"]: (r["customer_id"], r["_raw"]["customer_id"], r["_reject_reason"]) for r in df.collect()}
+    assert got == {1: (1, "01", None), 2: (7, "7", "unknown_customer"), 3: (None, None, "missing_customer")}

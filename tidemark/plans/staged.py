@@ -58,23 +58,34 @@ def tag_clickstream(raw: DataFrame, key: Sequence[str] = ("event_id",), customer
                     types: dict[str, str] | None = None, valid_customers: DataFrame | None = None) -> DataFrame:
     """Typed clickstream rows with a reason: key unreadable, anonymous (NULL, empty or unreadable
     customer), or of an unknown customer when the known ones are given."""
-    kept = raw.withColumn(RAW_COL, F.struct(*[F.col(c) for c in raw.columns]))
-    return _tag_known(apply_types(kept, types or {}),
-                      [("invalid_key", _key_ok(key)), ("missing_customer", is_present(customer))], valid_customers, customer, customer)
+    types = types or {}
+    df = apply_types(_arrived(raw, valid_customers, customer, customer, types), types)
+    return _tag_known(df, [("invalid_key", _key_ok(key)), ("missing_customer", is_present(customer))])
 
 
-def _tag_known(df: DataFrame, rules: list, valid_customers: DataFrame | None, customer: str, customer_key: str) -> DataFrame:
-    """The rules, and ``unknown_customer`` by one left join with the known customers, if they are given."""
+def _arrived(raw: DataFrame, valid_customers: DataFrame | None, customer: str, customer_key: str, types: dict[str, str]) -> DataFrame:
+    """The rows with ``_raw``, and with ``_known`` by one left join with the known customers, if they are given.
+
+    The join comes before the typing, so a shuffle of it moves each row once, as it arrived, and not its typed columns too.
+    """
+    row = F.struct(*[F.col(c) for c in raw.columns])
     if valid_customers is None:
-        return tag_rejects(df, rules)
-    known = valid_customers.select(F.col(customer_key).cast("string").try_cast(dict(df.dtypes)[customer]).alias("_known")) \
+        return raw.withColumn(RAW_COL, row)
+    asked = raw.withColumn("_customer", _typed(customer, types.get(customer)))
+    known = valid_customers.select(F.col(customer_key).cast("string").try_cast(dict(asked.dtypes)["_customer"]).alias("_known")) \
         .filter(F.col("_known").isNotNull())
     # Distinct by key and a function of it: rows stay unique by key, but their partitioning is not
     # the join's, so the join gets an exchange of its own on both sides. Only such a join can
     # be split by AQE when one customer holds most rows.
     known = known.withColumn("_half", F.pmod(F.xxhash64("_known"), F.lit(2))).distinct().select("_known")
-    joined = df.join(known, F.col(customer) == F.col("_known"), "left")
-    return tag_rejects(joined, [*rules, ("unknown_customer", F.col("_known").isNotNull())]).drop("_known")
+    return asked.join(known, F.col("_customer") == F.col("_known"), "left").withColumn(RAW_COL, row).drop("_customer")
+
+
+def _tag_known(df: DataFrame, rules: list) -> DataFrame:
+    """The rules, and ``unknown_customer`` if the known customers were asked for."""
+    if "_known" not in df.columns:
+        return tag_rejects(df, rules)
+    return tag_rejects(df, [*rules, ("unknown_customer", F.col("_known").isNotNull())]).drop("_known")
 
 
 def tag_transactions(raw: DataFrame, valid_customers: DataFrame | None = None,
@@ -83,11 +94,10 @@ def tag_transactions(raw: DataFrame, valid_customers: DataFrame | None = None,
                      amount: str = "amount", types: dict[str, str] | None = None) -> DataFrame:
     """Typed transaction rows with a reason: key, quantity and amount (both > 0), customer present and known."""
     types = {c: t for c, t in (types or {}).items() if c not in (quantity, amount)}
-    kept = raw.withColumn(RAW_COL, F.struct(*[F.col(c) for c in raw.columns]))
-    df = apply_types(kept, types).withColumns({quantity: coerce_quantity(quantity), amount: coerce_amount(amount)})
+    df = apply_types(_arrived(raw, valid_customers, customer, customer_key or customer, types), types).withColumns({quantity: coerce_quantity(quantity), amount: coerce_amount(amount)})
     rules = [("invalid_key", _key_ok(key)), ("invalid_quantity", F.col(quantity) > 0),
              ("invalid_amount", F.col(amount) > 0), ("missing_customer", is_present(customer))]
-    return _tag_known(df, rules, valid_customers, customer, customer_key or customer)
+    return _tag_known(df, rules)
 
 
 def stage_clickstream(raw: DataFrame, key: Sequence[str] = ("event_id",),

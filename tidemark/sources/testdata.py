@@ -121,11 +121,21 @@ def raw_clickstream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batch.unionByName(batch.filter(F.col("event_type") == "purchase"))
 
 
-def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line-grain transactions as text (order key, line number, customer, product, ...)."""
-    return order_lines(spark, sf_dir).select(*[F.col(c).cast("string").alias(c) for c in (
-        "order_id", "line_no", "customer_id", "product_id", "order_date", "ship_date",
-        "quantity", "amount", "status")])
+def raw_transactions(spark: SparkSession, sf_dir: str, wanted: Column | None = None) -> DataFrame:
+    """Line-grain transactions as text (order key, line number, customer, product, ...).
+
+    An order's columns become text once, before its lines are joined. ``wanted`` is a condition on
+    the ``lineitem`` columns, which then also holds for the orders' keys.
+    """
+    text = lambda c, name: F.col(c).cast("string").alias(name)
+    o = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("l_orderkey"), text("o_custkey", "customer_id"),
+        text("o_orderdate", "order_date"), text("o_orderstatus", "status"))
+    lines = table(spark, sf_dir, "lineitem")
+    lines = lines if wanted is None else lines.filter(wanted)
+    return lines.join(o, "l_orderkey", "inner").select(
+        text("l_orderkey", "order_id"), text("l_linenumber", "line_no"), "customer_id", text("l_partkey", "product_id"),
+        "order_date", text("l_shipdate", "ship_date"), text("l_quantity", "quantity"), text("l_extendedprice", "amount"), "status")
 
 
 EVENT_FIELDS = ("event_id", "customer_id", "event_ts", "event_type", "value", "props")
@@ -232,14 +242,13 @@ def medallion_drops(spark: SparkSession, sf_dir: str) -> list[dict]:
     delivered again one drop later. None of it may change the result of a full run.
     """
     raw = medallion_raw(spark, sf_dir)
-    lines, events = raw["transactions"], raw["clickstream_events"]
-    order, event = F.col("order_id").cast("bigint"), F.col("event_id").cast("bigint")
-    again = lines.filter((order % 3 == 0) & (F.col("line_no") == "1")).withColumns({
+    order, event, events = F.col("l_orderkey"), F.col("event_id").cast("bigint"), raw["clickstream_events"]
+    again = raw_transactions(spark, sf_dir, (order % 3 == 0) & (F.col("l_linenumber") == 1)).withColumns({
         "customer_id": F.lit("3"), "order_date": F.lit("n/a"),
         "amount": (F.col("amount").cast("decimal(18,2)") * 2).cast("string")})
     drops = []
     for i in range(3):
-        t = lines.filter(order % 3 == i)
+        t = raw_transactions(spark, sf_dir, order % 3 == i)
         e = events.filter(event % 3 == i).unionByName(
             events.filter((event % 3 == (i + 2) % 3) & (F.col("event_type") == "purchase")) if i else events.filter(F.lit(False)))
         drops.append({**raw, "customers": raw["customers"].filter(F.col("customer_id") % 3 <= i),
@@ -256,8 +265,8 @@ def late_customers(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
 
 def line_files(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """All order lines as text in two files: even orders; odd ones, and once more those divisible by 10."""
-    lines, order = raw_transactions(spark, sf_dir), F.col("order_id").cast("bigint")
-    return lines.filter(order % 2 == 0), lines.filter((order % 2 == 1) | (order % 10 == 0))
+    order = F.col("l_orderkey")
+    return raw_transactions(spark, sf_dir, order % 2 == 0), raw_transactions(spark, sf_dir, (order % 2 == 1) | (order % 10 == 0))
 
 
 # ---------------------------------------------------------------------------
