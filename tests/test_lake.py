@@ -216,3 +216,24 @@ def test_catalog_tables_by_arrival(spark, tmp_dir):
         assert prof["C1"] == 63.0
     finally:
         spark.sql("DROP DATABASE shop_arrivals CASCADE")
+
+
+def test_marks_are_compared_only_with_the_runs_that_hold_superseded_rows(spark, tmp_dir):
+    """Rows of other runs take no part in the join with the marks, and without marks there is no join."""
+    fact = inc.Fact("t", ("k",), (), "status", lambda rows: rows)
+    schema = "k string, v int, status string"
+    def put(run, rows, marks):
+        inc.write_run(spark.createDataFrame(rows, schema), inc.staged_path(tmp_dir, "t"), run, ["status"])
+        inc.write_run(spark.createDataFrame(marks, "k string, _of int"), inc.reject_path(tmp_dir, "t", "superseded"), run)
+    typed = spark.createDataFrame([], schema).schema
+    read = lambda runs: inc.read_staged(spark, tmp_dir, fact, typed, runs)
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    held = lambda df: sorted((r["k"], r["v"], r["_run"]) for r in df.collect())
+    put(0, [("a", 1, "x"), ("b", 1, "x")], [])
+    put(1, [("c", 2, "x"), ("c2", 2, "y")], [])
+    assert "Join" not in plan(read([0, 1])) and len(held(read([0, 1]))) == 4
+    put(2, [("c", 3, "x")], [("c", 1), ("a", 7)])               # run 7 is none of those read
+    got = read([0, 1, 2])
+    assert held(got) == [("a", 1, 0), ("b", 1, 0), ("c", 3, 2), ("c2", 2, 1)]
+    assert "Join LeftAnti" in plan(got) and "Union" in plan(got)
+    assert held(read([1])) == [("c", 2, 1), ("c2", 2, 1)]       # the mark came with run 2

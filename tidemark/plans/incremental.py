@@ -112,14 +112,22 @@ def reject_path(lake: str, fact: str, kind: str) -> str:
 
 
 def read_staged(spark: SparkSession, lake: str, fact: Fact, schema: T.StructType, runs: Sequence[int]) -> DataFrame:
-    """The staged rows of some runs without those that an earlier arrival superseded."""
-    rows = read_runs(spark, staged_path(lake, fact.name), schema, runs)
+    """The staged rows of some runs without those that an earlier arrival superseded.
+
+    Only the rows of runs that hold such rows are compared with the marks; which runs these are is looked up at once.
+    """
     gone = read_runs(spark, reject_path(lake, fact.name, "superseded"), superseded_schema(schema, fact), runs)
+    held = {r[0] for r in gone.select("_of").distinct().collect()}                      # runs
+    table, whole = staged_path(lake, fact.name), [r for r in runs if r not in held]
+    if not held.intersection(runs):
+        return read_runs(spark, table, schema, runs)
+    rows = read_runs(spark, table, schema, [r for r in runs if r in held])
     gone = gone.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(fact.key)], F.col("_of").alias("_gone"))
     same = F.col(RUN) == F.col("_gone")
     for i, k in enumerate(fact.key):
         same = same & (F.col(k) == F.col(f"_k{i}"))
-    return rows.join(gone, same, "left_anti")
+    live = rows.join(gone, same, "left_anti")
+    return live.unionByName(read_runs(spark, table, schema, whole)) if whole else live
 
 
 def superseded_schema(schema: T.StructType, fact: Fact) -> T.StructType:
