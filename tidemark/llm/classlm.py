@@ -18,6 +18,9 @@ any other word is at most a 1/``LOOKUP`` share of the tokens, so the join of doc
 words with the table of counts has no hot key in training, and a word frequent in held-out texts alone is
 split by Spark's skew join. Neighbour counts are a table bounded by the square of ``CLUSTERED`` + ``SHAPES`` + 1.
 
+Texts are split and their words numbered a column at a time, about ``BLOCK`` bytes or one text. A rare word leaves a batch
+as one row with its counts beside each class, and its rows are summed one after the other (``contexts``, ``choose_classes``).
+
 The driver gets at most ``LOOKUP`` words with their classes and a matrix per task and round. Texts are
 never shuffled; two passes read them (words, places). The second leaves a number per token and the words of each document
 that are not looked up; these meet their classes and counts by a join and return to their document,
@@ -38,6 +41,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,6 +56,7 @@ LOOKUP = 1 << 17
 EXTRA, MIX = 0.1, 1.0
 SHARDS = 32
 FLUSH, PIECE = 1 << 20, 1 << 20
+BLOCK = 1 << 25                      # bytes of text split at a time, unless one text has more
 CACHE = 300_000                      # words a task remembers, the looked-up ones included
 END = b"\xfe"                        # not UTF-8, so never a word
 # A-Z to lower case, the other white space to blanks.
@@ -91,6 +96,52 @@ def shape(word: bytes) -> int:
                        + 4 * (len(word.translate(None, _MARKS)) < n))
 
 
+def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """``word_lists`` of a column: the words of all texts in order, and how many each text has."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts.cast(pa.string()), "")))
+    words, sizes = lists.flatten().cast(pa.binary()), lists.value_lengths().to_numpy().astype(np.int64)
+    full = pc.binary_length(words).to_numpy() > 0                       # white space at the edges leaves empty ones
+    if full.all():
+        return words, sizes
+    ends = np.cumsum(sizes)
+    before = np.concatenate([[0], np.cumsum(full)])
+    return words.filter(pa.array(full)), before[ends] - before[ends - sizes]
+
+
+def blocks(texts: pa.Array) -> Iterator[pa.Array]:
+    """A column in slices of at most BLOCK bytes, or of one text."""
+    total = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy().astype(np.int64))
+    at = 0
+    while at < len(texts):
+        end = max(at + 1, int(np.searchsorted(total, BLOCK + (total[at - 1] if at else 0), "right")))
+        yield texts.slice(at, end - at)
+        at = end
+
+
+def keys(words: pa.Array) -> pa.Array:
+    """``key`` of every word."""
+    long = pc.greater(pc.binary_length(words), 32)
+    return pc.replace_with_mask(words, long, pa.array(map(key, words.filter(long).to_pylist()), pa.binary()))
+
+
+# what a byte is: 1 not ASCII, 2 a digit, 4 a mark
+_KINDS = np.array([(i > 127) + 2 * (i in _DIGITS) + 4 * (i in _MARKS) for i in range(256)], np.uint8)
+
+
+def shapes_of(words: pa.Array) -> np.ndarray:
+    """``shape`` of every word."""
+    n = pc.binary_length(words).to_numpy().astype(np.int64)
+    kinds = _KINDS[np.frombuffer(b"".join(words.to_pylist()), np.uint8)]
+    kinds = np.bitwise_or.reduceat(kinds, np.cumsum(n) - n) if len(n) else kinds
+    return np.searchsorted([4, 7, 11], n) + 4 * kinds.astype(np.int64)
+
+
+def binary_rows(values: np.ndarray, stops: np.ndarray) -> pa.Array:
+    """The bytes of values as one binary per row; a row ends before its stop."""
+    offsets = np.concatenate([[0], stops]) * values.itemsize
+    return pa.Array.from_buffers(pa.binary(), len(stops), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(values)])
+
+
 class Places(dict):
     """Word -> its place among the looked-up words; any other word -> their number + its shape."""
 
@@ -110,17 +161,18 @@ def count_words(texts: DataFrame) -> DataFrame:
     """(word, shape, n) of every different word, and of the end of texts, whose shape is SHAPES."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> pa.RecordBatch:
-            return pa.record_batch({"word": pa.array(map(key, seen), pa.binary()), "shape": pa.array(map(shape, seen), pa.int32()),
-                                    "n": pa.array(seen.values(), pa.int64())})
-        seen, ends = Counter(), 0
+            seen = pa.chunked_array(held, pa.binary()).value_counts()
+            words = seen.field("values")
+            return pa.record_batch({"word": keys(words), "shape": pa.array(shapes_of(words), pa.int32()), "n": seen.field("counts")})
+        held, size, ends = [], 0, 0
         for b in batches:
-            for t in b.column("text"):
-                ends += 1
-                for words in word_lists(t.as_py()):
-                    seen.update(words)
-                    if len(seen) >= FLUSH:
-                        yield rows()
-                        seen = Counter()
+            ends += b.num_rows
+            for some in blocks(b.column("text")):
+                held.append(split_words(some)[0])
+                size += held[-1].nbytes
+                if size >= BLOCK:
+                    yield rows()
+                    held, size = [], 0
         yield rows()
         if ends:
             yield pa.record_batch({"word": pa.array([END], pa.binary()), "shape": pa.array([SHAPES], pa.int32()), "n": pa.array([ends])})
@@ -434,6 +486,7 @@ C = CLASSES + SHAPES + 1
 ITSELF = C                           # as a neighbour: the word itself
 TRIES = 4                            # halvings of the words that move, if the likelihood falls
 CHUNK = 1_024                        # words asked at a time
+CODE_BITS = 14                       # (C + 1)^2 codes
 
 
 def code_texts(docs: DataFrame, words: Words) -> DataFrame:
@@ -444,25 +497,33 @@ def code_texts(docs: DataFrame, words: Words) -> DataFrame:
     vocabulary, n_words = words.words, len(words.words)
     end, places_n = n_words + SHAPES, n_words + SHAPES + 1
 
+    def coded(texts: pa.Array, known: pa.Array) -> tuple[np.ndarray, pa.Array, pa.Array]:
+        words, sizes = split_words(texts)
+        found, row = words.dictionary_encode(), np.repeat(np.arange(len(sizes)), sizes)
+        of_token, own = found.indices.to_numpy(), keys(found.dictionary)
+        at = pc.fill_null(pc.index_in(own, known), -1).to_numpy()[of_token]
+        missing = np.flatnonzero(at < 0)
+        n = max(len(own), 1)
+        listed, number = np.unique(row[missing] * n + of_token[missing], return_inverse=True)
+        per_row = np.bincount(listed // n, minlength=len(sizes))
+        at[missing] = places_n + number - (np.cumsum(per_row) - per_row)[row[missing]]
+        stops = np.cumsum(sizes + 1)
+        seq = np.full(stops[-1], end, "<i4")
+        seq[np.arange(len(at)) + row] = at                                  # an end after each row
+        rest = pa.StructArray.from_arrays([own.take(pa.array(listed % n)), pa.array(shapes_of(found.dictionary)[listed % n], pa.int32())],
+                                          names=["word", "shape"])
+        return sizes + 1, binary_rows(seq, stops), pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(per_row)]), pa.int32()), rest)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        places = Places(vocabulary)
+        known = pa.array(vocabulary, pa.binary())
         for b in batches:
-            codes, sizes, rest = [], [], []
-            for t in b.column("text"):
-                held, own = [], {}
-                for some in word_lists(t.as_py()):
-                    at = np.fromiter(map(places.__getitem__, some), np.int64, len(some))
-                    for i in np.flatnonzero(at >= n_words).tolist():
-                        at[i] = places_n + own.setdefault((key(some[i]), int(at[i]) - n_words), len(own))
-                    held.append(at)
-                seq = np.concatenate([*held, [end]]).astype("<i4")
-                codes.append(seq.tobytes())
-                sizes.append(len(seq))
-                rest.append([{"word": w, "shape": s} for w, s in own])
-            kinds = pa.list_(pa.struct([("word", pa.binary()), ("shape", pa.int32())]))
-            yield pa.record_batch([b.column("rid"), b.column("doc_id"), b.column("held_out"), b.column("learned"),
-                                   pa.array(sizes, pa.int64()), pa.array(codes, pa.binary()), pa.array(rest, kinds)],
-                                  names=["rid", "doc_id", "held_out", "learned", "n_tokens", "codes", "rest"])
+            done = 0
+            for texts in blocks(b.column("text")):
+                rows = b.slice(done, len(texts))
+                done += len(texts)
+                sizes, codes, rest = coded(texts, known)
+                yield pa.record_batch([*(rows.column(c) for c in ("rid", "doc_id", "held_out", "learned")), pa.array(sizes, pa.int64()),
+                                       codes, rest], names=["rid", "doc_id", "held_out", "learned", "n_tokens", "codes", "rest"])
 
     f = fold(F.col("doc_id"))
     return docs.select(F.monotonically_increasing_id().alias("rid"), F.col("doc_id").cast("bigint").alias("doc_id"),
@@ -500,9 +561,10 @@ def coded_neighbours(coded: DataFrame, words: Words) -> DataFrame:
 
 
 def contexts(coded: DataFrame, words: Words, of: np.ndarray) -> DataFrame:
-    """One row per word without a class of its own: word, shape, looked (up), and its counts n by ``code``.
+    """Rows of words without a class of their own, a word's one after the other in one partition: word, shape, looked (up), and counts.
 
-    code // (C + 1) is the class before, code % (C + 1) the class after, ``ITSELF`` the same word.
+    A count is 8 bytes, n << CODE_BITS | code. code // (C + 1) is the class before, code % (C + 1) the class after,
+    ``ITSELF`` the same word.
     """
     n_words, clustered, places = len(words.words), words.clustered(), len(words.words) + SHAPES + 1
     place_class, vocabulary, vocabulary_shapes = of[words.units()], words.words, words.shapes
@@ -516,19 +578,23 @@ def contexts(coded: DataFrame, words: Words, of: np.ndarray) -> DataFrame:
             at = np.flatnonzero(((seq >= clustered) & (seq < n_words)) | (seq >= places))
             before = np.where(seq[at - 1] == seq[at], ITSELF, of_token[at - 1])
             after = np.where(seq[at + 1] == seq[at], ITSELF, of_token[at + 1])
-            word = np.where(seq[at] < n_words, seq[at], seq[at] - places + n_words)
+            # the same word of several rows becomes one
+            distinct = others.dictionary_encode()
+            number, others = distinct.indices.to_numpy(), distinct.dictionary
+            other_shapes = np.zeros(len(others), np.int64)
+            other_shapes[number] = shapes
+            word = np.concatenate([np.arange(places), n_words + number])[seq[at]]
             both, n = np.unique(word * (C + 1) ** 2 + before * (C + 1) + after, return_counts=True)
-            word = both // (C + 1) ** 2
+            word, code = both // (C + 1) ** 2, both % (C + 1) ** 2
+            stops = np.flatnonzero(np.diff(word, append=-1)) + 1
+            word = word[stops - 1]
             yield pa.record_batch({"word": pa.concat_arrays([known, others]).take(pa.array(word)),
-                                   "shape": pa.array(np.concatenate([vocabulary_shapes, shapes])[word], pa.int32()),
-                                   "looked": pa.array(word < n_words), "code": pa.array(both % (C + 1) ** 2, pa.int32()),
-                                   "n": pa.array(n, pa.int64())})
+                                   "shape": pa.array(np.concatenate([vocabulary_shapes, other_shapes])[word], pa.int32()),
+                                   "looked": pa.array(word < n_words), "counts": binary_rows(n << CODE_BITS | code, stops)})
 
     # no such word is more than a 1/CLUSTERED share of the tokens, and none has more than (C + 1)^2 codes
     return coded.filter("learned").select("n_tokens", "codes", "rest") \
-        .mapInArrow(run, "word binary, shape int, looked boolean, code int, n bigint").repartition("word") \
-        .groupBy("word", "shape", "looked", "code").agg(F.sum("n").alias("n")) \
-        .groupBy("word", "shape", "looked").agg(F.collect_list(F.struct("code", "n")).alias("counts"))
+        .mapInArrow(run, "word binary, shape int, looked boolean, counts binary").repartition("word").sortWithinPartitions("word")
 
 
 def _by_row(rows: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
@@ -552,11 +618,21 @@ def best_classes(m: np.ndarray, own: np.ndarray, after: np.ndarray, before: np.n
     # Without the word itself, only the row and the column of its own class are less.
     for side, other, cells in ((after, before, m.T), (before, after, m)):
         x, j = np.nonzero(side)
-        base = cells[j, :k] - np.where((j == own[x])[:, None], other[x, :k], 0)
-        gain += _by_row(x, xlogx(base + side[x, j][:, None]) - xlogx(base), w)
-    d, a, b, s = np.diag(m)[None, :k], after[:, :k], before[:, :k], same[:, None]
-    gain += xlogx(d + a + b + s) + xlogx(d) - xlogx(d + a) - xlogx(d + b)
-    gain -= xlogx(out[:k] + n_out[:, None]) - xlogx(out[:k]) + xlogx(into[:k] + n_in[:, None]) - xlogx(into[:k])
+        n = side[x, j]
+        # equal counts beside the same class gain alike
+        kinds, kind = np.unique(n.astype(np.int64) * C + j, return_inverse=True)
+        base = cells[kinds % C, :k]
+        more = (xlogx(base + (kinds // C)[:, None]) - xlogx(base))[kind]
+        mine = np.flatnonzero(j == own[x])
+        base = cells[j[mine], :k] - other[x[mine], :k]
+        more[mine] = xlogx(base + n[mine][:, None]) - xlogx(base)
+        gain += _by_row(x, more, w)
+    x, j = np.nonzero((after[:, :k] + before[:, :k] + same[:, None]) > 0)          # else nothing
+    d, a, b, s = m[j, j], after[x, j], before[x, j], same[x]
+    gain[x, j] += xlogx(d + a + b + s) + xlogx(d) - xlogx(d + a) - xlogx(d + b)
+    pairs, pair = np.unique(n_out.astype(np.int64) * (int(n_in.max(initial=0)) + 1) + n_in.astype(np.int64), return_inverse=True)
+    n_both = [x[:, None].astype(np.float64) for x in divmod(pairs, int(n_in.max(initial=0)) + 1)]
+    gain -= (xlogx(out[:k] + n_both[0]) - xlogx(out[:k]) + xlogx(into[:k] + n_both[1]) - xlogx(into[:k]))[pair]
     stay = np.zeros(w)
     a, b = after[rows, own], before[rows, own]
     d = m[own, own] - a - b - same
@@ -570,22 +646,52 @@ def best_classes(m: np.ndarray, own: np.ndarray, after: np.ndarray, before: np.n
     return to, gain[rows, to] - stay
 
 
+def _counts(rows: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Counts per row, then the code and n of each."""
+    both = np.frombuffer(b"".join(rows.column("counts").to_pylist()), "<i8")
+    return pc.binary_length(rows.column("counts")).to_numpy().astype(np.int64) // 8, both & ((1 << CODE_BITS) - 1), both >> CODE_BITS
+
+
+def _one(rows: pa.RecordBatch) -> pa.RecordBatch:
+    """The rows of one word as one."""
+    if rows.num_rows == 1:
+        return rows
+    _, code, n = _counts(rows)
+    code, at = np.unique(code, return_inverse=True)
+    total = np.zeros(len(code), np.int64)
+    np.add.at(total, at, n)
+    counts = binary_rows(total << CODE_BITS | code, np.array([len(code)]))
+    return pa.record_batch([*rows.slice(0, 1).columns[:3], counts], names=["word", "shape", "looked", "counts"])
+
+
 def choose_classes(of_words: DataFrame, m: np.ndarray) -> DataFrame:
     """word, shape, looked, n, class: that which raises the likelihood most, or the word's shape."""
+    def chosen(rows: pa.RecordBatch, start: np.ndarray) -> pa.RecordBatch:
+        first, w = rows.take(pa.array(start)), len(start)
+        sizes, code, n = _counts(rows)
+        x = np.repeat(np.repeat(np.arange(w), np.diff(start, append=rows.num_rows)), sizes)
+        side = [np.bincount(x * (C + 1) + c, n, w * (C + 1)).reshape(w, C + 1) for c in (code % (C + 1), code // (C + 1))]
+        own = CLASSES + first.column("shape").to_numpy().astype(np.int64)
+        to, gain = best_classes(m, own, side[0][:, :C], side[1][:, :C], side[0][:, ITSELF])
+        return pa.record_batch([first.column("word"), first.column("shape"), first.column("looked"),
+                                pa.array(np.bincount(x, n, w).astype(np.int64)),
+                                pa.array(np.where(gain > 1e-6, to, own), pa.int32())],
+                               names=["word", "shape", "looked", "n", "class"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for b in (whole.slice(i, CHUNK) for i in range(0, whole.num_rows, CHUNK)):
-                w = b.num_rows
-                x = np.repeat(np.arange(w), b.column("counts").value_lengths().to_numpy())
-                flat = b.column("counts").flatten()
-                code, n = flat.field("code").to_numpy().astype(np.int64), flat.field("n").to_numpy()
-                side = [np.bincount(x * (C + 1) + c, n, w * (C + 1)).reshape(w, C + 1) for c in (code % (C + 1), code // (C + 1))]
-                own = CLASSES + b.column("shape").to_numpy().astype(np.int64)
-                to, gain = best_classes(m, own, side[0][:, :C], side[1][:, :C], side[0][:, ITSELF])
-                yield pa.record_batch([b.column("word"), b.column("shape"), b.column("looked"),
-                                       pa.array(np.bincount(x, n, w).astype(np.int64)),
-                                       pa.array(np.where(gain > 1e-6, to, own), pa.int32())],
-                                      names=["word", "shape", "looked", "n", "class"])
+        last = None                                                     # the word whose rows may go on
+        for b in batches:
+            if not b.num_rows:
+                continue
+            b = b if last is None else pa.concat_batches([last, b])
+            word = b.column("word")
+            start = np.flatnonzero(np.concatenate([[True], pc.not_equal(word[1:], word[:-1]).to_numpy(zero_copy_only=False)]))
+            for i in range(0, len(start) - 1, CHUNK):
+                end = min(i + CHUNK, len(start) - 1)
+                yield chosen(b.slice(start[i], start[end] - start[i]), start[i:end] - start[i])
+            last = _one(b.slice(start[-1]))
+        if last is not None:
+            yield chosen(last, np.array([0]))
 
     return of_words.mapInArrow(run, "word binary, shape int, looked boolean, n bigint, class int")
 
